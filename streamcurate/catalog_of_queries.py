@@ -1,9 +1,12 @@
 """Registered queries of the library's own operators."""
 
+from .plans import queries_datasets, queries_records, queries_streams  # noqa: F401  each registers its own
+from .plans.registry import ORACLES, QUERIES
+
 
 def queries():
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(ORACLES)
