@@ -194,9 +194,13 @@ def training(docs: DataFrame, sample_chars: int) -> dict[str, list[str]]:
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
     able = docs.where((fold != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0) & (F.col("lang") != UNKNOWN))
     lean = able.select("doc_id", "lang", F.xxhash64("doc_id").alias("_order"), F.length("text").alias("_n"))
-    # short lists of the smallest hashes first: each task keeps some, whatever the corpus holds
+    # only texts whose hash is among the smallest of their language are ranked, whatever the corpus holds
+    most = sample_chars // 100
+    counts = able.groupBy("lang").agg(F.count("*").alias("_count"))
+    share = (F.col("_order") / F.lit(2.0**63) + 1) / 2
+    few = lean.join(counts, "lang").where(share * F.col("_count") <= 2 * most)
     by_hash = Window.partitionBy("lang").orderBy("_order", "doc_id")
-    near = lean.withColumn("_rank", F.row_number().over(by_hash)).where(F.col("_rank") <= sample_chars // 100)
+    near = few.withColumn("_rank", F.row_number().over(by_hash)).where(F.col("_rank") <= most)
     run = F.sum("_n").over(by_hash.rowsBetween(Window.unboundedPreceding, 0))
     chosen = near.withColumn("_sum", run).where((F.col("_sum") <= sample_chars) | (F.col("_rank") == 1)).select("doc_id", "lang")
     found = able.select("doc_id", "lang", "text").join(F.broadcast(chosen) if chosen.count() <= 100_000 else chosen, ["doc_id", "lang"], "left_semi")

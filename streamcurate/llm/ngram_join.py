@@ -208,7 +208,7 @@ def blocked(rows: DataFrame, group: str, size: str, key: str, block: int) -> Dat
 def ngram_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, n_links (other documents linked directly), n_copies, class_id, kept.
 
-    class_id is the smallest doc_id of those that links connect; kept is true for one row of a class.
+    class_id is the smallest doc_id of those that links connect; kept is true where it is the row's own.
     """
     count, rows = bands_for(threshold, recall)
     docs = docs.select(row_key("doc_id", "text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -277,10 +277,10 @@ def verified(dealt: DataFrame, n: int, threshold: float) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs`, one of each class: the one with the smallest doc_id (of equal ids, one)."""
-    kept = ngram_join(docs, **options).where("kept").select("doc_id").distinct()
-    first = docs.join(kept.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return first.dropDuplicates(["doc_id"])
+    """The rows of `docs`, one of each class: the one with the smallest doc_id (of repeated rows, one)."""
+    kept = ngram_join(docs, **options).where("kept").select(F.col("doc_id").alias("_id")).distinct()
+    first = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return first.withColumn("_key", row_key("doc_id", "text")).dropDuplicates(["_key"]).drop("_key")
 
 
 def query(spark, sf_dir):
