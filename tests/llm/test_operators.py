@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -91,23 +92,32 @@ def test_embedding_dedup(spark):
     assert got[1].n_links == 2
 
 
+def words(text):
+    return decontamination.words_of((text or "").encode())
+
+
+def brute_hits(text, items):
+    """Hit words and the names of items with occurring windows."""
+    w, hit, names = words(text), set(), set()
+    for name, item in items:
+        x = words(item)
+        size = min(13, len(x))
+        for i in range(len(x) - size + 1 if x else 0):
+            for at in range(len(w) - size + 1):
+                if w[at : at + size] == x[i : i + size]:
+                    hit |= set(range(at, at + size))
+                    names.add(str(name))
+    return w, hit, names
+
+
 def test_decontamination(spark, docs):
     rows = corpus()
-    words = lambda t: decontamination.words_of((t or "").encode())
     part = b" ".join(words(rows[25][1])[40:60]).decode()
     items = [(1, part), (2, "One"), (3, None), (4, "!!"), (5, part)]
     bench = spark.createDataFrame(items, "item_id int, text string")
     want = []
     for r in rows:
-        w, hit, names = words(r[1]), set(), set()
-        for name, text in items:
-            x = words(text)
-            size = min(13, len(x))
-            for i in range(len(x) - size + 1 if x else 0):
-                for at in range(len(w) - size + 1):
-                    if w[at : at + size] == x[i : i + size]:
-                        hit |= set(range(at, at + size))
-                        names.add(str(name))
+        w, hit, names = brute_hits(r[1], items)
         want.append((r[0], len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), len(hit) > 0 and 20 * len(hit) >= len(w)))
     for block in (2_000_000, 20):
         got = [tuple(r)[:6] for r in decontamination.decontaminate(docs, bench, block_words=block).collect()]
@@ -129,14 +139,19 @@ def test_secrets(docs):
     assert clean.where("doc_id = 37").first().text == 'token = "[SECRET]", [SECRET] [SECRET]'.replace('token = "[SECRET]', "[SECRET]")
 
 
-def test_packing(docs):
+def brute_pieces(rows):
     encode = packing.encoder()
     want = []
-    for r in corpus():
-        ids = [*encode(r[1] or ""), 2]
+    for doc, text in rows:
+        ids = [*encode(text or ""), 2]
         first = len(ids) % 1024 or 1024
         cuts = [0, *range(first, len(ids) + 1, 1024)]
-        want += [(r[0], k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+        want += [(doc, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+    return want
+
+
+def test_packing(docs):
+    want = brute_pieces((r[0], r[1]) for r in corpus())
     got = packing.pack(docs).collect()
     assert sorted((tuple(r)[:5] for r in got), key=str) == sorted(want, key=str)
     at: dict = {}
@@ -186,3 +201,57 @@ def test_empty_tables(spark, empty):
 
 def test_pipeline_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "ngram_jaccard_join", "benchmark_decontamination", "secret_scan", "best_fit_packing"]
+
+
+def brute_redacted(rows):
+    """(doc_id, text) with values that at most two owners carry replaced."""
+    kinds = [(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6), (r"AKIA[A-Z0-9]+", 0, 20), (r"[0-9a-f]+", 0, 24)]
+    found = [[(m.span(), m[part]) for kind, part, least in kinds for m in re.finditer(kind, r[1] or "") if len(m[part]) >= least] for r in rows]
+    owners: dict = {}
+    for r, spans in zip(rows, found, strict=True):
+        for _, value in spans:
+            owners.setdefault(value, set()).add(r[3])
+    for r, spans in zip(rows, found, strict=True):
+        text, at, out = r[1], 0, ""
+        for start, end in sorted(span for span, value in spans if len(owners[value]) <= 2):
+            if start >= at:
+                out += text[at:start] + "[SECRET]"
+            at = max(at, end)
+        yield r[0], out + text[at:] if text is not None else None
+
+
+def test_pipeline(spark, tmp_path):
+    copied = 'see password = "example-value" here '
+    rows = corpus()
+    part = b" ".join(words(rows[25][1])[40:60]).decode()
+    prose = [r[1] for r in rows if r[1] and 20 < len(r[1]) < 2000][:12]
+    rows += [(100 + i, " ".join(reversed(t.split())) + " " + copied + f"token: own{i}value", "en", f"s{i % 4}", 1, 2, 0) for i, t in enumerate(prose)]
+    items = [(1, part), (2, None)]
+    docs = spark.createDataFrame(rows, SHAPE)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id int, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    models = language_id.fit(docs)
+    rows = [r for r in rows if not language_id.judge(models, [r[1]])[0][2]]
+    sets = [set(ngram_join.shingles((r[1] or "").encode()).tolist()) for r in rows]
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and len(a & sets[j]) >= 0.8 * len(a | sets[j]):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    least = {g: min(r[0] for r, x in zip(rows, group, strict=True) if x == g and r[0] is not None) for g in set(group)}
+    once = {(r[0], r[1]): r for r, g in zip(rows, group, strict=True) if r[0] == least[g]}
+    hits = {k: brute_hits(r[1], items) for k, r in once.items()}
+    clean = [r for k, r in once.items() if not (hits[k][1] and 20 * len(hits[k][1]) >= len(hits[k][0]))]
+    assert len(rows) > len(once) > len(clean) > 12
+    texts = list(brute_redacted(clean))
+    assert any("[SECRET]" in t for _, t in texts) and any("example-value" in t for _, t in texts)
+    got = [tuple(r)[:5] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(brute_pieces(texts), key=str)
+
+
+def test_pipeline_of_empty_tables(spark, empty, tmp_path):
+    empty.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id int, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
