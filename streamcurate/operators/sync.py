@@ -163,7 +163,10 @@ def synchronize(streams: dict[str, DataFrame], reference: str | float, methods:
 
 
 def sync_metrics(rows: DataFrame) -> DataFrame:
-    """Per stream rows matched and not, coverage, mean and largest delta, exact and interpolated counts."""
+    """Per stream rows matched and not, coverage, mean and largest delta, exact and interpolated counts.
+
+    The mean comes from whole microseconds, so it doesn't depend on the order of partitions.
+    """
     names = rows.schema["alignment"].dataType.names
     long = rows.select(F.explode(F.array(*(F.struct(F.lit(n).alias("stream"), F.col(f"alignment.{n}").alias("a")) for n in names))).alias("x")).select("x.stream", "x.a.*")
     hit = F.col("matched")
@@ -173,7 +176,7 @@ def sync_metrics(rows: DataFrame) -> DataFrame:
         F.sum(hit.cast("long")).alias("matched"),
         F.sum((~hit).cast("long")).alias("unmatched"),
         F.avg(hit.cast("double")).alias("coverage"),
-        F.avg("delta_ms").alias("mean_delta_ms"),
+        (F.sum(F.round(F.col("delta_ms") * 1000).cast("long")) / F.count("delta_ms") / 1000.0).alias("mean_delta_ms"),
         F.max("delta_ms").alias("max_delta_ms"),
         F.sum(F.when(is_linear, (hit & (F.col("delta_ms") == 0)).cast("long"))).alias("exact"),
         F.sum(F.when(is_linear, (hit & (F.col("delta_ms") > 0)).cast("long"))).alias("interpolated"),

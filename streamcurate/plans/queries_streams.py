@@ -97,8 +97,8 @@ def s9_bucketed(spark, d):
 @query(
     "s10_sync_metrics",
     SYNC_SQL
-    + """ SELECT 'gps' AS stream, count(*) AS rows, count(*) FILTER (gps_ok) AS matched, round(avg(gps_ok::INT), 6) AS coverage, round(avg(gps_ms) FILTER (gps_ok), 3) AS mean_delta_ms, NULL::BIGINT AS interpolated FROM rows_
- UNION ALL SELECT 'force_torque', count(*), count(*) FILTER (ft_ok), round(avg(ft_ok::INT), 6), round(avg(ft_ms) FILTER (ft_ok), 3), count(*) FILTER (ft_ok AND ft_ms > 0) FROM rows_
+    + """ SELECT 'gps' AS stream, count(*) AS rows, count(*) FILTER (gps_ok) AS matched, round(avg(gps_ok::INT), 6) AS coverage, round(sum(round(gps_ms * 1000)::BIGINT) FILTER (gps_ok) / count(gps_ms) FILTER (gps_ok) / 1000.0, 3) AS mean_delta_ms, NULL::BIGINT AS interpolated FROM rows_
+ UNION ALL SELECT 'force_torque', count(*), count(*) FILTER (ft_ok), round(avg(ft_ok::INT), 6), round(sum(round(ft_ms * 1000)::BIGINT) FILTER (ft_ok) / count(ft_ms) FILTER (ft_ok) / 1000.0, 3), count(*) FILTER (ft_ok AND ft_ms > 0) FROM rows_
  UNION ALL SELECT 'imu', count(*), count(*), 1.0, 0.0, NULL FROM rows_""",
 )
 def s10(spark, d):
