@@ -273,11 +273,13 @@ def repeated_intervals(docs: DataFrame, spec: Spec, in_buckets) -> DataFrame:
     """
     runs = materialize(emit_runs(docs, spec), "runs")
     known = runs.groupBy("fp").agg(F.count("*").alias("n"), F.min("seg").alias("a"), F.max("seg").alias("b")).where("n > 1").select("fp", F.expr("a = b").alias("settled"))
+    # written first: only a side that is no aggregate of the join's own stage lets a hot minimiser be split
+    known = materialize(known, "minimisers")
     open_runs = materialize(runs.join(known, "fp"), "candidates")
     mixed = open_runs.where("NOT settled")
     classes = materialize(mixed.groupBy("fp", "seg").agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("at")).select("fp", "seg", "n", "at.key", "at.place"), "classes")
     equal = mixed.join(classes.where("n > 1").select("fp", "seg"), ["fp", "seg"], "left_semi")
-    per = classes.groupBy("fp").agg(F.count("*").alias("m"))
+    per = materialize(classes.groupBy("fp").agg(F.count("*").alias("m")), "distinct")
     wanted = classes.join(per, "fp").withColumn("hot", F.col("m") > spec.hot)
     strings = materialize(fetch_runs(docs, wanted, spec), "strings")
     parts = [spread(open_runs.where("settled"), spec), spread(equal, spec), in_buckets(strings.where("NOT hot"), spec)]
