@@ -4,8 +4,10 @@ For each language, counts of character n-grams give an interpolated Kneser-Ney m
 are sorted arrays of 64-bit n-gram hashes, shared by all languages, with one row of log
 probabilities (a column per language); a missing n-gram costs the context's back-off weight and the
 shorter n-gram.  A text goes to the language of lowest cross-entropy per character.  Rejection is
-calibrated: a text whose cross-entropy lies far above what the training texts of its language have,
-by a quantile and a margin, is rejected.
+calibrated on texts kept from training: a text is rejected where its cross-entropy lies far above
+what texts of its language have, by a quantile and a margin, and is also as high as texts of other
+languages have in that language, but for a small share of these.  Short, noisy or mixed texts of
+known languages stay below that.
 
 The models are fitted on a bounded sample: of each language, training texts in the order of a hash
 of their doc_id, as long as they sum to at most `sample_chars` characters (at least one text).
@@ -30,7 +32,7 @@ ORDER = 5
 SAMPLE_CHARS = 300_000
 #: A hashed quarter of the documents is kept from training.
 FOLDS, HELD_OUT = 4, 2
-QUANTILE, MARGIN = 0.99, 1.35
+QUANTILE, MARGIN, FOREIGN = 0.99, 1.35, 0.05
 UNKNOWN = "und"
 LETTERS: np.ndarray | None = None
 
@@ -217,11 +219,14 @@ def fit(docs: DataFrame, order: int = ORDER, sample_chars: int = SAMPLE_CHARS) -
     held = {k: v[::5] if len(v) >= 10 else v for k, v in texts.items()}
     own = {k: [t for i, t in enumerate(v) if i % 5] if len(v) >= 10 else v for k, v in texts.items()}
     models = Models(own, order)
+    costs = {lang: e[np.isfinite(e).all(axis=1)] for lang in models.languages for e in [models.entropies(held[lang])]}
     for k, lang in enumerate(models.languages):
-        values = models.entropies(held[lang])[:, k]
-        values = values[np.isfinite(values)]
+        values = costs[lang][:, k]
+        others = np.concatenate([np.zeros(0), *(costs[x][:, k] for x in models.languages if x != lang)])
         if len(values):
             models.limit[k] = np.quantile(values, QUANTILE) * MARGIN
+            if len(others):
+                models.limit[k] = max(models.limit[k], np.quantile(others, FOREIGN))
     return models
 
 

@@ -176,6 +176,9 @@ def test_language_id(spark, docs, empty):
     assert all(r.lang_pred == r.lang for r in got if r.doc_id < 80)
     assert [(r.lang_pred, r.score) for r in got if r.doc_id >= 80] == [("und", 0.0)] * 2
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+    assert not any(r.rejected for r in got if r.doc_id < 80)
+    strange = spark.createDataFrame([*made, (200, "wxyz zyxw " * 20, None), (202, made[0][1][:80] + made[1][1][:80], "xx"), (204, made[1][1][:7], "xx")], "doc_id long, text string, lang string")
+    assert {r.doc_id for r in language_id.identify(strange).where("rejected").collect()} == {200}
     assert language_id.identify(docs).count() == len(corpus())
     assert language_id.identify(empty).count() == 0
 
