@@ -31,6 +31,8 @@ BASE = 0x9E3779B97F4A7C15
 MIX = 0xD6E8FEB86659FD93
 #: Bits of a position inside a chunk of tokens.
 POSITION_BITS = 27
+#: A run is heavy if it holds more than one in HEAVY of the rows joined.
+HEAVY = 1000
 
 
 @dataclass(frozen=True)
@@ -265,6 +267,20 @@ def hot_windows(hot: DataFrame, spec: Spec) -> DataFrame:
     return windows.join(many, ["w1", "w2"], "left_semi").select("key", "lo", (F.col("lo") + spec.window).alias("hi"))
 
 
+def of_repeated_runs(runs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of `runs` whose (fp, seg) counts n > 1 in `classes`.
+
+    Runs that hold over a `HEAVY`th of all rows are at most HEAVY kinds: these are broadcast, and
+    their rows stay where they are; the rest is joined by shuffle.
+    """
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    repeated = classes.where("n > 1").select("fp", "seg", "n")
+    heavy = F.broadcast(repeated.where(F.col("n") * HEAVY > total).select("fp", "seg"))
+    light = repeated.where(F.col("n") * HEAVY <= total).select("fp", "seg")
+    on = ["fp", "seg"]
+    return runs.join(heavy, on, "left_semi").unionByName(runs.join(heavy, on, "left_anti").join(light, on, "left_semi"))
+
+
 def repeated_intervals(docs: DataFrame, spec: Spec, in_buckets) -> DataFrame:
     """(key, lo, hi): token intervals covered by windows that also start elsewhere.
 
@@ -278,7 +294,7 @@ def repeated_intervals(docs: DataFrame, spec: Spec, in_buckets) -> DataFrame:
     open_runs = materialize(runs.join(known, "fp"), "candidates")
     mixed = open_runs.where("NOT settled")
     classes = materialize(mixed.groupBy("fp", "seg").agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("at")).select("fp", "seg", "n", "at.key", "at.place"), "classes")
-    equal = mixed.join(classes.where("n > 1").select("fp", "seg"), ["fp", "seg"], "left_semi")
+    equal = of_repeated_runs(mixed, classes)
     per = materialize(classes.groupBy("fp").agg(F.count("*").alias("m")), "distinct")
     wanted = classes.join(per, "fp").withColumn("hot", F.col("m") > spec.hot)
     strings = materialize(fetch_runs(docs, wanted, spec), "strings")
