@@ -33,6 +33,8 @@ SAMPLE_CHARS = 300_000
 #: A hashed quarter of the documents is kept from training.
 FOLDS, HELD_OUT = 4, 2
 QUANTILE, MARGIN, FOREIGN = 0.99, 1.35, 0.05
+#: Tables of at most so many languages are broadcast.
+MOST_LANGUAGES = 10_000
 UNKNOWN = "und"
 LETTERS: np.ndarray | None = None
 
@@ -200,6 +202,7 @@ def training(docs: DataFrame, sample_chars: int) -> dict[str, list[str]]:
     most = sample_chars // 100
     counts = able.groupBy("lang").agg(F.count("*").alias("_count"))
     share = (F.col("_order") / F.lit(2.0**63) + 1) / 2
+    counts = F.broadcast(counts) if counts.count() <= MOST_LANGUAGES else counts
     few = lean.join(counts, "lang").where(share * F.col("_count") <= 2 * most)
     by_hash = Window.partitionBy("lang").orderBy("_order", "doc_id")
     near = few.withColumn("_rank", F.row_number().over(by_hash)).where(F.col("_rank") <= most)
