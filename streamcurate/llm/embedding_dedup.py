@@ -119,9 +119,8 @@ def bucket_links(dealt: DataFrame, threshold: float) -> DataFrame:
                 if hi - lo < 2:
                     continue
                 i, j = [], []
-                left, right = lo + np.flatnonzero(side[lo:hi] == 0), lo + np.flatnonzero(side[lo:hi] == 1)
-                across = len(right) > 0
-                right = right if across else left
+                across = side[lo] > 0
+                left, right = (lo + np.flatnonzero(side[lo:hi] == s) for s in ((1, 2) if across else (0, 0)))
                 for a0 in range(0, len(left), SUB_BLOCK):
                     for b0 in range(0 if across else a0, len(right), SUB_BLOCK):
                         a, b = left[a0 : a0 + SUB_BLOCK], right[b0 : b0 + SUB_BLOCK]

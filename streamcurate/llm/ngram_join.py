@@ -4,8 +4,10 @@ Texts with equal n-gram sets form one class (pre-aggregation), so copies travel
 a MinHash signature is cut into bands; band and row counts come from the target recall at the
 threshold.  Classes that share a band hash are candidates; the groups that such sharing connects are
 brought together, and pairs inside are verified on the full n-gram sets, if and only if they share
-a band.  Large groups are cut into blocks whose pairs go to separate tasks.  Tasks return sums and
-spanning trees, never all pairs.
+a band.  Large groups are cut into blocks whose pairs go to separate tasks; groups of more blocks than
+there are bands are dealt by band hash instead, where a pair counts in the first band it shares, so no
+row travels more often than there are bands or blocks of one band hash.  Tasks return sums and spanning
+trees, never all pairs.
 
 Defined cases: a text of fewer words than n is one n-gram of all its words; a null text or one
 without words links with nothing; repeated rows are copies that link with each other; ties keep the
@@ -137,19 +139,24 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def linked(sets: list[np.ndarray], bands: np.ndarray, side: np.ndarray, threshold: float):
-    """(i, j) arrays of linked pairs: all inside a block, or across the two sides of a pair of blocks."""
+def linked(sets: list[np.ndarray], bands: np.ndarray, side: np.ndarray, threshold: float, band_no: int = -1):
+    """(i, j) arrays of linked pairs: all inside a block, or across the two sides of a pair of blocks.
+
+    With a band number, only pairs for which that band is the first they share.
+    """
     pairs_i, pairs_j = [], []
-    parts = [(np.flatnonzero(side == s)) for s in (0, 1)]
-    if not len(parts[1]):
+    parts = [np.flatnonzero(side == s) for s in (0, 1, 2)]
+    if len(parts[0]):
         jobs = [(parts[0][i : i + SUB_BLOCK], parts[0][j : j + SUB_BLOCK], i == j) for i in range(0, len(parts[0]), SUB_BLOCK) for j in range(i, len(parts[0]), SUB_BLOCK)]
     else:
-        jobs = [(parts[0][i : i + SUB_BLOCK], parts[1][j : j + SUB_BLOCK], False) for i in range(0, len(parts[0]), SUB_BLOCK) for j in range(0, len(parts[1]), SUB_BLOCK)]
+        jobs = [(parts[1][i : i + SUB_BLOCK], parts[2][j : j + SUB_BLOCK], False) for i in range(0, len(parts[1]), SUB_BLOCK) for j in range(0, len(parts[2]), SUB_BLOCK)]
     size = np.array([len(s) for s in sets], np.float64)
     for a, b, own in jobs:
         meet = np.zeros((len(a), len(b)), bool)
-        for k in range(bands.shape[1]):
+        for k in range(bands.shape[1] if band_no < 0 else band_no):
             meet |= bands[a, k][:, None] == bands[b, k][None, :]
+        if band_no >= 0:
+            meet = ~meet & (bands[a, band_no][:, None] == bands[b, band_no][None, :])
         if own:
             meet = np.triu(meet, 1)
         # sizes alone rule out what can't reach the threshold
@@ -194,7 +201,8 @@ def roots_of(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def blocked(rows: DataFrame, group: str, size: str, key: str, block: int) -> DataFrame:
-    """Rows of a group dealt to tasks: `task` names the group and a pair of its blocks, `side` the block.
+    """Rows of a group dealt to tasks: `task` names the group and a pair of its blocks, `side` is 0
+    for a block paired with itself, 1 and 2 for the blocks of other pairs (one of them may hold no row).
 
     Groups of up to `block` rows are one task; in larger ones each row meets every block once.
     """
@@ -202,13 +210,13 @@ def blocked(rows: DataFrame, group: str, size: str, key: str, block: int) -> Dat
     own = F.pmod(F.xxhash64(key, F.lit(7)), F.col("parts")).cast("int")
     out = rows.withColumn("parts", parts).withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
     low, high = F.least("own", "other"), F.greatest("own", "other")
-    return out.withColumn("task", F.xxhash64(group, low, high)).withColumn("side", F.when((F.col("own") == high) & (low != high), 1).otherwise(0)).drop("own", "other")
+    return out.withColumn("task", F.xxhash64(group, low, high)).withColumn("side", F.when(low == high, 0).when(F.col("own") == low, 1).otherwise(2)).drop("own", "other")
 
 
-def ngram_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
-    """One row per document: doc_id, n_links (other documents linked directly), n_copies, class_id, kept.
+def connected(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK, most_parts: int | None = None) -> DataFrame:
+    """One row per document: key (of doc_id and text), doc_id, class, copies, links, component, class_id.
 
-    class_id is the smallest doc_id of those that links connect; kept is true where it is the row's own.
+    Groups of more than `most_parts` blocks (default: the number of bands) are dealt by band hash.
     """
     count, rows = bands_for(threshold, recall)
     docs = docs.select(row_key("doc_id", "text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -216,14 +224,20 @@ def ngram_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall
     classes = sigs.where("class is not null").groupBy("class").agg(F.count("*").alias("copies"), F.min("doc_id").alias("low"), F.min("key").alias("key"), F.min("bands").alias("bands"))
     classes = materialize(classes, "classes")
     meets = classes.select("class", F.explode("bands").alias("band"))
-    heads = meets.groupBy("band").agg(F.min("class").alias("head"), F.count("*").alias("n")).where("n > 1").select("band", "head")
-    groups = connected_components(meets.join(heads, "band").select(F.col("class").alias("a"), F.col("head").alias("b"))).select(F.col("node").alias("class"), F.col("component").alias("grp"))
+    heads = meets.groupBy("band").agg(F.min("class").alias("head"), F.count("*").alias("n")).where("n > 1")
+    groups = connected_components(meets.join(heads.select("band", "head"), "band").select(F.col("class").alias("a"), F.col("head").alias("b"))).select(F.col("node").alias("class"), F.col("component").alias("grp"))
     groups = materialize(groups, "groups")
     sizes = groups.groupBy("grp").agg(F.count("*").alias("size"))
     wanted = groups.join(sizes, "grp").join(classes, "class").select("class", "grp", "size", "copies", "key", "bands")
     # equal rows share a key: their text comes once for each, and only one is used
     texts = packed_text(docs, "key").join(wanted, "key")
-    dealt = blocked(texts, "grp", "size", "class", block).select("task", "side", "parts", "class", "copies", "bands", "packed")
+    few = F.col("size") <= block * (count if most_parts is None else most_parts)
+    sent = ["task", "side", "parts", "band_no", "class", "copies", "bands", "packed"]
+    dealt = blocked(texts.where(few), "grp", "size", "class", block).withColumn("band_no", F.lit(-1)).select(sent)
+    if sizes.where(~few).take(1):
+        by_band = texts.where(~few).select("*", F.posexplode("bands").alias("band_no", "band")).join(heads.select("band", "n"), "band")
+        wide = blocked(by_band, "band", "n", "class", block).withColumn("parts", F.greatest("parts", F.lit(2)))
+        dealt = dealt.unionByName(wide.select(sent))
     found = materialize(verified(dealt.repartition("task").sortWithinPartitions("task"), n, threshold), "links")
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
     # a group in one task is settled there; trees of cut groups are joined
@@ -233,9 +247,17 @@ def ngram_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall
     named = classes.join(links, "class", "left").join(component, "class", "left").select("class", "copies", "low", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "class").alias("component"))
     named = materialize(named, "named")
     low = named.groupBy("component").agg(F.min("low").alias("class_id"))
-    full = named.join(low, "component").select("class", "copies", "links", "class_id")
-    each = sigs.select("doc_id", "class", "key").join(full, "class", "left")
-    return each.select(
+    full = named.join(low, "component").select("class", "copies", "links", "component", "class_id")
+    return sigs.select("doc_id", "class", "key").join(full, "class", "left")
+
+
+def ngram_join(docs: DataFrame, **options) -> DataFrame:
+    """One row per document: doc_id, n_links (other documents linked directly), n_copies, class_id, kept.
+
+    class_id is the smallest doc_id of those that links connect; kept is true where it is the row's own.
+    Options as in `connected`.
+    """
+    return connected(docs, **options).select(
         "doc_id",
         F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).alias("n_links"),
         F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"),
@@ -254,7 +276,7 @@ def verified(dealt: DataFrame, n: int, threshold: float) -> DataFrame:
         for part in whole_groups(batches, "task", 2000):
             tasks = part.column("task").to_numpy()
             edges = np.concatenate(([0], np.flatnonzero(np.diff(tasks)) + 1, [len(tasks)]))
-            ids, copies, side, parts = (part.column(c).to_numpy() for c in ("class", "copies", "side", "parts"))
+            ids, copies, side, parts, band_no = (part.column(c).to_numpy() for c in ("class", "copies", "side", "parts", "band_no"))
             bands = np.array(part.column("bands").to_pylist(), np.int64).reshape(len(ids), -1)
             out = []
             blobs = part.column("packed")
@@ -265,7 +287,7 @@ def verified(dealt: DataFrame, n: int, threshold: float) -> DataFrame:
                 if len(at) < 2:
                     continue
                 sets = [shingles(press.decompress(blobs[int(x)].as_py()), n) for x in at]
-                i, j = linked(sets, bands[at], side[at], threshold)
+                i, j = linked(sets, bands[at], side[at], threshold, int(band_no[lo]))
                 own, root = ids[at], roots_of(len(at), i, j)
                 total = np.bincount(i, copies[at][j], minlength=len(at)) + np.bincount(j, copies[at][i], minlength=len(at))
                 keep = total > 0
@@ -277,10 +299,14 @@ def verified(dealt: DataFrame, n: int, threshold: float) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs`, one of each class: the one with the smallest doc_id (of repeated rows, one)."""
-    kept = ngram_join(docs, **options).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    first = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return first.withColumn("_key", row_key("doc_id", "text")).dropDuplicates(["_key"]).drop("_key")
+    """The rows of `docs`, one of each set that links connect: the one with the smallest doc_id.
+
+    Rows are told apart by doc_id and text, so a doc_id may repeat; of rows equal in both, one stays.
+    """
+    each = connected(docs, **options)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
+    heads = each.groupBy(F.coalesce("component", "key")).agg(first.alias("head")).select(F.col("head.key").alias("_key"))
+    return docs.withColumn("_key", row_key("doc_id", "text")).join(heads, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
 
 
 def query(spark, sf_dir):
