@@ -203,13 +203,13 @@ def fetch_runs(docs: DataFrame, wanted: DataFrame, spec: Spec) -> DataFrame:
     """The strings of the runs in `wanted` (fp, seg, n, key, place, hot), each once."""
     by_doc = wanted.groupBy("key").agg(F.collect_list(F.struct("fp", "n", "place", "hot")).alias("runs"))
     joined = packed_text(docs, "key").join(by_doc, "key")
-    schema = "fp long, n long, key long, place long, hot boolean, lead binary, body binary"
+    schema = "fp long, n long, key long, place long, hot boolean, body binary"
 
     def run(batches):
         import zstandard
 
         press = zstandard.ZstdDecompressor()
-        names = ["fp", "n", "key", "place", "hot", "lead", "body"]
+        names = ["fp", "n", "key", "place", "hot", "body"]
         for batch in batches:
             out = {x: [] for x in names}
             size = 0
@@ -219,14 +219,13 @@ def fetch_runs(docs: DataFrame, wanted: DataFrame, spec: Spec) -> DataFrame:
                 if spec.tokens == "words":
                     cuts = word_table(text)
                 for r in runs:
-                    start, count, offset = r["place"] >> 24, (r["place"] >> 12) & 4095, r["place"] & 4095
+                    start, count = r["place"] >> 24, (r["place"] >> 12) & 4095
                     end = start + count + spec.window - 1
                     if cuts is None:
-                        body, lead = text[start:end], text[start + offset : start + offset + 16]
+                        body = text[start:end]
                     else:
                         body = b" ".join(text[cuts[0][start] : cuts[1][end - 1]].split())
-                        lead = b""
-                    for name, value in zip(names, (r["fp"], r["n"], key, r["place"], r["hot"], lead, body), strict=True):
+                    for name, value in zip(names, (r["fp"], r["n"], key, r["place"], r["hot"], body), strict=True):
                         out[name].append(value)
                     size += len(body)
                 if size > 4 * CHUNK_BYTES:
@@ -235,7 +234,7 @@ def fetch_runs(docs: DataFrame, wanted: DataFrame, spec: Spec) -> DataFrame:
             if out["fp"]:
                 yield pa.RecordBatch.from_pydict(out, schema=types)
 
-    types = pa.schema([("fp", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("place", pa.int64()), ("hot", pa.bool_()), ("lead", pa.binary()), ("body", pa.binary())])
+    types = pa.schema([("fp", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("place", pa.int64()), ("hot", pa.bool_()), ("body", pa.binary())])
     return joined.mapInArrow(run, schema)
 
 
@@ -285,7 +284,7 @@ def repeated_intervals(docs: DataFrame, spec: Spec, in_buckets) -> DataFrame:
     """(key, lo, hi): token intervals covered by windows that also start elsewhere.
 
     docs: key (long), text.  in_buckets(runs, spec) takes the fetched strings (fp, n, key, place,
-    lead, body) and returns (key, lo, hi) for the windows of runs with n = 1 that repeat.
+    body) and returns (key, lo, hi) for the windows of runs with n = 1 that repeat.
     """
     runs = materialize(emit_runs(docs, spec), "runs")
     known = runs.groupBy("fp").agg(F.count("*").alias("n"), F.min("seg").alias("a"), F.max("seg").alias("b")).where("n > 1").select("fp", F.expr("a = b").alias("settled"))

@@ -4,7 +4,7 @@ Suffixes begin at content-sampled places (window minimisers), so every repeated
 holds such a place at the same offset in both copies.  Sampled splitters range-partition the
 suffixes by their leading bytes; each bucket sorts its suffixes, and the reversed contexts before
 them, by multikey quicksort on 8-byte symbols, and common-prefix lengths of neighbours tell which
-windows are equal.  Splitters are taken on leading bytes alone, so no group of equal leads crosses
+windows are equal.  Splitters are taken on the leading gram alone, so no group of equal grams crosses
 a bucket's boundary; groups too large for a bucket are counted window by window (see repeats).
 
 Defined cases: a null text has no bytes; texts shorter than a window keep everything; repeated rows
@@ -76,7 +76,7 @@ def suffix_buckets(strings: DataFrame, spec: Spec) -> DataFrame:
     W, reach = spec.window, spec.window - spec.gram
 
     def run(batches):
-        for part in whole_groups(batches, "lead"):
+        for part in whole_groups(batches, "fp"):
             n, keys, places, fp = (part.column(c).to_numpy() for c in ("n", "key", "place", "fp"))
             bodies = part.column("body").to_pylist()
             count, offset = (places >> 12) & 4095, places & 4095
@@ -119,8 +119,10 @@ def suffix_buckets(strings: DataFrame, spec: Spec) -> DataFrame:
 
     spark = strings.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lean = strings.select("lead", "fp", "n", "key", "place", "body")
-    return lean.repartitionByRange(parts, F.col("lead")).sortWithinPartitions("lead").mapInArrow(run, "key long, lo long, hi long")
+    # the whole leading gram: a frequent short lead would bring many grams to one task
+    lead = F.expr(f"substring(body, cast(place & 4095 as int) + 1, {spec.gram})")
+    lean = strings.select("fp", "n", "key", "place", "body")
+    return lean.repartitionByRange(parts, lead).sortWithinPartitions(lead, "fp").mapInArrow(run, "key long, lo long, hi long")
 
 
 def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = 20_000) -> DataFrame:
