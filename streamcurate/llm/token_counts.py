@@ -112,7 +112,7 @@ def document_lengths(spark, path: str, end: int = END, block: int = BLOCK) -> Da
 
 
 def token_counts(docs: DataFrame, end: int = END, block: int = BLOCK, vocabulary: str | None = None) -> DataFrame:
-    """How many documents there are of each number of tokens, from flat files of all texts: n_tokens, n_docs."""
+    """Number of tokens of each document in flat files written of all texts: file, doc_no, n_tokens."""
     spark = docs.sparkSession
     path = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
     write_tokens(docs, path, end, vocabulary)

@@ -3,8 +3,8 @@
 ARC files are read as they were written: a version line tells which header line the records carry
 (version 1: URL, IP, date, type, length; version 2 adds result code, checksum, location, offset and
 file name), and each record's declared length delimits its body.  The converter then makes what WARC
-wants and ARC lacks: a record id derived from the place's content, a W3C timestamp, the record type
-and the payload digest.
+wants and ARC lacks: a record id derived from the record's place and content, a W3C timestamp, the
+record type and the payload digest.
 
 Both kinds of archive are written by Spark's text sink with a line separator that ends a record
 (CRLF CRLF for WARC, LF for ARC), so any store Spark writes to will do, and read as whole binary
@@ -12,8 +12,8 @@ files; the number of files grows with the bytes, so each stays small.
 
 Defined cases: a null html is an empty payload; payloads equal in bytes form one group, the largest
 page_id of which is the response and the others revisits, from `revisit_from` payload bytes on;
-repeated rows with equal page_id are told apart by their number among the equals; a null page_id
-sorts below all others and stays null; an empty table gives an empty result; other columns are kept
+repeated rows with equal page_id are told apart by their place in the archives, so one of them is the
+response; a null page_id sorts below all others and stays null; an empty table gives an empty result; other columns are kept
 out of the archives.
 """
 
@@ -83,15 +83,15 @@ def arc_records(data: bytes):
 
 
 def read_arc(spark, path: str) -> DataFrame:
-    """page_id, url, date, content_type, payload of all records of ARC files."""
+    """page_id, url, date, content_type, payload and place (file and number in it) of all records of ARC files."""
 
     def run(batches):
         for batch in batches:
-            for content in batch.column("content").to_pylist():
+            for file, content in zip(batch.column("file").to_pylist(), batch.column("content").to_pylist(), strict=True):
                 held, size = [], 0
-                for fields, body in arc_records(gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content):
+                for number, (fields, body) in enumerate(arc_records(gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content)):
                     url, _, page = fields["URL"].rpartition("#page=")
-                    held.append((None if page == "-" else int(page), url, fields["Archive-date"], fields["Content-type"], body))
+                    held.append((None if page == "-" else int(page), url, fields["Archive-date"], fields["Content-type"], body, f"{file} {number}"))
                     size += len(body)
                     if size > 4 << 20:
                         yield arrow(held)
@@ -100,11 +100,11 @@ def read_arc(spark, path: str) -> DataFrame:
                     yield arrow(held)
 
     def arrow(rows):
-        kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["page_id", "url", "date", "content_type", "payload"])
+        kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["page_id", "url", "date", "content_type", "payload", "place"])
 
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(run, "page_id long, url string, date string, content_type string, payload binary")
+    files = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", r"[^/]+$", 0).alias("file"), "content")
+    return files.mapInArrow(run, "page_id long, url string, date string, content_type string, payload binary, place string")
 
 
 def with_digests(records: DataFrame) -> DataFrame:
@@ -113,10 +113,10 @@ def with_digests(records: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             digest, ids = [], []
-            for page, url, date, body in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "date")), binaries(batch.column("payload")), strict=True):
+            for page, url, date, place, body in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "date", "place")), binaries(batch.column("payload")), strict=True):
                 sha = hashlib.sha1(body).digest()
                 digest.append(base64.b32encode(sha).decode())
-                ids.append(f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page} {url} {date} {sha.hex()}')}")
+                ids.append(f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{place} {page} {url} {date} {sha.hex()}')}")
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digest, pa.string()), pa.array(ids, pa.string())], [*batch.schema.names, "payload_digest", "record_id"])
 
     schema = records.select("*", F.lit("").alias("payload_digest"), F.lit("").alias("record_id")).schema
