@@ -25,7 +25,7 @@ from .common import binaries, chunked, row_key, shipped, table
 WINDOW = 13
 #: A document is contaminated if hit words are at least one part in so many.
 SHARE = 20
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 250_000
 #: Words: ASCII digits and letters, lower-cased, and everything beyond ASCII; the rest separates.
 FOLD = bytes((c + 32 if 65 <= c <= 90 else c) if (48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128) else 32 for c in range(256))
 
@@ -224,9 +224,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of `docs` that aren't contaminated, as they are."""
-    ids = tuple(c for c in docs.columns if c != "text")
-    found = hits(docs.withColumn("_text", F.col("text")), benchmark, (*ids, "_text"), window, block_words)
-    return found.where(~contaminated(share=share)).withColumnRenamed("_text", "text").select(*docs.columns)
+    # inside a struct the columns can't clash with those of the results
+    rows = docs.select(F.struct(*docs.columns).alias("_all"), "text")
+    return hits(rows, benchmark, ("_all",), window, block_words).where(~contaminated(share=share)).select("_all.*")
 
 
 def query(spark, sf_dir):

@@ -247,9 +247,27 @@ def judge(models: Models, texts: list[str | None]):
     return out
 
 
+def judged(models: Models, batch: pa.RecordBatch) -> list[tuple]:
+    texts = batch.column("text").cast(pa.large_string()).to_pylist()
+    return [x for chunk in chunked(texts, lambda t: len(t or ""), 1 << 18) for x in judge(models, chunk)]
+
+
+def recognised(docs: DataFrame, order: int = ORDER, sample_chars: int = SAMPLE_CHARS) -> DataFrame:
+    """The rows of `docs` whose language isn't rejected, as they are."""
+    sent = shipped(docs.sparkSession, fit(docs, order, sample_chars))
+
+    def run(batches):
+        models = sent()
+        for batch in batches:
+            yield batch.filter(pa.array([not rejected for _, _, rejected in judged(models, batch)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, order: int = ORDER, sample_chars: int = SAMPLE_CHARS) -> DataFrame:
-    """The columns of `docs` and held_out, lang_pred, score, rejected."""
+    """The columns of `docs` and held_out, lang_pred, score, rejected (in place of columns with these names)."""
     spark = docs.sparkSession
+    docs = docs.drop("held_out", "lang_pred", "score", "rejected")
     sent = shipped(spark, fit(docs, order, sample_chars))
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
     rows = docs.withColumn("held_out", F.coalesce(fold == HELD_OUT, F.lit(False)))
@@ -258,8 +276,7 @@ def identify(docs: DataFrame, order: int = ORDER, sample_chars: int = SAMPLE_CHA
     def run(batches):
         models = sent()
         for batch in batches:
-            texts = batch.column("text").cast(pa.large_string()).to_pylist()
-            found = [x for chunk in chunked(texts, lambda t: len(t or ""), 1 << 18) for x in judge(models, chunk)]
+            found = judged(models, batch)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *(pa.array([x[i] for x in found], k) for i, k in enumerate((pa.string(), pa.float64(), pa.bool_())))],
                 [*batch.schema.names, "lang_pred", "score", "rejected"],

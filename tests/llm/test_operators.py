@@ -66,26 +66,46 @@ def test_suffix_dedup(docs, hot):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("block", [4096, 2])
-def test_ngram_join(docs, block):
+@pytest.mark.parametrize(("block", "most_parts"), [(4096, None), (2, None), (2, 1), (1, 0)])
+def test_ngram_join(docs, block, most_parts):
     rows = corpus()
     sets = [set(ngram_join.shingles((r[1] or "").encode()).tolist()) for r in rows]
     links = [[j for j, b in enumerate(sets) if i != j and a and b and len(a & b) >= 0.8 * len(a | b)] for i, a in enumerate(sets)]
     want = sorted((str(r[0]), len(x)) for r, x in zip(rows, links, strict=True))
-    got = ngram_join.ngram_join(docs, block=block).collect()
+    got = ngram_join.ngram_join(docs, block=block, most_parts=most_parts).collect()
     assert sorted((str(r.doc_id), r.n_links) for r in got) == want
-    kept = ngram_join.deduplicate(docs)
+    kept = ngram_join.deduplicate(docs, block=block, most_parts=most_parts)
     assert kept.columns == docs.columns
     assert 0 < kept.count() < docs.count()
 
 
-def test_embedding_dedup(spark):
+def test_ngram_deduplicate_repeated_ids(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text), (1, text.upper()), (1, "another text of some six words"), (0, "third " * 9), (1, "THIRD " * 9), (2, text), (2, None)]
+    kept = ngram_join.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, (r.text or "").lower()) for r in kept) == [(0, "third " * 9), (1, "another text of some six words"), (1, text), (2, "")]
+
+
+def test_stages_keep_clashing_columns(spark):
+    extra = ["held_out", "lang_pred", "score", "rejected", "n_words", "n_hit", "spans", "items", "class", "component", "copies", "links", "row", "hash", "owner", "owners", "s", "acc"]
+    rows = [(i, f"some plain words number {i} " * 3 + f"token=abcdef{i}", "en", "s", *range(len(extra))) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"{c} int" for c in extra))
+    bench = spark.createDataFrame([(1, "not in there"), (2, "number 3 some")], "item_id int, text string")
+    for out, count in ((language_id.recognised(docs), 5), (ngram_join.deduplicate(docs), 5), (decontamination.clean(docs, bench), 4), (decontamination.clean(docs, bench, block_words=1), 4), (secret_scan.redact(docs), 5)):
+        got = out.collect()
+        assert out.columns == docs.columns and len(got) == count
+        assert all(tuple(r)[4:] == tuple(range(len(extra))) for r in got)
+    assert language_id.identify(docs).count() == packing.pack(docs).count() == 5
+
+
+@pytest.mark.parametrize("block", [4096, 1])
+def test_embedding_dedup(spark, block):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(40, 16))
     rows = [(i, base[i % 40] + (0.01 * rng.normal(size=16) if i >= 40 else 0), i % 40 % 2) for i in range(60)]
     rows = [(i, [float(x) for x in v], label) for i, v, label in rows]
     rows += [(60, None, 1), (61, [0.0] * 16, 1), (62, [float("nan")] * 16, 0), (63, rows[0][1], None), (64, rows[0][1], 0), (65, [None, 1.0], 0), (None, rows[1][1], 1)]
-    got = {r.vec_id: r for r in embedding_dedup.embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    got = {r.vec_id: r for r in embedding_dedup.embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), block=block).collect()}
     assert len(got) == 67
     assert [got[i].n_links for i in (60, 61, 62, 63, 65)] == [0] * 5
     assert got[40].component_id == got[64].component_id == 0 and got[64].n_links == 2
@@ -186,6 +206,8 @@ def test_language_id(spark, docs, empty):
 @pytest.mark.parametrize("version", [1, 2])
 def test_warc(spark, version):
     rows = [(1, "http://a b/", "<p>x\r\n\r\nWARC/1.0\r\n</p>"), (2, None, "same é"), (3, "u", "same é"), (4, "u", None), (5, "u", ""), (None, "u", "alone\n\n")]
+    twice = warc.round_trip(spark.createDataFrame([(7, "u", "equal")] * 3 + [(6, "v", "equal")], "page_id long, url string, html string"), version).collect()
+    assert sorted((r.page_id, r.record_type, r.refers_to or 0) for r in twice) == [(6, "revisit", 7), (7, "response", 0), (7, "revisit", 7), (7, "revisit", 7)]
     got = {r.page_id: r for r in warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string"), version).collect()}
     for page, _, html in rows:
         body = (html or "").encode()
