@@ -9,7 +9,7 @@ from streamcurate.llm.common import materialize, table
 
 def identify_language(spark, docs, sf_dir):
     """Documents whose language is recognised, unchanged."""
-    return language_id.identify(docs).where("NOT rejected").select(*docs.columns)
+    return language_id.recognised(docs)
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
