@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import base64
 import bisect
+import json
+import os
 import zlib
 
 import numpy as np
@@ -32,14 +34,34 @@ END = 2
 BUCKET_PIECES = 200_000
 
 
-def encoder(vocabulary: str | None = None):
-    """text -> ids of the byte-level BPE, by the tiktoken form of the same vocabulary (the same ids, faster)."""
+def encoder(vocabulary: str | None = None, added: bool = True):
+    """text -> ids of the byte-level BPE, by the tiktoken form of the same vocabulary (the same ids, faster).
+
+    The added tokens of the JSON form beside it are found inside texts, as the tokenizers library
+    does even with add_special_tokens=False; with added=False they are text like any other.
+    """
     import public_tokenizers
     import tiktoken
 
-    with open(vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+    path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    names = added_tokens(os.path.splitext(path)[0] + ".json") if added else {}
+    made = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=names)
+    if not names:
+        return made.encode_ordinary
+    return lambda text: made.encode(text, allowed_special="all", disallowed_special=())
+
+
+def added_tokens(path: str) -> dict[str, int]:
+    """text -> id of the added tokens of a tokenizers JSON file; none without the file."""
+    if not os.path.exists(path):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in tokens):
+        raise ValueError(f"{path}: added tokens that take in or depend on the text around them can't be split off")
+    return {t["content"]: t["id"] for t in tokens}
 
 
 def pieces_of(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary: str | None = None) -> DataFrame:

@@ -12,7 +12,8 @@ by block.
 
 Defined cases: a null or empty text is a document of no ids; a file without a last end id has an open
 tail, counted as a document only if it has ids; repeated rows are documents of their own; an empty
-table gives an empty result; other columns are ignored.
+table gives an empty result; other columns are ignored; the letters of an added token inside a text
+are plain text, so that the end id stands between documents only.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ def write_tokens(docs: DataFrame, path: str, end: int = END, vocabulary: str | N
     tail = np.array([end], "<u4").tobytes()[:-1]
 
     def run(batches):
-        encode = encoder(vocabulary)
+        # the end id is the vocabulary's added token, so a text that holds it as letters must not give it
+        encode = encoder(vocabulary, added=False)
         for batch in batches:
             rows = [np.array(encode(t) if t else [], "<u4").tobytes() + tail for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["ids"])
