@@ -3,7 +3,7 @@
 artifacts: artifact_type, artifact_id, session_id, content_sha256, ...; edges: parent_type,
 parent_id, child_type, child_id, relationship; events: event_id, artifact_type, artifact_id,
 new_state, ...; versions: dataset_name, version, package_id, ....  A node's name is type/id.
-Traversals are joins of a frontier with the edges, for many roots at once; stage ranks bound them.
+Traversals are joins of a frontier with the edges, for many roots at once, until nothing new is reached.
 """
 
 from __future__ import annotations
@@ -30,6 +30,9 @@ RELATIONSHIPS = {
     ("qc", "package"): "approved_by_qc",
 }
 
+#: Levels of a traversal after which what it has found is written into one table, so that plans stay small.
+MERGE_LEVELS = 16
+
 
 def rank(kind: Column) -> Column:
     return F.array_position(F.array(*map(F.lit, STAGES)), kind).cast("int")
@@ -69,30 +72,51 @@ def arrows(edges: DataFrame, direction: str) -> DataFrame:
     return (up if direction == "up" else down if direction == "down" else up.unionByName(down)).distinct()
 
 
-def traverse(roots: DataFrame, edges: DataFrame, direction: str = "down", max_depth: int = 8) -> DataFrame:
-    """(root, node, depth) of all nodes reached from each root (column `root`), the root included at depth 0."""
-    steps = arrows(edges, direction)
-    frontier = roots.select("root", F.col("root").alias("node")).distinct()
-    levels = [frontier.withColumn("depth", F.lit(0))]
-    seen = frontier
-    for depth in range(1, max_depth + 1):
+def walk(roots: DataFrame, steps: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """(root, node, depth) along arrows until nothing new is reached, or for max_depth steps if given."""
+    frontier = roots.select("root", F.col("root").alias("node"), F.lit(0).alias("depth")).distinct()
+    seen, depth = frontier, 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
         nxt = frontier.join(steps, F.col("node") == F.col("from")).select("root", F.col("to").alias("node")).distinct()
-        frontier = materialize(nxt.join(seen, ["root", "node"], "left_anti"), "frontier")
+        frontier = materialize(nxt.join(seen, ["root", "node"], "left_anti").withColumn("depth", F.lit(depth)), "frontier")
         if not frontier.take(1):
             break
-        levels.append(frontier.withColumn("depth", F.lit(depth)))
         seen = seen.unionByName(frontier)
-    return reduce(lambda a, b: a.unionByName(b), levels)
+        if depth % MERGE_LEVELS == 0:
+            seen = materialize(seen, "seen")
+    return seen
+
+
+def traverse(roots: DataFrame, edges: DataFrame, direction: str = "down", max_depth: int | None = None) -> DataFrame:
+    """(root, node, depth) of all nodes reached from each root (column `root`), the root included at depth 0."""
+    return walk(roots, arrows(edges, direction), max_depth)
+
+
+def not_rising(edges: DataFrame) -> DataFrame:
+    """Edges that don't go up in rank; a cycle has one at least."""
+    parent, child = rank(F.col("parent_type")), rank(F.col("child_type"))
+    return edges.where((parent >= child) | parent.isNull() | child.isNull())
+
+
+def peeled(steps: DataFrame) -> DataFrame:
+    """The arrows left when nodes without arrows in or out are taken away until nothing changes."""
+    left = materialize(steps, "arrows")
+    count, before = left.count(), None
+    while count and count != before:
+        heads, tails = left.select(F.col("to").alias("from")).distinct(), left.select(F.col("from").alias("to")).distinct()
+        left = materialize(left.join(heads, "from", "left_semi").join(tails, "to", "left_semi").select("from", "to"), "arrows")
+        count, before = left.count(), count
+    return left
 
 
-def detect_cycles(edges: DataFrame, max_depth: int = 8) -> DataFrame:
-    """Nodes that reach themselves.  Edges that go up in rank can't close a cycle and are left out."""
-    back = edges.where((rank(F.col("parent_type")) >= rank(F.col("child_type"))) | rank(F.col("parent_type")).isNull() | rank(F.col("child_type")).isNull())
-    if not back.take(1):
+def detect_cycles(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """Nodes that reach themselves, however long the way; by at most max_depth + 1 edges if that is given."""
+    if not not_rising(edges).take(1):
         return edges.select(node("parent_type", "parent_id").alias("node")).where("false")
-    starts = back.select(node("child_type", "child_id").alias("root"), node("parent_type", "parent_id").alias("goal")).distinct()
-    found = traverse(starts.select("root"), edges, "down", max_depth)
-    return starts.join(found, "root").where("goal = node").select("node").distinct()
+    steps = peeled(arrows(edges, "down"))
+    starts = steps.select(F.col("to").alias("root"), F.col("from").alias("goal"))
+    return starts.join(walk(starts, steps, max_depth), "root").where("goal = node").select("node").distinct()
 
 
 def impact(roots: DataFrame, edges: DataFrame, versions: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -212,20 +236,28 @@ def catalog_health(artifacts: DataFrame, edges: DataFrame, events: DataFrame, ve
     return reduce(lambda a, b: a.unionByName(b), [df.select(F.lit(p).alias("problem"), "name") for p, df in parts.items()])
 
 
-def affected_closure(replaced: DataFrame, edges: DataFrame, max_depth: int = 8) -> DataFrame:
+def affected_closure(replaced: DataFrame, edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     """(root, node, level, parent, parent_replaced): what has to be rebuilt, in topological order.
 
     level is the longest path from the replaced artifact; parents inside the closure are replaced.
+    A cycle below a replaced artifact has no such order and is an error, unless max_depth is given.
     """
     steps = arrows(edges, "down")
+    if max_depth is None and not_rising(edges).take(1):
+        below = traverse(replaced, edges).select(F.col("node").alias("below")).distinct()
+        if detect_cycles(edges.join(below, node("parent_type", "parent_id") == F.col("below"), "left_semi")).take(1):
+            raise ValueError("a cycle lies below a replaced artifact")
     frontier = replaced.select("root", F.col("root").alias("node")).distinct()
-    levels = [frontier.withColumn("level", F.lit(0))]
-    for depth in range(1, max_depth + 1):
+    found, depth = frontier.withColumn("level", F.lit(0)), 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
         frontier = materialize(frontier.join(steps, F.col("node") == F.col("from")).select("root", F.col("to").alias("node")).distinct(), "frontier")
         if not frontier.take(1):
             break
-        levels.append(frontier.withColumn("level", F.lit(depth)))
-    closure = reduce(lambda a, b: a.unionByName(b), levels).groupBy("root", "node").agg(F.max("level").alias("level"))
+        found = found.unionByName(frontier.withColumn("level", F.lit(depth)))
+        if depth % MERGE_LEVELS == 0:
+            found = materialize(found, "levels")
+    closure = found.groupBy("root", "node").agg(F.max("level").alias("level"))
     parents = closure.join(steps.select(F.col("to").alias("node"), F.col("from").alias("parent")), "node")
     inside = closure.select("root", F.col("node").alias("parent"), F.lit(True).alias("_in"))
     return parents.join(inside, ["root", "parent"], "left").where("level > 0").select("root", "node", "level", "parent", F.coalesce("_in", F.lit(False)).alias("parent_replaced"))
