@@ -10,7 +10,9 @@ languages have in that language, but for a small share of these.  Short, noisy o
 known languages stay below that.
 
 The models are fitted on a bounded sample: of each language, training texts in the order of a hash
-of their doc_id, as long as they sum to at most `sample_chars` characters (at least one text).
+of their doc_id, as long as they sum to at most `sample_chars` characters and are at most one for
+each hundred of these.  Of a training text longer than a tenth of `sample_chars` the start of that
+length is used, so that no text shuts out the others.
 
 Defined cases: a null text, or one without letters, is `und` with score 0 and rejected; null
 languages don't train; without any training text all is `und`; ties go to the language first by
@@ -30,6 +32,8 @@ from .common import chunked, shipped, table
 
 ORDER = 5
 SAMPLE_CHARS = 300_000
+#: One training text gives at most this part of the sample.
+SAMPLE_SHARE = 10
 #: A hashed quarter of the documents is kept from training.
 FOLDS, HELD_OUT = 4, 2
 QUANTILE, MARGIN, FOREIGN = 0.99, 1.35, 0.05
@@ -197,7 +201,8 @@ def training(docs: DataFrame, sample_chars: int) -> dict[str, list[str]]:
     """The bounded sample: language -> texts."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
     able = docs.where((fold != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0) & (F.col("lang") != UNKNOWN))
-    lean = able.select("doc_id", "lang", F.xxhash64("doc_id").alias("_order"), F.length("text").alias("_n"))
+    longest = max(1, sample_chars // SAMPLE_SHARE)
+    lean = able.select("doc_id", "lang", F.xxhash64("doc_id").alias("_order"), F.least(F.length("text"), F.lit(longest)).alias("_n"))
     # only texts whose hash is among the smallest of their language are ranked, whatever the corpus holds
     most = sample_chars // 100
     counts = able.groupBy("lang").agg(F.count("*").alias("_count"))
@@ -207,8 +212,8 @@ def training(docs: DataFrame, sample_chars: int) -> dict[str, list[str]]:
     by_hash = Window.partitionBy("lang").orderBy("_order", "doc_id")
     near = few.withColumn("_rank", F.row_number().over(by_hash)).where(F.col("_rank") <= most)
     run = F.sum("_n").over(by_hash.rowsBetween(Window.unboundedPreceding, 0))
-    chosen = near.withColumn("_sum", run).where((F.col("_sum") <= sample_chars) | (F.col("_rank") == 1)).select("doc_id", "lang")
-    found = able.select("doc_id", "lang", "text").join(F.broadcast(chosen) if chosen.count() <= 100_000 else chosen, ["doc_id", "lang"], "left_semi")
+    chosen = near.withColumn("_sum", run).where(F.col("_sum") <= sample_chars).select("doc_id", "lang")
+    found = able.select("doc_id", "lang", F.substring("text", 1, longest).alias("text")).join(F.broadcast(chosen) if chosen.count() <= 100_000 else chosen, ["doc_id", "lang"], "left_semi")
     out: dict[str, list[str]] = {}
     for r in sorted(found.select("lang", "text").collect(), key=lambda r: (r["lang"], r["text"])):
         out.setdefault(r["lang"], []).append(r["text"])
