@@ -37,7 +37,20 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def scrap(*frames: DataFrame) -> None:
+    """Delete what `materialize` wrote for these frames, once nothing reads it any more."""
+    for df in frames:
+        remove(df.sparkSession, df.written_to)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def shipped(spark: SparkSession, value):

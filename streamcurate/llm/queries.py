@@ -29,6 +29,18 @@ WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coales
   kept AS (SELECT rid, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM word ANTI JOIN hit USING (rid, p) GROUP BY rid)
 SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (rid)"""
 
+#: Bytes as pairs of hex digits; strings of 400 bytes meet by MD5.
+SUFFIX_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, ''))::BIGINT AS n FROM documents),
+  win AS (SELECT rid, i, md5(substr(h, 2 * i - 1, {2 * suffix_dedup.WINDOW})) AS s FROM (SELECT rid, h, unnest(generate_series(1, n - {suffix_dedup.WINDOW - 1})) AS i FROM d)),
+  dup AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+  hit AS (SELECT rid, i, i - lag(i) OVER (PARTITION BY rid ORDER BY i) AS step FROM win SEMI JOIN dup USING (s)),
+  isle AS (SELECT rid, i, count(*) FILTER (step IS NULL OR step > {suffix_dedup.WINDOW}) OVER (PARTITION BY rid ORDER BY i) AS k FROM hit),
+  gone AS (SELECT rid, min(i) AS lo, max(i) + {suffix_dedup.WINDOW} AS hi FROM isle GROUP BY rid, k),
+  cut AS (SELECT rid, lag(hi, 1, 1) OVER (PARTITION BY rid ORDER BY lo) AS a, lo AS b, hi, lead(lo) OVER (PARTITION BY rid ORDER BY lo) IS NULL AS last FROM gone),
+  kept AS (SELECT rid, string_agg(substr(h, 2 * a - 1, 2 * (b - a)) || CASE WHEN last THEN substr(h, 2 * hi - 1) ELSE '' END, '' ORDER BY a) AS k, sum(hi - b)::BIGINT AS n_removed, count(*) AS n_spans FROM cut JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256 FROM d LEFT JOIN kept USING (rid)"""
+
 _COMPONENTS = """
   edge AS (SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair),
   reach(x, y) AS (SELECT id, id FROM node UNION SELECT reach.x, edge.b FROM reach JOIN edge ON reach.y = edge.a),
@@ -60,6 +72,7 @@ def oracle_sql():
         "op1_superkmer_dedup": SUBSTRING_SQL,
         "op3_ngram_jaccard_join": NGRAM_SQL,
         "op4_secret_ownership": secret_scan.oracle_sql(),
+        "op5_suffix_array_dedup": SUFFIX_SQL,
         "op6_cross_polytope_dedup": EMBEDDING_SQL,
         "op7_benchmark_decontamination": decontamination.oracle_sql(),
     }

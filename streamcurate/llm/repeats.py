@@ -1,16 +1,17 @@
-"""Exact repeated windows over whole corpora, the engine of both substring operators.
+"""Exact repeated windows over whole corpora: what both substring operators share.
 
 A window is W consecutive tokens of one document.  Its minimiser, the K-gram of smallest hash in it,
 depends on nothing but the window, so equal windows meet wherever minimisers are brought together:
 
 1. Runs of consecutive windows that share a minimiser occurrence become one row: fingerprint of the
    minimiser, fingerprint of the run's string, place.  Only fingerprints are shuffled.
-2. Minimisers that occur once hold no repeated window and go.  A minimiser whose runs are all equal
-   is settled: all its windows repeat.
-3. In the rest, equal runs are merged first (pre-aggregation), and one string of each distinct run
-   travels to its bucket, where sorting finds the repeated windows exactly.
-4. A minimiser with more than `hot` distinct runs isn't given to one task: its windows are counted
-   one by one with map-side combining.
+2. Minimisers that occur once hold no repeated window and go.  This only takes away what can't
+   repeat; from here on strings decide, never fingerprints.
+3. The strings of all other runs are cut from their texts and grouped as strings, with map-side
+   combining, so of copies one string travels on, with their number.  Of a string that occurs more
+   than once all windows repeat.
+4. The operators compare the distinct strings, each in its own way.  Groups too large for one task go
+   window by window through `exact_windows`, which compares the windows as strings too.
 
 Places come back as token intervals by document.
 """
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, binaries, chunked, materialize, packed_text, row_key
+from .common import CHUNK_BYTES, binaries, chunked, materialize, packed_text, row_key, scrap
 
 #: Odd multipliers of the rolling hash and its mixer; any odd 64-bit values do.
 BASE = 0x9E3779B97F4A7C15
@@ -37,7 +38,7 @@ HEAVY = 1000
 
 @dataclass(frozen=True)
 class Spec:
-    """tokens: "words" or "bytes"; window and gram in tokens; hot: distinct runs a task may take."""
+    """tokens: "words" or "bytes"; window and gram in tokens; hot: distinct strings a task may take."""
 
     tokens: str
     window: int
@@ -199,43 +200,76 @@ def spread(places: DataFrame, spec: Spec) -> DataFrame:
     return places.select("key", start_of().alias("lo"), (start_of() + count_of() + F.lit(spec.window - 1)).alias("hi"))
 
 
-def fetch_runs(docs: DataFrame, wanted: DataFrame, spec: Spec) -> DataFrame:
-    """The strings of the runs in `wanted` (fp, seg, n, key, place, hot), each once."""
-    by_doc = wanted.groupBy("key").agg(F.collect_list(F.struct("fp", "n", "place", "hot")).alias("runs"))
+def run_strings(docs: DataFrame, candidates: DataFrame, spec: Spec) -> DataFrame:
+    """The string of each run in `candidates` (fp, seg, key, place): fp, seg, key, place, body; words joined by one space."""
+    by_doc = candidates.groupBy("key").agg(F.collect_set(F.struct("fp", "seg", "place")).alias("runs"))
     joined = packed_text(docs, "key").join(by_doc, "key")
-    schema = "fp long, n long, key long, place long, hot boolean, body binary"
 
     def run(batches):
         import zstandard
 
         press = zstandard.ZstdDecompressor()
-        names = ["fp", "n", "key", "place", "hot", "body"]
         for batch in batches:
-            out = {x: [] for x in names}
-            size = 0
-            for key, blob, runs in zip(batch.column("key").to_pylist(), batch.column("packed").to_pylist(), batch.column("runs").to_pylist(), strict=True):
-                text = press.decompress(blob)
-                cuts = None
+            runs = batch.column("runs")
+            for row, blob in enumerate(batch.column("packed").to_pylist()):
+                text, key = press.decompress(blob), batch.column("key")[row].as_py()
+                own = runs[row].values
+                fp, seg, place = (own.field(c).to_numpy() for c in ("fp", "seg", "place"))
+                first, last = place >> 24, (place >> 24) + ((place >> 12) & 4095) + spec.window - 2
                 if spec.tokens == "words":
-                    cuts = word_table(text)
-                for r in runs:
-                    start, count = r["place"] >> 24, (r["place"] >> 12) & 4095
-                    end = start + count + spec.window - 1
-                    if cuts is None:
-                        body = text[start:end]
-                    else:
-                        body = b" ".join(text[cuts[0][start] : cuts[1][end - 1]].split())
-                    for name, value in zip(names, (r["fp"], r["n"], key, r["place"], r["hot"], body), strict=True):
-                        out[name].append(value)
-                    size += len(body)
-                if size > 4 * CHUNK_BYTES:
-                    yield pa.RecordBatch.from_pydict(out, schema=types)
-                    out, size = {x: [] for x in names}, 0
-            if out["fp"]:
-                yield pa.RecordBatch.from_pydict(out, schema=types)
-
-    types = pa.schema([("fp", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("place", pa.int64()), ("hot", pa.bool_()), ("body", pa.binary())])
-    return joined.mapInArrow(run, schema)
+                    text = b" ".join(text.split())
+                    start, end = word_table(text)
+                    first, last = start[first], end[last]
+                else:
+                    last = last + 1
+                for at in range(0, len(place), 8192):
+                    part = slice(at, at + 8192)
+                    body = [text[a:b] for a, b in zip(first[part].tolist(), last[part].tolist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array(fp[part]), pa.array(seg[part]), pa.array(np.full(len(body), key, np.int64)), pa.array(place[part]), pa.array(body, pa.binary())], ["fp", "seg", "key", "place", "body"])
+
+    return joined.mapInArrow(run, "fp long, seg long, key long, place long, body binary")
+
+
+def string_classes(strings: DataFrame) -> DataFrame:
+    """Distinct strings of runs: fp, seg, shape (windows and minimiser's place), body, n, and key and place where n = 1."""
+    shaped = strings.withColumn("shape", F.col("place").bitwiseAND(F.lit((1 << 24) - 1)))
+    return shaped.groupBy("fp", "seg", "shape", "body").agg(F.count("*").alias("n"), F.min("key").alias("key"), F.min("place").alias("place"))
+
+
+def exact_windows(classes: DataFrame, spec: Spec) -> DataFrame:
+    """(key, lo, hi) of the repeated windows in classes with n = 1, window by window, for groups of any size.
+
+    Fingerprints only keep back windows that can't repeat; the others are grouped as strings.
+    """
+    rows = classes.select("fp", "key", "place", "n", "body", F.xxhash64("fp", "seg", "shape", "body").alias("cid"))
+
+    def prints(batches):
+        for batch in batches:
+            for cid, place, n, body in zip(*(batch.column(c).to_pylist() for c in ("cid", "place", "n", "body")), strict=True):
+                at = np.arange((place >> 12) & 4095)
+                values, _ = tokens_of([body], spec)
+                found = mix(spans_hash(prefix(values), at, at + spec.window)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(at), cid, np.int64)), pa.array(at), pa.array(np.full(len(at), n, np.int64))], ["h", "cid", "j", "n"])
+
+    def strings(batches):
+        for batch in batches:
+            for key, place, n, body, chosen in zip(*(batch.column(c).to_pylist() for c in ("key", "place", "n", "body", "js")), strict=True):
+                chosen = sorted(j for j in chosen if j < ((place >> 12) & 4095))
+                start, end = word_table(body) if spec.tokens == "words" else (range(len(body)), range(1, len(body) + 1))
+                cut = [body[start[j] : end[j + spec.window - 1]] for j in chosen]
+                for at in range(0, len(cut), 4096):
+                    part = cut[at : at + 4096]
+                    first = np.array(chosen[at : at + 4096], np.int64) + (place >> 24)
+                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array(np.full(len(part), key, np.int64)), pa.array(first), pa.array(np.full(len(part), n, np.int64))], ["w", "key", "lo", "n"])
+
+    printed = materialize(rows.select("cid", "place", "n", "body").mapInArrow(prints, "h long, cid long, j long, n long"), "window-prints")
+    many = materialize(printed.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), "window-many")
+    alive = printed.join(many, "h", "left_semi").groupBy("cid").agg(F.collect_set("j").alias("js"))
+    windows = materialize(rows.join(alive, "cid").select("key", "place", "n", "body", "js").mapInArrow(strings, "w binary, key long, lo long, n long"), "windows")
+    twice = materialize(windows.groupBy("w").agg(F.sum("n").alias("n")).where("n > 1").select("w"), "windows-twice")
+    found = materialize(windows.where("n = 1").join(twice, "w", "left_semi").select("key", "lo", (F.col("lo") + spec.window).alias("hi")), "window-spans")
+    scrap(printed, many, windows, twice)
+    return found
 
 
 def intervals_from(flags: np.ndarray, start: int, window: int):
@@ -266,43 +300,46 @@ def hot_windows(hot: DataFrame, spec: Spec) -> DataFrame:
     return windows.join(many, ["w1", "w2"], "left_semi").select("key", "lo", (F.col("lo") + spec.window).alias("hi"))
 
 
-def of_repeated_runs(runs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The rows of `runs` whose (fp, seg) counts n > 1 in `classes`.
+def members(candidates: DataFrame, docs: DataFrame, classes: DataFrame, spec: Spec) -> DataFrame:
+    """The rows of `candidates` whose string occurs more than once.
 
-    Runs that hold over a `HEAVY`th of all rows are at most HEAVY kinds: these are broadcast, and
-    their rows stay where they are; the rest is joined by shuffle.
+    (fp, seg) names a class wherever only one class has that name, which is known from the strings;
+    should two ever share it, their members are told apart by their strings.  Classes that hold over
+    a `HEAVY`th of all rows are at most HEAVY kinds: these are broadcast, and their rows stay where
+    they are; the rest is joined by shuffle.
     """
-    total = classes.agg(F.sum("n")).first()[0] or 0
-    repeated = classes.where("n > 1").select("fp", "seg", "n")
-    heavy = F.broadcast(repeated.where(F.col("n") * HEAVY > total).select("fp", "seg"))
-    light = repeated.where(F.col("n") * HEAVY <= total).select("fp", "seg")
     on = ["fp", "seg"]
-    return runs.join(heavy, on, "left_semi").unionByName(runs.join(heavy, on, "left_anti").join(light, on, "left_semi"))
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    twins = materialize(classes.groupBy(*on).agg(F.count("*").alias("kinds")).where("kinds > 1").select(*on), "twins")
+    repeated = classes.where("n > 1").select(*on, "n")
+    some = bool(twins.take(1))
+    if some:
+        repeated = repeated.join(twins, on, "left_anti")
+    heavy = F.broadcast(repeated.where(F.col("n") * HEAVY > total).select(*on))
+    light = repeated.where(F.col("n") * HEAVY <= total).select(*on)
+    out = candidates.join(heavy, on, "left_semi").unionByName(candidates.join(heavy, on, "left_anti").join(light, on, "left_semi"))
+    if some:
+        named = [*on, "shape", "body"]
+        told = run_strings(docs, candidates.join(twins, on, "left_semi"), spec).withColumn("shape", F.col("place").bitwiseAND(F.lit((1 << 24) - 1)))
+        out = out.unionByName(told.join(classes.where("n > 1").select(*named), named, "left_semi").select(*candidates.columns))
+    return out
 
 
-def repeated_intervals(docs: DataFrame, spec: Spec, in_buckets) -> DataFrame:
+def repeated_intervals(docs: DataFrame, spec: Spec, compared) -> DataFrame:
     """(key, lo, hi): token intervals covered by windows that also start elsewhere.
 
-    docs: key (long), text.  in_buckets(runs, spec) takes the fetched strings (fp, n, key, place,
-    body) and returns (key, lo, hi) for the windows of runs with n = 1 that repeat.
+    docs: key (long), text.  compared(classes, spec) takes the distinct strings and returns
+    (key, lo, hi) for the repeated windows of those with n = 1.
     """
     runs = materialize(emit_runs(docs, spec), "runs")
-    known = runs.groupBy("fp").agg(F.count("*").alias("n"), F.min("seg").alias("a"), F.max("seg").alias("b")).where("n > 1").select("fp", F.expr("a = b").alias("settled"))
     # written first: only a side that is no aggregate of the join's own stage lets a hot minimiser be split
-    known = materialize(known, "minimisers")
-    open_runs = materialize(runs.join(known, "fp"), "candidates")
-    mixed = open_runs.where("NOT settled")
-    classes = materialize(mixed.groupBy("fp", "seg").agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("at")).select("fp", "seg", "n", "at.key", "at.place"), "classes")
-    equal = of_repeated_runs(mixed, classes)
-    per = materialize(classes.groupBy("fp").agg(F.count("*").alias("m")), "distinct")
-    wanted = classes.join(per, "fp").withColumn("hot", F.col("m") > spec.hot)
-    strings = materialize(fetch_runs(docs, wanted, spec), "strings")
-    parts = [spread(open_runs.where("settled"), spec), spread(equal, spec), in_buckets(strings.where("NOT hot"), spec)]
-    if strings.where("hot").take(1):
-        parts.append(hot_windows(strings.where("hot"), spec))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    known = materialize(runs.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"), "minimisers")
+    candidates = materialize(runs.join(known, "fp", "left_semi"), "candidates")
+    scrap(runs, known)
+    classes = materialize(string_classes(run_strings(docs, candidates, spec)), "classes")
+    spans = compared(classes, spec).unionByName(spread(members(candidates, docs, classes, spec), spec))
+    out = materialize(spans, "spans")
+    scrap(candidates, classes)
     return out
 
 

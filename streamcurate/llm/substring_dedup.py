@@ -2,8 +2,9 @@
 
 Consecutive windows that share a minimiser travel as one packed string to the bucket of that
 minimiser, where sorting the windows counts them exactly.  Before that, minimisers seen once are
-dropped and equal strings merged, both by fingerprints alone, so what is shuffled follows the
-repeated part of the corpus.
+dropped and equal strings merged with their number, so what is shuffled follows the repeated part of
+the corpus.  A minimiser with more than `hot` distinct strings isn't given to one task: its windows
+are grouped one by one.  Strings decide in every case.
 
 Defined cases: a null or empty text has no words; texts of fewer words than a window keep all of
 them; repeated rows repeat each other's windows; an empty table gives an empty result; other columns
@@ -18,44 +19,48 @@ from itertools import compress
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import whole_groups
-from .repeats import Spec, binaries, intervals_from, keyed, merged, repeated_intervals, with_intervals
+from .common import materialize, whole_groups
+from .repeats import Spec, exact_windows, intervals_from, keyed, merged, repeated_intervals, with_intervals, word_table
 
 WINDOW = 35
 GRAM = 8
 
 
-def word_buckets(strings: DataFrame, spec: Spec) -> DataFrame:
+def word_buckets(classes: DataFrame, spec: Spec) -> DataFrame:
     """Repeated windows of packed strings, bucket by bucket: sort the windows, compare neighbours."""
 
     def run(batches):
         for part in whole_groups(batches, "fp"):
-            n, keys, places = (part.column(c).to_numpy() for c in ("n", "key", "place"))
-            bodies = part.column("body").to_pylist()
+            n, keys, places, fp = (part.column(c).to_numpy() for c in ("n", "key", "place", "fp"))
+            # a bucket of one string has nothing to compare: it was merged with its copies
+            first = np.flatnonzero(np.diff(np.concatenate(([fp[0] - 1], fp))))
+            alone = np.repeat(np.diff(np.concatenate((first, [len(fp)]))) == 1, np.diff(np.concatenate((first, [len(fp)]))))
             windows, owner = [], []
-            for i, body in enumerate(bodies):
-                ends = np.cumsum([len(w) + 1 for w in body.split(b" ")])
-                starts = ends - np.diff(np.concatenate(([0], ends)))
-                for j in range((int(places[i]) >> 12) & 4095):
-                    windows.append(body[starts[j] : ends[j + spec.window - 1] - 1])
-                    owner.append((i, j))
+            bodies = part.column("body")
+            for i in np.flatnonzero(~alone).tolist():
+                body = bodies[i].as_py()
+                start, end = word_table(body)
+                count = (int(places[i]) >> 12) & 4095
+                windows += [body[a:b] for a, b in zip(start[:count].tolist(), end[spec.window - 1 :].tolist(), strict=True)]
+                owner += [(i, j) for j in range(count)]
             order = sorted(range(len(windows)), key=windows.__getitem__)
-            twice = set()
+            flags: dict[int, np.ndarray] = {}
             for a, b in zip(order, order[1:], strict=False):
                 if windows[a] == windows[b]:
-                    twice.add(a)
-                    twice.add(b)
-            flags: dict[int, np.ndarray] = {}
-            for x in twice:
-                i, j = owner[x]
-                if n[i] == 1:
-                    flags.setdefault(i, np.zeros((int(places[i]) >> 12) & 4095, bool))[j] = True
+                    for x in (a, b):
+                        i, j = owner[x]
+                        if n[i] == 1:
+                            flags.setdefault(i, np.zeros((int(places[i]) >> 12) & 4095, bool))[j] = True
             rows = [(int(keys[i]), lo, hi) for i, f in flags.items() for lo, hi in intervals_from(f, int(places[i]) >> 24, spec.window)]
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(3)], ["key", "lo", "hi"])
 
-    lean = strings.select("fp", "n", "key", "place", "body")
-    return lean.repartition("fp").sortWithinPartitions("fp").mapInArrow(run, "key long, lo long, hi long")
+    large = materialize(classes.groupBy("fp").agg(F.count("*").alias("m")).where(F.col("m") > spec.hot).select("fp"), "large")
+    some = bool(large.take(1))
+    few = classes.join(large, "fp", "left_anti") if some else classes
+    found = few.select("fp", "n", "key", "place", "body").repartition("fp").sortWithinPartitions("fp").mapInArrow(run, "key long, lo long, hi long")
+    return found.unionByName(exact_windows(classes.join(large, "fp", "left_semi"), spec)) if some else found
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = 20_000) -> DataFrame:

@@ -1,11 +1,16 @@
 """Substring dedup by a sampled suffix array (bytes).
 
-Suffixes begin at content-sampled places (window minimisers), so every repeated string of 400 bytes
-holds such a place at the same offset in both copies.  Sampled splitters range-partition the
-suffixes by their leading bytes; each bucket sorts its suffixes, and the reversed contexts before
-them, by multikey quicksort on 8-byte symbols, and common-prefix lengths of neighbours tell which
-windows are equal.  Splitters are taken on the leading gram alone, so no group of equal grams crosses
-a bucket's boundary; groups too large for a bucket are counted window by window (see repeats).
+A suffix for every byte would move the text hundreds of times, so suffixes begin at content-sampled
+places (window minimisers): every repeated string of 400 bytes holds such a place at the same offset
+in both copies.  Each suffix carries the bytes before its place that its windows need.  Copies are
+merged first, with their number (see repeats).
+
+Sampled splitters range-partition the suffixes by their leading bytes, all of them, so that a
+frequent lead is cut into as many buckets as its suffixes fill.  Each bucket sorts its suffixes, and
+the reversed contexts before them, by multikey quicksort on 8-byte symbols; common-prefix lengths of
+neighbours tell which windows are equal.  A lead that goes on in the next bucket is compared across
+the boundary: of the leads at both ends of each bucket, those that two buckets name have their
+windows brought together.
 
 Defined cases: a null text has no bytes; texts shorter than a window keep everything; repeated rows
 repeat each other; an empty table gives an empty result; other columns of the input are ignored.
@@ -20,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_groups
-from .repeats import Spec, intervals_from, keyed, merged, repeated_intervals, with_intervals
+from .common import materialize, scrap, whole_groups
+from .repeats import Spec, exact_windows, intervals_from, keyed, merged, repeated_intervals, with_intervals
 
 WINDOW = 400
 GRAM = 64
+#: Suffixes of a bucket, about.
+BUCKET = 50_000
 
 
 def padded(strings: list[bytes], width: int) -> np.ndarray:
@@ -72,67 +79,80 @@ def neighbours(rows: np.ndarray, lengths: np.ndarray, group: np.ndarray, order:
     return np.concatenate(([-1], common))
 
 
-def suffix_buckets(strings: DataFrame, spec: Spec) -> DataFrame:
-    W, reach = spec.window, spec.window - spec.gram
+def repeated_windows(bodies: list[bytes], offset: np.ndarray, count: np.ndarray, group: np.ndarray, spec: Spec) -> np.ndarray:
+    """Flags (suffix, bytes before its place at a window's start) of windows equal to one of another suffix of the group."""
+    W, reach, size = spec.window, spec.window - spec.gram, len(bodies)
+    sides = []
+    for texts, width in (([b[o : o + W] for b, o in zip(bodies, offset, strict=True)], W), ([b[:o][::-1] for b, o in zip(bodies, offset, strict=True)], reach)):
+        rows, lengths = padded(texts, max(8, -(-width // 8) * 8)), np.array([len(t) for t in texts])
+        order = multikey_order(rows, lengths, group)
+        sides.append((order, neighbours(rows, lengths, group, order)))
+    flags = np.zeros((size, reach + 1), bool)
+    low, high = offset - count + 1, offset
+    for d in range(reach + 1):
+        who = np.flatnonzero((low <= d) & (d <= high))
+        if len(who) < 2:
+            continue
+        name = np.zeros(size, np.int64)
+        for (order, common), need in ((sides[0], W - d), (sides[1], d)):
+            label = np.empty(size, np.int64)
+            label[order] = np.cumsum(common < need)
+            name = name * (size + 1) + label
+        mine = name[who]
+        by = np.argsort(mine, kind="stable")
+        same = mine[by][1:] == mine[by][:-1]
+        flags[who[by[1:][same]], d] = True
+        flags[who[by[:-1][same]], d] = True
+    return flags
+
+
+def suffix_buckets(classes: DataFrame, spec: Spec, bucket: int = BUCKET) -> DataFrame:
+    """(key, lo, hi) of repeated windows: buckets of the sampled suffix array, then leads that cross a boundary."""
 
     def run(batches):
+        ends: list[int] = []
         for part in whole_groups(batches, "fp"):
             n, keys, places, fp = (part.column(c).to_numpy() for c in ("n", "key", "place", "fp"))
-            bodies = part.column("body").to_pylist()
-            count, offset = (places >> 12) & 4095, places & 4095
-            right = [b[o : o + W] for b, o in zip(bodies, offset, strict=True)]
-            left = [b[o - min(o, reach) : o][::-1] for b, o in zip(bodies, offset, strict=True)]
-            ids = np.unique(fp, return_inverse=True)[1]
-            sides = []
-            for texts, width in ((right, W), (left, -(-reach // 8) * 8)):
-                rows, lengths = padded(texts, -(-width // 8) * 8), np.array([len(t) for t in texts])
-                order = multikey_order(rows, lengths, ids)
-                sides.append((order, neighbours(rows, lengths, ids, order)))
-            flags = np.zeros((len(bodies), reach + 1), bool)
-            classes = []
-            for order, common in sides:
-                classes.append((order, common))
-            size = len(bodies)
-            low, high = offset - count + 1, offset
-            for d in range(reach + 1):
-                has = (low <= d) & (d <= high)
-                if has.sum() < 2:
-                    continue
-                name = np.zeros(size, np.int64)
-                for (order, common), need in ((classes[0], W - d), (classes[1], d)):
-                    label = np.empty(size, np.int64)
-                    label[order] = np.cumsum(common < need)
-                    name = name * (size + 1) + label
-                who = np.flatnonzero(has)
-                mine = name[who]
-                by = np.argsort(mine, kind="stable")
-                same = mine[by][1:] == mine[by][:-1]
-                hit = np.zeros(len(who), bool)
-                hit[by[1:][same]] = True
-                hit[by[:-1][same]] = True
-                flags[who[hit], d] = True
+            ends = [*ends[:1], int(fp[0]), int(fp[-1])]
+            group, size = np.unique(fp, return_inverse=True, return_counts=True)[1:]
+            # of a lead with one suffix here all windows are alone or, being copies, known to repeat
+            use = np.flatnonzero(size[group] > 1)
             rows = []
-            for i in np.flatnonzero((n == 1) & flags.any(axis=1)):
-                own = flags[i, low[i] : high[i] + 1][::-1]
-                rows += [(int(keys[i]), lo, hi) for lo, hi in intervals_from(own, int(places[i]) >> 24, W)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(3)], ["key", "lo", "hi"])
-
-    spark = strings.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the whole leading gram: a frequent short lead would bring many grams to one task
-    lead = F.expr(f"substring(body, cast(place & 4095 as int) + 1, {spec.gram})")
-    lean = strings.select("fp", "n", "key", "place", "body")
-    return lean.repartitionByRange(parts, lead).sortWithinPartitions(lead, "fp").mapInArrow(run, "key long, lo long, hi long")
-
-
-def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = 20_000) -> DataFrame:
+            if len(use):
+                bodies = part.column("body").take(pa.array(use)).to_pylist()
+                count, offset = (places[use] >> 12) & 4095, places[use] & 4095
+                flags = repeated_windows(bodies, offset, count, group[use], spec)
+                for i in np.flatnonzero((n[use] == 1) & flags.any(axis=1)):
+                    own = flags[i, offset[i] - count[i] + 1 : offset[i] + 1][::-1]
+                    rows += [(int(keys[use[i]]), lo, hi, None) for lo, hi in intervals_from(own, int(places[use[i]]) >> 24, spec.window)]
+            yield table(rows)
+        yield table([(None, None, None, x) for x in set(ends)])
+
+    def table(rows):
+        return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(4)], ["key", "lo", "hi", "end"])
+
+    spark = classes.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-classes.count() // bucket))
+    split = F.col("place").bitwiseAND(F.lit(4095)).cast("int")
+    right, left = F.expr("substring(body, at + 1)"), F.expr("substring(body, 1, at)")
+    rows = classes.select("fp", "n", "key", "place", "body", split.alias("at"))
+    dealt = rows.repartitionByRange(parts, right, left).sortWithinPartitions(F.expr(f"substring(body, at + 1, {spec.gram})"), "fp").drop("at")
+    local = materialize(dealt.mapInArrow(run, "key long, lo long, hi long, end long"), "buckets")
+    crossing = local.where("end is not null").groupBy("end").agg(F.count("*").alias("buckets")).where("buckets > 1").select(F.col("end").alias("fp"))
+    across = materialize(classes.join(F.broadcast(crossing), "fp", "left_semi"), "boundaries")  # at most one lead a bucket
+    found = materialize(local.where("end is null").select("key", "lo", "hi").unionByName(exact_windows(across, spec)), "bucket-spans")
+    scrap(local, across)
+    return found
+
+
+def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bucket: int = BUCKET) -> DataFrame:
     """Remove every byte covered by a string of `window` bytes that also starts elsewhere.
 
     Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (binary).
     """
-    spec = Spec("bytes", window, gram, hot)
+    spec = Spec("bytes", window, gram)
     docs = keyed(docs)
-    rows = with_intervals(docs, repeated_intervals(docs, spec, suffix_buckets))
+    rows = with_intervals(docs, repeated_intervals(docs, spec, lambda classes, spec: suffix_buckets(classes, spec, bucket)))
 
     def finish(batches):
         import zstandard

@@ -50,8 +50,8 @@ def test_substring_dedup(docs, hot):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("hot", [20_000, 1])
-def test_suffix_dedup(docs, hot):
+@pytest.mark.parametrize("bucket", [50_000, 1])
+def test_suffix_dedup(docs, bucket):
     texts = [(r[0], (r[1] or "").encode()) for r in corpus()]
     seen = Counter(t[i : i + 400] for _, t in texts for i in range(len(t) - 399))
     want = []
@@ -62,7 +62,7 @@ def test_suffix_dedup(docs, hot):
                 keep[i : i + 400] = b"0" * 400
         rest = bytes(x for x, k in zip(t, keep, strict=True) if k == 49)
         want.append((doc, len(t), len(t) - len(rest), len([x for x in keep.decode().split("1") if x]), hashlib.sha256(rest).hexdigest()))
-    got = [tuple(r)[:5] for r in suffix_dedup.suffix_dedup(docs, hot=hot).collect()]
+    got = [tuple(r)[:5] for r in suffix_dedup.suffix_dedup(docs, bucket=bucket).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
