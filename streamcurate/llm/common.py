@@ -66,6 +66,11 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*[F.col(c) for c in columns])
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns in one struct, where their names can't clash with those of results."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns])
+
+
 def binaries(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 

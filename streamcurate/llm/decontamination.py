@@ -1,12 +1,15 @@
 """Benchmark decontamination by a generalised suffix automaton of the test items.
 
-Items are normalised to words and built into one automaton.  Training words stream through it; the
-longest match that ends at each word says which windows of the items end there.  Stretches whose
+Items are normalised to words and built into one automaton.  Its states hold the items whose windows
+end there.  Training words stream through it; the state reached and its suffix links give the longest
+match that ends at each word, and with it the windows of items that end there.  Stretches whose
 neighbouring word pairs don't all occur in the items can't hold a window and are skipped by a
 vectorised test, so the automaton walks only near possible hits.
 
-The automaton is broadcast with a bound: items are dealt into blocks of about `block_words` words,
-and a benchmark larger than one block is searched block by block.
+Automata are built in tasks, from blocks of about `block_words` words; an item longer than that is
+cut into parts that overlap by all but one word of a window.  Each automaton so has a bound and is
+broadcast on its own.  Texts are read and split once, whatever the number of blocks; a worker holds
+as many automata as `HELD_BYTES` allow and loads the others as it needs them.
 
 Defined cases: null texts and texts without words have no hits; items without words have no
 windows; items of equal text count each; repeated rows are judged each; an empty benchmark or table
@@ -15,17 +18,22 @@ gives no hits or no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binaries, chunked, row_key, shipped, table
+from .common import binaries, chunked, materialize, table, whole_row
 
 WINDOW = 13
 #: A document is contaminated if hit words are at least one part in so many.
 SHARE = 20
 BLOCK_WORDS = 250_000
+#: Bytes of pickled automata that a worker keeps loaded.
+HELD_BYTES = 64 << 20
 #: Words: ASCII digits and letters, lower-cased, and everything beyond ASCII; the rest separates.
 FOLD = bytes((c + 32 if 65 <= c <= 90 else c) if (48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128) else 32 for c in range(256))
 
@@ -35,14 +43,14 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class Automaton:
-    """Suffix automaton of several word sequences, with the windows of each."""
+    """Suffix automaton of several word sequences; `owners` has the items of each (state, window size)."""
 
     def __init__(self, items: list[tuple[str, bytes]], window: int):
         self.vocabulary: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        self.windows: dict[tuple[int, ...], list[str]] = {}
-        sizes, pairs = set(), set()
+        self.owners: dict[tuple[int, int], list[str]] = {}
+        sizes, pairs, known = set(), set(), []
         for name, text in items:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words_of(text)]
             if not ids:
@@ -50,15 +58,25 @@ class Automaton:
             last = 0
             for i in ids:
                 last = self.extend(last, i)
-            size = min(window, len(ids))
-            sizes.add(size)
-            for at in range(len(ids) - size + 1):
-                owners = self.windows.setdefault(tuple(ids[at : at + size]), [])
-                if not owners or owners[-1] != name:
-                    owners.append(name)
+            known.append((name, ids, min(window, len(ids))))
+            sizes.add(min(window, len(ids)))
             pairs.update(zip(ids, ids[1:], strict=False))
         self.sizes = sorted(sizes)
         self.pairs = np.array(sorted(a * len(self.vocabulary) + b for a, b in pairs), np.int64)
+        for name, ids, size in known:
+            state = 0
+            for at, i in enumerate(ids):
+                state = self.holding(self.next[state][i], min(size, at + 1))
+                if at + 1 >= size:
+                    names = self.owners.setdefault((state, size), [])
+                    if not names or names[-1] != name:
+                        names.append(name)
+
+    def holding(self, state: int, size: int) -> int:
+        """The state of the last `size` words of what `state` stands for."""
+        while self.length[state] and self.length[self.link[state]] >= size:
+            state = self.link[state]
+        return state
 
     def extend(self, last: int, symbol: int) -> int:
         """Adds a word after state `last`; shared prefixes of other items are walked, not rebuilt."""
@@ -100,6 +118,7 @@ class Automaton:
     def hits(self, ids: list[int], offset: int = 0):
         """(first, end, items) of every window of an item that occurs in `ids`."""
         state = matched = 0
+        most = self.sizes[-1]
         for at, i in enumerate(ids):
             while state and i not in self.next[state]:
                 state = self.link[state]
@@ -107,10 +126,12 @@ class Automaton:
             if i in self.next[state]:
                 state = self.next[state][i]
                 matched += 1
+            if matched > most:
+                state, matched = self.holding(state, most), most
             for size in self.sizes:
                 if size > matched:
                     break
-                owners = self.windows.get(tuple(ids[at + 1 - size : at + 1]))
+                owners = self.owners.get((self.holding(state, size), size))
                 if owners:
                     yield offset + at + 1 - size, offset + at + 1, owners
 
@@ -134,41 +155,69 @@ class Automaton:
             yield int(lo[k]), int(hi[k])
 
 
-def blocks_of(benchmark: DataFrame, block_words: int):
-    """Lists of (item_id as text, text), each of about `block_words` words at most."""
+def automata(benchmark: DataFrame, window: int, block_words: int) -> list:
+    """Broadcasts of pickled automata, one for each block of items; built in tasks."""
+    spark = benchmark.sparkSession
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = max(1, -(-size // (block_words * 4)))
-    if count == 1:
-        yield [(r.item_id, r.text.encode()) for r in items.collect()]
-        return
-    dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(count)))
-    for b in range(count):
-        yield [(r.item_id, r.text.encode()) for r in dealt.where(F.col("block") == b).drop("block").collect()]
 
+    def cut(batches):
+        for batch in batches:
+            for name, text in zip(batch.column("item_id").to_pylist(), binaries(batch.column("text")), strict=True):
+                words = words_of(text)
+                step = max(1, block_words)
+                for at in range(0, max(1, len(words) - window + 1), step):
+                    part = words[at : at + step + window - 1]
+                    yield pa.RecordBatch.from_arrays([pa.array([name], pa.string()), pa.array([len(part)], pa.int64()), pa.array([b" ".join(part)], pa.binary())], ["item_id", "n", "words"])
+
+    parts = materialize(items.mapInArrow(cut, "item_id string, n long, words binary").where("n > 0"), "item-parts")
+    count = max(1, -(-(parts.agg(F.sum("n")).first()[0] or 0) // block_words))
+
+    def build(rows: pd.DataFrame) -> pd.DataFrame:
+        machine = Automaton(sorted(zip(rows["item_id"].where(rows["item_id"].notna(), ""), rows["words"], strict=True)), window)
+        return pd.DataFrame({"block": rows["block"][:1], "blob": [pickle.dumps(vars(machine))]})
 
-def scan(docs: DataFrame, automaton, ids: tuple[str, ...]) -> DataFrame:
+    dealt = parts.withColumn("block", F.pmod(F.xxhash64("item_id", "words"), F.lit(count)).cast("int"))
+    built = materialize(dealt.groupBy("block").applyInPandas(build, "block int, blob binary"), "automata")
+    return [spark.sparkContext.broadcast(bytes(built.where(F.col("block") == r.block).first().blob)) for r in built.select("block").orderBy("block").collect()]
+
+
+def scan(docs: DataFrame, blobs: list, ids: tuple[str, ...]) -> DataFrame:
     """`ids`, n_words, spans array<struct<lo, hi>> (words, merged), items array<string>."""
     schema = docs.select(*ids, F.lit(0).cast("long").alias("n_words"), F.expr("cast(array() as array<struct<lo:long,hi:long>>)").alias("spans"), F.expr("cast(array() as array<string>)").alias("items")).schema
     kinds = [pa.int64(), pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])), pa.list_(pa.string())]
 
     def run(batches):
-        machine = automaton()
-        get = machine.vocabulary.get
+        held: dict[int, Automaton] = {}
+        free = HELD_BYTES
+
+        def machine(k: int) -> Automaton:
+            nonlocal free
+            if k in held:
+                return held[k]
+            blob = blobs[k].value
+            found = Automaton([], 1)
+            vars(found).update(pickle.loads(blob))
+            if len(blob) <= free:
+                held[k] = found
+                free -= len(blob)
+            return found
+
         for batch in batches:
             counts, spans, items = [], [], []
-            texts = binaries(batch.column("text"))
-            for chunk in chunked(texts, lambda t: len(t or b"")):
+            for chunk in chunked(binaries(batch.column("text")), lambda t: len(t or b"")):
                 split = [words_of(t) for t in chunk]
                 sizes = [len(w) for w in split]
-                # a separator after each document keeps pairs inside it
-                flat = np.fromiter((get(w, -1) for words in split for w in (*words, b" ")), np.int64, sum(sizes) + len(sizes))
                 ends = np.cumsum(np.array(sizes, np.int64) + 1)
                 hits: dict[int, list] = {}
-                for lo, hi in machine.stretches(flat):
-                    doc = int(np.searchsorted(ends, lo, side="right"))
-                    base = int(ends[doc]) - sizes[doc] - 1
-                    hits.setdefault(doc, []).extend(machine.hits(flat[lo:hi].tolist(), lo - base))
+                for k in range(len(blobs)):
+                    one = machine(k)
+                    get = one.vocabulary.get
+                    # a separator after each document keeps pairs inside it
+                    flat = np.fromiter((get(w, -1) for words in split for w in (*words, b" ")), np.int64, sum(sizes) + len(sizes))
+                    for lo, hi in one.stretches(flat):
+                        doc = int(np.searchsorted(ends, lo, side="right"))
+                        base = int(ends[doc]) - sizes[doc] - 1
+                        hits.setdefault(doc, []).extend(one.hits(flat[lo:hi].tolist(), lo - base))
                 for doc, n in enumerate(sizes):
                     counts.append(n)
                     own, names = [], set()
@@ -186,22 +235,10 @@ def scan(docs: DataFrame, automaton, ids: tuple[str, ...]) -> DataFrame:
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, ids: tuple[str, ...], window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """`ids`, n_words, n_hit, spans, items of each row (rows with equal `ids` and text only once if there are several blocks)."""
-    spark = docs.sparkSession
-    docs = docs.withColumn("text", F.col("text").cast("string"))
-    parts = [scan(docs.withColumn("_row", row_key(*ids, "text")), shipped(spark, Automaton(items, window)), ("_row", *ids)) for items in blocks_of(benchmark, block_words)]
-    out = parts[0]
-    if len(parts) > 1:
-        several = parts[0]
-        for p in parts[1:]:
-            several = several.unionByName(p)
-        seen = several.groupBy("_row").agg(
-            *(F.first(c).alias(c) for c in ids), F.first("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_set("spans"))).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items")
-        )
-        copies = docs.select(row_key(*ids, "text").alias("_row"))
-        out = copies.join(seen, "_row")
-    covered = "aggregate(spans, named_struct('at', 0L, 'n', 0L), (acc, s) -> named_struct('at', greatest(acc.at, s.hi), 'n', acc.n + greatest(0L, s.hi - greatest(s.lo, acc.at))), acc -> acc.n)"
-    return out.select(*ids, "n_words", F.expr(covered).alias("n_hit"), "spans", F.array_sort("items").alias("items"))
+    """`ids`, n_words, n_hit, spans, items of each row."""
+    out = scan(docs.withColumn("text", F.col("text").cast("string")), automata(benchmark, window, block_words), ids)
+    covered = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["hi"] - s["lo"])
+    return out.select(*ids, "n_words", covered.alias("n_hit"), "spans", "items")
 
 
 def contaminated(n_hit="n_hit", n_words="n_words", share: int = SHARE):
@@ -225,7 +262,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of `docs` that aren't contaminated, as they are."""
     # inside a struct the columns can't clash with those of the results
-    rows = docs.select(F.struct(*docs.columns).alias("_all"), "text")
+    rows = docs.select(whole_row(docs).alias("_all"), "text")
     return hits(rows, benchmark, ("_all",), window, block_words).where(~contaminated(share=share)).select("_all.*")
 
 

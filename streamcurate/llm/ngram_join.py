@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binaries, connected_components, materialize, packed_text, row_key, table, whole_groups
+from .common import binaries, connected_components, materialize, packed_text, row_key, table, whole_groups, whole_row
 from .repeats import BASE, BYTE_VALUES, mix, prefix, spans_hash
 
 N = 5
@@ -305,8 +305,9 @@ def deduplicate(docs: DataFrame, **options) -> DataFrame:
     """
     each = connected(docs, **options)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
-    heads = each.groupBy(F.coalesce("component", "key")).agg(first.alias("head")).select(F.col("head.key").alias("_key"))
-    return docs.withColumn("_key", row_key("doc_id", "text")).join(heads, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    heads = each.groupBy(F.coalesce("component", "key")).agg(first.alias("head")).select("head.key")
+    rows = docs.select(row_key("doc_id", "text").alias("key"), whole_row(docs).alias("row"))
+    return rows.join(heads, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
 
 
 def query(spark, sf_dir):

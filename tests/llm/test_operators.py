@@ -87,7 +87,7 @@ def test_ngram_deduplicate_repeated_ids(spark):
 
 
 def test_stages_keep_clashing_columns(spark):
-    extra = ["held_out", "lang_pred", "score", "rejected", "n_words", "n_hit", "spans", "items", "class", "component", "copies", "links", "row", "hash", "owner", "owners", "s", "acc"]
+    extra = ["held_out", "lang_pred", "score", "rejected", "n_words", "n_hit", "spans", "items", "class", "component", "copies", "links", "row", "hash", "owner", "owners", "s", "acc", "_key", "_row", "_spans", "doc", "of", "gone", "repositories"]
     rows = [(i, f"some plain words number {i} " * 3 + f"token=abcdef{i}", "en", "s", *range(len(extra))) for i in range(5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"{c} int" for c in extra))
     bench = spark.createDataFrame([(1, "not in there"), (2, "number 3 some")], "item_id int, text string")
@@ -159,6 +159,19 @@ def test_secrets(docs):
     assert clean.where("doc_id = 37").first().text == 'token = "[SECRET]", [SECRET] [SECRET]'.replace('token = "[SECRET]', "[SECRET]")
 
 
+def test_secret_ownership(spark):
+    many = " ".join(f"token=value{i:04d}é" for i in range(400))
+    rows = [(i, "key token=copied99 x", "one") for i in range(30)] + [(i, "token=shared88", f"s{i}") for i in range(30, 33)] + [(40, many, "one"), (41, "0123456789abcdef01234567api_key=abcdefgh", "one"), (None, "token=null777", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in secret_scan.secret_scan(docs).collect()}
+    assert (got[0].n_live, got[0].n_copied, got[31].n_copied, got[None].n_live) == (0, 1, 1, 1)
+    want = [m.span() for m in re.finditer("token=value[0-9]{4}", many)]
+    assert got[40].n_assign == 400 and got[40].base_sha256 == hashlib.sha256(",".join(f"assign:{a}:{b}" for a, b in want).encode()).hexdigest()
+    clean = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
+    assert clean[0] == "key token=copied99 x" and clean[31] == "token=shared88" and clean[None] == "[SECRET]"
+    assert clean[40] == re.sub("token=value[0-9]{4}", "[SECRET]", many) and clean[41] == "[SECRET]"
+
+
 def brute_pieces(rows):
     encode = packing.encoder()
     want = []
@@ -229,16 +242,17 @@ def test_pipeline_names():
 
 
 def brute_redacted(rows):
-    """(doc_id, text) with values that at most two owners carry replaced."""
+    """(doc_id, text) with values that at most two owners and twenty documents carry replaced."""
     kinds = [(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6), (r"AKIA[A-Z0-9]+", 0, 20), (r"[0-9a-f]+", 0, 24)]
     found = [[(m.span(), m[part]) for kind, part, least in kinds for m in re.finditer(kind, r[1] or "") if len(m[part]) >= least] for r in rows]
     owners: dict = {}
     for r, spans in zip(rows, found, strict=True):
         for _, value in spans:
-            owners.setdefault(value, set()).add(r[3])
+            owners.setdefault(value, (set(), set()))[0].add(r[3])
+            owners[value][1].add(r[0])
     for r, spans in zip(rows, found, strict=True):
         text, at, out = r[1], 0, ""
-        for start, end in sorted(span for span, value in spans if len(owners[value]) <= 2):
+        for start, end in sorted(span for span, value in spans if len(owners[value][0]) <= 2 and len(owners[value][1]) <= 20):
             if start >= at:
                 out += text[at:start] + "[SECRET]"
             at = max(at, end)
