@@ -19,6 +19,7 @@ import base64
 import bisect
 import json
 import os
+import re
 import zlib
 
 import numpy as np
@@ -53,6 +54,20 @@ def encoder(vocabulary: str | None = None, added: bool = True):
     return lambda text: made.encode(text, allowed_special="all", disallowed_special=())
 
 
+#: A blank between two word characters begins a token of the vocabulary's pattern, whatever stands around.
+SAFE_CUT = re.compile(r"(?<=\w) (?=\w)")
+
+
+def ids_of(encode, text: str | None, part: int = 1 << 20) -> np.ndarray:
+    """The ids of a whole text as 32-bit numbers; a very long one is encoded in parts cut at safe blanks."""
+    out, at = [], 0
+    while text and len(text) - at > part and (cut := SAFE_CUT.search(text, at + part)):
+        out.append(np.array(encode(text[at : cut.start()]), "<u4"))
+        at = cut.start()
+    out.append(np.array(encode(text[at:]) if text else [], "<u4"))
+    return np.concatenate(out)
+
+
 def added_tokens(path: str) -> dict[str, int]:
     """text -> id of the added tokens of a tokenizers JSON file; none without the file."""
     if not os.path.exists(path):
@@ -74,9 +89,8 @@ def pieces_of(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabul
         for batch in batches:
             out = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = encode(text) if text else []
-                ids.append(end)
-                raw, n = np.array(ids, "<u4"), len(ids)
+                raw = np.append(ids_of(encode, text), np.uint32(end)).astype("<u4")
+                n = len(raw)
                 first = n % capacity or capacity
                 at, piece = 0, 0
                 while at < n:

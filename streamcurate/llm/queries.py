@@ -70,6 +70,7 @@ SELECT node.id AS vec_id, coalesce(links.n, 0)::BIGINT AS n_links, class AS comp
 def oracle_sql():
     return {
         "op1_superkmer_dedup": SUBSTRING_SQL,
+        "op2_arc_to_warc": warc.oracle_sql(),
         "op3_ngram_jaccard_join": NGRAM_SQL,
         "op4_secret_ownership": secret_scan.oracle_sql(),
         "op5_suffix_array_dedup": SUFFIX_SQL,

@@ -6,15 +6,17 @@ file name), and each record's declared length delimits its body.  The converter
 wants and ARC lacks: a record id derived from the record's place and content, a W3C timestamp, the
 record type and the payload digest.
 
-Both kinds of archive are written by Spark's text sink with a line separator that ends a record
-(CRLF CRLF for WARC, LF for ARC), so any store Spark writes to will do, and read as whole binary
-files; the number of files grows with the bytes, so each stays small.
+Both kinds of archive are written by Spark's text sink, records joined by the separator that ends one
+(CRLF CRLF for WARC, LF for ARC), so any store Spark writes to will do.  A file takes records up to
+about `FILE_BYTES`, however long single ones are, and is read as one binary row.
 
 Defined cases: a null html is an empty payload; payloads equal in bytes form one group, the largest
 page_id of which is the response and the others revisits, from `revisit_from` payload bytes on;
 repeated rows with equal page_id are told apart by their place in the archives, so one of them is the
-response; a null page_id sorts below all others and stays null; an empty table gives an empty result; other columns are kept
-out of the archives.
+response; a null page_id sorts below all others and stays null; an empty table gives an empty result;
+other columns are kept out of the archives.  In archives from elsewhere, a line that should be an ARC
+header and isn't one is skipped, and so is what stands between WARC records; a record that the end of
+its file cuts off is left out.
 """
 
 from __future__ import annotations
@@ -22,13 +24,14 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import re
 import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binaries, shared_dir
+from .common import binaries, materialize, shared_dir
 
 #: Payload bytes from which equal payloads become revisits.
 REVISIT_FROM = 0
@@ -36,8 +39,10 @@ REVISIT_FROM = 0
 ARC_V1 = "URL IP-address Archive-date Content-type Archive-length"
 ARC_V2 = "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"
 CAPTURED = "20240101000000"
-#: Records of one archive file at most.
-FILE_RECORDS = 4000
+#: Bytes of one archive file, about, before compression; a longer record is a file of its own.
+FILE_BYTES = 16 << 20
+#: Up to so many groups of equal payloads are broadcast; more are joined by shuffle.
+BROADCAST_GROUPS = 200_000
 
 
 def new_path(spark, label: str) -> str:
@@ -45,7 +50,24 @@ def new_path(spark, label: str) -> str:
 
 
 def write_lines(df: DataFrame, column: str, separator: str, path: str) -> None:
-    df.select(column).write.option("lineSep", separator).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    """Files of the column's strings, each ended by the separator."""
+    between = separator.encode()
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            for record in binaries(batch.column(0)):
+                if held and size + len(record) > FILE_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array([between.join(held)], pa.large_binary())], ["file"])
+                    held, size = [], 0
+                held.append(record)
+                size += len(record) + len(between)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([between.join(held)], pa.large_binary())], ["file"])
+
+    files = df.select(F.col(column).cast("binary").alias("record")).mapInArrow(run, "file binary").select(F.col("file").cast("string").alias("file"))
+    # fast compression: archives are written twice and read once
+    files.write.option("lineSep", separator).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", 1).text(path)
 
 
 def write_arc(pages: DataFrame, path: str, version: int = 1) -> None:
@@ -58,11 +80,19 @@ def write_arc(pages: DataFrame, path: str, version: int = 1) -> None:
     more = (F.lit("200"), F.lit("-"), F.lit("-"), F.lit("0"), F.lit("synthetic.arc")) if version == 2 else ()
     header = F.concat_ws(" ", url, *middle, *more, F.octet_length(html).cast("string"))
     block = F.lit(f"filedesc://synthetic.arc 0.0.0.0 {CAPTURED} text/plain {'200 - - 0 synthetic.arc ' if version == 2 else ''}{len(named.encode())}\n{named}\n")
-    # every record carries the version block before it, so any cut into files starts with one
+    # every record carries the version block before it, so every file starts with one
     lines = pages.select(F.concat(block, header, F.lit("\n"), html).alias("line"))
     write_lines(lines, "line", "\n", path)
 
 
+def arc_header(line: bytes, names: list[str]) -> tuple[dict[str, str], int] | None:
+    """Fields of a header line and the length it declares; None if it isn't one of this version."""
+    values = line.decode("utf-8", "replace").rstrip("\r").split(" ")
+    if not values[-1].isdecimal() or (len(values) != len(names) and not values[0].startswith("filedesc://")):
+        return None
+    return dict(zip(names, values, strict=False)) | {"URL": values[0]}, int(values[-1])
+
+
 def arc_records(data: bytes):
     """(header fields as dict, body) of each record, by the declared lengths; filedesc blocks set the field names."""
     at, names = 0, ARC_V1.split()
@@ -70,20 +100,32 @@ def arc_records(data: bytes):
         if data[at] in b"\r\n":
             at += 1
             continue
-        stop = data.index(b"\n", at)
-        values = data[at:stop].decode("utf-8", "replace").split(" ")
-        size = int(values[-1])
-        body = data[stop + 1 : stop + 1 + size]
-        at = stop + 1 + size
-        if values[0].startswith("filedesc://"):
+        stop = data.find(b"\n", at)
+        if stop < 0:
+            return
+        found = arc_header(data[at:stop], names)
+        at = stop + 1
+        if found is None:
+            continue
+        fields, size = found
+        body = data[at : at + size]
+        at += size
+        if len(body) < size:
+            return
+        if fields["URL"].startswith("filedesc://"):
             lines = body.decode("utf-8", "replace").split("\n")
             names = lines[1].split(" ") if len(lines) > 1 else names
             continue
-        yield dict(zip(names, values, strict=False)), body
+        yield fields, body
 
 
 def read_arc(spark, path: str) -> DataFrame:
-    """page_id, url, date, content_type, payload and place (file and number in it) of all records of ARC files."""
+    """page_id, url, date, content_type, payload, payload_digest and record_id of all records of ARC files."""
+    names = ["page_id", "url", "date", "content_type", "payload", "payload_digest", "record_id"]
+    kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.string(), pa.string())
+
+    def arrow(rows):
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 
     def run(batches):
         for batch in batches:
@@ -91,7 +133,10 @@ def read_arc(spark, path: str) -> DataFrame:
                 held, size = [], 0
                 for number, (fields, body) in enumerate(arc_records(gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content)):
                     url, _, page = fields["URL"].rpartition("#page=")
-                    held.append((None if page == "-" else int(page), url, fields["Archive-date"], fields["Content-type"], body, f"{file} {number}"))
+                    page_id = int(page) if url and re.fullmatch(r"-?\d+", page) else None
+                    url = url or fields["URL"]
+                    date = fields.get("Archive-date", "")
+                    held.append((page_id, url, date, fields.get("Content-type", ""), body, *digests(url, date, page_id, f"{file} {number}", body)))
                     size += len(body)
                     if size > 4 << 20:
                         yield arrow(held)
@@ -99,39 +144,27 @@ def read_arc(spark, path: str) -> DataFrame:
                 if held:
                     yield arrow(held)
 
-    def arrow(rows):
-        kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.string())
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["page_id", "url", "date", "content_type", "payload", "place"])
-
     files = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", r"[^/]+$", 0).alias("file"), "content")
-    return files.mapInArrow(run, "page_id long, url string, date string, content_type string, payload binary, place string")
-
-
-def with_digests(records: DataFrame) -> DataFrame:
-    """Adds payload_digest (base32 SHA-1) and record_id, a name-based UUID of place and content."""
+    return files.mapInArrow(run, "page_id long, url string, date string, content_type string, payload binary, payload_digest string, record_id string")
 
-    def run(batches):
-        for batch in batches:
-            digest, ids = [], []
-            for page, url, date, place, body in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "date", "place")), binaries(batch.column("payload")), strict=True):
-                sha = hashlib.sha1(body).digest()
-                digest.append(base64.b32encode(sha).decode())
-                ids.append(f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{place} {page} {url} {date} {sha.hex()}')}")
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digest, pa.string()), pa.array(ids, pa.string())], [*batch.schema.names, "payload_digest", "record_id"])
 
-    schema = records.select("*", F.lit("").alias("payload_digest"), F.lit("").alias("record_id")).schema
-    return records.mapInArrow(run, schema)
+def digests(url: str, date: str, page, place: str, body: bytes) -> tuple[str, str]:
+    """Payload digest (base32 SHA-1) and record id (a name-based UUID of place and content)."""
+    sha = hashlib.sha1(body).digest()
+    return base64.b32encode(sha).decode(), f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{place} {page} {url} {date} {sha.hex()}')}"
 
 
-def typed(records: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFrame:
+def typed(records: DataFrame, revisit_from: int = REVISIT_FROM, broadcast_groups: int = BROADCAST_GROUPS) -> DataFrame:
     """Adds record_type and refers_to: of equal payloads the largest page_id is the response.
 
-    The heads of groups come from a mergeable aggregate, never from a whole group in one task.
+    The heads of groups come from a mergeable aggregate, never from a whole group in one task, and are
+    written before they are joined, so that a payload of very many records can be split.
     """
-    lean = F.struct("page_id", "record_id")
-    heads = records.where(F.octet_length("payload") >= revisit_from).groupBy("payload_digest", F.octet_length("payload").alias("size")).agg(F.max(lean).alias("head"), F.count("*").alias("n")).where("n > 1")
-    heads = heads.select(F.col("payload_digest").alias("of"), "size", F.col("head.page_id").alias("head_id"), F.col("head.record_id").alias("head_record"))
-    out = records.join(heads, (F.col("payload_digest") == F.col("of")) & (F.octet_length("payload") == F.col("size")), "left")
+    size = F.octet_length("payload")
+    heads = records.where(size >= revisit_from).groupBy("payload_digest", size.alias("size")).agg(F.max(F.struct("page_id", "record_id")).alias("head"), F.count("*").alias("n")).where("n > 1")
+    heads = materialize(heads.select(F.col("payload_digest").alias("of"), "size", F.col("head.page_id").alias("head_id"), F.col("head.record_id").alias("head_record")), "heads")
+    few = heads.count() <= broadcast_groups
+    out = records.join(F.broadcast(heads) if few else heads, (F.col("payload_digest") == F.col("of")) & (size == F.col("size")), "left")
     again = F.col("of").isNotNull() & ~F.col("record_id").eqNullSafe(F.col("head_record"))
     return out.select(
         *records.columns,
@@ -173,18 +206,20 @@ def write_warc(records: DataFrame, path: str) -> None:
 def warc_records(data: bytes):
     """(headers, block) of each record, by Content-Length."""
     at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        lines = data[at:stop].decode("utf-8").split("\r\n")
-        if lines[0] != "WARC/1.0":
-            raise ValueError(f"no WARC record where one should start: {lines[0][:40]!r}")
-        headers = dict(x.split(": ", 1) for x in lines[1:])
-        size = int(headers["Content-Length"])
-        block = data[stop + 4 : stop + 4 + size]
-        if data[stop + 4 + size : stop + 8 + size] != b"\r\n\r\n":
-            raise ValueError("a WARC record isn't as long as it says")
-        yield headers, block
-        at = stop + 8 + size
+    while (at := data.find(b"WARC/1.", at)) >= 0:
+        stop = data.find(b"\r\n\r\n", at)
+        if stop < 0:
+            return
+        lines = data[at:stop].decode("utf-8", "replace").split("\r\n")
+        headers = dict(x.split(": ", 1) for x in lines[1:] if ": " in x)
+        size = headers.get("Content-Length", "")
+        if not size.isdecimal():
+            at += 1
+            continue
+        at = stop + 4 + int(size)
+        if at > len(data):
+            return
+        yield headers, data[stop + 4 : at]
 
 
 def read_warc(spark, path: str) -> DataFrame:
@@ -201,11 +236,11 @@ def read_warc(spark, path: str) -> DataFrame:
             for content in batch.column("content").to_pylist():
                 held, size = [], 0
                 for h, block in warc_records(gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content):
-                    digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
-                    length = int(h["X-Payload-Length"])
-                    if h["WARC-Type"] == "response":
+                    digest = h.get("WARC-Payload-Digest", "").removeprefix("sha1:")
+                    length = int(h.get("X-Payload-Length", len(block)))
+                    if h.get("WARC-Type") == "response":
                         digest, length = base64.b32encode(hashlib.sha1(block).digest()).decode(), len(block)
-                    held.append((number(h.get("X-Page-ID")), length, digest, h["WARC-Type"], number(h.get("X-Refers-To-Page-ID")), h["WARC-Record-ID"], h.get("WARC-Target-URI"), block))
+                    held.append((number(h.get("X-Page-ID")), length, digest, h.get("WARC-Type"), number(h.get("X-Refers-To-Page-ID")), h.get("WARC-Record-ID"), h.get("WARC-Target-URI"), block))
                     size += len(block)
                     if size > 4 << 20:
                         yield arrow(held)
@@ -219,7 +254,7 @@ def read_warc(spark, path: str) -> DataFrame:
 
 def convert(spark, arc_path: str, warc_path: str, revisit_from: int = REVISIT_FROM) -> None:
     """ARC archives at `arc_path` to WARC archives at `warc_path`."""
-    write_warc(typed(with_digests(read_arc(spark, arc_path)), revisit_from), warc_path)
+    write_warc(typed(read_arc(spark, arc_path), revisit_from), warc_path)
 
 
 def round_trip(pages: DataFrame, version: int = 2, revisit_from: int = REVISIT_FROM) -> DataFrame:
@@ -236,3 +271,14 @@ def query(spark, sf_dir):
 
     return round_trip(table(spark, sf_dir, "pages")).drop("block", "url", "record_id")
 
+
+def oracle_sql() -> str:
+    """DuckDB: SHA-1 as hex digits, five of them to four base32 letters."""
+    five = "('0x' || substr(h, {at}, 5))::BIGINT"
+    letters = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (({five.format(at=5 * k + 1)} >> {shift}) & 31)::BIGINT + 1, 1)" for k in range(8) for shift in (15, 10, 5, 0))
+    return f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+  g AS (SELECT page_id, strlen(t)::BIGINT AS payload_bytes, {letters} AS payload_digest, max(page_id) OVER (PARTITION BY t) AS head FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = head OR payload_bytes < {REVISIT_FROM} THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> head AND payload_bytes >= {REVISIT_FROM} THEN head END AS refers_to FROM g"""
+

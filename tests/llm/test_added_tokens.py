@@ -31,5 +31,5 @@ def test_packing_ids(docs):
 
 def test_token_counts_separator(docs):
     encode = packing.encoder(added=False)
-    want = Counter(len(encode(t or "")) for t in TEXTS)
-    assert Counter(r.n_tokens for r in token_counts.token_counts(docs).collect()) == want
+    want = Counter((i, len(encode(t or ""))) for i, t in enumerate(TEXTS))
+    assert Counter((r.doc_id, r.n_tokens) for r in token_counts.token_counts(docs).collect()) == want

@@ -195,11 +195,29 @@ def test_packing(docs):
     assert len(at) <= sum(at.values()) / 1024 * 1.1 + 1
 
 
-@pytest.mark.parametrize("block", [1 << 18, 7])
-def test_token_counts(docs, block):
+@pytest.mark.parametrize(("block", "records"), [(1 << 18, 1 << 10), (7, 1 << 10), (4, 1)])
+def test_token_counts(docs, block, records, monkeypatch):
+    monkeypatch.setattr(token_counts, "FILE_RECORDS", records)
     encode = packing.encoder()
-    want = Counter(len(encode(r[1] or "")) for r in corpus())
-    assert Counter(r.n_tokens for r in token_counts.token_counts(docs, block=block).collect()) == want
+    want = Counter((r[0], len(encode(r[1] or ""))) for r in corpus())
+    assert Counter(tuple(r) for r in token_counts.token_counts(docs, block=block).collect()) == want
+
+
+def test_plain_token_files(spark, tmp_path):
+    """Files without key ids, of one writer or several, with an open tail."""
+    for name, ids in (("a-c000.bin", [1, 2, 9, 3]), ("a-c001.bin", [4, 9, 9, 5]), ("b.bin", [9, 6, 7])):
+        (tmp_path / name).write_bytes(np.array(ids, "<u4").tobytes())
+    for block in (1, 2, 100):
+        got = token_counts.document_lengths(spark, str(tmp_path), 9, block).select("file", "doc_no", "n_tokens").collect()
+        assert sorted(map(tuple, got)) == [("a", 0, 2), ("a", 1, 2), ("a", 2, 0), ("a", 3, 1), ("b.bin", 0, 0), ("b.bin", 1, 2)]
+
+
+def test_long_text_ids():
+    encode = packing.encoder()
+    rng = random.Random(2)
+    text = "".join(rng.choice(["word", " ", "  ", "\n", "it's", "<|endoftext|>", "é", "漢字", "12", "_", "\u00a0", "\u2003"]) for _ in range(20_000))
+    for part in (1, 7, 1000):
+        assert packing.ids_of(encode, text, part).tolist() == encode(text)
 
 
 def test_language_id(spark, docs, empty):
@@ -229,6 +247,34 @@ def test_warc(spark, version):
     assert bytes(got[1].block) == rows[0][2].encode()
 
 
+def test_warc_records_that_do_not_parse():
+    arc = b"filedesc://x 0.0.0.0 2024 text/plain 80\n1 0 synthetic\nURL IP-address Archive-date Content-type Archive-length\nxxxxxxx\n".replace(b" 80\n", b" %d\n" % 73)
+    good = b"http://a 0.0.0.0 2024 text/html 3\nabc\n"
+    found = lambda data: [(f["URL"], b) for f, b in warc.arc_records(data)]
+    assert found(arc + b"no header\n" + good + b"http://b 0.0.0.0 2024 text/html x3\n" + good) == [("http://a", b"abc")] * 2
+    assert found(arc + good + b"http://c 0.0.0.0 2024 text/html 30\nabc\n") == found(arc + good + b"http://c") == [("http://a", b"abc")]
+    record = b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    broken = b"WARC/1.0\r\nContent-Length: x\r\n\r\n"
+    blocks = lambda data: [b for _, b in warc.warc_records(data)]
+    assert blocks(b"junk" + record + broken + record + record[:-8]) == [b"abc", b"abc"]
+    assert blocks(b"") == blocks(b"WARC/1.0\r\n") == found(b"") == []
+
+
+@pytest.mark.parametrize("groups", [0, 200_000])
+def test_warc_against_brute_force(spark, monkeypatch, groups):
+    monkeypatch.setattr(warc.typed, "__defaults__", (warc.REVISIT_FROM, groups))
+    monkeypatch.setattr(warc, "FILE_BYTES", 2000)
+    rng = random.Random(9)
+    rows = [(i, f"http://h/{i}", rng.choice(["", None, "same", "é" * rng.randint(1, 3), "x" * rng.randint(1, 3000), "a\r\n\r\nb\n"])) for i in range(300)]
+    got = {r.page_id: r for r in warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()}
+    head = {h or "": i for i, _, h in rows}
+    for i, _, h in rows:
+        body = (h or "").encode()
+        want = (len(body), base64.b32encode(hashlib.sha1(body).digest()).decode(), *(("response", None) if head[h or ""] == i else ("revisit", head[h or ""])))
+        assert (got[i].payload_bytes, got[i].payload_digest, got[i].record_type, got[i].refers_to) == want
+    assert len(got) == 300
+
+
 def test_empty_tables(spark, empty):
     bench = spark.createDataFrame([], "item_id int, text string")
     vectors = spark.createDataFrame([], "vec_id long, embedding array<double>, label int")
