@@ -5,9 +5,9 @@ places (window minimisers): every repeated string of 400 bytes holds such a plac
 in both copies.  Each suffix carries the bytes before its place that its windows need.  Copies are
 merged first, with their number (see repeats).
 
-Sampled splitters range-partition the suffixes by their leading bytes, all of them, so that a
-frequent lead is cut into as many buckets as its suffixes fill.  Each bucket sorts its suffixes, and
-the reversed contexts before them, by multikey quicksort on 8-byte symbols; common-prefix lengths of
+Sampled splitters range-partition the suffixes by their leading bytes; a lead with more suffixes than
+a bucket takes is cut further, by the bytes that follow.  Each bucket sorts its suffixes, and the
+reversed contexts before them, by multikey quicksort on 8-byte symbols; common-prefix lengths of
 neighbours tell which windows are equal.  A lead that goes on in the next bucket is compared across
 the boundary: of the leads at both ends of each bucket, those that two buckets name have their
 windows brought together.
@@ -134,9 +134,14 @@ def suffix_buckets(classes: DataFrame, spec: Spec, bucket: int = BUCKET) -> Data
     spark = classes.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-classes.count() // bucket))
     split = F.col("place").bitwiseAND(F.lit(4095)).cast("int")
-    right, left = F.expr("substring(body, at + 1)"), F.expr("substring(body, 1, at)")
     rows = classes.select("fp", "n", "key", "place", "body", split.alias("at"))
-    dealt = rows.repartitionByRange(parts, right, left).sortWithinPartitions(F.expr(f"substring(body, at + 1, {spec.gram})"), "fp").drop("at")
+    lead, rest = F.expr(f"substring(body, at + 1, {spec.gram})"), F.expr(f"substring(body, at + 1 + {spec.gram}, {spec.gram})")
+    keys = [lead]
+    large = materialize(classes.groupBy("fp").agg(F.count("*").alias("m")).where(F.col("m") > bucket).select("fp", F.lit(True).alias("large")), "large")
+    if large.take(1):
+        rows = rows.join(large, "fp", "left")
+        keys += [F.when(F.col("large"), rest), F.when(F.col("large"), F.xxhash64("body", "at"))]
+    dealt = rows.repartitionByRange(parts, *keys).sortWithinPartitions(lead, "fp").select("fp", "n", "key", "place", "body")
     local = materialize(dealt.mapInArrow(run, "key long, lo long, hi long, end long"), "buckets")
     crossing = local.where("end is not null").groupBy("end").agg(F.count("*").alias("buckets")).where("buckets > 1").select(F.col("end").alias("fp"))
     across = materialize(classes.join(F.broadcast(crossing), "fp", "left_semi"), "boundaries")  # at most one lead a bucket
