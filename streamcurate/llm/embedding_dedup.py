@@ -1,10 +1,13 @@
 """Embedding near-dedup by cross-polytope hashing.
 
 Vectors are rotated by three rounds of random signs and a fast Hadamard transform; the hash of a
-rotation is its largest coordinate with sign.  A table's bucket joins two rotations; each vector goes
-to its own bucket and to the likeliest others (multiprobe).  Inside a bucket, and only among equal
-labels, pairs are verified by cosine in double precision.  A pair that meets in several buckets counts
-in the one of smallest name, so tasks return sums and spanning trees, never all pairs.
+rotation is its largest coordinate with sign.  A table's bucket joins several rotations; each vector
+goes to its own bucket and to the likeliest others (multiprobe).  Inside a bucket, and only among
+equal labels, pairs are verified by cosine in double precision.  A pair that meets in several buckets
+counts in the one of smallest name, so tasks return sums and spanning trees, never all pairs.
+
+Rotations per bucket follow from the rows of the largest label, so that buckets don't grow with the
+corpus; more rotations come with more tables and probes, which keep the recall (`SCHEMES`).
 
 Defined cases: null, zero and non-finite vectors, and null labels, link with nothing; equal vectors
 of a label form one class (pre-aggregation), its copies linking with each other; vectors of another
@@ -23,8 +26,10 @@ from .common import connected_components, materialize, table, whole_groups
 from .ngram_join import blocked, roots_of
 
 THRESHOLD = 0.93
-TABLES = 6
-PROBES = 4
+#: (tables, probes of each) for so many rotations per bucket; recall at the threshold is tested for each.
+SCHEMES = {2: (6, 4), 3: (12, 8), 4: (24, 16)}
+#: Vectors of a label that a bucket should hold on average, at most.
+BUCKET_ROWS = 1024
 BLOCK = 4096
 SUB_BLOCK = 512
 ROUNDS = 3
@@ -48,8 +53,17 @@ def rotated(x: np.ndarray, which: int) -> np.ndarray:
     return x
 
 
-def buckets(vectors: np.ndarray, tables: int = TABLES, probes: int = PROBES) -> np.ndarray:
+def rotations_for(rows: int, width: int) -> int:
+    """Rotations per bucket for the rows of a label and the vectors' padded length."""
+    found = min(SCHEMES)
+    while found < max(SCHEMES) and rows > BUCKET_ROWS * (2 * width) ** found:
+        found += 1
+    return found
+
+
+def buckets(vectors: np.ndarray, rotations: int = 2) -> np.ndarray:
     """Bucket names (row, tables * probes): for each table the own bucket and the likeliest others."""
+    tables, probes = SCHEMES[rotations]
     n, d = vectors.shape
     width = 1 << max(0, (d - 1).bit_length())
     x = np.zeros((n, width))
@@ -57,29 +71,27 @@ def buckets(vectors: np.ndarray, tables: int = TABLES, probes: int = PROBES) ->
     out = []
     per = min(width, 4)
     for t in range(tables):
-        codes, costs = [], []
-        for half in range(2):
-            y = rotated(x, 2 * t + half)
+        code, cost = np.full((n, 1), t, np.int64), np.zeros((n, 1))
+        for k in range(rotations):
+            y = rotated(x, rotations * t + k)
             top = np.argsort(-np.abs(y), axis=1, kind="stable")[:, :per]
             value = np.take_along_axis(y, top, axis=1)
-            codes.append(2 * top + (value < 0))
-            costs.append(np.abs(value[:, :1]) - np.abs(value))
-        pair = codes[0][:, :, None] * (2 * width) + codes[1][:, None, :]
-        cost = (costs[0][:, :, None] ** 2 + costs[1][:, None, :] ** 2).reshape(n, -1)
+            code = (code[:, :, None] * (2 * width) + (2 * top + (value < 0))[:, None, :]).reshape(n, -1)
+            cost = (cost[:, :, None] + ((np.abs(value[:, :1]) - np.abs(value)) ** 2)[:, None, :]).reshape(n, -1)
         best = np.argsort(cost, axis=1, kind="stable")[:, :probes]
-        names = np.take_along_axis(pair.reshape(n, -1), best, axis=1) + t * 4 * width * width
+        names = np.take_along_axis(code, best, axis=1)
         if names.shape[1] < probes:
             names = np.concatenate([names] + [names[:, :1]] * (probes - names.shape[1]), axis=1)
         out.append(names)
-    return np.concatenate(out, axis=1).astype(np.int64)
+    return np.concatenate(out, axis=1)
 
 
 def usable(v) -> bool:
     return v is not None and len(v) > 0 and not any(x is None for x in v)
 
 
-def hashed(classes: DataFrame, tables: int, probes: int) -> DataFrame:
-    """Adds unit vectors (array<double>) and bucket names to the classes whose vectors can link."""
+def hashed(classes: DataFrame, most: int) -> DataFrame:
+    """Adds unit vectors (array<double>) and bucket names to the classes whose vectors can link; most: rows of the largest label."""
     schema = "key long, label long, copies long, unit array<double>, names array<long>"
 
     def run(batches):
@@ -97,7 +109,7 @@ def hashed(classes: DataFrame, tables: int, probes: int) -> DataFrame:
                 if not some:
                     continue
                 x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
-                names = buckets(x, tables, probes)
+                names = buckets(x, rotations_for(most, 1 << max(0, (x.shape[1] - 1).bit_length())))
                 arrays = [pa.array([r[c] for r in some], pa.int64()) for c in ("key", "label", "copies")]
                 yield pa.RecordBatch.from_arrays([*arrays, pa.array(list(x), pa.list_(pa.float64())), pa.array(list(names), pa.list_(pa.int64()))], ["key", "label", "copies", "unit", "names"])
 
@@ -152,17 +164,23 @@ def bucket_links(dealt: DataFrame, threshold: float) -> DataFrame:
     return dealt.mapInArrow(run, "key long, links long, root long")
 
 
-def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES, probes: int = PROBES, block: int = BLOCK) -> DataFrame:
+def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
     rows = rows.withColumn("key", F.when(F.col("label").isNull() | F.col("embedding").isNull(), F.xxhash64("vec_id", F.lit("alone"))).otherwise(F.xxhash64("label", "embedding")))
     classes = rows.where("label is not null and embedding is not null").groupBy("key").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
-    points = materialize(hashed(classes, tables, probes), "points")
-    placed = points.select("key", "label", "copies", "unit", "names", F.explode(F.array_distinct("names")).alias("bucket")).withColumn("dim", F.size("unit"))
-    sizes = placed.groupBy("label", "dim", "bucket").agg(F.count("*").alias("size")).where("size > 1")
-    found = placed.join(sizes, ["label", "dim", "bucket"]).withColumn("grp", F.xxhash64("label", "dim", "bucket"))
+    classes = materialize(classes, "vectors")
+    most = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    points = materialize(hashed(classes, most), "points")
+    # buckets are joined with keys alone; vectors follow for the places that share a bucket
+    placed = points.select("key", "label", F.size("unit").alias("dim"), F.explode(F.array_distinct("names")).alias("bucket"))
+    on = ["label", "dim", "bucket"]
+    # written first, so that a bucket of very many vectors can be split in the join
+    sizes = materialize(placed.groupBy(*on).agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+    found = placed.join(sizes, on).withColumn("grp", F.xxhash64(*on))
     # vectors of one length only share a task, so they stack
-    dealt = blocked(found, "grp", "size", "key", block).select("task", "dim", "side", "bucket", "key", "copies", "unit", "names")
+    lean = blocked(found, "grp", "size", "key", block).select("task", "dim", "side", "bucket", "key")
+    dealt = lean.join(points.select("key", "copies", "unit", "names"), "key")
     links = materialize(bucket_links(dealt.repartition("dim", "task").sortWithinPartitions("task"), threshold), "links")
     total = links.groupBy("key").agg(F.sum("links").alias("links"))
     component = connected_components(links.where("key <> root").select(F.col("key").alias("a"), F.col("root").alias("b"))).select(F.col("node").alias("key"), "component")

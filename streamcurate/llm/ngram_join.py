@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binaries, connected_components, materialize, packed_text, row_key, table, whole_groups, whole_row
+from .common import CHUNK_BYTES, binaries, connected_components, materialize, packed_text, row_key, table, whole_groups, whole_row
 from .repeats import BASE, BYTE_VALUES, mix, prefix, spans_hash
 
 N = 5
@@ -34,7 +34,9 @@ RECALL = 0.999
 BLOCK = 4096
 #: Rows of one matrix product, and cells of one sparse step.
 SUB_BLOCK, CELLS = 1024, 1 << 22
+#: Words: ASCII digits and letters and everything beyond ASCII; the rest separates.
 WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+SEPARATOR = re.compile(rb"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
 
 
 def bands_for(threshold: float, recall: float, most: int = 256) -> tuple[int, int]:
@@ -47,31 +49,57 @@ def bands_for(threshold: float, recall: float, most: int = 256) -> tuple[int, in
     return best
 
 
-def shingles(text: bytes | None, n: int = N) -> np.ndarray:
+def words_in_parts(text: bytes, limit: int = CHUNK_BYTES):
+    """Lists of the lower-cased words of a text, cut between words about every `limit` bytes."""
+    at = 0
+    while at < len(text):
+        stop = SEPARATOR.search(text, at + limit) if len(text) - at > limit else None
+        stop = stop.start() if stop else len(text)
+        yield WORDS.findall(text[at:stop].lower())
+        at = stop
+
+
+def shingles(text: bytes | None, n: int = N, limit: int = CHUNK_BYTES) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's word n-grams."""
-    words = WORDS.findall(text.lower()) if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
+    found, held = [], []
+    for words in words_in_parts(text or b"", limit):
+        held += words
+        if len(held) >= n:
+            found.append(grams_of(held, n))
+            held = held[len(held) - n + 1 :]
+    if not found and held:
+        return grams_of(held, len(held))
+    return np.unique(np.concatenate(found)) if len(found) > 1 else found[0] if found else np.zeros(0, np.uint64)
+
+
+def grams_of(words: list[bytes], n: int) -> np.ndarray:
     data = b" ".join(words)
     ends = np.cumsum(np.array([len(w) + 1 for w in words])) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     value = mix(spans_hash(prefix(BYTE_VALUES[np.frombuffer(data, np.uint8)]), starts, ends) + (ends - starts).astype(np.uint64))
-    k = min(n, len(words))
-    at = np.arange(len(words) - k + 1)
-    return np.unique(mix(spans_hash(prefix(value), at, at + k)))
+    at = np.arange(len(words) - n + 1)
+    return np.unique(mix(spans_hash(prefix(value), at, at + n)))
 
 
-def signature(sets: np.ndarray, bands: int, rows: int) -> np.ndarray:
+class MinHash:
     """One 64-bit hash per band from the minima of bands * rows hash functions."""
-    rng = np.random.default_rng(20240229)
-    a = rng.integers(1, 1 << 32, bands * rows, dtype=np.uint64) | np.uint64(1)
-    b = rng.integers(0, 1 << 63, bands * rows, dtype=np.uint64)
-    low = np.full(bands * rows, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(sets), 1024):
-        x = sets[at : at + 1024, None] * a + b
-        low = np.minimum(low, (x ^ (x >> np.uint64(29))).min(axis=0))
-    grid = mix(low).reshape(bands, rows)
-    return mix((grid * np.array([pow(BASE, i + 1, 1 << 64) for i in range(rows)], np.uint64)).sum(axis=1) + np.arange(bands, dtype=np.uint64))
+
+    def __init__(self, bands: int, rows: int):
+        rng = np.random.default_rng(20240229)
+        self.shape = bands, rows
+        self.a = rng.integers(1, 1 << 32, bands * rows, dtype=np.uint64) | np.uint64(1)
+        self.b = rng.integers(0, 1 << 63, bands * rows, dtype=np.uint64)
+        self.factors = np.array([pow(BASE, i + 1, 1 << 64) for i in range(rows)], np.uint64)
+
+    def of(self, grams: np.ndarray) -> np.ndarray:
+        low = np.full(len(self.a), np.iinfo(np.uint64).max, np.uint64)
+        for at in range(0, len(grams), 1024):
+            x = grams[None, at : at + 1024] * self.a[:, None]
+            x += self.b[:, None]
+            x ^= x >> np.uint64(29)
+            np.minimum(low, x.min(axis=1), out=low)
+        bands, rows = self.shape
+        return mix((mix(low).reshape(bands, rows) * self.factors).sum(axis=1) + np.arange(bands, dtype=np.uint64))
 
 
 def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
@@ -79,6 +107,7 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     schema = "key long, doc_id long, class long, bands array<long>"
 
     def run(batches):
+        hashes = MinHash(bands, rows)
         for batch in batches:
             classes, sigs = [], []
             for text in binaries(batch.column("text")):
@@ -89,7 +118,7 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                     continue
                 with np.errstate(over="ignore"):
                     classes.append(int(mix(np.array([mix(found + np.uint64(BASE)).sum() + np.uint64(len(found))]))[0].view(np.int64)))
-                    sigs.append(signature(found, bands, rows).view(np.int64))
+                    sigs.append(hashes.of(found).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), pa.array(classes, pa.int64()), pa.array(sigs, pa.list_(pa.int64()))], ["key", "doc_id", "class", "bands"])
 
     return docs.select("key", "doc_id", "text").mapInArrow(run, schema)
@@ -224,10 +253,11 @@ def connected(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall:
     classes = sigs.where("class is not null").groupBy("class").agg(F.count("*").alias("copies"), F.min("doc_id").alias("low"), F.min("key").alias("key"), F.min("bands").alias("bands"))
     classes = materialize(classes, "classes")
     meets = classes.select("class", F.explode("bands").alias("band"))
-    heads = meets.groupBy("band").agg(F.min("class").alias("head"), F.count("*").alias("n")).where("n > 1")
+    # written first, so that a band hash of very many classes can be split in the joins
+    heads = materialize(meets.groupBy("band").agg(F.min("class").alias("head"), F.count("*").alias("n")).where("n > 1"), "heads")
     groups = connected_components(meets.join(heads.select("band", "head"), "band").select(F.col("class").alias("a"), F.col("head").alias("b"))).select(F.col("node").alias("class"), F.col("component").alias("grp"))
     groups = materialize(groups, "groups")
-    sizes = groups.groupBy("grp").agg(F.count("*").alias("size"))
+    sizes = materialize(groups.groupBy("grp").agg(F.count("*").alias("size")), "sizes")
     wanted = groups.join(sizes, "grp").join(classes, "class").select("class", "grp", "size", "copies", "key", "bands")
     # equal rows share a key: their text comes once for each, and only one is used
     texts = packed_text(docs, "key").join(wanted, "key")

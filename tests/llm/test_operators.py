@@ -112,6 +112,29 @@ def test_embedding_dedup(spark, block):
     assert got[1].n_links == 2
 
 
+@pytest.mark.parametrize("rotations", sorted(embedding_dedup.SCHEMES))
+@pytest.mark.parametrize("size", [16, 64, 384])
+def test_embedding_recall(rotations, size):
+    """Pairs at the threshold itself share a bucket."""
+    rng = np.random.default_rng(size)
+    a, b = rng.normal(size=(2, 1000, size))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    near = embedding_dedup.THRESHOLD * a + np.sqrt(1 - embedding_dedup.THRESHOLD**2) * b
+    x, y = (embedding_dedup.buckets(v, rotations) for v in (a, near))
+    assert np.mean([len(np.intersect1d(p, q)) > 0 for p, q in zip(x, y, strict=True)]) >= 0.99
+
+
+def test_shingles_in_parts():
+    text = " ".join(f"Word{i % 50} é,{i % 7}" for i in range(3000)).encode()
+    words = ngram_join.WORDS.findall(text.lower())
+    want = ngram_join.grams_of(words, 5)
+    for limit in (1, 9, 100, 10_000):
+        assert (ngram_join.shingles(text, 5, limit) == want).all()
+        assert len(ngram_join.shingles(b"a b, c", 5, limit)) == 1 and not len(ngram_join.shingles(b" ,;", 5, limit))
+
+
 def words(text):
     return decontamination.words_of((text or "").encode())
 
