@@ -5,29 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+REASONS = "array<struct<code:string,stream:string>>"
+MOST = 1000
+
+
+def reason(code: str, stream: str | None = None) -> Column:
+    return F.struct(F.lit(code).alias("code"), F.lit(stream).cast("string").alias("stream"))
+
 
 def required_streams(names: list[str]) -> Column:
     """L1: a reason per required stream that is null, in the given order."""
-    return F.filter(F.array(*(F.when(F.col(f"streams.{n}").isNull(), F.lit(f"MISSING_REQUIRED_STREAM:{n}")) for n in names)).cast("array<string>"), lambda r: r.isNotNull())
+    return F.filter(F.array(*(F.when(F.col(f"streams.{n}").isNull(), reason("MISSING_REQUIRED_STREAM", n)) for n in names)).cast(REASONS), lambda r: r.isNotNull())
 
 
 def min_present_streams(known: list[str], least: int) -> Column:
     """L2."""
     present = sum((F.col(f"streams.{n}").isNotNull().cast("int") for n in known), F.lit(0))
-    return F.when(present < least, F.array(F.lit("TOO_FEW_STREAMS")))
+    return F.when(present < least, F.array(reason("INSUFFICIENT_MODALITY_COVERAGE")).cast(REASONS))
 
 
 def all_optional_missing(known: list[str], required: list[str]) -> Column:
     """L3: nothing but required streams left; without optional streams never."""
     optional = [n for n in known if n not in required]
     if not optional:
-        return F.lit(None).cast("array<string>")
+        return F.lit(None).cast(REASONS)
     none = F.lit(True)
     for n in optional:
         none = none & F.col(f"streams.{n}").isNull()
     for n in required:
         none = none & F.col(f"streams.{n}").isNotNull()
-    return F.when(none, F.array(F.lit("ALL_OPTIONAL_STREAMS_MISSING")))
+    return F.when(none, F.array(reason("ALL_OPTIONAL_STREAMS_MISSING")).cast(REASONS))
 
 
 def content_key(time: str = "epoch_us") -> Column:
@@ -47,8 +54,8 @@ def dedup_exact(rows: DataFrame, key: Column | None = None) -> DataFrame:
 
 
 def redact(rows: DataFrame, paths: list[str]) -> DataFrame:
-    """The payload fields at `stream.field` become null; adds n_redacted (paths whose parent exists)."""
-    count, streams = F.lit(0), F.col("streams")
+    """The payload fields at `stream.field` become null; adds redacted (the paths whose parent exists) and their number, n_redacted."""
+    hit, streams = [], F.col("streams")
     shape = rows.schema["streams"].dataType
     for path in paths:
         parts = path.split(".")
@@ -58,17 +65,18 @@ def redact(rows: DataFrame, paths: list[str]) -> DataFrame:
             continue
         if len(parts) == 1:
             streams = streams.withField(path, F.lit(None).cast(shape[path].dataType))
-            count = count + F.lit(1)
+            hit.append(F.lit(path))
         elif len(parts) == 2 and parts[1] in shape[parts[0]].dataType.names:
             streams = streams.withField(path, F.lit(None).cast(shape[parts[0]].dataType[parts[1]].dataType))
-            count = count + F.col(f"streams.{parts[0]}").isNotNull().cast("int")
-    return rows.withColumns({"streams": streams, "n_redacted": count})
+            hit.append(F.when(F.col(f"streams.{parts[0]}").isNotNull(), path))
+    named = F.filter(F.array(*hit).cast("array<string>"), lambda x: x.isNotNull())
+    return rows.withColumns({"streams": streams, "redacted": named, "n_redacted": F.size(named)})
 
 
 def clean(rows: DataFrame, required: list[str] = (), least: int = 0, drop_without_optional: bool = False, dedup: bool = True, redact_paths: list[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(kept, dropped); rules in the order L1, L2, L3, L4, L5, the first that drops a row ends it."""
     known = rows.schema["streams"].dataType.names
-    none = F.lit(None).cast("array<string>")
+    none = F.lit(None).cast(REASONS)
     first = F.when(F.size(required_streams(list(required))) > 0, required_streams(list(required)))
     rules = F.coalesce(first, min_present_streams(known, least), all_optional_missing(known, list(required)) if drop_without_optional else none)
     judged = rows.withColumn("reasons", rules)
@@ -76,28 +84,38 @@ def clean(rows: DataFrame, required: list[str] = (), least: int = 0, drop_withou
     dropped = judged.where("reasons is not null").withColumn("duplicate_of_row_index", F.lit(None).cast("long"))
     if dedup:
         passed = dedup_exact(passed)
-        copies = passed.where("duplicate_of_row_index is not null").withColumn("reasons", F.array(F.lit("DUPLICATE_ROW")))
+        copies = passed.where("duplicate_of_row_index is not null").withColumn("reasons", F.array(reason("DUPLICATE_ROW")).cast(REASONS))
         dropped = dropped.unionByName(copies.select(*dropped.columns))
         passed = passed.where("duplicate_of_row_index is null").drop("duplicate_of_row_index")
     return redact(passed, list(redact_paths)), dropped
 
 
-def cleaning_report(kept: DataFrame, dropped: DataFrame, minimum_retained_rows: int = 1) -> DataFrame:
-    """Counts per session; rejected without input or with too few rows left."""
+def cleaning_report(kept: DataFrame, dropped: DataFrame, minimum_retained_rows: int = 1, most: int = MOST) -> DataFrame:
+    """Counts per session; rejected without input or with too few rows left; details_truncated where examples are cut at `most`."""
     both = kept.groupBy("session_id").agg(F.count("*").alias("retained_rows"), F.sum((F.col("n_redacted") > 0).cast("long")).alias("redacted_rows"))
     gone = dropped.groupBy("session_id").agg(F.count("*").alias("dropped_rows"))
     out = both.join(gone, "session_id", "full").na.fill(0)
     out = out.withColumn("input_rows", F.col("retained_rows") + F.col("dropped_rows"))
     out = out.withColumn("retention_ratio", F.col("retained_rows") / F.col("input_rows"))
+    out = out.withColumn("details_truncated", (F.col("dropped_rows") > most) | (F.col("redacted_rows") > most))
     return out.withColumn("status", F.when((F.col("input_rows") == 0) | (F.col("retained_rows") < minimum_retained_rows), "rejected").otherwise("completed"))
 
 
-def reason_counts(dropped: DataFrame) -> DataFrame:
-    """Every reason of every dropped row."""
-    return dropped.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+def reason_counts(dropped: DataFrame, kept: DataFrame | None = None) -> DataFrame:
+    """Every reason of every dropped row by its code, and FIELD_REDACTED for each field of the rows kept."""
+    codes = dropped.select(F.explode("reasons.code").alias("reason"))
+    if kept is not None:
+        codes = codes.unionByName(kept.select(F.explode("redacted").alias("field")).select(F.lit("FIELD_REDACTED").alias("reason")))
+    return codes.groupBy("reason").agg(F.count("*").alias("n"))
 
 
-def examples(dropped: DataFrame, most: int = 1000) -> DataFrame:
-    """The first dropped rows of each session."""
+def examples(rows: DataFrame, most: int = MOST) -> DataFrame:
+    """The first rows of each session, of the dropped ones or (with where("n_redacted > 0")) of the redacted."""
     order = Window.partitionBy("session_id").orderBy("row_index")
-    return dropped.withColumn("position", F.row_number().over(order)).where(F.col("position") <= most)
+    return rows.withColumn("position", F.row_number().over(order)).where(F.col("position") <= most)
+
+
+def redaction_examples(kept: DataFrame, most: int = MOST) -> DataFrame:
+    """session_id, row_index, epoch_us and the redactions of the first redacted rows of each session."""
+    first = examples(kept.where("n_redacted > 0"), most)
+    return first.select("session_id", "row_index", "epoch_us", F.transform("redacted", lambda f: F.struct(F.lit("FIELD_REDACTED").alias("code"), f.alias("field"))).alias("redactions"))

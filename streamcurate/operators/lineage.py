@@ -42,12 +42,40 @@ def node(kind: str, ident: str) -> Column:
     return F.concat_ws("/", kind, ident)
 
 
+# Where the manifest of each type holds its content hash, its time and its address.
+CONTENT = {"ingestion": "sha256", "normalization": "normalized_sha256", "synchronization": "synchronized_sha256", "cleaning": "cleaned_sha256", "transformation": "transformed_sha256"}
+CREATED = {"ingestion": "ingested_at", "validation": "validated_at"}
+ADDRESS = {"ingestion": "storage_uri", "normalization": "artifact_uri", "synchronization": "artifact_uri", "cleaning": "artifact_uri", "transformation": "artifact_uri", "qc": "report_uri"}
+WITH_STATUS = ("validation", "integrity", "cleaning", "qc", "package")
+#: Unfinished files lie under such a name.
+STAGING = r"(^|/)(\.tmp-[^/]*|\.staging|\.gitkeep)(/|$)"
+
+
 def scan_artifacts(manifests: dict[str, DataFrame]) -> DataFrame:
-    """G1: manifests of each type (columns artifact_id, path, value: the JSON text) to uniform rows."""
+    """G1: manifests of each type (columns path and value, the JSON text) to uniform rows with their parents."""
     rows = []
     for kind, df in manifests.items():
         get = lambda f: F.get_json_object("value", f"$.{f}")
-        rows.append(df.where(~F.col("path").contains("/.staging")).select(F.lit(kind).alias("artifact_type"), F.coalesce(get("artifact_id"), get("id")).alias("artifact_id"), get("session_id").alias("session_id"), get("status").alias("status"), get("content_sha256").alias("content_sha256"), F.sha2("value", 256).alias("manifest_sha256"), F.from_json(get("parents"), "array<struct<type:string,id:string>>").alias("parents")))
+        value = lambda table: get(table[kind]) if kind in table else F.lit(None).cast("string")
+        listed = F.from_json(get("upstream.session_ids"), "array<string>")
+        session = {"ingestion": get("session_id"), "synchronization": get("streams[0].session_id"), "cleaning": get("streams[0].session_id")}
+        session |= dict.fromkeys(("transformation", "qc", "package"), F.when(F.size(listed) == 1, listed[0]))
+        streams = F.from_json(get("streams"), "array<struct<normalization_id:string>>")
+        parents = F.transform(streams, lambda s: F.struct(F.lit("normalization").alias("type"), s["normalization_id"].alias("id"))) if kind == "synchronization" else F.array(*(F.struct(F.lit(p).alias("type"), get(f"{p}_id").alias("id")) for p, c in RELATIONSHIPS if c == kind))
+        rows.append(
+            df.where(~F.col("path").rlike(STAGING)).select(
+                F.lit(kind).alias("artifact_type"),
+                get(f"{kind}_id").alias("artifact_id"),
+                session.get(kind, F.lit(None).cast("string")).alias("session_id"),
+                (get("status") if kind in WITH_STATUS else F.lit(None).cast("string")).alias("status"),
+                value(ADDRESS).alias("storage_uri"),
+                value(CONTENT).alias("content_sha256"),
+                F.col("path").alias("manifest_uri"),
+                F.sha2("value", 256).alias("manifest_sha256"),
+                get(CREATED.get(kind, "created_at")).alias("created_at"),
+                F.coalesce(parents.cast("array<struct<type:string,id:string>>"), F.expr("cast(array() as array<struct<type:string,id:string>>)")).alias("parents"),
+            )
+        )
     return reduce(lambda a, b: a.unionByName(b), rows).withColumn("pipeline_stage", rank(F.col("artifact_type")))
 
 
@@ -60,16 +88,19 @@ def derive_edges(artifacts: DataFrame) -> DataFrame:
     return each.select(F.col("p.type").alias("parent_type"), F.col("p.id").alias("parent_id"), F.col("artifact_type").alias("child_type"), F.col("artifact_id").alias("child_id"), name.alias("relationship"))
 
 
-def missing_parents(edges: DataFrame, artifacts: DataFrame) -> DataFrame:
-    """Edges whose parent isn't known."""
+def missing_parents(edges: DataFrame, artifacts: DataFrame, strict: bool = False) -> DataFrame:
+    """Edges whose parent isn't known; if `strict`, any such edge is an error."""
     known = artifacts.select(F.col("artifact_type").alias("parent_type"), F.col("artifact_id").alias("parent_id"))
-    return edges.join(known, ["parent_type", "parent_id"], "left_anti")
+    found = edges.join(known, ["parent_type", "parent_id"], "left_anti")
+    if strict and (some := found.take(1)):
+        raise ValueError(f"unknown parent {some[0].parent_type}/{some[0].parent_id}")
+    return found
 
 
 def arrows(edges: DataFrame, direction: str) -> DataFrame:
     up = edges.select(node("child_type", "child_id").alias("from"), node("parent_type", "parent_id").alias("to"))
     down = up.select(F.col("to").alias("from"), F.col("from").alias("to"))
-    return (up if direction == "up" else down if direction == "down" else up.unionByName(down)).distinct()
+    return (up if direction == "up" else down).distinct()
 
 
 def walk(roots: DataFrame, steps: DataFrame, max_depth: int | None = None) -> DataFrame:
@@ -89,8 +120,36 @@ def walk(roots: DataFrame, steps: DataFrame, max_depth: int | None = None) -> Da
 
 
 def traverse(roots: DataFrame, edges: DataFrame, direction: str = "down", max_depth: int | None = None) -> DataFrame:
-    """(root, node, depth) of all nodes reached from each root (column `root`), the root included at depth 0."""
-    return walk(roots, arrows(edges, direction), max_depth)
+    """(root, node, depth) of all nodes reached from each root (column `root`), the root included at depth 0.
+
+    "both" walks up and down apart: what lies above, and what lies below, but not what lies below an
+    ancestor.
+    """
+    if direction not in ("up", "down", "both"):
+        raise ValueError(f"unknown direction {direction!r}")
+    if direction != "both":
+        return walk(roots, arrows(edges, direction), max_depth)
+    apart = [walk(roots, arrows(edges, d), max_depth) for d in ("up", "down")]
+    return apart[0].unionByName(apart[1]).groupBy("root", "node").agg(F.min("depth").alias("depth"))
+
+
+def traversed_edges(roots: DataFrame, edges: DataFrame, direction: str = "both", max_depth: int | None = None) -> DataFrame:
+    """(root and the columns of the edge) of every edge that the walk from a root takes."""
+    parts = []
+    for d, near in (("up", node("child_type", "child_id")), ("down", node("parent_type", "parent_id"))):
+        if direction in (d, "both"):
+            reached = walk(roots, arrows(edges, d), max_depth)
+            if max_depth is not None:
+                reached = reached.where(F.col("depth") < max_depth)
+            parts.append(edges.withColumn("node", near).join(reached.select("root", "node"), "node").select("root", *edges.columns))
+    return reduce(lambda a, b: a.unionByName(b), parts).distinct()
+
+
+def in_stage_order(reached: DataFrame) -> DataFrame:
+    """Nodes of each root by stage, type and id; types without a stage come last."""
+    kind = F.substring_index("node", "/", 1)
+    stage = F.when(rank(kind) > 0, rank(kind)).otherwise(99)
+    return reached.withColumn("pipeline_stage", stage).orderBy("root", "pipeline_stage", kind, F.substring(F.col("node"), F.length(kind) + 2, F.length("node")))
 
 
 def not_rising(edges: DataFrame) -> DataFrame:
@@ -206,9 +265,13 @@ def semver_latest(versions: DataFrame) -> DataFrame:
     return good.groupBy("dataset_name").agg(F.max_by("version", F.struct(key[0].alias("a"), key[1].alias("b"), key[2].alias("c"))).alias("latest"))
 
 
-def lineage_fingerprint(roots: DataFrame, edges: DataFrame, artifacts: DataFrame) -> DataFrame:
-    """A hash of the sorted contents and configurations upstream, without ids, times or paths."""
-    content = artifacts.select(node("artifact_type", "artifact_id").alias("node"), F.concat_ws(":", "artifact_type", "content_sha256").alias("part"))
+def lineage_fingerprint(roots: DataFrame, edges: DataFrame, artifacts: DataFrame, columns: tuple[str, ...] = ("content_sha256",)) -> DataFrame:
+    """A hash of the sorted contents and configurations upstream, without ids, times or paths.
+
+    columns: what counts of an artifact, such as its schema version, configuration hash and split checksums.
+    """
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    content = artifacts.select(node("artifact_type", "artifact_id").alias("node"), F.concat_ws(":", "artifact_type", *values).alias("part"))
     above = traverse(roots, edges, "up").join(content, "node")
     return above.groupBy("root").agg(F.sha2(F.concat_ws("\n", F.array_sort(F.collect_set("part"))), 256).alias("fingerprint"))
 
@@ -220,6 +283,14 @@ def verify_checksums(recorded: DataFrame, actual: DataFrame) -> DataFrame:
     return df.select("path", result.alias("result"))
 
 
+def verify_ancestors(roots: DataFrame, edges: DataFrame, results: DataFrame) -> DataFrame:
+    """Per root the artifacts above it and itself, how many have each result (node, result), and whether all are verified."""
+    above = traverse(roots, edges, "up").join(results, "node", "left").withColumn("result", F.coalesce("result", F.lit("missing")))
+    count = lambda r: F.sum((F.col("result") == r).cast("long")).alias(r)
+    out = above.groupBy("root").agg(F.count("*").alias("artifacts"), *map(count, ("verified", "missing", "checksum_mismatch", "manifest_mismatch")))
+    return out.withColumn("passed", F.col("verified") == F.col("artifacts"))
+
+
 def file_hashes(spark, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("found_sha256"))
 

@@ -79,3 +79,16 @@ def normalize(df: DataFrame, spec: SensorSpec, units: dict[str, str], on_error:
     bad = cast_failure(spec, named.columns)
     checked = named.withColumn("record_number", F.when(bad.isNull(), F.col("record_number")).otherwise(F.raise_error(F.concat(F.lit("record "), F.col("record_number").cast("string"), F.lit(": bad "), bad)).cast("long")))
     return ready(checked)
+
+
+def gate(files: DataFrame, validations: DataFrame, integrities: DataFrame) -> DataFrame:
+    """Adds `refused`, why a file (file_id, schema_name, schema_version, sha256) may not be normalized, or null.
+
+    The newest validation report of the same file, schema and content has to have passed, and the
+    newest integrity report (times in validated_at and created_at) has to have passed, warnings allowed.
+    """
+    keys = ["file_id", "schema_name", "schema_version", "sha256"]
+    newest = lambda df, time, name: df.groupBy(*keys).agg(F.max_by("status", F.struct(time, "report_id")).alias(name))
+    out = files.join(newest(validations, "validated_at", "_v"), keys, "left").join(newest(integrities, "created_at", "_i"), keys, "left")
+    why = F.when(F.col("_v").isNull(), "NOT_VALIDATED").when(F.col("_v") != "passed", "VALIDATION_FAILED").when(F.col("_i").isNull(), "NOT_CHECKED").when(F.col("_i") == "failed", "INTEGRITY_FAILED")
+    return out.withColumn("refused", why).drop("_v", "_i")

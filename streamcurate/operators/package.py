@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranking import BLOCK, block_of, positions
+from ..functions.storage import materialize
+from ..sources.files import write_splits_jsonl, write_splits_parquet
+
 SPLITS = ("train", "validation", "test")
+ACCEPTED = ("passed", "passed_with_warnings")
 
 
 def check_sample_identity(samples: DataFrame) -> DataFrame:
@@ -15,15 +21,28 @@ def check_sample_identity(samples: DataFrame) -> DataFrame:
     return samples.groupBy("sample_id").agg(F.count("*").alias("n")).where("sample_id is null or n > 1")
 
 
-def overlap_groups(samples: DataFrame, sha: str = "", id_column: bool = True) -> DataFrame:
-    """Adds group_id; chains of inclusive row ranges that touch rows of each other (gaps and islands)."""
-    order = Window.partitionBy("session_id").orderBy("source_row_start", "source_row_end", "sample_id")
-    past = order.rowsBetween(Window.unboundedPreceding, -1)
-    fresh = F.coalesce(F.col("source_row_start") > F.max("source_row_end").over(past), F.lit(True))
-    marked = samples.withColumn("_new", fresh.cast("long")).withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    ends = marked.groupBy("session_id", "_island").agg(F.min("source_row_start").alias("_a"), F.max("source_row_end").alias("_b"))
+def overlap_groups(samples: DataFrame, sha: str = "", block: int = BLOCK) -> DataFrame:
+    """Adds group_id; chains of inclusive row ranges that touch rows of each other (gaps and islands).
+
+    Sessions are cut into blocks of first rows; ends and chains reach into later blocks by one summary
+    row per block.  A sample without a range is an error when run.
+    """
+    there = F.col("source_row_start").isNotNull() & F.col("source_row_end").isNotNull()
+    start = F.when(there, F.col("source_row_start")).otherwise(F.raise_error(F.concat(F.lit("MISSING_GROUP_METADATA: "), F.coalesce(F.col("sample_id").cast("string"), F.lit("-")))).cast("long"))
+    rows = samples.withColumn("source_row_start", start).withColumn("_block", block_of("source_row_start", block))
+    keys = ["session_id", "_block"]
+    blocks = Window.partitionBy("session_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    reach = rows.groupBy(*keys).agg(F.max("source_row_end").alias("_end")).select(*keys, F.max("_end").over(blocks).alias("_reach"))
+    order = Window.partitionBy(*keys).orderBy("source_row_start", "source_row_end", "sample_id")
+    past, upto = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
+    seen = rows.withColumn("_own", F.max("source_row_end").over(past)).join(reach, keys)
+    fresh = F.coalesce(F.col("source_row_start") > F.greatest("_own", "_reach"), F.lit(True)).cast("long")
+    marked = seen.withColumn("_new", fresh).withColumn("_chain", F.sum("_new").over(upto))
+    bases = marked.groupBy(*keys).agg(F.sum("_new").alias("_n")).select(*keys, F.coalesce(F.sum("_n").over(blocks), F.lit(0)).alias("_base"))
+    chained = marked.join(bases, keys).withColumn("_island", F.col("_base") + F.col("_chain"))
+    ends = chained.groupBy("session_id", "_island").agg(F.min("source_row_start").alias("_a"), F.max("source_row_end").alias("_b"))
     name = F.concat(F.lit("grp_"), F.substring(F.sha2(F.concat_ws(":", F.lit(sha), F.col("session_id").cast("string"), F.col("_a").cast("string"), F.col("_b").cast("string")), 256), 1, 16))
-    return marked.join(ends, ["session_id", "_island"]).withColumn("group_id", name).drop("_new", "_island", "_a", "_b")
+    return chained.join(ends, ["session_id", "_island"]).select(*samples.columns, name.alias("group_id"))
 
 
 def session_groups(samples: DataFrame) -> DataFrame:
@@ -72,15 +91,28 @@ def sequential_split(groups: DataFrame, train: float, validation: float, test: f
     return prefix.withColumn("split", label).drop("prefix")
 
 
-def leakage_audit(index: DataFrame) -> DataFrame:
-    """One row: duplicate ids, groups and (re-derived) overlap chains in several splits, samples, passed."""
+def leakage_audit(index: DataFrame, source: DataFrame | None = None, overlaps: bool = True) -> DataFrame:
+    """One row: duplicate ids, groups and (re-derived) overlap chains in several splits, samples, passed.
+
+    With `source`, the samples that were to be packaged, their number has to be the same.
+    """
     ids = check_sample_identity(index).agg(F.count("*").alias("duplicate_sample_ids"))
     several = lambda df, key, name: df.groupBy(*key).agg(F.countDistinct("split").alias("s")).where("s > 1").agg(F.count("*").alias(name))
     groups = several(index, ["group_id"], "groups_in_several_splits")
-    chains = several(overlap_groups(index.drop("group_id")), ["group_id"], "chains_in_several_splits")
+    chains = several(overlap_groups(index.drop("group_id")), ["group_id"], "chains_in_several_splits") if overlaps else index.sparkSession.range(1).select(F.lit(0).cast("long").alias("chains_in_several_splits"))
     total = index.agg(F.count("*").alias("samples"))
-    one = reduce(lambda a, b: a.crossJoin(b), [ids, groups, chains, total])
-    return one.withColumn("passed", F.expr("duplicate_sample_ids = 0 AND groups_in_several_splits = 0 AND chains_in_several_splits = 0"))
+    wanted = (index if source is None else source).agg(F.count("*").alias("source_samples"))
+    one = reduce(lambda a, b: a.crossJoin(b), [ids, groups, chains, total, wanted])
+    return one.withColumn("passed", F.expr("duplicate_sample_ids = 0 AND groups_in_several_splits = 0 AND chains_in_several_splits = 0 AND samples = source_samples"))
+
+
+def require_audit(audit: DataFrame) -> None:
+    """Raises where packages may not be committed."""
+    found = audit.first()
+    if found.samples != found.source_samples:
+        raise ValueError(f"SAMPLE_COUNT_MISMATCH: {found.samples} packaged of {found.source_samples}")
+    if not found.passed:
+        raise ValueError(f"LEAKAGE_INVARIANT_VIOLATION: {found.asDict()}")
 
 
 def split_stats(index: DataFrame) -> DataFrame:
@@ -93,14 +125,11 @@ def split_stats(index: DataFrame) -> DataFrame:
 
 
 def package_status(stats: DataFrame, ratios: dict[str, float]) -> DataFrame:
-    """One row: status and the reasons of a rejection."""
+    """One row: status and the reasons of a rejection; without any sample that is the only one."""
     asked = [s for s, r in ratios.items() if r > 0]
-    one = stats.agg(F.sum("samples").alias("n"), F.sum("groups").alias("g"), F.sort_array(F.collect_list(F.when((F.col("samples") == 0) & F.col("split").isin(asked), F.concat(F.lit("EMPTY_REQUESTED_SPLIT:"), F.col("split"))))).alias("empty"))
-    reasons = F.concat(
-        F.when(F.col("n") == 0, F.array(F.lit("EMPTY_SOURCE_DATASET"))).otherwise(F.array().cast("array<string>")),
-        F.when(F.col("g") < len(asked), F.array(F.lit("INSUFFICIENT_GROUPS_FOR_SPLIT"))).otherwise(F.array().cast("array<string>")),
-        F.col("empty"),
-    )
+    one = stats.agg(F.sum("samples").alias("n"), F.sum("groups").alias("g"), F.max(((F.col("samples") == 0) & F.col("split").isin(asked)).cast("int")).alias("empty"))
+    few = F.filter(F.array(F.when(F.col("g") < len(asked), "INSUFFICIENT_GROUPS_FOR_SPLIT"), F.when(F.col("empty") == 1, "EMPTY_REQUESTED_SPLIT")), lambda x: x.isNotNull())
+    reasons = F.when(F.col("n") == 0, F.array(F.lit("EMPTY_SOURCE_DATASET"))).otherwise(few)
     return one.select(F.when(F.size(reasons) > 0, "rejected").otherwise("completed").alias("status"), reasons.alias("reasons"))
 
 
@@ -111,20 +140,47 @@ def split_index(samples: DataFrame) -> DataFrame:
 
 def qc_gate(samples_meta: DataFrame, reports: DataFrame) -> DataFrame:
     """P10: datasets with an accepted report for the same transformation and checksum."""
-    ok = reports.where(F.col("status").isin("passed", "passed_with_warnings")).select("transformation_id", "sha256").distinct()
+    ok = reports.where(F.col("status").isin(*ACCEPTED)).select("transformation_id", "sha256").distinct()
     return samples_meta.join(ok, ["transformation_id", "sha256"], "left_semi")
 
 
-def package(samples: DataFrame, ratios: tuple[float, float, float] = (0.8, 0.1, 0.1), grouping: str = "overlap", strategy: str = "hash", seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """(samples with group_id and split, audit row)."""
+@dataclass
+class Package:
+    """Samples with group_id and split; one-row audit and status; statistics of the splits."""
+
+    samples: DataFrame
+    audit: DataFrame
+    stats: DataFrame
+    status: DataFrame
+
+
+def package(samples: DataFrame, ratios: tuple[float, float, float] = (0.8, 0.1, 0.1), grouping: str = "overlap", strategy: str = "hash", seed: int = 42, reports: DataFrame | None = None) -> Package:
+    """Groups, splits, audit and status of the samples.
+
+    reports: QC reports of these samples (column status); without an accepted one among them packaging
+    is refused (P10).
+    """
     check_ratios(*ratios)
     if grouping not in ("overlap", "session") or strategy not in ("hash", "sequential"):
         raise ValueError("unknown grouping or strategy")
+    if reports is not None and not reports.where(F.col("status").isin(*ACCEPTED)).take(1):
+        raise ValueError("QC_NOT_ACCEPTED")
     grouped = overlap_groups(samples) if grouping == "overlap" else session_groups(samples)
     if strategy == "hash":
         out = grouped.withColumn("split", hash_split(F.col("group_id"), *ratios, seed=seed))
     else:
         firsts = grouped.groupBy("group_id").agg(F.min(F.struct("session_id", "source_row_start", "sample_id")).alias("f"), F.count("*").alias("n"))
-        ordered = firsts.withColumn("position", F.row_number().over(Window.orderBy("f")) - 1).select("group_id", "position", "n")
+        ordered = positions(firsts.select("group_id", "n", "f.*"), "session_id", "source_row_start", "sample_id", "group_id").select("group_id", "position", "n")
         out = grouped.join(sequential_split(ordered, *ratios).select("group_id", "split"), "group_id")
-    return out, leakage_audit(split_index(out))
+    stats = split_stats(out)
+    return Package(out, leakage_audit(split_index(out), samples, grouping == "overlap"), stats, package_status(stats, dict(zip(SPLITS, ratios, strict=True))))
+
+
+def commit(made: Package, path: str, parquet: bool = False) -> None:
+    """Audited first (P6), then written: split index (P9), JSON lines by split (I8) and, if asked for, Parquet."""
+    kept = Package(materialize(made.samples, "packaged"), made.audit, made.stats, made.status)
+    require_audit(kept.audit)
+    split_index(kept.samples).write.parquet(f"{path}/index")
+    write_splits_jsonl(kept.samples, f"{path}/jsonl")
+    if parquet:
+        write_splits_parquet(kept.samples, f"{path}/parquet")

@@ -12,9 +12,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.storage import materialize
 from ..functions.text import is_finite
 
 PERCENTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
+#: Issues kept in detail; counts are of all.
+MOST = 1000
 
 
 def leaves(shape: T.DataType, path: str) -> list[str]:
@@ -35,8 +38,8 @@ def long_form(table: DataFrame, columns: list[str]) -> DataFrame:
     return table.select(F.explode(F.array(*(F.struct(F.lit(c).alias("path"), F.col(c).cast("double").alias("value"), F.lit(True).alias("there")) for c in columns))).alias("x")).select("x.*")
 
 
-def feature_profile(long: DataFrame, percentiles: bool = False, approx: bool = False) -> DataFrame:
-    """Q2, Q3, Q4: counts, moments and percentiles of each path over finite values, exact over everything."""
+def feature_profile(long: DataFrame, percentiles: bool = False) -> DataFrame:
+    """Q2, Q3: counts and moments of each path over finite values; with `percentiles` also approximate ones."""
     good = F.when(is_finite(F.col("value")), F.col("value"))
     columns = [
         F.count("*").alias("total"),
@@ -51,13 +54,35 @@ def feature_profile(long: DataFrame, percentiles: bool = False, approx: bool = F
         F.max(good).alias("max"),
     ]
     if percentiles:
-        p = F.array(*map(F.lit, PERCENTILES))
-        columns.append((F.percentile_approx(good, p, 10_000) if approx else F.percentile(good, p)).alias("percentiles"))
+        columns.append(F.percentile_approx(good, F.array(*map(F.lit, PERCENTILES)), 10_000).alias("percentiles"))
     return long.groupBy("path").agg(*columns)
 
 
+def feature_percentiles(long: DataFrame, at: tuple[float, ...] = PERCENTILES) -> DataFrame:
+    """Q4: path and percentiles (array, interpolated), exact over all finite values.
+
+    Equal values are counted first; the distinct ones are range-partitioned, and ranks come from the
+    counts of the ranges before, so no task holds all values of a path.
+    """
+    counts = long.where(is_finite(F.col("value"))).groupBy("path", "value").agg(F.count("*").alias("n"))
+    dealt = materialize(counts.repartitionByRange("path", "value").withColumn("part", F.spark_partition_id()), "values")
+    before = Window.partitionBy("path").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = dealt.groupBy("path", "part").agg(F.sum("n").alias("held")).select("path", "part", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("base"), F.sum("held").over(Window.partitionBy("path")).alias("total"))
+    upto = Window.partitionBy("path", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = dealt.withColumn("last", F.sum("n").over(upto)).join(bases, ["path", "part"]).withColumn("last", F.col("base") + F.col("last") - 1).withColumn("first", F.col("last") - F.col("n") + 1)
+    place = lambda p: F.lit(float(p)) * (F.col("total") - 1)
+    picks = []
+    for i, p in enumerate(at):
+        low, high = F.floor(place(p)), F.ceil(place(p))
+        for side, rank in ((0, low), (1, high)):
+            picks.append(F.when((F.col("first") <= rank) & (rank <= F.col("last")), F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), "value", (place(p) - low).alias("share"))))
+    found = ranked.select("path", F.explode(F.filter(F.array(*picks), lambda x: x.isNotNull())).alias("x")).groupBy("path", "x.i").agg(F.max(F.when(F.col("x.side") == 0, F.col("x.value"))).alias("a"), F.max(F.when(F.col("x.side") == 1, F.col("x.value"))).alias("b"), F.max("x.share").alias("share"))
+    value = F.struct("i", (F.col("a") + (F.col("b") - F.col("a")) * F.col("share")).alias("v"))
+    return found.groupBy("path").agg(F.transform(F.array_sort(F.collect_list(value)), lambda x: x["v"]).alias("percentiles"))
+
+
 def modality_summary(samples: DataFrame) -> DataFrame:
-    """Q5: per stream the samples present and the coverage over windows."""
+    """Q5: per stream the samples present and the coverage over windows (few distinct values, so their median is exact)."""
     names = samples.schema["modality_coverage"].dataType.names
     masked = "modality_mask" in samples.columns
     long = samples.select(F.explode(F.array(*(F.struct(F.lit(n).alias("stream"), F.col(f"modality_coverage.{n}").alias("c"), (F.col(f"modality_mask.{n}") if masked else F.col(f"modality_coverage.{n}") > 0).alias("p")) for n in names))).alias("x")).select("x.*")
@@ -102,12 +127,12 @@ def check_completeness(profile: DataFrame, maximum: float, overrides: dict[str,
     for path, (ratio, sev) in (overrides or {}).items():
         limit, level = F.when(F.col("path") == path, ratio).otherwise(limit), F.when(F.col("path") == path, sev).otherwise(level)
     bad = profile.withColumns({"missing_ratio": 1 - F.col("present") / F.col("total"), "limit": limit, "level": level}).where("missing_ratio > limit")
-    return issues(bad, "HIGH_MISSING_RATIO", F.col("level"), "path", F.col("missing_ratio"), F.col("limit"))
+    return issues(bad, "LOW_FEATURE_COMPLETENESS", F.col("level"), "path", F.col("missing_ratio"), F.col("limit"))
 
 
 def check_variance(profile: DataFrame, minimum: float = 1e-12, severity: str = "warning") -> DataFrame:
     """Q11."""
-    return issues(profile.where((F.col("present") >= 2) & (F.col("variance") < minimum)), "LOW_VARIANCE", severity, "path", F.col("variance"), minimum)
+    return issues(profile.where((F.col("present") >= 2) & (F.col("variance") < minimum)), "LOW_FEATURE_VARIANCE", severity, "path", F.col("variance"), minimum)
 
 
 def check_range(profile: DataFrame, ranges: dict[str, tuple[float | None, float | None]], severity: str = "error") -> DataFrame:
@@ -117,12 +142,12 @@ def check_range(profile: DataFrame, ranges: dict[str, tuple[float | None, float
         low, high = F.when(F.col("path") == path, F.lit(a).cast("double")).otherwise(low), F.when(F.col("path") == path, F.lit(b).cast("double")).otherwise(high)
     df = profile.where("present > 0").withColumns({"low": low, "high": high})
     under, over = F.coalesce(F.col("min") < F.col("low"), F.lit(False)), F.coalesce(F.col("max") > F.col("high"), F.lit(False))
-    return issues(df.where(under | over), "OUT_OF_RANGE", severity, "path", F.when(under, F.col("min")).otherwise(F.col("max")), F.when(under, F.col("low")).otherwise(F.col("high")))
+    return issues(df.where(under | over), "FEATURE_RANGE_VIOLATION", severity, "path", F.when(under, F.col("min")).otherwise(F.col("max")), F.when(under, F.col("low")).otherwise(F.col("high")))
 
 
 def check_non_finite(profile: DataFrame) -> DataFrame:
     """Q13."""
-    return issues(profile.where("non_finite > 0"), "NON_FINITE_VALUES", "error", "path", F.col("non_finite"), 0.0)
+    return issues(profile.where("non_finite > 0"), "NON_FINITE_FEATURE_VALUE", "error", "path", F.col("non_finite"), 0.0)
 
 
 def duplicate_sample_ids(samples: DataFrame, order: str = "k") -> DataFrame:
@@ -146,22 +171,39 @@ def group_imbalance(rows: DataFrame, group: str, maximum: float) -> DataFrame:
 
 
 def drift(current: DataFrame, baseline: DataFrame, maximum: float = 3.0) -> DataFrame:
-    """Q17: distance of means in the baseline's standard deviations, path by path."""
+    """Q17: distance of means in the baseline's standard deviations, for every path of the current profile."""
     cur = current.select("path", F.col("mean").alias("current_mean"), F.col("present").alias("cp"))
     base = baseline.select("path", F.col("mean").alias("baseline_mean"), F.col("std").alias("baseline_std"), F.col("present").alias("bp"))
-    df = cur.join(base, "path", "full")
-    lacks = F.when(F.coalesce("cp", F.lit(0)) == 0, "MISSING_IN_CURRENT").when(F.coalesce("bp", F.lit(0)) == 0, "MISSING_IN_BASELINE")
+    df = cur.join(base, "path", "left").withColumn("baseline_std", F.when(F.col("bp") > 0, F.coalesce("baseline_std", F.lit(0.0))))
+    lacks = F.when(F.coalesce("cp", F.lit(0)) == 0, "missing_in_current").when(F.coalesce("bp", F.lit(0)) == 0, "missing_in_baseline")
     flat = F.col("baseline_std") == 0
     same = F.col("current_mean") == F.col("baseline_mean")
     score = F.when(lacks.isNotNull(), None).when(flat & same, 0.0).when(flat, None).otherwise((F.col("current_mean") - F.col("baseline_mean")) / F.col("baseline_std"))
-    reason = F.coalesce(lacks, F.when(flat & ~same, F.lit("ZERO_BASELINE_STD")))
+    reason = F.coalesce(lacks, F.when(flat & ~same, F.lit("baseline_std_zero_mean_shifted")))
     df = df.withColumns({"compared": lacks.isNull(), "score": score, "reason": reason})
-    return df.select("path", "compared", "score", "reason", F.coalesce((F.abs("score") > maximum) | (F.col("reason") == "ZERO_BASELINE_STD"), F.lit(False)).alias("drifted"))
-
-
-def qc_report(samples: DataFrame, minimum_samples: int = 1, coverage: dict | None = None, missing: float = 1.0, ranges: dict | None = None, maximum_group: float = 1.0, baseline: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Q18: (issues, one-row report with counts and status)."""
-    profile = feature_profile(scalar_features(samples))
+    return df.select("path", "compared", "score", "reason", F.coalesce((F.abs("score") > maximum) | (F.col("reason") == "baseline_std_zero_mean_shifted"), F.lit(False)).alias("drifted"))
+
+
+def baseline_incompatible(spark, current: tuple[str, str], baseline: tuple[str, str]) -> DataFrame:
+    """Q17: a warning where the baseline was made with another profile (name, version)."""
+    one = spark.range(1).where(F.lit(tuple(current) != tuple(baseline)))
+    return issues(one, "BASELINE_INCOMPATIBLE", "warning", F.lit("@".join(baseline)), F.lit(None), None)
+
+
+def qc_report(
+    samples: DataFrame,
+    minimum_samples: int = 1,
+    coverage: dict | None = None,
+    missing: float = 1.0,
+    ranges: dict | None = None,
+    maximum_group: float = 1.0,
+    baseline: DataFrame | None = None,
+    profile_name: tuple[str, str] = ("default", "1.0.0"),
+    baseline_name: tuple[str, str] = ("default", "1.0.0"),
+    most: int = MOST,
+) -> tuple[DataFrame, DataFrame]:
+    """Q18: (issues, one-row report with counts, status and whether details beyond `most` are left out by `bounded`)."""
+    profile = materialize(feature_profile(scalar_features(samples)), "profile")
     repeated, late, uneven = duplicate_sample_ids(samples), sample_time_order(samples), group_imbalance(samples, "session_id", maximum_group)
     parts = [
         check_dataset_size(samples, minimum_samples),
@@ -171,12 +213,18 @@ def qc_report(samples: DataFrame, minimum_samples: int = 1, coverage: dict | Non
         check_range(profile, ranges or {}),
         check_non_finite(profile),
         issues(repeated, "DUPLICATE_SAMPLE_ID", "error", "sample_id", F.col("index"), F.col("first_index")),
-        issues(late, "SAMPLE_OUT_OF_ORDER", "warning", "session_id", F.col("start_us"), F.col("previous_us")),
+        issues(late, "NON_MONOTONIC_SAMPLE_TIME", "warning", "session_id", F.col("start_us"), F.col("previous_us")),
         issues(uneven, "GROUP_IMBALANCE", "warning", "session_id", F.col("fraction"), maximum_group),
     ]
     if baseline is not None:
-        parts.append(issues(drift(profile, baseline).where("drifted"), "FEATURE_DRIFT", "warning", "path", F.col("score"), None))
-    found = reduce(lambda a, b: a.unionByName(b), parts)
+        parts.append(baseline_incompatible(samples.sparkSession, profile_name, baseline_name))
+        parts.append(issues(drift(profile, baseline).where("drifted"), "FEATURE_DISTRIBUTION_DRIFT", "warning", "path", F.col("score"), None))
+    found = reduce(lambda a, b: a.unionByName(b), [p.withColumn("check", F.lit(i)) for i, p in enumerate(parts)])
     count = lambda s: F.coalesce(F.sum((F.col("severity") == s).cast("long")), F.lit(0))
-    report = found.agg(count("error").alias("error_count"), count("warning").alias("warning_count"))
+    report = found.agg(F.count("*").alias("issue_count"), count("error").alias("error_count"), count("warning").alias("warning_count")).withColumn("issues_truncated", F.col("issue_count") > most)
     return found, report.withColumn("status", F.when(F.col("error_count") > 0, "failed").when(F.col("warning_count") > 0, "passed_with_warnings").otherwise("passed"))
+
+
+def bounded(found: DataFrame, most: int = MOST) -> DataFrame:
+    """Q18: the first `most` issues, in the order of the checks."""
+    return found.orderBy("check", "path", "observed").limit(most)

@@ -12,6 +12,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranking import last_before
+
+#: Rows of one session that a sort task may take.
+SESSION_ROWS = 100_000
+#: Ticks of a fixed rate that one row makes.
+TICKS = 100_000
+
 
 def to_stream(df: DataFrame, fields: list[str]) -> DataFrame:
     """session_id, record_number, epoch_us, payload; numbers become double."""
@@ -23,15 +30,14 @@ def to_stream(df: DataFrame, fields: list[str]) -> DataFrame:
 
 def disorder(stream: DataFrame) -> DataFrame:
     """Records whose time lies before the one before; empty for a monotonic stream."""
-    order = Window.partitionBy("session_id").orderBy("record_number")
-    return stream.withColumn("previous_us", F.lag("epoch_us").over(order)).where("epoch_us < previous_us")
+    return last_before(stream, ["session_id"], "record_number", "epoch_us", "previous_us").where("epoch_us < previous_us")
 
 
 def assert_monotonic(stream: DataFrame) -> DataFrame:
     """The stream itself; running it fails where time goes back."""
-    order = Window.partitionBy("session_id").orderBy("record_number")
-    back = F.col("epoch_us") < F.lag("epoch_us").over(order)
-    return stream.withColumn("epoch_us", F.when(F.coalesce(back, F.lit(False)), F.raise_error(F.lit("time goes back inside a stream")).cast("long")).otherwise(F.col("epoch_us")))
+    back = F.coalesce(F.col("epoch_us") < F.col("_previous_us"), F.lit(False))
+    seen = last_before(stream, ["session_id"], "record_number", "epoch_us", "_previous_us")
+    return seen.withColumn("epoch_us", F.when(back, F.raise_error(F.lit("time goes back inside a stream")).cast("long")).otherwise(F.col("epoch_us"))).drop("_previous_us")
 
 
 def clock_correct(stream: DataFrame, offset_ms: float = 0.0, drift_ppm: float = 0.0) -> DataFrame:
@@ -63,16 +69,30 @@ def timeline_fixed_rate(streams: dict[str, DataFrame], hz: float) -> DataFrame:
         raise ValueError("the rate has to be in (0, 1000]")
     period = round(1e6 / hz)
     spans = intersection_interval(streams).where("start_us <= end_us")
-    ticks = spans.select("session_id", F.posexplode(F.sequence("start_us", "end_us", F.lit(period))).alias("i", "epoch_us"))
-    return ticks.select("session_id", (F.col("i") + 1).cast("long").alias("target_no"), "epoch_us")
+    # chunks first, so that no row holds all ticks of a long session
+    last = F.floor((F.col("end_us") - F.col("start_us")) / F.lit(period))
+    chunks = spans.select("session_id", "start_us", last.alias("last"), F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(TICKS).cast("long"))).alias("first"))
+    ticks = chunks.select("session_id", "start_us", F.explode(F.sequence("first", F.least(F.col("first") + (TICKS - 1), F.col("last")))).alias("i"))
+    return ticks.select("session_id", (F.col("i") + 1).alias("target_no"), (F.col("start_us") + F.col("i") * period).alias("epoch_us"))
+
+
+def bucket_for(frames: list[DataFrame], most: int = SESSION_ROWS) -> int | None:
+    """Microseconds of a time bucket such that none holds much more than `most` rows of a session; None if no session needs buckets."""
+    rows = reduce(lambda x, y: x.unionByName(y), [f.select("session_id", "epoch_us") for f in frames])
+    per = rows.groupBy("session_id").agg(F.count("*").alias("n"), (F.max("epoch_us") - F.min("epoch_us")).alias("span"))
+    found = per.where(F.col("n") > most).agg(F.min(F.col("span") * F.lit(float(most)) / F.col("n"))).first()[0]
+    return None if found is None else max(1, int(found))
 
 
-def neighbours(targets: DataFrame, streams: dict[str, DataFrame], bucket_us: int | None = None) -> DataFrame:
+def neighbours(targets: DataFrame, streams: dict[str, DataFrame], bucket_us: int | str | None = "auto") -> DataFrame:
     """For each target and stream: prev (last record in file order with time <= target), next (first one after).
 
-    Adds struct columns prev_<name> and next_<name>: epoch_us, payload.
+    Adds struct columns prev_<name> and next_<name>: epoch_us, payload.  bucket_us: length of time
+    buckets, None for whole sessions, or "auto" to find it from the rows of the sessions.
     """
     names = list(streams)
+    if bucket_us == "auto":
+        bucket_us = bucket_for([targets, *streams.values()])
     shapes = {n: streams[n].select(F.struct("epoch_us", "payload").alias("x")).schema["x"].dataType for n in names}
     parts = [targets.select("session_id", "epoch_us", F.lit(1).alias("side"), F.col("target_no").alias("no"), *(F.lit(None).cast(shapes[n]).alias(f"at_{n}") for n in names))]
     for n in names:
@@ -132,7 +152,7 @@ def linear(name: str, tolerance_us: int, payload, max_gap_us: int | None = None)
     return F.when(matched, F.struct(*parts)), alignment(matched, "linear", F.when(exact, F.lit(0)).otherwise(near), F.lit("NO_EXTRAPOLATION"))
 
 
-def synchronize(streams: dict[str, DataFrame], reference: str | float, methods: dict[str, str] | None = None, tolerance_ms: float = 100.0, corrections: dict[str, tuple[float, float]] | None = None, bucket_us: int | None = None) -> DataFrame:
+def synchronize(streams: dict[str, DataFrame], reference: str | float, methods: dict[str, str] | None = None, tolerance_ms: float = 100.0, corrections: dict[str, tuple[float, float]] | None = None, bucket_us: int | str | None = "auto") -> DataFrame:
     """One row per target with `streams` (payload by name) and `alignment` (diagnostics by name).
 
     reference: name of the stream that gives the targets, or a rate in Hz.  corrections: name to

@@ -1,7 +1,7 @@
 """Structural validation: records to issues.
 
 All checks of a record are one array of issues built by column expressions and exploded once, so a
-file is read once however many checks run.  Issue rows: the key columns, record, field, code, message.
+file is read once however many checks run.  Issue rows: the key columns, record, field, code, message, seq.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from ..specs import SensorSpec
 FILE = ["session_id", "file"]
 ISSUE = "struct<field:string,code:string,message:string>"
 MOST = 1000
+#: `seq` is the place of an issue among those of its record: names of fields come first, then their values.
+AFTER_KEYS = 100_000
 
 
 def issue(field, code: str, message: str) -> Column:
@@ -24,7 +26,8 @@ def issue(field, code: str, message: str) -> Column:
 def gathered(df: DataFrame, checks: list[Column], keys: list[str]) -> DataFrame:
     """One row per issue of each record; `checks` are issue structs or null."""
     found = F.filter(F.array(*checks), lambda x: x.isNotNull()) if checks else F.array().cast(f"array<{ISSUE}>")
-    return df.select(*keys, F.col("record_number").alias("record"), F.explode(found).alias("i")).select(*keys, "record", "i.field", "i.code", "i.message")
+    each = df.select(*keys, F.col("record_number").alias("record"), F.posexplode(found).alias("seq", "i"))
+    return each.select(*keys, "record", "i.field", "i.code", "i.message", (F.col("seq") + AFTER_KEYS).alias("seq"))
 
 
 def header_issues(headers: DataFrame, spec: SensorSpec, keys: list[str] = FILE) -> DataFrame:
@@ -45,7 +48,7 @@ def _absent_and_extra(df, own, needed, known, allow_extra, keys, record):
     absent = F.transform(F.array_except(names(needed), own), lambda f: issue(f, "MISSING_REQUIRED_FIELD", "required field is absent"))
     extra = F.transform(F.array_except(own, names(known)), lambda f: issue(f, "UNEXPECTED_FIELD", "field is not in the schema"))
     both = absent if allow_extra else F.concat(absent, extra)
-    return df.select(*keys, record.alias("record"), F.explode(both).alias("i")).select(*keys, "record", "i.field", "i.code", "i.message")
+    return df.select(*keys, record.alias("record"), F.posexplode(both).alias("seq", "i")).select(*keys, "record", "i.field", "i.code", "i.message", "seq")
 
 
 def null_checks(df: DataFrame, spec: SensorSpec) -> list[Column]:
@@ -120,18 +123,18 @@ def invalid_csv(lines: DataFrame, width: int, keys: list[str] = FILE, separator:
 def empty_dataset(files: DataFrame, records: DataFrame, keys: list[str] = FILE) -> DataFrame:
     """V8: one error for each file without records."""
     none = files.join(records.select(*keys).distinct(), keys, "left_anti")
-    return none.select(*keys, F.lit(None).cast("long").alias("record"), F.lit(None).cast("string").alias("field"), F.lit("EMPTY_DATASET").alias("code"), F.lit("file has no records").alias("message"))
+    return none.select(*keys, F.lit(None).cast("long").alias("record"), F.lit(None).cast("string").alias("field"), F.lit("EMPTY_DATASET").alias("code"), F.lit("file has no records").alias("message"), F.lit(0).alias("seq"))
 
 
 def metadata_requirement(files: DataFrame, keys: list[str] = FILE) -> DataFrame:
     """V9: the schema's sensor type has to equal the file's source type, where that is set."""
     bad = files.where(F.col("source_type").isNotNull() & (F.col("source_type") != F.col("sensor_type")))
-    return bad.select(*keys, F.lit(None).cast("long").alias("record"), F.lit("source_type").alias("field"), F.lit("METADATA_MISMATCH").alias("code"), F.lit("source type differs from the schema's sensor type").alias("message"))
+    return bad.select(*keys, F.lit(None).cast("long").alias("record"), F.lit("source_type").alias("field"), F.lit("METADATA_REQUIREMENT_NOT_MET").alias("code"), F.lit("source type differs from the schema's sensor type").alias("message"), F.lit(0).alias("seq"))
 
 
 def cap_issues(issues: DataFrame, most: int = MOST, keys: list[str] = FILE) -> DataFrame:
     """The first `most` issues of each file in encounter order; total and truncated stay exact."""
-    order = Window.partitionBy(*keys).orderBy(F.col("record").asc_nulls_first(), "field", "code")
+    order = Window.partitionBy(*keys).orderBy(F.col("record").asc_nulls_first(), *(["seq"] if "seq" in issues.columns else []), "field", "code")
     # ranking alone lets Spark cut each task's rows first; totals come from a mergeable count
     first = issues.withColumn("position", F.row_number().over(order)).where(F.col("position") <= most)
     totals = issues.groupBy(*keys).agg(F.count("*").alias("total"))

@@ -6,9 +6,10 @@ aggregate with map-side combining build them; no cursor walks a session.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ranking import numbered
 from ..functions.text import is_finite
 from .sync import assert_monotonic
 
@@ -17,18 +18,11 @@ MAX_SIZE, MAX_DURATION_MS = 100_000, 3_600_000
 EARTH_M = 6_371_000.0
 
 
-def numbered(rows: DataFrame, order: str = "row_index") -> DataFrame:
-    """Adds i, the row's number in its session from 0, and n, the rows of the session."""
-    w = Window.partitionBy("session_id").orderBy(order)
-    sizes = rows.groupBy("session_id").agg(F.count("*").alias("n"))
-    return rows.withColumn("i", F.row_number().over(w).cast("long") - 1).join(sizes, "session_id")
-
-
 def count_windows(rows: DataFrame, size: int, stride: int, drop_incomplete: bool = True, order: str = "row_index") -> DataFrame:
     """Rows with k, once for each window they are in; at most one partial window ends a session."""
     if not (0 < size <= MAX_SIZE and stride > 0):
         raise ValueError("size has to be in 1..100000 and stride positive")
-    df = numbered(rows, order)
+    df = numbered(rows, ["session_id"], order)
     full = F.when(F.col("n") >= size, F.floor((F.col("n") - size) / F.lit(stride)) + 1).otherwise(0).cast("long")
     low = F.greatest(F.lit(0), F.ceil((F.col("i") - size + 1) / F.lit(stride))).cast("long")
     high = F.floor(F.col("i") / F.lit(stride)).cast("long")
@@ -109,7 +103,7 @@ def require_finite(value: Column, path: str) -> Column:
 
 
 def transform(windowed: DataFrame, features: dict[str, dict], cleaned_sha: str = "", config_hash: str = "", mask: bool = True, relative_time: bool = False, finite: str = "fail") -> DataFrame:
-    """samples of windowed rows (with k).
+    """samples of windowed rows (with k).  Sample ids are of session and window number, so they differ between sessions.
 
     features: stream to {"fields": [...], "statistics": [...], "raw": bool, "magnitudes": {name:
     axes}, "displacement": bool}.  Magnitudes join raw and statistics like fields.

@@ -27,8 +27,9 @@ class PipelineConfig:
     minimum_samples: int = 1
     ratios: tuple[float, float, float] = (0.8, 0.1, 0.1)
     grouping: str = "overlap"
+    strategy: str = "hash"
     seed: int = 42
-    bucket_us: int | None = None
+    bucket_us: int | str | None = "auto"
 
 
 @dataclass
@@ -39,6 +40,8 @@ class PipelineResult:
     issues: DataFrame
     report: DataFrame
     audit: DataFrame
+    stats: DataFrame
+    status: DataFrame
 
 
 def run(streams: dict[str, DataFrame], config: PipelineConfig) -> PipelineResult:
@@ -48,5 +51,5 @@ def run(streams: dict[str, DataFrame], config: PipelineConfig) -> PipelineResult
     windowed = wn.count_windows(kept, config.window, config.stride, config.drop_incomplete)
     samples = materialize(wn.transform(windowed, config.features), "samples")
     issues, report = qc.qc_report(samples, config.minimum_samples)
-    packed, audit = pk.package(samples, config.ratios, config.grouping, seed=config.seed)
-    return PipelineResult(aligned, dropped, packed, issues, report, audit)
+    packed = pk.package(samples, config.ratios, config.grouping, config.strategy, config.seed)
+    return PipelineResult(aligned, dropped, packed.samples, issues, report, packed.audit, packed.stats, packed.status)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from ..functions.storage import fresh_path
+from ..functions.storage import fresh_path, materialize
 from ..operators import lineage as ln
 from ..operators import package as pk
 from ..operators import qc
@@ -36,6 +38,31 @@ _LEAVES = [f"features.imu.statistics.{c}_{s}" for c in ("accel_x", "gyro_x", "ac
 _SAMPLES_SQL = WINDOWS_SQL + f""", s AS (SELECT session_id, k, min(epoch_us) AS start_us, max(epoch_us) AS end_us, count(*) AS row_count, min(row_index) AS source_row_start, max(row_index) AS source_row_end, bool_or(gps_ok) AS gps, avg(gps_ok::INT) AS gps_cov, count(altitude) AS n_alt, 'sample_' || left(sha256('::' || session_id || '/' || k || ':' || min(epoch_us) || ':' || max(epoch_us)), 32) AS sample_id, {stats_sql("accel_x", "accel_x")} FROM w GROUP BY session_id, k)"""
 
 
+_MAG = "sqrt(accel_x * accel_x + accel_y * accel_y + accel_z * accel_z)"
+#: Every numeric leaf of the samples, and the issues that the report finds in them.
+_ALL_SQL = (
+    WINDOWS_SQL
+    + f""", m AS (SELECT *, {_MAG} AS mag FROM w), e AS (SELECT session_id, k, min(epoch_us) AS start_us, count(*) AS row_count, bool_or(gps_ok) AS gps, {stats_sql("accel_x", "accel_x")}, {stats_sql("gyro_x", "gyro_x")}, {stats_sql("mag", "accel_magnitude")}, {stats_sql("altitude", "altitude")},
+ CASE WHEN count(latitude) >= 2 THEN sin(radians(arg_max(latitude, row_index) FILTER (latitude IS NOT NULL) - arg_min(latitude, row_index) FILTER (latitude IS NOT NULL))) + arg_max(longitude, row_index) FILTER (longitude IS NOT NULL) END AS displacement_m FROM m GROUP BY session_id, k),
+leaf AS ("""
+    + " UNION ALL ".join(f"SELECT '{p}' AS path, {p.rsplit('.', 1)[1]} AS value FROM e" for p in _LEAVES)
+    + """), prof AS (SELECT path, count(*) AS total, count(value) AS present, var_pop(value) AS variance, min(value) AS low FROM leaf GROUP BY path),
+report AS (SELECT 'FEATURE_RANGE_VIOLATION' AS code, 'error' AS severity FROM prof WHERE path = 'features.imu.statistics.accel_x_mean' AND low < {low}
+ UNION ALL SELECT 'LOW_MODALITY_COVERAGE', 'error' FROM e HAVING avg(gps::INT) < {coverage}
+ UNION ALL SELECT 'LOW_FEATURE_COMPLETENESS', 'warning' FROM prof WHERE 1 - present / total > {missing}
+ UNION ALL SELECT 'LOW_FEATURE_VARIANCE', 'warning' FROM prof WHERE present >= 2 AND variance < 1e-12
+ UNION ALL SELECT 'GROUP_IMBALANCE', 'warning' FROM (SELECT session_id FROM e GROUP BY session_id HAVING count(*) > {share} * (SELECT count(*) FROM e)) WHERE (SELECT count(DISTINCT session_id) FROM e) >= 2
+ UNION ALL SELECT 'NON_MONOTONIC_SAMPLE_TIME', 'warning' FROM (SELECT start_us, lag(start_us) OVER (PARTITION BY session_id ORDER BY k) AS p FROM e) WHERE start_us < p)"""
+)
+
+
+def _report_sql(low, coverage, missing, share):
+    out = _ALL_SQL
+    for name, value in (("low", low), ("coverage", coverage), ("missing", missing), ("share", share)):
+        out = out.replace("{" + name + "}", str(value))
+    return out
+
+
 @query("q1_scalar_features", _SAMPLES_SQL + ", paths AS (SELECT unnest(" + repr(_LEAVES) + ") AS path) SELECT path, (SELECT count(*) FROM s) AS total, CASE WHEN path LIKE '%displacement%' THEN (SELECT count(*) FROM s WHERE n_alt >= 2) WHEN path LIKE '%altitude%' THEN (SELECT count(*) FROM s WHERE n_alt > 0) ELSE (SELECT count(*) FROM s) END AS present FROM paths")
 def q1(spark, d):
     return qc.scalar_features(samples(spark, d)).groupBy("path").agg(F.count("*").alias("total"), F.count("value").alias("present"))
@@ -53,7 +80,7 @@ def q3(spark, d):
 
 @query("q4_feature_percentiles", HOLES_SQL + ", p AS (SELECT path, quantile_cont(value, [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]) AS q FROM good GROUP BY path) SELECT path, round(q[1], 6) AS p01, round(q[3], 6) AS p25, round(q[4], 6) AS p50, round(q[7], 6) AS p99 FROM p")
 def q4(spark, d):
-    p = qc.feature_profile(long(spark, d), percentiles=True)
+    p = qc.feature_percentiles(long(spark, d))
     return p.select("path", *(F.round(F.col("percentiles")[i], 6).alias(n) for i, n in ((0, "p01"), (2, "p25"), (3, "p50"), (6, "p99"))))
 
 
@@ -128,10 +155,15 @@ def q17(spark, d):
     return rounded(qc.drift(side("A"), side("R"), 0.01).select("path", "compared", "score", "drifted"))
 
 
-@query("q18_qc_report", _SAMPLES_SQL + " SELECT code, count(*) AS n FROM (SELECT 'OUT_OF_RANGE' AS code FROM s HAVING min(accel_x_mean) < 20 UNION ALL SELECT 'LOW_MODALITY_COVERAGE' FROM s HAVING avg(gps::INT) < 1 UNION ALL SELECT 'LOW_VARIANCE' FROM w HAVING var_pop(accel_z) < 0) GROUP BY code")
+@query("q18_qc_report", _report_sql(20, 1, 0.3, 0.008) + " SELECT code, severity, count(*) AS n FROM report GROUP BY ALL")
 def q18(spark, d):
-    found, _ = qc.qc_report(samples(spark, d), 1, {"gps": 1.0}, 1.0, {"features.imu.statistics.accel_x_mean": (20.0, None)})
-    return found.where("code IN ('OUT_OF_RANGE', 'LOW_MODALITY_COVERAGE', 'DATASET_TOO_SMALL', 'DUPLICATE_SAMPLE_ID', 'SAMPLE_OUT_OF_ORDER')").groupBy("code").agg(F.count("*").alias("n"))
+    found, _ = qc.qc_report(materialize(samples(spark, d), "samples"), 1, {"gps": 1.0}, 0.3, {"features.imu.statistics.accel_x_mean": (20.0, None)}, 0.008)
+    return found.groupBy("code", "severity").agg(F.count("*").alias("n"))
+
+
+@query("q18_qc_status", _report_sql(20, 1, 0.3, 0.008) + " SELECT count(*) AS issue_count, count(*) FILTER (severity = 'error') AS error_count, count(*) FILTER (severity = 'warning') AS warning_count, count(*) > 3 AS issues_truncated, CASE WHEN count(*) FILTER (severity = 'error') > 0 THEN 'failed' WHEN count(*) > 0 THEN 'passed_with_warnings' ELSE 'passed' END AS status FROM report")
+def q18_status(spark, d):
+    return qc.qc_report(materialize(samples(spark, d), "samples"), 1, {"gps": 1.0}, 0.3, {"features.imu.statistics.accel_x_mean": (20.0, None)}, 0.008, most=3)[1]
 
 
 @query("p1_sample_identity", "SELECT o_custkey::VARCHAR AS sample_id, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 1")
@@ -195,7 +227,7 @@ def p7(spark, d):
     return rounded(pk.split_stats(split_ranges(spark, d)))
 
 
-@query("p8_package_status", "SELECT 'rejected' AS status, 'INSUFFICIENT_GROUPS_FOR_SPLIT,EMPTY_REQUESTED_SPLIT:test,EMPTY_REQUESTED_SPLIT:validation' AS reasons")
+@query("p8_package_status", "SELECT 'rejected' AS status, 'INSUFFICIENT_GROUPS_FOR_SPLIT,EMPTY_REQUESTED_SPLIT' AS reasons")
 def p8(spark, d):
     one = split_ranges(spark, d).withColumns({"group_id": F.lit("g"), "split": F.lit("train")})
     return pk.package_status(pk.split_stats(one), {"train": 0.8, "validation": 0.1, "test": 0.1}).select("status", F.array_join("reasons", ",").alias("reasons"))
@@ -214,10 +246,25 @@ def p10(spark, d):
     return pk.qc_gate(meta, reports).select("o_orderkey")
 
 
-@query("p11_package", _SAMPLES_SQL + " SELECT session_id, k, sample_id, 'grp_' || left(sha256(session_id), 16) AS group_id FROM s")
+_PACKED = _SAMPLES_SQL + f", grouped AS (SELECT session_id, k, sample_id, 'grp_' || left(sha256(session_id), 16) AS group_id FROM s), packed AS (SELECT *, CASE WHEN {_share('group_id')} < 0.8 THEN 'train' WHEN {_share('group_id')} < 0.9 THEN 'validation' ELSE 'test' END AS split FROM grouped)"
+
+
+@query("p11_package", _PACKED + " SELECT session_id, k, sample_id, group_id, split FROM packed")
 def p11(spark, d):
-    packed, _ = pk.package(samples(spark, d), (0.8, 0.1, 0.1), "session")
-    return packed.select("session_id", "k", "sample_id", "group_id")
+    """What `commit` writes, after QC gate and audit, read back."""
+    rows = materialize(samples(spark, d), "samples")
+    path = fresh_path(spark, "package")
+    reports = spark.createDataFrame([("passed",)], "status string")
+    pk.commit(pk.package(rows, (0.8, 0.1, 0.1), "session", reports=reports), path, parquet=True)
+    lines = spark.read.schema("session_id string, k long, sample_id string, group_id string, split string").json(f"{path}/jsonl")
+    return lines.join(spark.read.parquet(f"{path}/index").select("sample_id"), "sample_id", "left_semi").join(spark.read.parquet(f"{path}/parquet").select("sample_id"), "sample_id", "left_semi")
+
+
+@query("p11_package_sequential", """WITH r AS (SELECT session_id, sample_id, a, b, group_id FROM (NAMED)), f AS (SELECT group_id, min((session_id, a, sample_id)) AS f, count(*) AS n FROM r GROUP BY 1),
+o AS (SELECT group_id, n, coalesce(sum(n) OVER (ORDER BY f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, (SELECT sum(n) FROM f) AS total FROM f), c AS (SELECT min(before) FILTER (before >= 0.8 * total) AS cut FROM o)
+SELECT sample_id, CASE WHEN before < coalesce(cut, total) THEN 'train' ELSE 'test' END AS split FROM r JOIN o USING (group_id), c""".replace("NAMED", _RANGES + " SELECT * FROM named"))
+def p11_sequential(spark, d):
+    return pk.package(ranges(spark, d), (0.8, 0.0, 0.2), strategy="sequential").samples.select("sample_id", "split")
 
 
 def written(spark, d, write, read):
@@ -259,7 +306,7 @@ down(root, node, depth) AS (SELECT name, name, 0 FROM node WHERE name LIKE '{roo
 up(root, node, depth) AS (SELECT name, name, 0 FROM node UNION ALL SELECT up.root, node.parent, depth + 1 FROM up JOIN node ON node.name = up.node WHERE node.parent IS NOT NULL),
 ev AS (SELECT event_id, 'integrity' AS t, user_id::VARCHAR AS id, ['active', 'deprecated', 'invalid'][event_id % 3 + 1] AS new_state, CASE WHEN event_id % 11 = 0 THEN ' ' ELSE 'r' END AS reason FROM events),
 state AS (SELECT t || '/' || id AS name, arg_max(new_state, event_id) AS state FROM ev WHERE trim(reason) <> '' GROUP BY 1),
-ver AS (SELECT DISTINCT 'ds' || o_custkey % 20 AS dataset_name, (o_orderkey % 3) || '.' || (o_orderkey % 7) || '.' || (o_orderkey % 11) AS version, o_orderkey::VARCHAR AS package_id FROM orders WHERE o_orderkey % 10 = 0),
+ver AS (SELECT DISTINCT 'ds' || o_custkey % 20 AS dataset_name, (o_orderkey % 3) || '.' || (o_orderkey % 7) || '.' || (o_orderkey % 11) AS version, o_orderkey::VARCHAR AS package_id FROM orders),
 vev AS (SELECT 'ds' || event_id % 20 AS dataset_name, (event_id % 3) || '.' || (event_id % 7) || '.' || (event_id % 11) AS version, ['deprecated', 'invalid'][event_id % 2 + 1] AS new_state, event_id FROM events WHERE event_type = 'purchase'),
 chain AS (SELECT root, node, depth, coalesce(state, 'active') AS state FROM up LEFT JOIN state ON name = node)"""
 REGION_SQL, CUSTOMER_SQL = ART_SQL.format(roots="ingestion/%"), ART_SQL.format(roots="integrity/%")
@@ -274,7 +321,7 @@ def governance(spark, d):
 
 
 def versions(spark, d):
-    return table(spark, d, "orders").where("o_orderkey % 10 = 0").selectExpr("concat('ds', o_custkey % 20) AS dataset_name", "concat(o_orderkey % 3, '.', o_orderkey % 7, '.', o_orderkey % 11) AS version", "CAST(o_orderkey AS STRING) AS package_id").distinct()
+    return table(spark, d, "orders").selectExpr("concat('ds', o_custkey % 20) AS dataset_name", "concat(o_orderkey % 3, '.', o_orderkey % 7, '.', o_orderkey % 11) AS version", "CAST(o_orderkey AS STRING) AS package_id").distinct()
 
 
 def version_events(spark, d):
@@ -282,20 +329,51 @@ def version_events(spark, d):
 
 
 def manifests(spark, d):
-    text = "concat('{\"artifact_id\":\"', {id}, '\",\"session_id\":\"s\",\"status\":\"completed\",\"content_sha256\":\"', sha2({id}, 256), '\",\"parents\":', {parents}, '}')"
-    nation = table(spark, d, "nation").selectExpr("CASE WHEN n_nationkey % 6 = 5 THEN '/root/.staging/x' ELSE '/root/x' END AS path", text.replace("{id}", "CAST(n_nationkey AS STRING)").replace("{parents}", """concat('[{"type":"ingestion","id":"', n_regionkey, '"}]')""") + " AS value")
-    region = table(spark, d, "region").selectExpr("'/root/x' AS path", text.replace("{id}", "CAST(r_regionkey AS STRING)").replace("{parents}", "'[]'") + " AS value")
-    return {"validation": nation, "ingestion": region}
+    """A manifest of each of the nine kinds for every order, in the fields that such manifests have."""
+    orders = table(spark, d, "orders").selectExpr("CAST(o_orderkey AS STRING) AS k", "CAST(o_custkey AS STRING) AS c", "o_orderkey % 6 = 5 AS staged", "o_orderstatus AS status")
+    session = "named_struct('session_ids', array(c))"
+    fields = {
+        "ingestion": "k AS ingestion_id, c AS session_id, sha2(k, 256) AS sha256, 'a' AS storage_uri, 't0' AS ingested_at",
+        "validation": "k AS validation_id, k AS ingestion_id, status, 't1' AS validated_at",
+        "integrity": "k AS integrity_id, k AS validation_id, status, 't2' AS created_at",
+        "normalization": "k AS normalization_id, k AS integrity_id, sha2(k, 256) AS normalized_sha256",
+        "synchronization": "k AS synchronization_id, sha2(k, 256) AS synchronized_sha256, array(named_struct('normalization_id', k, 'session_id', c), named_struct('normalization_id', concat('x', c), 'session_id', c)) AS streams",
+        "cleaning": "k AS cleaning_id, k AS synchronization_id, status, sha2(k, 256) AS cleaned_sha256, array(named_struct('session_id', c)) AS streams",
+        "transformation": f"k AS transformation_id, k AS cleaning_id, sha2(k, 256) AS transformed_sha256, {session} AS upstream",
+        "qc": f"k AS qc_id, k AS transformation_id, status, {session} AS upstream",
+        "package": "k AS package_id, k AS transformation_id, k AS qc_id, status, named_struct('session_ids', array(c, k)) AS upstream",
+    }
+    where = "CASE WHEN staged THEN concat('/', kind, '/.tmp-1/manifest.json') ELSE concat('/', kind, '/', k, '/manifest.json') END AS path"
+    return {kind: orders.selectExpr(where.replace("kind", f"'{kind}'"), f"to_json(named_struct({', '.join(_pairs(text))})) AS value") for kind, text in fields.items()}
+
+
+def _pairs(text):
+    """Items `value AS name` as arguments of named_struct."""
+    out, depth, item = [], 0, ""
+    for ch in text + ",":
+        depth += (ch == "(") - (ch == ")")
+        if ch == "," and not depth:
+            value, _, name = item.strip().rpartition(" AS ")
+            out += [f"'{name}'", value or name]
+            item = ""
+        else:
+            item += ch
+    return out
+
 
+_KINDS = list(ln.STAGES)
+_SHA = [k for k in _KINDS if k in ln.CONTENT]
+_G1 = f"WITH o AS (SELECT o_orderkey::VARCHAR AS k, o_custkey::VARCHAR AS c, o_orderstatus AS status FROM orders WHERE o_orderkey % 6 <> 5), kinds AS (SELECT unnest({_KINDS}) AS kind, unnest(range(1, 10)) AS stage)"
 
-@query("g1_scan_artifacts", "SELECT 'validation' AS artifact_type, n_nationkey::VARCHAR AS artifact_id, 2 AS pipeline_stage, sha256(n_nationkey::VARCHAR) AS content_sha256 FROM nation WHERE n_nationkey % 6 <> 5 UNION ALL SELECT 'ingestion', r_regionkey::VARCHAR, 1, sha256(r_regionkey::VARCHAR) FROM region")
+
+@query("g1_scan_artifacts", _G1 + f" SELECT kind AS artifact_type, k AS artifact_id, stage AS pipeline_stage, CASE WHEN kind IN {tuple(_SHA)} THEN sha256(k) END AS content_sha256, CASE WHEN kind IN {ln.WITH_STATUS} THEN status END AS status, CASE WHEN kind IN ('ingestion', 'synchronization', 'cleaning', 'transformation', 'qc') THEN c END AS session_id FROM o, kinds")
 def g1(spark, d):
-    return ln.scan_artifacts(manifests(spark, d)).select("artifact_type", "artifact_id", "pipeline_stage", "content_sha256")
+    return ln.scan_artifacts(manifests(spark, d)).select("artifact_type", "artifact_id", "pipeline_stage", "content_sha256", "status", "session_id")
 
 
-@query("g2_derive_edges", "SELECT n_regionkey::VARCHAR AS parent_id, n_nationkey::VARCHAR AS child_id, 'validated_from' AS relationship FROM nation WHERE n_nationkey % 6 <> 5")
+@query("g2_derive_edges", _G1 + f", rel AS (SELECT unnest({[a for a, _ in ln.RELATIONSHIPS]}) AS parent_type, unnest({[b for _, b in ln.RELATIONSHIPS]}) AS child_type, unnest({list(ln.RELATIONSHIPS.values())}) AS relationship) SELECT parent_type, k AS parent_id, child_type, k AS child_id, relationship FROM o, rel UNION ALL SELECT 'normalization', 'x' || c, 'synchronization', k, 'synchronized_from' FROM o")
 def g2(spark, d):
-    return ln.derive_edges(ln.scan_artifacts(manifests(spark, d))).select("parent_id", "child_id", "relationship")
+    return ln.derive_edges(ln.scan_artifacts(manifests(spark, d)))
 
 
 @query("g3_missing_parents", "SELECT o_custkey::VARCHAR AS parent_id, o_orderkey::VARCHAR AS child_id FROM orders WHERE o_custkey % 10 = 0")
@@ -314,10 +392,41 @@ def g4_up(spark, d):
     return ln.traverse(roots(spark, d, "package"), edges(spark, d), "up")
 
 
-@query("g5_detect_cycles", "SELECT 'x/' || c_custkey AS node FROM customer WHERE c_custkey % 8 < 4 AND (c_custkey - c_custkey % 4) + 3 <= (SELECT max(c_custkey) FROM customer)")
+#: A free-form graph of customers in twenties: a chain of each twenty, and a side branch from its middle.
+_CHAIN = """WITH RECURSIVE edge AS (SELECT 'x/' || c_custkey AS parent, 'x/' || (c_custkey + 1) AS child FROM customer WHERE c_custkey % 20 <> 19 UNION ALL SELECT 'x/' || c_custkey, 'y/' || c_custkey FROM customer WHERE c_custkey % 20 = 7),
+root AS (SELECT 'x/' || c_custkey AS root FROM customer WHERE c_custkey % 20 = 10),
+down(root, node, depth) AS (SELECT root, root, 0 FROM root UNION ALL SELECT down.root, child, depth + 1 FROM down JOIN edge ON parent = node),
+up(root, node, depth) AS (SELECT root, root, 0 FROM root UNION ALL SELECT up.root, parent, depth + 1 FROM up JOIN edge ON child = node)"""
+
+
+def chains(spark, d):
+    customers = table(spark, d, "customer")
+    main = customers.where("c_custkey % 20 <> 19").selectExpr("'x' AS parent_type", "CAST(c_custkey AS STRING) AS parent_id", "'x' AS child_type", "CAST(c_custkey + 1 AS STRING) AS child_id")
+    side = customers.where("c_custkey % 20 = 7").selectExpr("'x' AS parent_type", "CAST(c_custkey AS STRING) AS parent_id", "'y' AS child_type", "CAST(c_custkey AS STRING) AS child_id")
+    roots = customers.where("c_custkey % 20 = 10").selectExpr("concat('x/', c_custkey) AS root")
+    return roots, main.unionByName(side)
+
+
+@query("g4_traverse_both", _CHAIN + " SELECT root, node, min(depth) AS depth FROM (SELECT * FROM up UNION ALL SELECT * FROM down) GROUP BY ALL")
+def g4_both(spark, d):
+    return ln.traverse(*chains(spark, d), "both")
+
+
+@query("g4_traversed_edges", _CHAIN + " SELECT root, parent, child FROM up JOIN edge ON child = node UNION SELECT root, parent, child FROM down JOIN edge ON parent = node")
+def g4_edges(spark, d):
+    found = ln.traversed_edges(*chains(spark, d))
+    return found.select("root", ln.node("parent_type", "parent_id").alias("parent"), ln.node("child_type", "child_id").alias("child"))
+
+
+@query("g4_stage_order", REGION_SQL + " SELECT root, node, array_position(" + repr(list(ln.STAGES)) + ", split_part(node, '/', 1)) AS pipeline_stage FROM up WHERE root LIKE 'package/%'")
+def g4_order(spark, d):
+    return ln.in_stage_order(ln.traverse(roots(spark, d, "package"), edges(spark, d), "up")).select("root", "node", "pipeline_stage")
+
+
+@query("g5_detect_cycles", "SELECT 'x/' || c_custkey AS node FROM customer WHERE c_custkey % 24 < 12 AND (c_custkey - c_custkey % 12) + 11 <= (SELECT max(c_custkey) FROM customer) AND c_custkey - c_custkey % 12 >= (SELECT min(c_custkey) FROM customer)")
 def g5(spark, d):
-    # every other four customers close a ring, the rest are chains
-    ring = table(spark, d, "customer").selectExpr("'x' AS parent_type", "CAST(c_custkey - c_custkey % 4 + (c_custkey + 1) % 4 AS STRING) AS parent_id", "'x' AS child_type", "CAST(c_custkey AS STRING) AS child_id", "c_custkey").where("c_custkey % 8 < 4 OR c_custkey % 4 < 3")
+    # every other twelve customers close a ring, the rest are chains
+    ring = table(spark, d, "customer").selectExpr("'x' AS parent_type", "CAST(c_custkey - c_custkey % 12 + (c_custkey + 1) % 12 AS STRING) AS parent_id", "'x' AS child_type", "CAST(c_custkey AS STRING) AS child_id", "c_custkey").where("c_custkey % 24 < 12 OR c_custkey % 12 < 11")
     return ln.detect_cycles(ring.drop("c_custkey"))
 
 
@@ -399,6 +508,14 @@ def g15(spark, d):
     return ln.verify_checksums(recorded, actual)
 
 
+@query("g15_verify_ancestors", REGION_SQL + ", res AS (SELECT name AS node, CASE WHEN split_part(name, '/', 2)::BIGINT % 7 = 0 THEN 'checksum_mismatch' WHEN split_part(name, '/', 2)::BIGINT % 11 = 0 THEN 'manifest_mismatch' ELSE 'verified' END AS result FROM node WHERE split_part(name, '/', 2)::BIGINT % 5 <> 0), j AS (SELECT root, coalesce(result, 'missing') AS result FROM up LEFT JOIN res USING (node) WHERE root LIKE 'package/%') SELECT root, count(*) AS artifacts, count(*) FILTER (result = 'verified') AS verified, count(*) FILTER (result = 'missing') AS missing, count(*) FILTER (result = 'checksum_mismatch') AS checksum_mismatch, count(*) FILTER (result = 'manifest_mismatch') AS manifest_mismatch, count(*) = count(*) FILTER (result = 'verified') AS passed FROM j GROUP BY root")
+def g15_ancestors(spark, d):
+    ids = F.col("artifact_id").cast("long")
+    known = artifacts(spark, d).where(ids % 5 != 0)
+    results = known.select(ln.node("artifact_type", "artifact_id").alias("node"), F.when(ids % 7 == 0, "checksum_mismatch").when(ids % 11 == 0, "manifest_mismatch").otherwise("verified").alias("result"))
+    return ln.verify_ancestors(roots(spark, d, "package"), edges(spark, d), results)
+
+
 @query("g16_catalog_health", REGION_SQL + ", known AS (SELECT name FROM node WHERE NOT (name LIKE 'integrity/%' AND split_part(name, '/', 2)::BIGINT % 10 = 0) AND NOT (name LIKE 'package/%' AND split_part(name, '/', 2)::BIGINT % 30 = 0)) SELECT 'dangling_version' AS problem, 'package/' || package_id AS name FROM (SELECT DISTINCT package_id FROM ver) WHERE package_id::BIGINT % 30 = 0 UNION ALL SELECT 'dangling_governance', name FROM (SELECT DISTINCT t || '/' || id AS name FROM ev) WHERE name NOT IN (SELECT name FROM known) UNION ALL SELECT DISTINCT 'missing_parent', parent FROM node WHERE parent IS NOT NULL AND parent NOT IN (SELECT name FROM known)")
 def g16(spark, d):
     known = artifacts(spark, d).where("NOT (artifact_type = 'integrity' AND CAST(artifact_id AS BIGINT) % 10 = 0) AND NOT (artifact_type = 'package' AND CAST(artifact_id AS BIGINT) % 30 = 0)")
@@ -510,14 +627,33 @@ def t5(spark, d):
     return rounded(spark.read.parquet(out).select("path", "present", "mean", "score"))
 
 
-@query("run_pipeline", SENSORS_SQL + " SELECT count(*) AS rows FROM imu")
-def whole(spark, d):
-    result = run_pipeline(streams(spark, d), PipelineConfig(tolerance_ms=HOURS_6_US / 1000, window=5, stride=3, features=FEATURES, grouping="session"))
-    return result.rows.agg(F.count("*").alias("rows"))
+def piped(spark, d):
+    return run_pipeline(streams(spark, d), PipelineConfig(tolerance_ms=HOURS_6_US / 1000, window=5, stride=3, features=FEATURES, grouping="session"))
 
 
-@query("run_pipeline_samples", _SAMPLES_SQL + " SELECT session_id, count(*) AS samples FROM s GROUP BY 1")
+@query(
+    "run_pipeline",
+    _report_sql(-1e300, 0, 1, 1)
+    + f""", grouped AS (SELECT *, 'grp_' || left(sha256(session_id), 16) AS group_id FROM e), x AS (SELECT *, CASE WHEN {_share('group_id')} < 0.8 THEN 'train' WHEN {_share('group_id')} < 0.9 THEN 'validation' ELSE 'test' END AS split FROM grouped)
+SELECT (SELECT count(*) FROM imu) AS rows, 0 AS dropped, count(*) AS samples, count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'validation') AS validation, count(*) FILTER (split = 'test') AS test,
+ (SELECT count(*) FROM report WHERE severity = 'error') AS qc_errors, (SELECT count(*) FROM report WHERE severity = 'warning') AS qc_warnings, CASE WHEN (SELECT count(*) FROM report WHERE severity = 'error') > 0 THEN 'failed' WHEN (SELECT count(*) FROM report) > 0 THEN 'passed_with_warnings' ELSE 'passed' END AS qc_status, TRUE AS audited,
+ CASE WHEN count(*) FILTER (split = 'train') = 0 OR count(*) FILTER (split = 'validation') = 0 OR count(*) FILTER (split = 'test') = 0 THEN 'rejected' ELSE 'completed' END AS package_status FROM x""",
+)
+def whole(spark, d):
+    """One row of what each part of the pipeline comes to: all of them run."""
+    r = piped(spark, d)
+    counts = r.stats.agg(F.sum("samples").alias("samples"), *(F.sum(F.when(F.col("split") == s, F.col("samples")).otherwise(0)).alias(s) for s in pk.SPLITS))
+    parts = [
+        r.rows.agg(F.count("*").alias("rows")),
+        r.dropped.agg(F.count("*").alias("dropped")),
+        counts,
+        r.report.select(F.col("error_count").alias("qc_errors"), F.col("warning_count").alias("qc_warnings"), F.col("status").alias("qc_status")),
+        r.audit.select(F.col("passed").alias("audited")),
+        r.status.select(F.col("status").alias("package_status")),
+    ]
+    return reduce(lambda a, b: a.crossJoin(b), parts)  # of one row each
+
+
+@query("run_pipeline_samples", _PACKED + " SELECT session_id, k, sample_id, group_id, split FROM packed")
 def whole_samples(spark, d):
-    result = run_pipeline(streams(spark, d), PipelineConfig(tolerance_ms=HOURS_6_US / 1000, window=5, stride=3, features=FEATURES, grouping="session"))
-    return result.samples.groupBy("session_id").agg(F.count("*").alias("samples"))
-
+    return piped(spark, d).samples.select("session_id", "k", "sample_id", "group_id", "split")

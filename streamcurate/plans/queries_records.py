@@ -58,12 +58,13 @@ def i4(spark, d):
     return fs.read_lines(spark, [f"{path}/p={p}" for p in range(8)]).select(F.col("value").cast("long").alias("o_orderkey"), "record_number")
 
 
-@query("i5_ingest_manifest", "SELECT sha256(chr(10) || string_agg(n_name, chr(10) ORDER BY n_nationkey)) AS sha256, 'anonymous' AS customer_id FROM nation GROUP BY n_regionkey")
+@query("i5_ingest_manifest", "SELECT sha256(chr(10) || string_agg(o_orderpriority || o_orderkey, chr(10) ORDER BY o_orderkey)) AS sha256, 'anonymous' AS customer_id FROM orders GROUP BY o_orderkey % 25")
 def i5(spark, d):
     path = fresh_path(spark, "files")
-    lines = table(spark, d, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("a"))
-    whole = lines.select("n_regionkey", F.concat(F.lit("\n"), F.array_join(F.transform("a", lambda x: x["n_name"]), "\n")).alias("value"))
-    whole.select("n_regionkey", "value").write.partitionBy("n_regionkey").option("lineSep", "\x1e").text(path)
+    orders = table(spark, d, "orders").selectExpr("o_orderkey % 25 AS part", "o_orderkey", "concat(o_orderpriority, o_orderkey) AS line")
+    lines = orders.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "line"))).alias("a"))
+    whole = lines.select("part", F.concat(F.lit("\n"), F.array_join(F.transform("a", lambda x: x["line"]), "\n")).alias("value"))
+    whole.write.partitionBy("part").option("lineSep", "\x1e").text(path)
     made = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     trimmed = made.select("path", F.sha2(F.expr("substring(content, 1, length(content) - 1)"), 256).alias("sha256"))
     manifest = fs.ingest_manifest(spark, f"{path}/*/*", customer_id=" ")
@@ -84,6 +85,15 @@ def i7(spark, d):
     return spark.read.json(path, schema="device_id string, accel_x double, gyro_x double").select(F.col("device_id").alias("session_id"), F.round("accel_x", 6).alias("accel_x"), F.round("gyro_x", 6).alias("gyro_x"))
 
 
+@query("i7_write_normalized_array", SENSORS_SQL + " SELECT session_id, round(accel_x, 6) AS accel_x FROM imu")
+def i7_array(spark, d):
+    path = fresh_path(spark, "normalized")
+    df = sensor(spark, d, "imu").withColumns({"timestamp": tx.iso_utc(F.timestamp_micros("epoch_us")), "device_id": F.col("session_id")})
+    fs.write_normalized(df, IMU, path, "json")
+    rows = fs.read_json(spark, path).select(F.from_json("value", "device_id string, accel_x double").alias("r"))
+    return rows.select(F.col("r.device_id").alias("session_id"), F.round("r.accel_x", 6).alias("accel_x"))
+
+
 @query("v1_missing_required", JSON_SQL + " SELECT session_id, file, record_number AS record, 'accel_x' AS field, 'MISSING_REQUIRED_FIELD' AS code FROM lines WHERE ok AND event_id % 59 = 0")
 def v1(spark, d):
     return va.key_issues(json_lines(spark, d), IMU).where("code = 'MISSING_REQUIRED_FIELD'").select(*ISSUES)
@@ -143,14 +153,14 @@ def v7_csv(spark, d):
     return va.invalid_csv(lines, 3).select("record", "code")
 
 
-@query("v8_empty_dataset", "SELECT c_custkey::VARCHAR AS session_id, 'EMPTY_DATASET' AS code FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("v8_empty_dataset", "SELECT c_custkey::VARCHAR AS session_id, 'EMPTY_DATASET' AS code FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def v8(spark, d):
     files = table(spark, d, "customer").selectExpr("CAST(c_custkey AS STRING) AS session_id", "'f' AS file")
-    records = table(spark, d, "orders").selectExpr("CAST(o_custkey AS STRING) AS session_id", "'f' AS file")
+    records = table(spark, d, "orders").where("o_orderstatus = 'P'").selectExpr("CAST(o_custkey AS STRING) AS session_id", "'f' AS file")
     return va.empty_dataset(files, records).select("session_id", "code")
 
 
-@query("v9_metadata_requirement", "SELECT c_custkey::VARCHAR AS session_id, 'METADATA_MISMATCH' AS code FROM customer WHERE c_custkey % 3 = 1")
+@query("v9_metadata_requirement", "SELECT c_custkey::VARCHAR AS session_id, 'METADATA_REQUIREMENT_NOT_MET' AS code FROM customer WHERE c_custkey % 3 = 1")
 def v9(spark, d):
     files = table(spark, d, "customer").selectExpr("CAST(c_custkey AS STRING) AS session_id", "'f' AS file", "'imu' AS sensor_type", "CASE c_custkey % 3 WHEN 0 THEN 'imu' WHEN 1 THEN 'gps' END AS source_type")
     return va.metadata_requirement(files).select("session_id", "code")
@@ -165,6 +175,13 @@ def v10(spark, d):
 _BAD = "(trim(accel_x) = '' OR try_cast(accel_x AS DOUBLE) IS NULL)"
 
 
+@query("v10_encounter_order", JSON_SQL + " SELECT session_id, string_agg(record || code, ',' ORDER BY record, seq) AS first FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY record, seq) AS position FROM (SELECT session_id, record_number AS record, unnest(CASE WHEN NOT ok THEN ['INVALID_RECORD'] ELSE list_filter([CASE WHEN event_id % 59 = 0 THEN 'MISSING_REQUIRED_FIELD' END, CASE WHEN event_id % 57 = 0 THEN 'UNEXPECTED_FIELD' END, CASE WHEN event_id % 41 = 0 THEN 'INVALID_TYPE' WHEN event_id % 43 = 0 THEN 'INVALID_TIMESTAMP' END, CASE WHEN event_id % 59 <> 0 AND event_id % 51 = 0 THEN 'INVALID_TYPE' END, CASE WHEN event_id % 49 = 0 THEN 'INVALID_TYPE' END, CASE WHEN event_id % 45 = 0 THEN 'NULL_NOT_ALLOWED' END], lambda x: x IS NOT NULL) END) AS code, unnest(range(CASE WHEN NOT ok THEN 1 ELSE (event_id % 59 = 0)::INT + (event_id % 57 = 0)::INT + (event_id % 41 = 0 OR event_id % 43 = 0)::INT + (event_id % 59 <> 0 AND event_id % 51 = 0)::INT + (event_id % 49 = 0)::INT + (event_id % 45 = 0)::INT END)) AS seq FROM lines)) WHERE position <= 5 GROUP BY session_id")
+def v10_order(spark, d):
+    first = va.cap_issues(va.validate_json(json_lines(spark, d), IMU), 5)
+    rows = first.groupBy("session_id").agg(F.array_sort(F.collect_list(F.struct("position", F.concat("record", "code").alias("x")))).alias("a"))
+    return rows.select("session_id", F.array_join(F.transform("a", lambda r: r["x"]), ",").alias("first"))
+
+
 @query("v11_validation_summary", DIRTY_SQL + f" SELECT session_id, file, count(*) AS records_checked, count(*) FILTER ({_BAD} OR timestamp NOT LIKE '%Z') AS invalid_records, (count(*) FILTER ({_BAD}) + count(*) FILTER (timestamp NOT LIKE '%Z')) AS error_count, CASE WHEN count(*) FILTER ({_BAD} OR timestamp NOT LIKE '%Z') > 0 THEN 'failed' ELSE 'passed' END AS status FROM dirty GROUP BY ALL")
 def v11(spark, d):
     df = text_columns(dirty(spark, d))
@@ -200,22 +217,22 @@ def gps_checks(spark, d, checks):
     return ig.check_integrity(df, GPS, checks=checks).select("session_id", "record", "field", "code")
 
 
-@query("c2_lat_lon_range", SENSORS_SQL + " SELECT session_id, record_number AS record, 'latitude' AS field, 'LATITUDE_OUT_OF_RANGE' AS code FROM gps WHERE abs(latitude * 1.2::DOUBLE) > 90 UNION ALL SELECT session_id, record_number, 'longitude', 'LONGITUDE_OUT_OF_RANGE' FROM gps WHERE abs(longitude * 1.1::DOUBLE) > 180")
+@query("c2_lat_lon_range", SENSORS_SQL + " SELECT session_id, record_number AS record, 'latitude' AS field, 'GPS_LATITUDE_OUT_OF_RANGE' AS code FROM gps WHERE abs(latitude * 1.2::DOUBLE) > 90 UNION ALL SELECT session_id, record_number, 'longitude', 'GPS_LONGITUDE_OUT_OF_RANGE' FROM gps WHERE abs(longitude * 1.1::DOUBLE) > 180")
 def c2(spark, d):
     return gps_checks(spark, d, ig.lat_lon_range())
 
 
-@query("c3_negative_speed", SENSORS_SQL + " SELECT session_id, record_number AS record, 'speed' AS field, 'NEGATIVE_SPEED' AS code FROM gps WHERE speed - 3 < 0")
+@query("c3_negative_speed", SENSORS_SQL + " SELECT session_id, record_number AS record, 'speed' AS field, 'GPS_NEGATIVE_SPEED' AS code FROM gps WHERE speed - 3 < 0")
 def c3(spark, d):
     return gps_checks(spark, d, ig.negative_speed())
 
 
-@query("c4_imu_extreme", _issue_sql("accel_x", "EXTREME_VALUE", "warning", "NOT isnan(ax) AND abs(ax) > 200") + " UNION ALL SELECT session_id, record_number, 'gyro_x', 'EXTREME_VALUE', 'warning' FROM typed WHERE abs(gx) > 50")
+@query("c4_imu_extreme", _issue_sql("accel_x", "IMU_ACCELERATION_EXTREME", "warning", "NOT isnan(ax) AND abs(ax) > 200") + " UNION ALL SELECT session_id, record_number, 'gyro_x', 'IMU_GYRO_EXTREME', 'warning' FROM typed WHERE abs(gx) > 50")
 def c4(spark, d):
     return integrity_of(spark, d, ig.extremes({c: IMU.limits[c] for c in ("accel_x", "gyro_x")}))
 
 
-@query("c5_force_torque_extreme", SENSORS_SQL + " SELECT session_id, record_number AS record, 'force_x' AS field, 'EXTREME_VALUE' AS code FROM force_torque WHERE abs(force_x) > 40")
+@query("c5_force_torque_extreme", SENSORS_SQL + " SELECT session_id, record_number AS record, 'force_x' AS field, 'FORCE_TORQUE_FORCE_EXTREME' AS code FROM force_torque WHERE abs(force_x) > 40")
 def c5(spark, d):
     df = sensor(spark, d, "force_torque").withColumn("stream", F.lit("force_torque"))
     return ig.check_integrity(df, IMU, checks=ig.extremes({"force_x": 40.0, "force_y": None})).select("session_id", "record", "field", "code")
@@ -246,6 +263,14 @@ def c8(spark, d):
     return ig.integrity_summary(df, ig.check_integrity(df, IMU, checks=checks)).select("session_id", "records_checked", "error_count", "warning_count", "failed_records", "status")
 
 
+@query("c8_empty_source", "WITH s AS (SELECT DISTINCT c_custkey AS k FROM customer), n AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) SELECT s.k::VARCHAR AS session_id, coalesce(n, 0) AS records_checked, CASE WHEN n IS NULL THEN 1 ELSE 0 END AS error_count, 0 AS failed_records, CASE WHEN n IS NULL THEN 'failed' ELSE 'passed' END AS status FROM s LEFT JOIN n USING (k)")
+def c8_empty(spark, d):
+    keys = lambda df, c: df.selectExpr(f"CAST({c} AS STRING) AS session_id", "'imu' AS stream")
+    records = keys(table(spark, d, "orders").where("o_orderstatus = 'P'"), "o_custkey")
+    none = spark.createDataFrame([], "session_id string, stream string, record long, field string, code string, severity string")
+    return ig.integrity_summary(records, none, sources=keys(table(spark, d, "customer"), "c_custkey")).select("session_id", "records_checked", "error_count", "failed_records", "status")
+
+
 def renamed(spark, d):
     return text_columns(dirty(spark, d)).withColumnsRenamed({"accel_x": "ax", "accel_y": "Accel Y", "gyro_x": "gx"})
 
@@ -289,3 +314,13 @@ def n6(spark, d):
 def n7(spark, d):
     good, _ = nz.normalize(renamed(spark, d), IMU, UNITS, on_error="quarantine")
     return good.select("session_id", "record_number", "epoch_us", F.round("accel_x", 6).alias("accel_x"), F.round("gyro_x", 6).alias("gyro_x"))
+
+
+@query("n7_gate", "SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'NOT_VALIDATED' WHEN c_custkey % 7 = 0 THEN 'VALIDATION_FAILED' WHEN c_custkey % 3 = 0 THEN 'NOT_CHECKED' WHEN c_custkey % 11 = 0 THEN 'INTEGRITY_FAILED' END AS refused FROM customer")
+def n7_gate(spark, d):
+    files = table(spark, d, "customer").selectExpr("c_custkey", "CAST(c_custkey AS STRING) AS file_id", "'imu' AS schema_name", "'1.0.0' AS schema_version", "'now' AS sha256")
+    keys = ["file_id", "schema_name", "schema_version"]
+    report = lambda where, status, time, sha="now": files.where(where).select(*keys, F.lit(sha).alias("sha256"), F.expr(status).alias("status"), F.lit(time).alias("validated_at"), F.lit(time).alias("created_at"), F.lit("r").alias("report_id"))
+    validations = report("c_custkey % 5 <> 0", "CASE WHEN c_custkey % 7 = 0 THEN 'failed' ELSE 'passed' END", 2).unionByName(report("true", "'failed'", 1, "old")).unionByName(report("c_custkey % 5 <> 0", "'failed'", 1))
+    integrities = report("c_custkey % 3 <> 0", "CASE WHEN c_custkey % 11 = 0 THEN 'failed' ELSE 'passed_with_warnings' END", 3)
+    return nz.gate(files, validations, integrities).select("c_custkey", "refused")

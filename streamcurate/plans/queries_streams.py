@@ -31,7 +31,7 @@ def s3(spark, d):
 _NEAR = SENSORS_SQL + ",\n" + asof_sql("imu", "gps", ["latitude"], "g") + f" SELECT session_id, record_number AS target_no, near_us IS NOT NULL AND near_us <= {HOURS_6_US} AS matched, CASE WHEN near_us <= {HOURS_6_US} THEN round(near_us / 1000.0, 6) END AS delta_ms, CASE WHEN near_us <= {HOURS_6_US} THEN round(CASE WHEN use_prev THEN p_latitude ELSE n_latitude END, 6) END AS latitude, CASE WHEN near_us IS NULL THEN 'NO_DATA' WHEN near_us > {HOURS_6_US} THEN 'OUTSIDE_TOLERANCE' END AS reason FROM g"
 
 
-def near(spark, d, bucket_us=None):
+def near(spark, d, bucket_us="auto"):
     found = sync.neighbours(sync.timeline_reference(stream(spark, d, "imu")), {"gps": stream(spark, d, "gps")}, bucket_us)
     value, note = sync.nearest("gps", HOURS_6_US)
     out = found.select("session_id", "target_no", value.alias("v"), note.alias("a"))
@@ -105,9 +105,9 @@ def s10(spark, d):
     return sync.sync_metrics(synced(spark, d)).select("stream", "rows", "matched", F.round("coverage", 6).alias("coverage"), F.round("mean_delta_ms", 3).alias("mean_delta_ms"), "interpolated")
 
 
-@query("l1_required_streams", SYNC_SQL + " SELECT session_id, row_index, list_filter([CASE WHEN NOT gps_ok THEN 'MISSING_REQUIRED_STREAM:gps' END, CASE WHEN NOT ft_ok THEN 'MISSING_REQUIRED_STREAM:force_torque' END], lambda x: x IS NOT NULL)::VARCHAR AS reasons FROM rows_")
+@query("l1_required_streams", SYNC_SQL + " SELECT session_id, row_index, concat_ws(',', CASE WHEN NOT gps_ok THEN 'MISSING_REQUIRED_STREAM/gps' END, CASE WHEN NOT ft_ok THEN 'MISSING_REQUIRED_STREAM/force_torque' END) AS reasons FROM rows_")
 def l1(spark, d):
-    return synced(spark, d).select("session_id", "row_index", F.concat(F.lit("["), F.array_join(F.transform(cl.required_streams(["gps", "force_torque"]), lambda r: F.concat(F.lit("'"), r, F.lit("'"))), ", "), F.lit("]")).alias("reasons"))
+    return synced(spark, d).select("session_id", "row_index", F.array_join(F.transform(cl.required_streams(["gps", "force_torque"]), lambda r: F.concat_ws("/", r["code"], r["stream"])), ",").alias("reasons"))
 
 
 @query("l2_min_present_streams", SYNC_SQL + " SELECT session_id, row_index FROM rows_ WHERE 1 + gps_ok::INT + ft_ok::INT < 3")
@@ -151,9 +151,16 @@ def l7(spark, d):
     return rounded(cl.cleaning_report(*cleaned(spark, d), minimum_retained_rows=5).select("session_id", "input_rows", "retained_rows", "dropped_rows", "redacted_rows", "retention_ratio", "status"))
 
 
-@query("l7_reason_counts", SYNC_SQL + " SELECT 'MISSING_REQUIRED_STREAM:force_torque' AS reason, count(*) AS n FROM rows_ WHERE NOT ft_ok")
+@query("l7_reason_counts", SYNC_SQL + " SELECT 'MISSING_REQUIRED_STREAM' AS reason, count(*) AS n FROM rows_ WHERE NOT ft_ok HAVING count(*) > 0 UNION ALL SELECT 'FIELD_REDACTED', count(*) FROM rows_ WHERE ft_ok AND gps_ok HAVING count(*) > 0")
 def l7_reasons(spark, d):
-    return cl.reason_counts(cleaned(spark, d)[1])
+    kept, dropped = cleaned(spark, d)
+    return cl.reason_counts(dropped, kept)
+
+
+@query("l7_redaction_examples", SYNC_SQL + " SELECT session_id, row_index, 'FIELD_REDACTED:gps.latitude' AS redaction FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY row_index) AS position FROM rows_ WHERE ft_ok AND gps_ok) WHERE position <= 3")
+def l7_examples(spark, d):
+    found = cl.redaction_examples(cleaned(spark, d)[0], 3)
+    return found.select("session_id", "row_index", F.array_join(F.transform("redactions", lambda r: F.concat_ws(":", r["code"], r["field"])), ",").alias("redaction"))
 
 
 @query("l8_cleaning_status", SYNC_SQL + " SELECT session_id, CASE WHEN count(*) FILTER (ft_ok) < 8 THEN 'rejected' ELSE 'completed' END AS status FROM rows_ GROUP BY session_id")

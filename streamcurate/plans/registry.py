@@ -73,7 +73,7 @@ def line_sql(c: str) -> str:
     return f"CASE WHEN p_epoch_us = epoch_us THEN p_{c} WHEN p_epoch_us IS NOT NULL AND n_epoch_us IS NOT NULL THEN p_{c} + (n_{c} - p_{c}) * ((epoch_us - p_epoch_us) / (n_epoch_us - p_epoch_us)) END"
 
 
-def synced(spark: SparkSession, d: str, bucket_us: int | None = None) -> DataFrame:
+def synced(spark: SparkSession, d: str, bucket_us: int | str | None = "auto") -> DataFrame:
     return sync.synchronize(streams(spark, d), "imu", {"force_torque": "linear"}, tolerance_ms=HOURS_6_US / 1000, bucket_us=bucket_us)
 
 
@@ -124,7 +124,7 @@ def dirty(spark: SparkSession, d: str) -> DataFrame:
 
 def sensor_text(events: DataFrame) -> DataFrame:
     stamp = "date_format({}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") || 'Z'"
-    back, same = stamp.format("CAST(ts AS TIMESTAMP) - INTERVAL 1 HOUR"), stamp.format("lag(CAST(ts AS TIMESTAMP)) OVER (PARTITION BY user_id ORDER BY event_id)")
+    back, same = stamp.format("CAST(ts AS TIMESTAMP) - INTERVAL 1000 HOUR"), stamp.format("lag(CAST(ts AS TIMESTAMP)) OVER (PARTITION BY user_id ORDER BY event_id)")
     plain = stamp.format("CAST(ts AS TIMESTAMP)")
     return events.selectExpr(
         "CAST(user_id AS STRING) AS session_id",
@@ -143,7 +143,7 @@ def _stamp(x: str) -> str:
 
 
 DIRTY_SQL = f"""WITH dirty AS (SELECT user_id::VARCHAR AS session_id, user_id || '.csv' AS file, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS record_number, event_id, ts,
-  CASE WHEN event_id % 61 = 0 THEN {_stamp("ts - INTERVAL 1 HOUR")} WHEN event_id % 53 = 0 THEN coalesce({_stamp("lag(ts) OVER (PARTITION BY user_id ORDER BY event_id)")}, {_stamp("ts")}) WHEN event_id % 47 = 0 THEN left({_stamp("ts")}, 19) ELSE {_stamp("ts")} END AS timestamp,
+  CASE WHEN event_id % 61 = 0 THEN {_stamp("ts - INTERVAL 1000 HOUR")} WHEN event_id % 53 = 0 THEN coalesce({_stamp("lag(ts) OVER (PARTITION BY user_id ORDER BY event_id)")}, {_stamp("ts")}) WHEN event_id % 47 = 0 THEN left({_stamp("ts")}, 19) ELSE {_stamp("ts")} END AS timestamp,
   CASE WHEN event_id % 97 = 0 THEN 'abc' WHEN event_id % 89 = 0 THEN ' ' WHEN event_id % 83 = 0 THEN 'nan' WHEN event_id % 79 = 0 THEN '300' ELSE (event_id % 150) || '.5' END AS accel_x,
   (event_id % 10)::VARCHAR AS accel_y, '9.75' AS accel_z, CASE WHEN event_id % 73 = 0 THEN '-60' ELSE (event_id % 40)::VARCHAR END AS gyro_x
   FROM events WHERE event_type = 'view'),

@@ -64,13 +64,22 @@ def ingest_filter(files: DataFrame, most: int = MAX_BYTES) -> DataFrame:
     return files.withColumn("reject_reason", reason)
 
 
+#: Records of one JSON array.
+ARRAY_RECORDS = 100_000
+
+
 def write_normalized(df: DataFrame, spec: SensorSpec, path: str, fmt: str = "parquet") -> None:
-    """Canonical field order; JSON one object per line."""
+    """Canonical field order; `jsonl` has an object per line, `json` an array per file of up to `ARRAY_RECORDS` records."""
     out = df.select(*spec.fields)
     if fmt == "csv":
         out.write.option("header", True).option("nullValue", "").csv(path)
-    elif fmt in ("json", "jsonl"):
+    elif fmt == "jsonl":
         out.write.option("ignoreNullFields", False).json(path)
+    elif fmt == "json":
+        numbered = out.select(F.monotonically_increasing_id().alias("i"), F.struct(*spec.fields).alias("row"))
+        arrays = numbered.groupBy(F.floor(F.col("i") / F.lit(ARRAY_RECORDS)).alias("file")).agg(F.array_sort(F.collect_list(F.struct("i", "row"))).alias("rows"))
+        text = F.to_json(F.transform("rows", lambda r: r["row"]), {"ignoreNullFields": "false"})
+        arrays.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     else:
         out.write.parquet(path)
 

@@ -101,9 +101,9 @@ def test_leakage_is_found(spark):
 def test_drift(spark):
     shape = "path string, mean double, std double, present long"
     base = spark.createDataFrame([("a", 1.0, 1.0, 5), ("b", 1.0, 0.0, 5), ("c", 1.0, 1.0, 5)], shape)
-    now = spark.createDataFrame([("a", 3.0, 1.0, 5), ("b", 2.0, 1.0, 5)], shape)
+    now = spark.createDataFrame([("a", 3.0, 1.0, 5), ("b", 2.0, 1.0, 5), ("d", None, None, 0), ("e", 1.0, 1.0, 5)], shape)
     got = {r.path: (r.compared, r.score, r.reason) for r in qc.drift(now, base).collect()}
-    assert got == {"a": (True, 2.0, None), "b": (True, None, "ZERO_BASELINE_STD"), "c": (False, None, "MISSING_IN_CURRENT")}
+    assert got == {"a": (True, 2.0, None), "b": (True, None, "baseline_std_zero_mean_shifted"), "d": (False, None, "missing_in_current"), "e": (False, None, "missing_in_baseline")}
 
 
 def test_dedup_needs_equal_payloads(spark):
