@@ -10,9 +10,9 @@ languages have in that language, but for a small share of these.  Short, noisy o
 known languages stay below that.
 
 The models are fitted on a bounded sample: of each language, training texts in the order of a hash
-of their doc_id, as long as they sum to at most `sample_chars` characters and are at most one for
-each hundred of these.  Of a training text longer than a tenth of `sample_chars` the start of that
-length is used, so that no text shuts out the others.
+of their doc_id, as long as they sum to at most `sample_chars` characters and are at most
+`sample_texts`.  Of a training text longer than a tenth of `sample_chars` the start of that length is
+used, so that no text shuts out the others.  Predictions read whole texts, long ones in segments.
 
 Defined cases: a null text, or one without letters, is `und` with score 0 and rejected; null
 languages don't train; without any training text all is `und`; ties go to the language first by
@@ -21,19 +21,22 @@ name; repeated rows are judged each; an empty table gives an empty result; other
 
 from __future__ import annotations
 
-import zlib
+import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunked, shipped, table
+from .common import chunked, materialize, scrap, shipped, table
 
 ORDER = 5
 SAMPLE_CHARS = 300_000
+SAMPLE_TEXTS = 3000
 #: One training text gives at most this part of the sample.
 SAMPLE_SHARE = 10
+#: Characters that are scored at once.
+SEGMENT = 1 << 18
 #: A hashed quarter of the documents is kept from training.
 FOLDS, HELD_OUT = 4, 2
 QUANTILE, MARGIN, FOREIGN = 0.99, 1.35, 0.05
@@ -62,6 +65,32 @@ def normal(text: str | None) -> np.ndarray:
     return points[~(space & np.concatenate(([False], space[:-1])))]
 
 
+#: Where a text may be cut: `normal` has a space there in any case.
+BETWEEN = re.compile(r"[^\w]")
+
+
+def segments(text: str | None, order: int, limit: int = SEGMENT):
+    """The points of `normal` in parts that overlap by all but one of an n-gram, so that each n-gram is in just one.
+
+    A text shorter than an n-gram gets spaces in front.  Without a place to cut within another
+    `limit` characters a word is cut, as if there were a space.
+    """
+    held, at = np.zeros(0, np.uint32), 0
+    while text and at < len(text):
+        cut = BETWEEN.search(text, at + limit, at + 2 * limit) if len(text) - at > limit else None
+        stop = cut.start() if cut else min(len(text), at + 2 * limit)
+        part = normal(text[at:stop])
+        at = stop
+        held = np.concatenate((held, part[1:] if len(held) and held[-1] == 32 else part))
+        if at < len(text) and len(held) >= order:
+            yield held
+            held = held[len(held) - order + 1 :]
+    if len(held) >= order:
+        yield held
+    elif len(held) and len(text) <= limit:
+        yield np.concatenate((np.full(order - len(held), 32, np.uint32), held))
+
+
 def gram_keys(points: np.ndarray, n: int) -> np.ndarray:
     """A 64-bit hash of each n consecutive code points, the last one's place included."""
     value = points.astype(np.uint64) + np.uint64(1)
@@ -179,50 +208,47 @@ class Models:
             key ^= key >> np.uint64(29)
         return key ^ np.uint64(n)
 
-    def entropies(self, texts: list[str | None]) -> np.ndarray:
+    def entropies(self, texts: list[str | None], limit: int = SEGMENT) -> np.ndarray:
         """Cross-entropy per character of each text (rows) in each language; nan without letters."""
-        out = np.full((len(texts), len(self.languages)), np.nan)
-        pad = self.order - 1
-        points = [normal(t) for t in texts]
-        some = [i for i, p in enumerate(points) if len(p)]
-        if not some or not self.languages:
-            return out
-        # texts shorter than an n-gram get spaces in front; n-grams across two texts are left out
-        sizes = np.array([max(len(points[i]), self.order) for i in some])
-        flat = np.concatenate([np.concatenate((np.full(max(0, self.order - len(points[i])), 32, np.uint32), points[i])) for i in some])
-        logp = self.scores(flat)
-        ends = np.cumsum(sizes)
-        for row, end, n in zip(some, ends, sizes, strict=True):
-            out[row] = -logp[end - n : end - pad].mean(axis=0, dtype=np.float64)
-        return out
-
-
-def training(docs: DataFrame, sample_chars: int) -> dict[str, list[str]]:
+        total, count = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
+        parts = ((row, part) for row, text in enumerate(texts) for part in segments(text, self.order, limit))
+        for chunk in chunked(parts, lambda x: len(x[1]), limit) if self.languages else ():
+            # n-grams across two texts are left out
+            logp = self.scores(np.concatenate([part for _, part in chunk]))
+            end = 0
+            for row, part in chunk:
+                end += len(part)
+                total[row] -= logp[end - len(part) : end - self.order + 1].sum(axis=0, dtype=np.float64)
+                count[row] += len(part) - self.order + 1
+        return np.where(count[:, None] > 0, total / np.maximum(count, 1)[:, None], np.nan)
+
+
+def training(docs: DataFrame, sample_chars: int, sample_texts: int = SAMPLE_TEXTS) -> dict[str, list[str]]:
     """The bounded sample: language -> texts."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
     able = docs.where((fold != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0) & (F.col("lang") != UNKNOWN))
     longest = max(1, sample_chars // SAMPLE_SHARE)
-    lean = able.select("doc_id", "lang", F.xxhash64("doc_id").alias("_order"), F.least(F.length("text"), F.lit(longest)).alias("_n"))
+    lean = materialize(able.select("doc_id", "lang", F.xxhash64("doc_id").alias("_order"), F.least(F.length("text"), F.lit(longest)).alias("_n")), "lengths")
     # only texts whose hash is among the smallest of their language are ranked, whatever the corpus holds
-    most = sample_chars // 100
-    counts = able.groupBy("lang").agg(F.count("*").alias("_count"))
+    counts = lean.groupBy("lang").agg(F.count("*").alias("_count"))
     share = (F.col("_order") / F.lit(2.0**63) + 1) / 2
     counts = F.broadcast(counts) if counts.count() <= MOST_LANGUAGES else counts
-    few = lean.join(counts, "lang").where(share * F.col("_count") <= 2 * most)
+    few = lean.join(counts, "lang").where(share * F.col("_count") <= 2 * sample_texts)
     by_hash = Window.partitionBy("lang").orderBy("_order", "doc_id")
-    near = few.withColumn("_rank", F.row_number().over(by_hash)).where(F.col("_rank") <= most)
+    near = few.withColumn("_rank", F.row_number().over(by_hash)).where(F.col("_rank") <= sample_texts)
     run = F.sum("_n").over(by_hash.rowsBetween(Window.unboundedPreceding, 0))
-    chosen = near.withColumn("_sum", run).where(F.col("_sum") <= sample_chars).select("doc_id", "lang")
+    chosen = materialize(near.withColumn("_sum", run).where(F.col("_sum") <= sample_chars).select("doc_id", "lang"), "chosen")
     found = able.select("doc_id", "lang", F.substring("text", 1, longest).alias("text")).join(F.broadcast(chosen) if chosen.count() <= 100_000 else chosen, ["doc_id", "lang"], "left_semi")
     out: dict[str, list[str]] = {}
     for r in sorted(found.select("lang", "text").collect(), key=lambda r: (r["lang"], r["text"])):
         out.setdefault(r["lang"], []).append(r["text"])
+    scrap(lean, chosen)
     return out
 
 
-def fit(docs: DataFrame, order: int = ORDER, sample_chars: int = SAMPLE_CHARS) -> Models:
+def fit(docs: DataFrame, order: int = ORDER, sample_chars: int = SAMPLE_CHARS, sample_texts: int = SAMPLE_TEXTS) -> Models:
     """Models of all languages, with each one's rejection limit from the texts it was fitted on."""
-    texts = training(docs, sample_chars)
+    texts = training(docs, sample_chars, sample_texts)
     # a fifth of each language's texts calibrates and doesn't train, where there are enough
     held = {k: v[::5] if len(v) >= 10 else v for k, v in texts.items()}
     own = {k: [t for i, t in enumerate(v) if i % 5] if len(v) >= 10 else v for k, v in texts.items()}
@@ -254,7 +280,7 @@ def judge(models: Models, texts: list[str | None]):
 
 def judged(models: Models, batch: pa.RecordBatch) -> list[tuple]:
     texts = batch.column("text").cast(pa.large_string()).to_pylist()
-    return [x for chunk in chunked(texts, lambda t: len(t or ""), 1 << 18) for x in judge(models, chunk)]
+    return judge(models, texts)
 
 
 def recognised(docs: DataFrame, order: int = ORDER, sample_chars: int = SAMPLE_CHARS) -> DataFrame:

@@ -257,6 +257,51 @@ def test_language_id(spark, docs, empty):
     assert language_id.identify(empty).count() == 0
 
 
+def plain_kneser_ney(texts, order, alphabet):
+    """character n-gram -> probability, by the definition of interpolated Kneser-Ney, from dictionaries."""
+    seen = "".join("".join(map(chr, language_id.normal(t))) + "\x01" * order for t in texts)
+    value = {order: Counter(seen[i : i + order] for i in range(len(seen) - order + 1))}
+    for n in range(order - 1, 0, -1):
+        value[n] = Counter(g[1:] for g in {seen[i : i + n + 1] for i in range(len(seen) - n)})
+    discount, total, kinds = {}, {}, {}
+    for n, grams in value.items():
+        ones, twos = (sum(v == k for v in grams.values()) for k in (1, 2))
+        discount[n] = ones / (ones + 2 * twos) if ones and twos else 0.75
+        total[n], kinds[n] = Counter(), Counter()
+        for g, v in grams.items():
+            total[n][g[:-1]] += v
+            kinds[n][g[:-1]] += 1
+
+    def probability(gram):
+        n = len(gram)
+        if not n:
+            return 1 / alphabet
+        held = total[n][gram[:-1]]
+        below = probability(gram[1:])
+        return below if not held else max(value[n][gram] - discount[n], 0) / held + discount[n] * kinds[n][gram[:-1]] / held * below
+
+    return probability
+
+
+def test_kneser_ney_against_its_definition():
+    rng = random.Random(4)
+    prose = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 6))) for _ in range(40))
+    texts = {"xx": [prose("abcd") for _ in range(6)], "yy": [prose("bcde") for _ in range(4)]}
+    models = language_id.Models(texts, 5)
+    alphabet = len({int(p) for ts in texts.values() for t in ts for p in language_id.normal(t)} | {1}) + 1
+    asked = [prose("abcde"), prose("xyz"), "ab", "Bc, d", texts["xx"][0]]
+    got = models.entropies(asked)
+    for k, lang in enumerate(models.languages):
+        p = plain_kneser_ney(texts[lang], 5, alphabet)
+        for i, text in enumerate(asked):
+            points = "".join(map(chr, language_id.normal(text))).rjust(5)
+            want = -np.mean([np.log(p(points[j : j + 5])) for j in range(len(points) - 4)])
+            assert abs(got[i, k] - want) < 1e-4
+    for limit in (7, 50):
+        assert np.allclose(models.entropies(asked, limit)[[0, 1, 4]], got[[0, 1, 4]], atol=1e-6)
+    assert np.isnan(models.entropies([None, "", "12 ?"])).all()
+
+
 @pytest.mark.parametrize("version", [1, 2])
 def test_warc(spark, version):
     rows = [(1, "http://a b/", "<p>x\r\n\r\nWARC/1.0\r\n</p>"), (2, None, "same é"), (3, "u", "same é"), (4, "u", None), (5, "u", ""), (None, "u", "alone\n\n")]
