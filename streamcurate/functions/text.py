@@ -18,7 +18,8 @@ def blank(c: Column) -> Column:
 
 
 def to_double(c: Column) -> Column:
-    return F.when(c.rlike(FLOAT), F.trim(c).try_cast("double"))
+    # without these letters a cast takes just what the pattern does, and the pattern is dear
+    return F.when(~c.rlike("[dDfFxX]") | c.rlike(FLOAT), F.trim(c).try_cast("double"))
 
 
 def to_long(c: Column) -> Column:

@@ -334,6 +334,20 @@ def affected_closure(replaced: DataFrame, edges: DataFrame, max_depth: int | Non
     return parents.join(inside, ["root", "parent"], "left").where("level > 0").select("root", "node", "level", "parent", F.coalesce("_in", F.lit(False)).alias("parent_replaced"))
 
 
+def replacement_conflicts(pairs: DataFrame, artifacts: DataFrame, columns: tuple[str, ...] = ("artifact_type", "session_id")) -> DataFrame:
+    """(old, new, field) where a replacement (nodes old and new) doesn't agree in one of the columns; an unknown node disagrees in `node`.
+
+    columns: what old and new must share, such as type, session, schema and ingestion.
+    """
+    known = artifacts.select(node("artifact_type", "artifact_id").alias("node"), F.struct(*columns).alias("own"))
+    old, new = known.toDF("old", "old_own"), known.toDF("new", "new_own")
+    both = pairs.select("old", "new").join(old, "old", "left").join(new, "new", "left")
+    fields = [F.when(~F.col(f"old_own.{c}").eqNullSafe(F.col(f"new_own.{c}")), c) for c in columns]
+    unknown = F.col("old_own").isNull() | F.col("new_own").isNull()
+    found = F.when(unknown, F.array(F.lit("node"))).otherwise(F.filter(F.array(*fields), lambda x: x.isNotNull()))
+    return both.select("old", "new", F.explode(found).alias("field"))
+
+
 def artifact_detail(artifacts: DataFrame, edges: DataFrame, kind: str | None = None, session: str | None = None) -> DataFrame:
     """Artifacts with sorted names of parents and children, filtered."""
     up = edges.groupBy(node("child_type", "child_id").alias("name")).agg(F.sort_array(F.collect_list(node("parent_type", "parent_id"))).alias("parents"))

@@ -18,6 +18,14 @@ def resolve_aliases(df: DataFrame, spec: SensorSpec) -> DataFrame:
     return df.toDF(*target)
 
 
+def alias_conflicts(records: DataFrame, spec: SensorSpec, value: str = "value") -> DataFrame:
+    """N1 of JSON: (the columns of `records` and field) where one record gives a field under several names; such a run fails."""
+    own = F.map_keys(F.from_json(value, "map<string,string>"))
+    names = {f: [f, *(a for a, t in spec.aliases.items() if t == f)] for f in spec.fields}
+    twice = [F.when(F.size(F.array_intersect(own, F.array(*map(F.lit, n)))) > 1, f) for f, n in names.items()]
+    return records.withColumn("field", F.explode(F.filter(F.array(*twice), lambda x: x.isNotNull())))
+
+
 def unit_factors(spec: SensorSpec, units: dict[str, str]) -> dict[str, float]:
     """Field to factor; every dimension of the sensor needs a supported unit before anything is read."""
     out = {}
@@ -39,12 +47,12 @@ def canonical_timestamp(df: DataFrame, column: str = "timestamp") -> DataFrame:
     return df.withColumns({"epoch_us": F.unix_micros(ts), column: tx.iso_utc(ts)})
 
 
-def cast_failure(spec: SensorSpec, columns: list[str]) -> Column:
-    """First field of a text record that N3, N4 or N5 refuse, or null."""
+def cast_failure(spec: SensorSpec, columns: list[str], typed: dict[str, Column] | None = None) -> Column:
+    """First field of a text record that N3, N4 or N5 refuse, or null; typed: values cast before, by field."""
     out = []
     for n, f in spec.fields.items():
         c = F.col(n) if n in columns else F.lit(None).cast("string")
-        value = tx.CASTS[f.type](c)
+        value = tx.CASTS[f.type](c) if typed is None else typed[n]
         bad = ~tx.blank(c) & (value.isNull() | (~tx.is_finite(value) if f.type == "float" else F.lit(False)))
         if not f.nullable:
             bad = bad | tx.blank(c)
@@ -52,14 +60,20 @@ def cast_failure(spec: SensorSpec, columns: list[str]) -> Column:
     return F.coalesce(*out)
 
 
-def cast_plain(df: DataFrame, spec: SensorSpec) -> DataFrame:
+def with_values(df: DataFrame, spec: SensorSpec) -> tuple[DataFrame, dict[str, Column]]:
+    """The fields of `spec` cast once, in a struct beside the text."""
+    cells = [tx.CASTS[f.type](F.col(n) if n in df.columns else F.lit(None).cast("string")).alias(n) for n, f in spec.fields.items()]
+    return df.withColumn("_values", F.struct(*cells)), {n: F.col(f"_values.{n}") for n in spec.fields}
+
+
+def cast_plain(df: DataFrame, spec: SensorSpec, typed: dict[str, Column] | None = None) -> DataFrame:
     """Typed fields in canonical order after the other columns; blanks of optional fields are null."""
-    typed = {}
+    values = {}
     for n, f in spec.fields.items():
         c = F.col(n) if n in df.columns else F.lit(None).cast("string")
-        typed[n] = F.when(~tx.blank(c), c if f.type == "datetime" else tx.CASTS[f.type](c))
+        values[n] = F.when(~tx.blank(c), c if f.type == "datetime" else tx.CASTS[f.type](c) if typed is None else typed[n])
     rest = [c for c in df.columns if c in ("session_id", "stream", "file", "record_number")]
-    return df.select(*rest, *(v.alias(n) for n, v in typed.items()))
+    return df.select(*rest, *(v.alias(n) for n, v in values.items()))
 
 
 def quarantine(df: DataFrame, spec: SensorSpec) -> tuple[DataFrame, DataFrame]:
@@ -72,12 +86,13 @@ def normalize(df: DataFrame, spec: SensorSpec, units: dict[str, str], on_error:
     """One lazy projection.  `fail` raises at the first bad record when run; `quarantine` returns (good, bad)."""
     named = resolve_aliases(df, spec)
     unit_factors(spec, units)
-    ready = lambda rows: convert_units(canonical_timestamp(cast_plain(rows, spec)), spec, units)
+    held, typed = with_values(named, spec)
+    bad = cast_failure(spec, named.columns, typed)
+    ready = lambda rows: convert_units(canonical_timestamp(cast_plain(rows, spec, typed)), spec, units)
     if on_error == "quarantine":
-        good, bad = quarantine(named, spec)
-        return ready(good), bad
-    bad = cast_failure(spec, named.columns)
-    checked = named.withColumn("record_number", F.when(bad.isNull(), F.col("record_number")).otherwise(F.raise_error(F.concat(F.lit("record "), F.col("record_number").cast("string"), F.lit(": bad "), bad)).cast("long")))
+        marked = held.withColumn("bad_field", bad)
+        return ready(marked.where("bad_field is null")), marked.where("bad_field is not null").drop("_values")
+    checked = held.withColumn("record_number", F.when(bad.isNull(), F.col("record_number")).otherwise(F.raise_error(F.concat(F.lit("record "), F.col("record_number").cast("string"), F.lit(": bad "), bad)).cast("long")))
     return ready(checked)
 
 

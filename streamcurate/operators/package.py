@@ -172,15 +172,15 @@ def package(samples: DataFrame, ratios: tuple[float, float, float] = (0.8, 0.1,
         firsts = grouped.groupBy("group_id").agg(F.min(F.struct("session_id", "source_row_start", "sample_id")).alias("f"), F.count("*").alias("n"))
         ordered = positions(firsts.select("group_id", "n", "f.*"), "session_id", "source_row_start", "sample_id", "group_id").select("group_id", "position", "n")
         out = grouped.join(sequential_split(ordered, *ratios).select("group_id", "split"), "group_id")
+    out = materialize(out, "packaged")
     stats = split_stats(out)
     return Package(out, leakage_audit(split_index(out), samples, grouping == "overlap"), stats, package_status(stats, dict(zip(SPLITS, ratios, strict=True))))
 
 
 def commit(made: Package, path: str, parquet: bool = False) -> None:
     """Audited first (P6), then written: split index (P9), JSON lines by split (I8) and, if asked for, Parquet."""
-    kept = Package(materialize(made.samples, "packaged"), made.audit, made.stats, made.status)
-    require_audit(kept.audit)
-    split_index(kept.samples).write.parquet(f"{path}/index")
-    write_splits_jsonl(kept.samples, f"{path}/jsonl")
+    require_audit(made.audit)
+    split_index(made.samples).write.parquet(f"{path}/index")
+    write_splits_jsonl(made.samples, f"{path}/jsonl")
     if parquet:
-        write_splits_parquet(kept.samples, f"{path}/parquet")
+        write_splits_parquet(made.samples, f"{path}/parquet")

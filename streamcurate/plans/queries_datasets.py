@@ -12,7 +12,7 @@ from ..operators import package as pk
 from ..operators import qc
 from ..operators import windows as wn
 from ..sources import files as fs
-from ..specs import IMU
+from ..specs import GPS, IMU
 from ..streaming import live
 from .pipeline import PipelineConfig
 from .pipeline import run as run_pipeline
@@ -527,6 +527,12 @@ def g17(spark, d):
     return ln.affected_closure(roots(spark, d, "ingestion"), edges(spark, d))
 
 
+@query("g17_replacement_conflicts", "SELECT 'package/' || a.o_orderkey AS old, 'package/' || b.o_orderkey AS new, 'session_id' AS field FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1 WHERE a.o_orderkey % 9 <> b.o_orderkey % 9 UNION ALL SELECT 'package/' || o_orderkey, 'package/' || (o_orderkey + 1), 'node' FROM orders WHERE o_orderkey + 1 NOT IN (SELECT o_orderkey FROM orders)")
+def g17_conflicts(spark, d):
+    pairs = table(spark, d, "orders").selectExpr("concat('package/', o_orderkey) AS old", "concat('package/', o_orderkey + 1) AS new")
+    return ln.replacement_conflicts(pairs, artifacts(spark, d))
+
+
 @query("g18_artifact_detail", REGION_SQL + " SELECT name, parent AS parents, coalesce((SELECT count(*) FROM node c WHERE c.parent = node.name), 0) AS n_children FROM node WHERE name LIKE 'integrity/%'")
 def g18(spark, d):
     out = ln.artifact_detail(artifacts(spark, d), edges(spark, d), kind="integrity")
@@ -593,6 +599,17 @@ def t1(spark, d):
     return fine.unionByName(spark.read.parquet(bad).select("record_number", F.lit(None).cast("long").alias("epoch_us"), F.lit(None).cast("double").alias("accel_x"), F.lit(False).alias("good")))
 
 
+@query("t1_stream_integrity", "SELECT event_id AS record_number, CASE WHEN event_id % 5 = 0 THEN 'latitude' WHEN event_id % 7 = 0 THEN 'speed' END AS bad_field FROM events WHERE event_type = 'click'")
+def t1_integrity(spark, d):
+    feed = live_events(spark, d).where("event_type = 'click'").selectExpr(
+        "CAST(user_id AS STRING) AS session_id", "event_id AS record_number", "'2024-01-01T00:00:00Z' AS timestamp", "CASE WHEN event_id % 5 = 0 THEN '91' ELSE '45.5' END AS latitude", "'9' AS longitude", "CASE WHEN event_id % 7 = 0 THEN '-1' ELSE '1' END AS speed"
+    )
+    good, bad = fresh_path(spark, "good"), fresh_path(spark, "bad")
+    drained(spark, live.validate_normalize(feed, GPS, {"altitude": "m", "speed": "m/s"}, lambda df, n: df.write.mode("append").parquet(good), lambda df, n: df.write.mode("append").parquet(bad)))
+    fine = spark.read.parquet(good).select("record_number", F.lit(None).cast("string").alias("bad_field"))
+    return fine.unionByName(spark.read.parquet(bad).select("record_number", "bad_field"))
+
+
 @query("t2_stream_order_check", "SELECT session_id, event_id AS record, CASE WHEN t < p THEN 'TIMESTAMP_OUT_OF_ORDER' ELSE 'DUPLICATE_TIMESTAMP' END AS code FROM (SELECT *, lag(t) OVER (PARTITION BY session_id ORDER BY event_id) AS p FROM (SELECT user_id::VARCHAR AS session_id, event_id, CASE WHEN event_id % 9 = 0 THEN 7 ELSE event_id END AS t FROM events)) WHERE t <= p")
 def t2(spark, d):
     feed = live_events(spark, d).selectExpr("CAST(user_id AS STRING) AS session_id", "'all' AS stream", "event_id AS record_number", "CASE WHEN event_id % 9 = 0 THEN 7L ELSE event_id END AS epoch_us")

@@ -185,7 +185,13 @@ def v10_order(spark, d):
 @query("v11_validation_summary", DIRTY_SQL + f" SELECT session_id, file, count(*) AS records_checked, count(*) FILTER ({_BAD} OR timestamp NOT LIKE '%Z') AS invalid_records, (count(*) FILTER ({_BAD}) + count(*) FILTER (timestamp NOT LIKE '%Z')) AS error_count, CASE WHEN count(*) FILTER ({_BAD} OR timestamp NOT LIKE '%Z') > 0 THEN 'failed' ELSE 'passed' END AS status FROM dirty GROUP BY ALL")
 def v11(spark, d):
     df = text_columns(dirty(spark, d))
-    return va.validation_summary(df, va.validate_text(df, IMU)).select("session_id", "file", "records_checked", "invalid_records", "error_count", "status")
+    return va.validation_counts(df, va.null_checks(df, IMU) + va.text_checks(df, IMU)).select("session_id", "file", "records_checked", "invalid_records", "error_count", "status")
+
+
+@query("v11_summary_of_issues", DIRTY_SQL + f" SELECT session_id, count(*) AS records_checked, count(*) FILTER ({_BAD} OR timestamp NOT LIKE '%Z') AS invalid_records, CASE WHEN count(*) FILTER ({_BAD} OR timestamp NOT LIKE '%Z') > 0 THEN 'failed' ELSE 'passed' END AS status FROM dirty GROUP BY ALL")
+def v11_issues(spark, d):
+    df = text_columns(dirty(spark, d))
+    return va.validation_summary(df, va.validate_text(df, IMU)).select("session_id", "records_checked", "invalid_records", "status")
 
 
 @query("v12_latest_report", "SELECT o_custkey AS file_id, o_orderpriority AS schema_name, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS status, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS report_id FROM orders GROUP BY ALL")
@@ -260,7 +266,7 @@ def c7(spark, d):
 def c8(spark, d):
     df = typed(spark, d)
     checks = ig.non_finite(["accel_x"]) + ig.extremes({"accel_x": 200.0, "gyro_x": 50.0}) + ig.time_order()
-    return ig.integrity_summary(df, ig.check_integrity(df, IMU, checks=checks)).select("session_id", "records_checked", "error_count", "warning_count", "failed_records", "status")
+    return ig.integrity_counts(df, IMU, checks=checks).select("session_id", "records_checked", "error_count", "warning_count", "failed_records", "status")
 
 
 @query("c8_empty_source", "WITH s AS (SELECT DISTINCT c_custkey AS k FROM customer), n AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) SELECT s.k::VARCHAR AS session_id, coalesce(n, 0) AS records_checked, CASE WHEN n IS NULL THEN 1 ELSE 0 END AS error_count, 0 AS failed_records, CASE WHEN n IS NULL THEN 'failed' ELSE 'passed' END AS status FROM s LEFT JOIN n USING (k)")
@@ -280,6 +286,13 @@ def n1(spark, d):
     return nz.resolve_aliases(renamed(spark, d), IMU).select("session_id", "record_number", "accel_x", "accel_y", "gyro_x")
 
 
+@query("n1_alias_conflicts", "SELECT event_id, 'accel_x' AS field FROM events WHERE event_type = 'view' AND event_id % 3 = 0 UNION ALL SELECT event_id, 'gyro_z' FROM events WHERE event_type = 'view' AND event_id % 5 = 0")
+def n1_conflicts(spark, d):
+    events = table(spark, d, "events").where("event_type = 'view'")
+    lines = events.selectExpr("event_id", """concat('{"ax":1', CASE WHEN event_id % 3 = 0 THEN ',"accel_x":2' ELSE '' END, ',"gz":1', CASE WHEN event_id % 5 = 0 THEN ',"Gyro Z":2,"gyro_z":3' ELSE '' END, '}') AS value""")
+    return nz.alias_conflicts(lines, IMU).select("event_id", "field")
+
+
 @query("n2_convert_units", SENSORS_SQL + f" SELECT session_id, record_number, round(accel_x * {G}::DOUBLE, 9) AS accel_x, round(gyro_x * {DEG}::DOUBLE, 9) AS gyro_x FROM imu")
 def n2(spark, d):
     return nz.convert_units(sensor(spark, d, "imu"), IMU, UNITS).select("session_id", "record_number", F.round("accel_x", 9).alias("accel_x"), F.round("gyro_x", 9).alias("gyro_x"))

@@ -6,17 +6,28 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.storage import materialize
 from ..specs import SensorSpec
 
 #: What may be ingested, and the largest file.
 EXTENSIONS = (".csv", ".json", ".jsonl", ".zip")
 MAX_BYTES = 512 * 1024 * 1024
+#: Up to so many blocks of files are broadcast; more are joined by shuffle.
+BROADCAST_BLOCKS = 100_000
 
 
 def with_record_number(df: DataFrame, file: str = "_file", block: str = "_block") -> DataFrame:
-    """I4: the 1-based order of records in each file: block of the file, then order inside it."""
-    w = Window.partitionBy(file).orderBy(block, "_order")
-    return df.withColumn("record_number", F.row_number().over(w).cast("long"))
+    """I4: the 1-based order of records in each file.
+
+    A block's rows are read by one task in their order, with consecutive ids; the rows of the blocks
+    before it come from one count per block.  So a file is read in splits and never sorted.
+    """
+    blocks = df.groupBy(file, block).agg(F.min("_order").alias("_first"), F.count("*").alias("_rows"))
+    before = Window.partitionBy(file).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    bases = blocks.select(file, block, "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base"))
+    bases = materialize(bases, "blocks")
+    bases = F.broadcast(bases) if bases.count() <= BROADCAST_BLOCKS else bases
+    return df.join(bases, [file, block]).withColumn("record_number", F.col("_order") - F.col("_first") + F.col("_base") + 1).drop("_first", "_base")
 
 
 def located(df: DataFrame) -> DataFrame:
@@ -42,15 +53,18 @@ def read_jsonl(spark: SparkSession, paths) -> DataFrame:
 
 
 def read_json(spark: SparkSession, paths) -> DataFrame:
-    """One object, or the items of an array, per whole file; anything else is one invalid record."""
+    """One object, or the items of an array, per whole file; anything else is one invalid record.
+
+    Such a file is one row, so it has to pass `ingest_filter` first, which bounds its size.
+    """
     whole = spark.read.option("wholetext", True).text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
     items = F.when(F.trim("value").startswith("["), F.from_json("value", "array<string>")).otherwise(F.array("value"))
     return whole.select("file", F.posexplode(F.coalesce(items, F.array("value"))).alias("i", "value")).select("file", (F.col("i") + 1).cast("long").alias("record_number"), "value")
 
 
 def ingest_manifest(spark: SparkSession, paths, customer_id: str | None = None, session_id: str | None = None, device_id: str | None = None, source_type: str | None = None) -> DataFrame:
-    """One row per file: path, sha256, size_bytes and the ids."""
-    files = spark.read.format("binaryFile").load(paths)
+    """One row per file: path, sha256, size_bytes and the ids.  Files that I6 finds too large aren't read."""
+    files = spark.read.format("binaryFile").load(paths).where(F.col("length") <= MAX_BYTES)
     customer = customer_id.strip() if customer_id and customer_id.strip() else "anonymous"
     sha = F.sha2("content", 256)
     session = F.lit(session_id) if session_id else F.concat(F.lit("sess_"), F.substring(sha, 1, 16))

@@ -5,24 +5,38 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
+from ..operators import integrity as ig
 from ..operators import normalize as nz
 from ..operators import qc
 from ..specs import SensorSpec
 
 
+def plausible(spec: SensorSpec) -> list[Column]:
+    """The checks of a sensor that need no other record."""
+    out = ig.non_finite(spec.of_type("float", "integer")) + ig.extremes(spec.limits)
+    return out + (ig.lat_lon_range() + ig.negative_speed() if spec.name == "gps" else [])
+
+
 def validate_normalize(stream: DataFrame, spec: SensorSpec, units: dict[str, str], good: Callable[[DataFrame, int], None], bad: Callable[[DataFrame, int], None]):
-    """A writer that sends each micro-batch's normalized records to `good` and the others to `bad`."""
+    """A writer that sends each micro-batch's normalized records to `good` and the others to `bad`.
+
+    Records that an integrity check without memory (C1 to C5) calls an error go to `bad` too, with the
+    field that is to blame; warnings stay.
+    """
 
     def batch(df: DataFrame, number: int) -> None:
         df.persist()
         try:
             fine, rest = nz.normalize(df, spec, units, on_error="quarantine")
-            good(fine, number)
-            bad(rest, number)
+            errors = F.filter(F.array(*plausible(spec)), lambda x: x["severity"] == "error")
+            judged = fine.withColumn("_fault", F.get(errors, F.lit(0))["field"])
+            good(judged.where("_fault is null").drop("_fault"), number)
+            faulty = judged.where("_fault is not null").select("record_number", F.col("_fault").alias("_field"))
+            bad(rest.unionByName(df.join(faulty, "record_number").withColumn("bad_field", F.col("_field")).select(*rest.columns)), number)
         finally:
             df.unpersist()
 
@@ -84,4 +98,4 @@ def qc_profile(stream: DataFrame, columns: list[str], baseline: DataFrame, sink:
     return stream.writeStream.foreachBatch(batch)
 
 
-__all__ = ["OrderCheck", "dedup", "order_check", "qc_profile", "time_windows", "validate_normalize"]
+__all__ = ["OrderCheck", "dedup", "order_check", "plausible", "qc_profile", "time_windows", "validate_normalize"]
