@@ -2,13 +2,16 @@
 
 import base64
 import hashlib
+import os
 import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from streamcurate.llm import decontamination, embedding_dedup, language_id, ngram_join, packing, secret_scan, substring_dedup, suffix_dedup, token_counts, warc
@@ -196,16 +199,23 @@ def test_secret_ownership(spark):
 
 
 def brute_pieces(rows):
-    encode = packing.encoder()
+    """Pieces by the tokenizers library."""
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     want = []
     for doc, text in rows:
-        ids = [*encode(text or ""), 2]
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 2]
         first = len(ids) % 1024 or 1024
         cuts = [0, *range(first, len(ids) + 1, 1024)]
         want += [(doc, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
     return want
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data")
+def test_ids_of_given_documents(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    assert sorted(tuple(r) for r in packing.pieces_of(rows).collect()) == sorted(brute_pieces(map(tuple, rows.collect())))
+
+
 def test_packing(docs):
     want = brute_pieces((r[0], r[1]) for r in corpus())
     got = packing.pack(docs).collect()
