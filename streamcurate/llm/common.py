@@ -145,14 +145,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
         parent = materialize(parent, "parent")
         while True:
             up = parent.select(F.col("node").alias("mid"), F.col("up").alias("top"))
-            jumped = materialize(parent.join(up, F.col("up") == F.col("mid")).select("node", "up", "top"), "jump")
-            moved = jumped.where("top <> up").take(1)
-            parent = jumped.select("node", F.col("top").alias("up"))
+            jumped = materialize(parent.join(up, F.col("up") == F.col("mid")).select("node", F.col("top").alias("up"), (F.col("top") != F.col("up")).alias("moved")), "jump")
+            scrap(parent)
+            moved, parent = jumped.where("moved").take(1), jumped
             if not moved:
                 break
-        maps.append(parent)
-        pa_, pb = parent.toDF("a", "ra"), parent.toDF("b", "rb")
-        edges = materialize(edges.join(pa_, "a").join(pb, "b").where("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "edges")
+        maps.append(parent.select("node", "up"))
+        pa_, pb = maps[-1].toDF("a", "ra"), maps[-1].toDF("b", "rb")
+        older, edges = edges, materialize(edges.join(pa_, "a").join(pb, "b").where("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "edges")
+        scrap(older)
     if not maps:
         return spark.createDataFrame([], "node long, component long")
     out = maps[0].toDF("node", "component")

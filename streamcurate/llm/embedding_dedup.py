@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize, table, whole_groups
+from .common import connected_components, materialize, scrap, table, whole_groups
 from .ngram_join import blocked, roots_of
 
 THRESHOLD = 0.93
@@ -188,12 +188,15 @@ def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, block: int
     heads = materialize(heads.select("key", "low", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "key").alias("component")), "heads")
     lows = heads.groupBy("component").agg(F.min("low").alias("component_id"))
     full = heads.join(lows, "component").select("key", "copies", "links", "component_id")
-    return rows.select("vec_id", "key").join(full, "key", "left").select(
+    out = rows.select("vec_id", "key").join(full, "key", "left").select(
         "vec_id",
         F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).alias("n_links"),
         F.coalesce("component_id", "vec_id").alias("component_id"),
         F.coalesce(F.col("component_id").eqNullSafe(F.col("vec_id")), F.lit(True)).alias("kept"),
     )
+    out = materialize(out, "linked")
+    scrap(classes, points, sizes, links, heads)
+    return out
 
 
 def query(spark, sf_dir):

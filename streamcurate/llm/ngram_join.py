@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, binaries, connected_components, materialize, packed_text, row_key, table, whole_groups, whole_row
+from .common import CHUNK_BYTES, binaries, connected_components, materialize, packed_text, row_key, scrap, table, whole_groups, whole_row
 from .repeats import BASE, BYTE_VALUES, mix, prefix, spans_hash
 
 N = 5
@@ -278,7 +278,9 @@ def connected(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall:
     named = materialize(named, "named")
     low = named.groupBy("component").agg(F.min("low").alias("class_id"))
     full = named.join(low, "component").select("class", "copies", "links", "component", "class_id")
-    return sigs.select("doc_id", "class", "key").join(full, "class", "left")
+    out = materialize(sigs.select("doc_id", "class", "key").join(full, "class", "left"), "connected")
+    scrap(sigs, classes, heads, groups, sizes, found, named)
+    return out
 
 
 def ngram_join(docs: DataFrame, **options) -> DataFrame:

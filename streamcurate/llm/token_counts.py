@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunked, materialize, shared_dir
+from .common import chunked, materialize, remove, shared_dir
 from .packing import encoder, ids_of
 
 #: Fixed value: the end-of-document id of the vocabulary.
@@ -164,7 +164,9 @@ def token_counts(docs: DataFrame, end: int = END, block: int = BLOCK, vocabulary
     spark = docs.sparkSession
     path = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
     write_tokens(docs, path, end, vocabulary)
-    return document_lengths(spark, path, end, block, KEY_IDS).select(key_column(F.col("key")).alias("doc_id"), "n_tokens")
+    lengths = document_lengths(spark, path, end, block, KEY_IDS).select(key_column(F.col("key")).alias("doc_id"), "n_tokens")
+    remove(spark, path)  # summaries of its blocks are written by now
+    return lengths
 
 
 def query(spark, sf_dir):

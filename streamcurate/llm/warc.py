@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binaries, materialize, shared_dir
+from .common import binaries, materialize, remove, shared_dir
 
 #: Payload bytes from which equal payloads become revisits.
 REVISIT_FROM = 0
@@ -263,6 +263,7 @@ def round_trip(pages: DataFrame, version: int = 2, revisit_from: int = REVISIT_F
     arc, warc = new_path(spark, "arc"), new_path(spark, "warc")
     write_arc(pages, arc, version)
     convert(spark, arc, warc, revisit_from)
+    remove(spark, arc)
     return read_warc(spark, warc)
 
 
