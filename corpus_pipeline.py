@@ -4,7 +4,7 @@ Every stage takes (spark, docs, sf_dir) and works on all that the one before it
 """
 
 from streamcurate.llm import decontamination, language_id, ngram_join, packing, secret_scan
-from streamcurate.llm.common import materialize, table
+from streamcurate.llm.common import materialize, scrap, table
 
 
 def identify_language(spark, docs, sf_dir):
@@ -46,6 +46,8 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        older, docs = docs, materialize(stage(spark, docs, sf_dir), name)
+        if i:
+            scrap(older)
     return STAGES[-1][1](spark, docs, sf_dir)
