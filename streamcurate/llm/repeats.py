@@ -13,7 +13,8 @@ depends on nothing but the window, so equal windows meet wherever minimisers are
 4. The operators compare the distinct strings, each in its own way.  Groups too large for one task go
    window by window through `exact_windows`, which compares the windows as strings too.
 
-Places come back as token intervals by document.
+Places come back as token intervals by document.  A document is named by its doc_id (`doc`, 0 for
+null) and a hash of doc_id and text (`key`) together, so repeated doc_ids stay apart.
 """
 
 from __future__ import annotations
@@ -166,25 +167,25 @@ def pieces(text: bytes, spec: Spec, limit: int = 4 * CHUNK_BYTES):
 
 
 def emit_runs(docs: DataFrame, spec: Spec) -> DataFrame:
-    schema = "fp long, seg long, key long, place long"
+    schema = "fp long, seg long, key long, doc long, place long"
 
     def run(batches):
         for batch in batches:
             texts = binaries(batch.column("text"))
-            keys = batch.column("key").to_numpy(zero_copy_only=False)
-            items = ((k, part, base) for k, t in zip(keys, texts, strict=True) if t for part, base in pieces(t, spec))
+            names = zip(batch.column("key").to_pylist(), batch.column("doc").to_pylist(), strict=True)
+            items = ((name, part, base) for name, t in zip(names, texts, strict=True) if t for part, base in pieces(t, spec))
             for chunk in chunked(items, lambda x: len(x[1])):
                 found = runs_of(*tokens_of([t for _, t, _ in chunk], spec), spec)
                 if found is None:
                     continue
                 doc, start, count, offset, fp, seg = found
-                own, base = (np.array([x[i] for x in chunk], np.int64)[doc] for i in (0, 2))
+                own, base = np.array([x[0] for x in chunk], np.int64)[doc], np.array([x[2] for x in chunk], np.int64)[doc]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(fp), pa.array(seg), pa.array(own), pa.array(((start + base) << 24) | (count << 12) | offset)],
-                    ["fp", "seg", "key", "place"],
+                    [pa.array(fp), pa.array(seg), pa.array(own[:, 0]), pa.array(own[:, 1]), pa.array(((start + base) << 24) | (count << 12) | offset)],
+                    ["fp", "seg", "key", "doc", "place"],
                 )
 
-    return docs.select("key", "text").mapInArrow(run, schema)
+    return docs.select("key", "doc", "text").mapInArrow(run, schema)
 
 
 def start_of(place="place"):
@@ -197,13 +198,13 @@ def count_of(place="place"):
 
 def spread(places: DataFrame, spec: Spec) -> DataFrame:
     """Token intervals of runs whose windows all repeat."""
-    return places.select("key", start_of().alias("lo"), (start_of() + count_of() + F.lit(spec.window - 1)).alias("hi"))
+    return places.select("key", "doc", start_of().alias("lo"), (start_of() + count_of() + F.lit(spec.window - 1)).alias("hi"))
 
 
 def run_strings(docs: DataFrame, candidates: DataFrame, spec: Spec) -> DataFrame:
-    """The string of each run in `candidates` (fp, seg, key, place): fp, seg, key, place, body; words joined by one space."""
-    by_doc = candidates.groupBy("key").agg(F.collect_set(F.struct("fp", "seg", "place")).alias("runs"))
-    joined = packed_text(docs, "key").join(by_doc, "key")
+    """The string of each run in `candidates` (fp, seg, key, doc, place), as column body; words joined by one space."""
+    by_doc = candidates.groupBy("key", "doc").agg(F.collect_set(F.struct("fp", "seg", "place")).alias("runs"))
+    joined = packed_text(docs, "key", "doc").join(by_doc, ["key", "doc"])
 
     def run(batches):
         import zstandard
@@ -212,7 +213,7 @@ def run_strings(docs: DataFrame, candidates: DataFrame, spec: Spec) -> DataFrame
         for batch in batches:
             runs = batch.column("runs")
             for row, blob in enumerate(batch.column("packed").to_pylist()):
-                text, key = press.decompress(blob), batch.column("key")[row].as_py()
+                text, key, doc = press.decompress(blob), batch.column("key")[row].as_py(), batch.column("doc")[row].as_py()
                 own = runs[row].values
                 fp, seg, place = (own.field(c).to_numpy() for c in ("fp", "seg", "place"))
                 first, last = place >> 24, (place >> 24) + ((place >> 12) & 4095) + spec.window - 2
@@ -225,23 +226,23 @@ def run_strings(docs: DataFrame, candidates: DataFrame, spec: Spec) -> DataFrame
                 for at in range(0, len(place), 8192):
                     part = slice(at, at + 8192)
                     body = [text[a:b] for a, b in zip(first[part].tolist(), last[part].tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(fp[part]), pa.array(seg[part]), pa.array(np.full(len(body), key, np.int64)), pa.array(place[part]), pa.array(body, pa.binary())], ["fp", "seg", "key", "place", "body"])
+                    yield pa.RecordBatch.from_arrays([pa.array(fp[part]), pa.array(seg[part]), pa.array(np.full(len(body), key, np.int64)), pa.array(np.full(len(body), doc, np.int64)), pa.array(place[part]), pa.array(body, pa.binary())], ["fp", "seg", "key", "doc", "place", "body"])
 
-    return joined.mapInArrow(run, "fp long, seg long, key long, place long, body binary")
+    return joined.mapInArrow(run, "fp long, seg long, key long, doc long, place long, body binary")
 
 
 def string_classes(strings: DataFrame) -> DataFrame:
-    """Distinct strings of runs: fp, seg, shape (windows and minimiser's place), body, n, and key and place where n = 1."""
+    """Distinct strings of runs: fp, seg, shape (windows and minimiser's place), body, n, and key, doc and place where n = 1."""
     shaped = strings.withColumn("shape", F.col("place").bitwiseAND(F.lit((1 << 24) - 1)))
-    return shaped.groupBy("fp", "seg", "shape", "body").agg(F.count("*").alias("n"), F.min("key").alias("key"), F.min("place").alias("place"))
+    return shaped.groupBy("fp", "seg", "shape", "body").agg(F.count("*").alias("n"), F.min("key").alias("key"), F.min("doc").alias("doc"), F.min("place").alias("place"))
 
 
 def exact_windows(classes: DataFrame, spec: Spec) -> DataFrame:
-    """(key, lo, hi) of the repeated windows in classes with n = 1, window by window, for groups of any size.
+    """(key, doc, lo, hi) of the repeated windows in classes with n = 1, window by window, for groups of any size.
 
     Fingerprints only keep back windows that can't repeat; the others are grouped as strings.
     """
-    rows = classes.select("fp", "key", "place", "n", "body", F.xxhash64("fp", "seg", "shape", "body").alias("cid"))
+    rows = classes.select("fp", "key", "doc", "place", "n", "body", F.xxhash64("fp", "seg", "shape", "body").alias("cid"))
 
     def prints(batches):
         for batch in batches:
@@ -253,21 +254,21 @@ def exact_windows(classes: DataFrame, spec: Spec) -> DataFrame:
 
     def strings(batches):
         for batch in batches:
-            for key, place, n, body, chosen in zip(*(batch.column(c).to_pylist() for c in ("key", "place", "n", "body", "js")), strict=True):
+            for key, doc, place, n, body, chosen in zip(*(batch.column(c).to_pylist() for c in ("key", "doc", "place", "n", "body", "js")), strict=True):
                 chosen = sorted(j for j in chosen if j < ((place >> 12) & 4095))
                 start, end = word_table(body) if spec.tokens == "words" else (range(len(body)), range(1, len(body) + 1))
                 cut = [body[start[j] : end[j + spec.window - 1]] for j in chosen]
                 for at in range(0, len(cut), 4096):
                     part = cut[at : at + 4096]
                     first = np.array(chosen[at : at + 4096], np.int64) + (place >> 24)
-                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array(np.full(len(part), key, np.int64)), pa.array(first), pa.array(np.full(len(part), n, np.int64))], ["w", "key", "lo", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array(np.full(len(part), key, np.int64)), pa.array(np.full(len(part), doc, np.int64)), pa.array(first), pa.array(np.full(len(part), n, np.int64))], ["w", "key", "doc", "lo", "n"])
 
     printed = materialize(rows.select("cid", "place", "n", "body").mapInArrow(prints, "h long, cid long, j long, n long"), "window-prints")
     many = materialize(printed.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), "window-many")
     alive = printed.join(many, "h", "left_semi").groupBy("cid").agg(F.collect_set("j").alias("js"))
-    windows = materialize(rows.join(alive, "cid").select("key", "place", "n", "body", "js").mapInArrow(strings, "w binary, key long, lo long, n long"), "windows")
+    windows = materialize(rows.join(alive, "cid").select("key", "doc", "place", "n", "body", "js").mapInArrow(strings, "w binary, key long, doc long, lo long, n long"), "windows")
     twice = materialize(windows.groupBy("w").agg(F.sum("n").alias("n")).where("n > 1").select("w"), "windows-twice")
-    found = materialize(windows.where("n = 1").join(twice, "w", "left_semi").select("key", "lo", (F.col("lo") + spec.window).alias("hi")), "window-spans")
+    found = materialize(windows.where("n = 1").join(twice, "w", "left_semi").select("key", "doc", "lo", (F.col("lo") + spec.window).alias("hi")), "window-spans")
     scrap(printed, many, windows, twice)
     return found
 
@@ -326,10 +327,10 @@ def members(candidates: DataFrame, docs: DataFrame, classes: DataFrame, spec: Sp
 
 
 def repeated_intervals(docs: DataFrame, spec: Spec, compared) -> DataFrame:
-    """(key, lo, hi): token intervals covered by windows that also start elsewhere.
+    """(key, doc, lo, hi): token intervals covered by windows that also start elsewhere.
 
-    docs: key (long), text.  compared(classes, spec) takes the distinct strings and returns
-    (key, lo, hi) for the repeated windows of those with n = 1.
+    docs: key, doc (long), text.  compared(classes, spec) takes the distinct strings and returns
+    (key, doc, lo, hi) for the repeated windows of those with n = 1.
     """
     runs = materialize(emit_runs(docs, spec), "runs")
     # written first: only a side that is no aggregate of the join's own stage lets a hot minimiser be split
@@ -355,9 +356,9 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
 
 def with_intervals(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """doc_id, packed text and the list of its intervals."""
-    by_doc = spans.groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
-    return packed_text(docs, "key", "doc_id").join(by_doc, "key", "left").drop("key")
+    by_doc = spans.groupBy("key", "doc").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    return packed_text(docs, "key", "doc", "doc_id").join(by_doc, ["key", "doc"], "left").drop("key", "doc")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(row_key("doc_id", "text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return docs.select(row_key("doc_id", "text").alias("key"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -33,7 +33,7 @@ def word_buckets(classes: DataFrame, spec: Spec) -> DataFrame:
 
     def run(batches):
         for part in whole_groups(batches, "fp"):
-            n, keys, places, fp = (part.column(c).to_numpy() for c in ("n", "key", "place", "fp"))
+            n, keys, docs, places, fp = (part.column(c).to_numpy() for c in ("n", "key", "doc", "place", "fp"))
             # a bucket of one string has nothing to compare: it was merged with its copies
             first = np.flatnonzero(np.diff(np.concatenate(([fp[0] - 1], fp))))
             alone = np.repeat(np.diff(np.concatenate((first, [len(fp)]))) == 1, np.diff(np.concatenate((first, [len(fp)]))))
@@ -53,13 +53,13 @@ def word_buckets(classes: DataFrame, spec: Spec) -> DataFrame:
                         i, j = owner[x]
                         if n[i] == 1:
                             flags.setdefault(i, np.zeros((int(places[i]) >> 12) & 4095, bool))[j] = True
-            rows = [(int(keys[i]), lo, hi) for i, f in flags.items() for lo, hi in intervals_from(f, int(places[i]) >> 24, spec.window)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(3)], ["key", "lo", "hi"])
+            rows = [(int(keys[i]), int(docs[i]), lo, hi) for i, f in flags.items() for lo, hi in intervals_from(f, int(places[i]) >> 24, spec.window)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(4)], ["key", "doc", "lo", "hi"])
 
     large = materialize(classes.groupBy("fp").agg(F.count("*").alias("m")).where(F.col("m") > spec.hot).select("fp"), "large")
     some = bool(large.take(1))
     few = classes.join(large, "fp", "left_anti") if some else classes
-    found = few.select("fp", "n", "key", "place", "body").repartition("fp").sortWithinPartitions("fp").mapInArrow(run, "key long, lo long, hi long")
+    found = few.select("fp", "n", "key", "doc", "place", "body").repartition("fp").sortWithinPartitions("fp").mapInArrow(run, "key long, doc long, lo long, hi long")
     return found.unionByName(exact_windows(classes.join(large, "fp", "left_semi"), spec)) if some else found
 
 

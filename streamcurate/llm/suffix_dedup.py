@@ -107,12 +107,12 @@ def repeated_windows(bodies: list[bytes], offset: np.ndarray, count: np.ndarray,
 
 
 def suffix_buckets(classes: DataFrame, spec: Spec, bucket: int = BUCKET) -> DataFrame:
-    """(key, lo, hi) of repeated windows: buckets of the sampled suffix array, then leads that cross a boundary."""
+    """(key, doc, lo, hi) of repeated windows: buckets of the sampled suffix array, then leads that cross a boundary."""
 
     def run(batches):
         ends: list[int] = []
         for part in whole_groups(batches, "fp"):
-            n, keys, places, fp = (part.column(c).to_numpy() for c in ("n", "key", "place", "fp"))
+            n, keys, docs, places, fp = (part.column(c).to_numpy() for c in ("n", "key", "doc", "place", "fp"))
             ends = [*ends[:1], int(fp[0]), int(fp[-1])]
             group, size = np.unique(fp, return_inverse=True, return_counts=True)[1:]
             # of a lead with one suffix here all windows are alone or, being copies, known to repeat
@@ -124,28 +124,28 @@ def suffix_buckets(classes: DataFrame, spec: Spec, bucket: int = BUCKET) -> Data
                 flags = repeated_windows(bodies, offset, count, group[use], spec)
                 for i in np.flatnonzero((n[use] == 1) & flags.any(axis=1)):
                     own = flags[i, offset[i] - count[i] + 1 : offset[i] + 1][::-1]
-                    rows += [(int(keys[use[i]]), lo, hi, None) for lo, hi in intervals_from(own, int(places[use[i]]) >> 24, spec.window)]
+                    rows += [(int(keys[use[i]]), int(docs[use[i]]), lo, hi, None) for lo, hi in intervals_from(own, int(places[use[i]]) >> 24, spec.window)]
             yield table(rows)
-        yield table([(None, None, None, x) for x in set(ends)])
+        yield table([(None, None, None, None, x) for x in set(ends)])
 
     def table(rows):
-        return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(4)], ["key", "lo", "hi", "end"])
+        return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(5)], ["key", "doc", "lo", "hi", "end"])
 
     spark = classes.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-classes.count() // bucket))
     split = F.col("place").bitwiseAND(F.lit(4095)).cast("int")
-    rows = classes.select("fp", "n", "key", "place", "body", split.alias("at"))
+    rows = classes.select("fp", "n", "key", "doc", "place", "body", split.alias("at"))
     lead, rest = F.expr(f"substring(body, at + 1, {spec.gram})"), F.expr(f"substring(body, at + 1 + {spec.gram}, {spec.gram})")
     keys = [lead]
     large = materialize(classes.groupBy("fp").agg(F.count("*").alias("m")).where(F.col("m") > bucket).select("fp", F.lit(True).alias("large")), "large")
     if large.take(1):
         rows = rows.join(large, "fp", "left")
         keys += [F.when(F.col("large"), rest), F.when(F.col("large"), F.xxhash64("body", "at"))]
-    dealt = rows.repartitionByRange(parts, *keys).sortWithinPartitions(lead, "fp").select("fp", "n", "key", "place", "body")
-    local = materialize(dealt.mapInArrow(run, "key long, lo long, hi long, end long"), "buckets")
+    dealt = rows.repartitionByRange(parts, *keys).sortWithinPartitions(lead, "fp").select("fp", "n", "key", "doc", "place", "body")
+    local = materialize(dealt.mapInArrow(run, "key long, doc long, lo long, hi long, end long"), "buckets")
     crossing = local.where("end is not null").groupBy("end").agg(F.count("*").alias("buckets")).where("buckets > 1").select(F.col("end").alias("fp"))
     across = materialize(classes.join(F.broadcast(crossing), "fp", "left_semi"), "boundaries")  # at most one lead a bucket
-    found = materialize(local.where("end is null").select("key", "lo", "hi").unionByName(exact_windows(across, spec)), "bucket-spans")
+    found = materialize(local.where("end is null").select("key", "doc", "lo", "hi").unionByName(exact_windows(across, spec)), "bucket-spans")
     scrap(local, across)
     return found
 
