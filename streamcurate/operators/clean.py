@@ -48,8 +48,9 @@ def dedup_exact(rows: DataFrame, key: Column | None = None) -> DataFrame:
     The first rows come from a mergeable aggregate, so a content that fills the table is no hot task.
     """
     marked = rows.withColumn("_key", content_key() if key is None else key)
-    first = marked.groupBy("session_id", "_key").agg(F.min("row_index").alias("_first"))
-    out = marked.join(first, ["session_id", "_key"])
+    # a null key is no copy; only contents that occur again are joined
+    first = marked.where("_key is not null").groupBy("session_id", "_key").agg(F.min("row_index").alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    out = marked.join(first, ["session_id", "_key"], "left")
     return out.withColumn("duplicate_of_row_index", F.when(F.col("row_index") > F.col("_first"), F.col("_first"))).drop("_key", "_first")
 
 
@@ -73,21 +74,37 @@ def redact(rows: DataFrame, paths: list[str]) -> DataFrame:
     return rows.withColumns({"streams": streams, "redacted": named, "n_redacted": F.size(named)})
 
 
-def clean(rows: DataFrame, required: list[str] = (), least: int = 0, drop_without_optional: bool = False, dedup: bool = True, redact_paths: list[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """(kept, dropped); rules in the order L1, L2, L3, L4, L5, the first that drops a row ends it."""
+def judged(rows: DataFrame, required: list[str] = (), least: int = 0, drop_without_optional: bool = False, dedup: bool = True, redact_paths: list[str] = ()) -> DataFrame:
+    """The rows with reasons (null for rows kept), duplicate_of_row_index and, in the rows kept, redactions.
+
+    Rules in the order L1, L2, L3, L4, L5; the first that drops a row ends it.  Written once, it serves
+    both sides and the report.
+    """
     known = rows.schema["streams"].dataType.names
     none = F.lit(None).cast(REASONS)
     first = F.when(F.size(required_streams(list(required))) > 0, required_streams(list(required)))
     rules = F.coalesce(first, min_present_streams(known, least), all_optional_missing(known, list(required)) if drop_without_optional else none)
-    judged = rows.withColumn("reasons", rules)
-    passed = judged.where("reasons is null").drop("reasons")
-    dropped = judged.where("reasons is not null").withColumn("duplicate_of_row_index", F.lit(None).cast("long"))
+    out = rows.withColumn("reasons", rules)
     if dedup:
-        passed = dedup_exact(passed)
-        copies = passed.where("duplicate_of_row_index is not null").withColumn("reasons", F.array(reason("DUPLICATE_ROW")).cast(REASONS))
-        dropped = dropped.unionByName(copies.select(*dropped.columns))
-        passed = passed.where("duplicate_of_row_index is null").drop("duplicate_of_row_index")
-    return redact(passed, list(redact_paths)), dropped
+        # rows that an earlier rule drops aren't copies of anything, nor are rows copies of them
+        key = F.when(F.col("reasons").isNull(), content_key())
+        out = dedup_exact(out, key)
+        out = out.withColumn("reasons", F.when(F.col("duplicate_of_row_index").isNotNull(), F.array(reason("DUPLICATE_ROW")).cast(REASONS)).otherwise(F.col("reasons")))
+    else:
+        out = out.withColumn("duplicate_of_row_index", F.lit(None).cast("long"))
+    clean_rows = redact(out.withColumn("_streams", F.col("streams")), list(redact_paths))
+    kept = F.col("reasons").isNull()
+    return clean_rows.withColumns({"streams": F.when(kept, F.col("streams")).otherwise(F.col("_streams")), "redacted": F.when(kept, F.col("redacted")), "n_redacted": F.when(kept, F.col("n_redacted"))}).drop("_streams")
+
+
+def split(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(kept, dropped) of judged rows."""
+    return marked.where("reasons is null").drop("reasons", "duplicate_of_row_index"), marked.where("reasons is not null").drop("redacted", "n_redacted")
+
+
+def clean(rows: DataFrame, **rules) -> tuple[DataFrame, DataFrame]:
+    """(kept, dropped); rules as in `judged`."""
+    return split(judged(rows, **rules))
 
 
 def cleaning_report(kept: DataFrame, dropped: DataFrame, minimum_retained_rows: int = 1, most: int = MOST) -> DataFrame:

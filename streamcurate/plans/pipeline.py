@@ -47,7 +47,7 @@ class PipelineResult:
 def run(streams: dict[str, DataFrame], config: PipelineConfig) -> PipelineResult:
     """Results feed several reports where they are written once: after alignment and after the windows."""
     aligned = materialize(sync.synchronize(streams, config.reference, config.methods, config.tolerance_ms, config.corrections, config.bucket_us), "aligned")
-    kept, dropped = cl.clean(aligned, required=list(config.required))
+    kept, dropped = cl.split(materialize(cl.judged(aligned, required=list(config.required)), "judged"))
     windowed = wn.count_windows(kept, config.window, config.stride, config.drop_incomplete)
     samples = materialize(wn.transform(windowed, config.features), "samples")
     issues, report = qc.qc_report(samples, config.minimum_samples)

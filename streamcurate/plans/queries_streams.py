@@ -124,7 +124,7 @@ def l3(spark, d):
 def l4(spark, d):
     docs = spark.read.parquet(f"{d}/documents.parquet")
     rows = docs.select(F.lit("all").alias("session_id"), F.col("doc_id").alias("row_index"), "text")
-    return cl.dedup_exact(rows, F.sha2("text", 256)).select("row_index", "duplicate_of_row_index")
+    return cl.dedup_exact(rows, F.coalesce(F.sha2("text", 256), F.lit("null"))).select("row_index", "duplicate_of_row_index")
 
 
 @query("l5_redact", SYNC_SQL + " SELECT session_id, row_index, NULL::DOUBLE AS latitude, round(longitude, 6) AS longitude, gps_ok::INT AS n_redacted FROM rows_")
