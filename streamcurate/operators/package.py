@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranking import BLOCK, block_of, positions
+from ..functions.ranking import BLOCK, block_of, name_of, positions
 from ..functions.storage import materialize
 from ..sources.files import write_splits_jsonl, write_splits_parquet
 
@@ -29,9 +29,9 @@ def overlap_groups(samples: DataFrame, sha: str = "", block: int = BLOCK) -> Dat
     """
     there = F.col("source_row_start").isNotNull() & F.col("source_row_end").isNotNull()
     start = F.when(there, F.col("source_row_start")).otherwise(F.raise_error(F.concat(F.lit("MISSING_GROUP_METADATA: "), F.coalesce(F.col("sample_id").cast("string"), F.lit("-")))).cast("long"))
-    rows = samples.withColumn("source_row_start", start).withColumn("_block", block_of("source_row_start", block))
-    keys = ["session_id", "_block"]
-    blocks = Window.partitionBy("session_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    rows = samples.withColumn("source_row_start", start).withColumns({"_name": name_of(["session_id"]), "_block": block_of("source_row_start", block)})
+    keys = ["_name", "_block"]
+    blocks = Window.partitionBy("_name").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     reach = rows.groupBy(*keys).agg(F.max("source_row_end").alias("_end")).select(*keys, F.max("_end").over(blocks).alias("_reach"))
     order = Window.partitionBy(*keys).orderBy("source_row_start", "source_row_end", "sample_id")
     past, upto = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
@@ -40,9 +40,9 @@ def overlap_groups(samples: DataFrame, sha: str = "", block: int = BLOCK) -> Dat
     marked = seen.withColumn("_new", fresh).withColumn("_chain", F.sum("_new").over(upto))
     bases = marked.groupBy(*keys).agg(F.sum("_new").alias("_n")).select(*keys, F.coalesce(F.sum("_n").over(blocks), F.lit(0)).alias("_base"))
     chained = marked.join(bases, keys).withColumn("_island", F.col("_base") + F.col("_chain"))
-    ends = chained.groupBy("session_id", "_island").agg(F.min("source_row_start").alias("_a"), F.max("source_row_end").alias("_b"))
+    ends = chained.groupBy("_name", "_island").agg(F.min("source_row_start").alias("_a"), F.max("source_row_end").alias("_b"))
     name = F.concat(F.lit("grp_"), F.substring(F.sha2(F.concat_ws(":", F.lit(sha), F.col("session_id").cast("string"), F.col("_a").cast("string"), F.col("_b").cast("string")), 256), 1, 16))
-    return chained.join(ends, ["session_id", "_island"]).select(*samples.columns, name.alias("group_id"))
+    return chained.join(ends, ["_name", "_island"]).select(*samples.columns, name.alias("group_id"))
 
 
 def session_groups(samples: DataFrame) -> DataFrame:

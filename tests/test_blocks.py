@@ -16,7 +16,7 @@ RANGES = "session_id string, sample_id string, source_row_start long, source_row
 
 def sequence(spark, n=60):
     rng = random.Random(3)
-    rows = [(f"s{i % 2}", i * 3, rng.choice([None, i, i - 5])) for i in range(n)]
+    rows = [("s0" if i % 2 else None, i * 3, rng.choice([None, i, i - 5])) for i in range(n)]
     return rows, spark.createDataFrame(rows, "session_id string, at long, v long").repartition(4)
 
 
