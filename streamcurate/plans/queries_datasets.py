@@ -16,7 +16,7 @@ from ..specs import GPS, IMU
 from ..streaming import live
 from .pipeline import PipelineConfig
 from .pipeline import run as run_pipeline
-from .registry import FEATURES, HOURS_6_US, SENSORS_SQL, WINDOWS_SQL, query, rounded, samples, stats_sql, streams, table
+from .registry import FEATURES, HOURS_6_US, WINDOWS_SQL, query, rounded, samples, stats_sql, streams, table
 
 COLUMNS = ["l_quantity", "l_discount", "l_tax"]
 
@@ -331,34 +331,23 @@ def version_events(spark, d):
 def manifests(spark, d):
     """A manifest of each of the nine kinds for every order, in the fields that such manifests have."""
     orders = table(spark, d, "orders").selectExpr("CAST(o_orderkey AS STRING) AS k", "CAST(o_custkey AS STRING) AS c", "o_orderkey % 6 = 5 AS staged", "o_orderstatus AS status")
-    session = "named_struct('session_ids', array(c))"
+    session = "named_struct('session_ids', array(c)) AS upstream"
     fields = {
-        "ingestion": "k AS ingestion_id, c AS session_id, sha2(k, 256) AS sha256, 'a' AS storage_uri, 't0' AS ingested_at",
-        "validation": "k AS validation_id, k AS ingestion_id, status, 't1' AS validated_at",
-        "integrity": "k AS integrity_id, k AS validation_id, status, 't2' AS created_at",
-        "normalization": "k AS normalization_id, k AS integrity_id, sha2(k, 256) AS normalized_sha256",
-        "synchronization": "k AS synchronization_id, sha2(k, 256) AS synchronized_sha256, array(named_struct('normalization_id', k, 'session_id', c), named_struct('normalization_id', concat('x', c), 'session_id', c)) AS streams",
-        "cleaning": "k AS cleaning_id, k AS synchronization_id, status, sha2(k, 256) AS cleaned_sha256, array(named_struct('session_id', c)) AS streams",
-        "transformation": f"k AS transformation_id, k AS cleaning_id, sha2(k, 256) AS transformed_sha256, {session} AS upstream",
-        "qc": f"k AS qc_id, k AS transformation_id, status, {session} AS upstream",
-        "package": "k AS package_id, k AS transformation_id, k AS qc_id, status, named_struct('session_ids', array(c, k)) AS upstream",
+        "ingestion": ["k AS ingestion_id", "c AS session_id", "sha2(k, 256) AS sha256", "'a' AS storage_uri", "'t0' AS ingested_at"],
+        "validation": ["k AS validation_id", "k AS ingestion_id", "status", "'t1' AS validated_at"],
+        "integrity": ["k AS integrity_id", "k AS validation_id", "status", "'t2' AS created_at"],
+        "normalization": ["k AS normalization_id", "k AS integrity_id", "sha2(k, 256) AS normalized_sha256"],
+        "synchronization": ["k AS synchronization_id", "sha2(k, 256) AS synchronized_sha256", "array(named_struct('normalization_id', k, 'session_id', c), named_struct('normalization_id', concat('x', c), 'session_id', c)) AS streams"],
+        "cleaning": ["k AS cleaning_id", "k AS synchronization_id", "status", "sha2(k, 256) AS cleaned_sha256", "array(named_struct('session_id', c)) AS streams"],
+        "transformation": ["k AS transformation_id", "k AS cleaning_id", "sha2(k, 256) AS transformed_sha256", session],
+        "qc": ["k AS qc_id", "k AS transformation_id", "status", session],
+        "package": ["k AS package_id", "k AS transformation_id", "k AS qc_id", "status", "named_struct('session_ids', array(c, k)) AS upstream"],
     }
-    where = "CASE WHEN staged THEN concat('/', kind, '/.tmp-1/manifest.json') ELSE concat('/', kind, '/', k, '/manifest.json') END AS path"
-    return {kind: orders.selectExpr(where.replace("kind", f"'{kind}'"), f"to_json(named_struct({', '.join(_pairs(text))})) AS value") for kind, text in fields.items()}
-
-
-def _pairs(text):
-    """Items `value AS name` as arguments of named_struct."""
-    out, depth, item = [], 0, ""
-    for ch in text + ",":
-        depth += (ch == "(") - (ch == ")")
-        if ch == "," and not depth:
-            value, _, name = item.strip().rpartition(" AS ")
-            out += [f"'{name}'", value or name]
-            item = ""
-        else:
-            item += ch
-    return out
+
+    def path(kind):
+        return F.when(F.col("staged"), f"/{kind}/.tmp-1/manifest.json").otherwise(F.concat(F.lit(f"/{kind}/"), "k", F.lit("/manifest.json")))
+
+    return {kind: orders.select(path(kind).alias("path"), F.to_json(F.struct(*map(F.expr, items))).alias("value")) for kind, items in fields.items()}
 
 
 _KINDS = list(ln.STAGES)
