@@ -89,15 +89,22 @@ def chunked(items: Iterable[tuple], size_of, limit: int = CHUNK_BYTES) -> Iterat
         yield held
 
 
-def packed_text(docs: DataFrame, *keep: str) -> DataFrame:
-    """The columns `keep` and the text as zstd bytes in `packed` (null text: null), to shuffle less."""
+def packed_text(docs: DataFrame, *keep: str, once: str | None = None) -> DataFrame:
+    """The columns `keep` and the text as zstd bytes in `packed` (null text: null), to shuffle less.
+
+    Of rows that are equal in the column `once` each task gives the first only.
+    """
     schema = docs.select(*keep).schema.add("packed", "binary")
 
     def pack(batches):
         import zstandard
 
         press = zstandard.ZstdCompressor(level=1)
+        seen: set = set()
         for batch in batches:
+            if once:
+                fresh = [k not in seen and not seen.add(k) for k in batch.column(once).to_pylist()]
+                batch = batch.filter(pa.array(fresh, pa.bool_()))
             data = [None if t is None else press.compress(t) for t in binaries(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(data, pa.binary())], [*keep, "packed"])
 

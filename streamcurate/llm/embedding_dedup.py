@@ -9,10 +9,11 @@ counts in the one of smallest name, so tasks return sums and spanning trees, nev
 Rotations per bucket follow from the rows of the largest label, so that buckets don't grow with the
 corpus; more rotations come with more tables and probes, which keep the recall (`SCHEMES`).
 
-Defined cases: null, zero and non-finite vectors, and null labels, link with nothing; equal vectors
-of a label form one class (pre-aggregation), its copies linking with each other; vectors of another
-length than the commonest go to buckets of their own length; an empty table gives an empty result;
-a null vec_id stays null and counts as the largest; other columns are ignored.
+Defined cases: vectors that are null, empty or zero or hold null or non-finite components, and null
+labels, link with nothing and are kept; equal vectors of a label form one class (pre-aggregation), its
+copies linking with each other; vectors of another length than the commonest go to buckets of their own
+length; an empty table gives an empty result; a null vec_id stays null and counts as the largest; other
+columns are ignored.  Classes are grouped by the vectors themselves; a row finds its class by 128 bits of hash.
 """
 
 from __future__ import annotations
@@ -86,12 +87,14 @@ def buckets(vectors: np.ndarray, rotations: int = 2) -> np.ndarray:
     return np.concatenate(out, axis=1)
 
 
-def usable(v) -> bool:
-    return v is not None and len(v) > 0 and not any(x is None for x in v)
+def usable(vector: str = "embedding"):
+    """Whether a vector can link: it has components, all finite, and one that isn't zero."""
+    fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce(fine & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
 def hashed(classes: DataFrame, most: int) -> DataFrame:
-    """Adds unit vectors (array<double>) and bucket names to the classes whose vectors can link; most: rows of the largest label."""
+    """Adds unit vectors (array<double>) and bucket names to the classes; most: rows of the largest label."""
     schema = "key long, label long, copies long, unit array<double>, names array<long>"
 
     def run(batches):
@@ -99,15 +102,10 @@ def hashed(classes: DataFrame, most: int) -> DataFrame:
             rows = batch.to_pylist()
             by_length: dict[int, list] = {}
             for r in rows:
-                if r["label"] is not None and usable(r["embedding"]):
-                    by_length.setdefault(len(r["embedding"]), []).append(r)
+                by_length.setdefault(len(r["embedding"]), []).append(r)
             for some in by_length.values():
                 x = np.array([r["embedding"] for r in some], np.float64)
-                scale = np.abs(x).max(axis=1, keepdims=True)
-                fine = np.isfinite(x).all(axis=1) & (scale[:, 0] > 0)
-                x, some = x[fine] / scale[fine], [r for r, f in zip(some, fine, strict=True) if f]
-                if not some:
-                    continue
+                x /= np.abs(x).max(axis=1, keepdims=True)
                 x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
                 names = buckets(x, rotations_for(most, 1 << max(0, (x.shape[1] - 1).bit_length())))
                 arrays = [pa.array([r[c] for r in some], pa.int64()) for c in ("key", "label", "copies")]
@@ -124,15 +122,16 @@ def bucket_links(dealt: DataFrame, threshold: float) -> DataFrame:
             tasks = part.column("task").to_numpy()
             edges = np.concatenate(([0], np.flatnonzero(np.diff(tasks)) + 1, [len(tasks)]))
             keys, copies, side, bucket = (part.column(c).to_numpy() for c in ("key", "copies", "side", "bucket"))
-            unit = np.array(part.column("unit").combine_chunks().flatten()).reshape(len(keys), -1)
-            names = np.array(part.column("names").combine_chunks().flatten()).reshape(len(keys), -1)
+            # tasks differ in the length of their vectors and of their names
+            flat = [(np.array(lists.flatten()), np.concatenate(([0], np.cumsum(np.array(lists.value_lengths()))))) for lists in (part.column(c).combine_chunks() for c in ("unit", "names"))]
             out = []
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
                 if hi - lo < 2:
                     continue
+                unit, names = (values[at[lo] : at[hi]].reshape(hi - lo, -1) for values, at in flat)
                 i, j = [], []
                 across = side[lo] > 0
-                left, right = (lo + np.flatnonzero(side[lo:hi] == s) for s in ((1, 2) if across else (0, 0)))
+                left, right = (np.flatnonzero(side[lo:hi] == s) for s in ((1, 2) if across else (0, 0)))
                 for a0 in range(0, len(left), SUB_BLOCK):
                     for b0 in range(0 if across else a0, len(right), SUB_BLOCK):
                         a, b = left[a0 : a0 + SUB_BLOCK], right[b0 : b0 + SUB_BLOCK]
@@ -148,8 +147,8 @@ def bucket_links(dealt: DataFrame, threshold: float) -> DataFrame:
                                 met = (mine[:, None] == names[q]).any(axis=1)
                                 shared = np.where(met, np.minimum(shared, mine), shared)
                             owned = shared == bucket[lo]
-                            i.append(p[owned] - lo)
-                            j.append(q[owned] - lo)
+                            i.append(p[owned])
+                            j.append(q[owned])
                 if not i or not sum(map(len, i)):
                     continue
                 i, j = np.concatenate(i), np.concatenate(j)
@@ -167,9 +166,11 @@ def bucket_links(dealt: DataFrame, threshold: float) -> DataFrame:
 def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
-    rows = rows.withColumn("key", F.when(F.col("label").isNull() | F.col("embedding").isNull(), F.xxhash64("vec_id", F.lit("alone"))).otherwise(F.xxhash64("label", "embedding")))
-    classes = rows.where("label is not null and embedding is not null").groupBy("key").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
-    classes = materialize(classes, "vectors")
+    able = F.col("label").isNotNull() & usable()
+    rows = rows.select("vec_id", *(F.when(able, F.xxhash64(*parts)).alias(name) for name, parts in (("h1", ["label", "embedding"]), ("h2", [F.lit("second"), "label", "embedding"]))), able.alias("able"), "label", "embedding")
+    classes = rows.where("able").groupBy("h1", "h2", "label", "embedding").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"))
+    # written at once, so that the numbers stay
+    classes = materialize(classes.withColumn("key", F.monotonically_increasing_id()), "vectors")
     most = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     points = materialize(hashed(classes, most), "points")
     # buckets are joined with keys alone; vectors follow for the places that share a bucket
@@ -184,15 +185,15 @@ def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, block: int
     links = materialize(bucket_links(dealt.repartition("dim", "task").sortWithinPartitions("task"), threshold), "links")
     total = links.groupBy("key").agg(F.sum("links").alias("links"))
     component = connected_components(links.where("key <> root").select(F.col("key").alias("a"), F.col("root").alias("b"))).select(F.col("node").alias("key"), "component")
-    heads = points.select("key").join(total, "key", "left").join(component, "key", "left").join(classes.select("key", "low", "copies"), "key")
-    heads = materialize(heads.select("key", "low", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "key").alias("component")), "heads")
+    heads = points.select("key").join(total, "key", "left").join(component, "key", "left").join(classes.select("key", "h1", "h2", "low", "copies"), "key")
+    heads = materialize(heads.select("key", "h1", "h2", "low", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "key").alias("component")), "heads")
     lows = heads.groupBy("component").agg(F.min("low").alias("component_id"))
-    full = heads.join(lows, "component").select("key", "copies", "links", "component_id")
-    out = rows.select("vec_id", "key").join(full, "key", "left").select(
+    full = heads.join(lows, "component").select("h1", "h2", "copies", "links", "component_id")
+    out = rows.select("vec_id", "h1", "h2").join(full, ["h1", "h2"], "left").select(
         "vec_id",
         F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).alias("n_links"),
         F.coalesce("component_id", "vec_id").alias("component_id"),
-        F.coalesce(F.col("component_id").eqNullSafe(F.col("vec_id")), F.lit(True)).alias("kept"),
+        F.coalesce("component_id", "vec_id").eqNullSafe(F.col("vec_id")).alias("kept"),
     )
     out = materialize(out, "linked")
     scrap(classes, points, sizes, links, heads)

@@ -10,7 +10,7 @@ languages have in that language, but for a small share of these.  Short, noisy o
 known languages stay below that.
 
 The models are fitted on a bounded sample: of each language, training texts in the order of a hash
-of their doc_id, as long as they sum to at most `sample_chars` characters and are at most
+of doc_id and text (rows equal in both count once), as long as they sum to at most `sample_chars` characters and are at most
 `sample_texts`.  Of a training text longer than a tenth of `sample_chars` the start of that length is
 used, so that no text shuts out the others.  Predictions read whole texts, long ones in segments.
 
@@ -75,7 +75,7 @@ def segments(text: str | None, order: int, limit: int = SEGMENT):
     A text shorter than an n-gram gets spaces in front.  Without a place to cut within another
     `limit` characters a word is cut, as if there were a space.
     """
-    held, at = np.zeros(0, np.uint32), 0
+    held, at, given = np.zeros(0, np.uint32), 0, False
     while text and at < len(text):
         cut = BETWEEN.search(text, at + limit, at + 2 * limit) if len(text) - at > limit else None
         stop = cut.start() if cut else min(len(text), at + 2 * limit)
@@ -84,10 +84,10 @@ def segments(text: str | None, order: int, limit: int = SEGMENT):
         held = np.concatenate((held, part[1:] if len(held) and held[-1] == 32 else part))
         if at < len(text) and len(held) >= order:
             yield held
-            held = held[len(held) - order + 1 :]
+            held, given = held[len(held) - order + 1 :], True
     if len(held) >= order:
         yield held
-    elif len(held) and len(text) <= limit:
+    elif len(held) and not given:
         yield np.concatenate((np.full(order - len(held), 32, np.uint32), held))
 
 
@@ -227,18 +227,21 @@ def training(docs: DataFrame, sample_chars: int, sample_texts: int = SAMPLE_TEXT
     """The bounded sample: language -> texts."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
     able = docs.where((fold != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0) & (F.col("lang") != UNKNOWN))
+    able = able.select("lang", "text", F.xxhash64("doc_id", "text").alias("_order"))
     longest = max(1, sample_chars // SAMPLE_SHARE)
-    lean = materialize(able.select("doc_id", "lang", F.xxhash64("doc_id").alias("_order"), F.least(F.length("text"), F.lit(longest)).alias("_n")), "lengths")
+    # rows equal in doc_id and text train once, so that the bounds hold whatever repeats
+    lean = materialize(able.groupBy("lang", "_order").agg(F.least(F.min(F.length("text")), F.lit(longest)).alias("_n")), "lengths")
     # only texts whose hash is among the smallest of their language are ranked, whatever the corpus holds
     counts = lean.groupBy("lang").agg(F.count("*").alias("_count"))
     share = (F.col("_order") / F.lit(2.0**63) + 1) / 2
     counts = F.broadcast(counts) if counts.count() <= MOST_LANGUAGES else counts
     few = lean.join(counts, "lang").where(share * F.col("_count") <= 2 * sample_texts)
-    by_hash = Window.partitionBy("lang").orderBy("_order", "doc_id")
+    by_hash = Window.partitionBy("lang").orderBy("_order")
     near = few.withColumn("_rank", F.row_number().over(by_hash)).where(F.col("_rank") <= sample_texts)
     run = F.sum("_n").over(by_hash.rowsBetween(Window.unboundedPreceding, 0))
-    chosen = materialize(near.withColumn("_sum", run).where(F.col("_sum") <= sample_chars).select("doc_id", "lang"), "chosen")
-    found = able.select("doc_id", "lang", F.substring("text", 1, longest).alias("text")).join(F.broadcast(chosen) if chosen.count() <= 100_000 else chosen, ["doc_id", "lang"], "left_semi")
+    chosen = materialize(near.withColumn("_sum", run).where(F.col("_sum") <= sample_chars).select("lang", "_order"), "chosen")
+    found = able.select("lang", "_order", F.substring("text", 1, longest).alias("text")).join(F.broadcast(chosen) if chosen.count() <= 100_000 else chosen, ["lang", "_order"], "left_semi")
+    found = found.groupBy("lang", "_order").agg(F.min("text").alias("text"))
     out: dict[str, list[str]] = {}
     for r in sorted(found.select("lang", "text").collect(), key=lambda r: (r["lang"], r["text"])):
         out.setdefault(r["lang"], []).append(r["text"])

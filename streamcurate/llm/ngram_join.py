@@ -10,7 +10,7 @@ row travels more often than there are bands or blocks of one band hash.  Tasks r
 trees, never all pairs.
 
 Defined cases: a text of fewer words than n is one n-gram of all its words; a null text or one
-without words links with nothing; repeated rows are copies that link with each other; ties keep the
+without words links with nothing and is kept; repeated rows are copies that link with each other; ties keep the
 smallest doc_id; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -259,8 +259,8 @@ def connected(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall:
     groups = materialize(groups, "groups")
     sizes = materialize(groups.groupBy("grp").agg(F.count("*").alias("size")), "sizes")
     wanted = groups.join(sizes, "grp").join(classes, "class").select("class", "grp", "size", "copies", "key", "bands")
-    # equal rows share a key: their text comes once for each, and only one is used
-    texts = packed_text(docs, "key").join(wanted, "key")
+    # equal rows share a key: their text comes once from each task that reads them, and only one is used
+    texts = packed_text(docs, "key", once="key").join(wanted, "key")
     few = F.col("size") <= block * (count if most_parts is None else most_parts)
     sent = ["task", "side", "parts", "band_no", "class", "copies", "bands", "packed"]
     dealt = blocked(texts.where(few), "grp", "size", "class", block).withColumn("band_no", F.lit(-1)).select(sent)
@@ -294,7 +294,7 @@ def ngram_join(docs: DataFrame, **options) -> DataFrame:
         F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).alias("n_links"),
         F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"),
         F.coalesce("class_id", "doc_id").alias("class_id"),
-        F.coalesce(F.col("class_id").eqNullSafe(F.col("doc_id")), F.lit(True)).alias("kept"),
+        F.coalesce("class_id", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"),
     )
 
 
