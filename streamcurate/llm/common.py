@@ -9,7 +9,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step works on; bounds a Python worker's memory.
@@ -136,6 +136,29 @@ def whole_groups(batches: Iterable[pa.RecordBatch], key: str, at_least: int = 20
         yield pa.concat_tables(held).combine_chunks()
 
 
+def placed(df: DataFrame, group: str, *order: str) -> DataFrame:
+    """Adds `first` (rows of the groups before, ascending, null first), `n` (rows of the group), `at` (place in it, from 0).
+
+    One range exchange and a count for each of its partitions: no task holds a whole group, and rows
+    equal in every column of the order (they take any order) are dealt to many tasks as well.
+    """
+    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    by = [group, *order, "_row"]
+    # the numbers of sorted partitions: the partition above, the place in it below bit 33
+    dealt = rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_id", F.monotonically_increasing_id())
+    dealt = materialize(dealt.withColumns({"_part": F.shiftright("_id", 33), "_place": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))}).drop("_row", "_id"), "ranges")
+    runs = dealt.groupBy("_part", F.col(group).alias("_group")).agg(F.count("*").alias("_c"), F.min("_place").alias("_low"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = runs.groupBy("_part").agg(F.sum("_c").alias("_rows")).select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base"))
+    runs = runs.join(bases, "_part")
+    groups = runs.groupBy(F.col("_group").alias("_whole")).agg(F.min(F.col("_base") + F.col("_low")).alias("first"), F.sum("_c").alias("n"))
+    runs = runs.join(groups, F.col("_group").eqNullSafe(F.col("_whole"))).select(F.col("_part").alias("_of"), "_group", "_base", "first", "n")
+    out = dealt.join(runs, (F.col("_part") == F.col("_of")) & F.col(group).eqNullSafe(F.col("_group")))
+    out = materialize(out.select(*df.columns, "first", "n", (F.col("_base") + F.col("_place") - F.col("first")).alias("at")), "placed")
+    scrap(rows, dealt)
+    return out
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of all nodes in `edges` (a, b: long); component is its smallest node.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, embedding_dedup, language_id, ngram_join, packing, secret_scan, substring_dedup, suffix_dedup, token_counts, warc
+from . import decontamination, embedding_dedup, fill_in_middle, language_id, merkle, ngram_join, packing, secret_scan, sharding, substring_dedup, suffix_dedup, token_counts, warc
 
 
 def queries():
@@ -17,6 +17,9 @@ def queries():
         "op8_best_fit_packing": packing.query,
         "op9_separator_token_counts": token_counts.query,
         "op10_kneser_ney_language_id": language_id.query,
+        "op11_weighted_hash_tree": sharding.query,
+        "op12_merkle_manifest": merkle.query,
+        "op13_fill_in_middle": fill_in_middle.query,
     }
 
 
@@ -76,4 +79,7 @@ def oracle_sql():
         "op5_suffix_array_dedup": SUFFIX_SQL,
         "op6_cross_polytope_dedup": EMBEDDING_SQL,
         "op7_benchmark_decontamination": decontamination.oracle_sql(),
+        "op11_weighted_hash_tree": sharding.oracle_sql(),
+        "op12_merkle_manifest": merkle.oracle_sql(),
+        "op13_fill_in_middle": fill_in_middle.oracle_sql(),
     }
