@@ -1 +1,10 @@
-"""Curation of time-stamped sensor data as Spark DataFrame operators."""
+"""Curation of time-stamped sensor data as Spark DataFrame operators.
+
+Functions that run on executors are shipped by value, so a cluster needs no copy of this code on its workers.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions.storage import materialize
 from ..specs import UNITS, SensorSpec
 
 
@@ -41,9 +42,9 @@ def convert_units(df: DataFrame, spec: SensorSpec, units: dict[str, str]) -> Dat
     return df.withColumns({c: F.col(c) * F.lit(f) for c, f in unit_factors(spec, units).items() if c in df.columns and f != 1.0})
 
 
-def canonical_timestamp(df: DataFrame, column: str = "timestamp") -> DataFrame:
-    """UTC text, and epoch_us."""
-    ts = tx.to_time(F.col(column))
+def canonical_timestamp(df: DataFrame, column: str = "timestamp", ts: Column | None = None) -> DataFrame:
+    """UTC text, and epoch_us; ts: the time converted before."""
+    ts = tx.to_time(F.col(column)) if ts is None else ts
     return df.withColumns({"epoch_us": F.unix_micros(ts), column: tx.iso_utc(ts)})
 
 
@@ -62,18 +63,37 @@ def cast_failure(spec: SensorSpec, columns: list[str], typed: dict[str, Column]
 
 def with_values(df: DataFrame, spec: SensorSpec) -> tuple[DataFrame, dict[str, Column]]:
     """The fields of `spec` cast once, in a struct beside the text."""
+    if "_values" in df.columns:
+        return df, {n: F.col(f"_values.{n}") for n in spec.fields}
     cells = [tx.CASTS[f.type](F.col(n) if n in df.columns else F.lit(None).cast("string")).alias(n) for n, f in spec.fields.items()]
     return df.withColumn("_values", F.struct(*cells)), {n: F.col(f"_values.{n}") for n in spec.fields}
 
 
-def cast_plain(df: DataFrame, spec: SensorSpec, typed: dict[str, Column] | None = None) -> DataFrame:
-    """Typed fields in canonical order after the other columns; blanks of optional fields are null."""
+def typed_table(df: DataFrame, spec: SensorSpec) -> DataFrame:
+    """The text records under canonical names with `_values`, all fields converted once, written once.
+
+    Validation, integrity (`measured`) and normalization all read this table and none converts again.
+    """
+    return materialize(with_values(resolve_aliases(df, spec), spec)[0], "typed")
+
+
+def measured(typed: DataFrame, spec: SensorSpec, keys: tuple[str, ...] = ("session_id", "stream")) -> DataFrame:
+    """What integrity checks read of a typed table: keys, record_number, epoch_us and the numbers."""
+    numbers = [F.col(f"_values.{n}").alias(n) for n in spec.of_type("float", "integer") if n in typed.columns]
+    return typed.select(*keys, "record_number", F.unix_micros("_values.timestamp").alias("epoch_us"), *numbers)
+
+
+def cast_plain(df: DataFrame, spec: SensorSpec, typed: dict[str, Column] | None = None, time: Column | None = None) -> DataFrame:
+    """Typed fields in canonical order after the other columns; blanks of optional fields are null.
+
+    A `time` converted before stays as column `_time`.
+    """
     values = {}
     for n, f in spec.fields.items():
         c = F.col(n) if n in df.columns else F.lit(None).cast("string")
         values[n] = F.when(~tx.blank(c), c if f.type == "datetime" else tx.CASTS[f.type](c) if typed is None else typed[n])
     rest = [c for c in df.columns if c in ("session_id", "stream", "file", "record_number")]
-    return df.select(*rest, *(v.alias(n) for n, v in values.items()))
+    return df.select(*rest, *(v.alias(n) for n, v in values.items()), *([] if time is None else [time.alias("_time")]))
 
 
 def quarantine(df: DataFrame, spec: SensorSpec) -> tuple[DataFrame, DataFrame]:
@@ -88,7 +108,7 @@ def normalize(df: DataFrame, spec: SensorSpec, units: dict[str, str], on_error:
     unit_factors(spec, units)
     held, typed = with_values(named, spec)
     bad = cast_failure(spec, named.columns, typed)
-    ready = lambda rows: convert_units(canonical_timestamp(cast_plain(rows, spec, typed)), spec, units)
+    ready = lambda rows: convert_units(canonical_timestamp(cast_plain(rows, spec, typed, typed["timestamp"]), ts=F.col("_time")).drop("_time"), spec, units)
     if on_error == "quarantine":
         marked = held.withColumn("bad_field", bad)
         return ready(marked.where("bad_field is null")), marked.where("bad_field is not null").drop("_values")

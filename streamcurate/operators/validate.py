@@ -57,12 +57,16 @@ def null_checks(df: DataFrame, spec: SensorSpec) -> list[Column]:
 
 
 def text_checks(df: DataFrame, spec: SensorSpec) -> list[Column]:
-    """V4, V6 of CSV: text that doesn't convert to the declared type; blanks are V3's matter."""
+    """V4, V6 of CSV: text that doesn't convert to the declared type; blanks are V3's matter.
+
+    Values that `normalize.typed_table` has converted before aren't converted again.
+    """
     out = []
+    value = lambda n, f: F.col(f"_values.{n}") if "_values" in df.columns else tx.CASTS[f.type](F.col(n))
     for n, f in spec.fields.items():
         if n in df.columns and f.type != "string":
             code, message = ("INVALID_TIMESTAMP", "not ISO-8601 with an offset") if f.type == "datetime" else ("INVALID_TYPE", f"not a valid {f.type}")
-            out.append(F.when(~tx.blank(F.col(n)) & tx.CASTS[f.type](F.col(n)).isNull(), issue(n, code, message)))
+            out.append(F.when(~tx.blank(F.col(n)) & value(n, f).isNull(), issue(n, code, message)))
     return out
 
 
@@ -113,11 +117,12 @@ def invalid_json(df: DataFrame, keys: list[str] = FILE) -> DataFrame:
     return gathered(df.where(F.trim("value") != ""), [check], keys)
 
 
-def invalid_csv(lines: DataFrame, width: int, keys: list[str] = FILE, separator: str = ",") -> DataFrame:
-    """V7 of CSV: rows with more cells than the header (column `value`: the raw line)."""
-    unquoted = F.regexp_replace("value", r'"([^"]|"")*"', "")
-    cells = F.size(F.split(unquoted, separator, -1))
-    return gathered(lines, [F.when(cells > width, issue(F.lit(None).cast("string"), "INVALID_RECORD", "more cells than the header"))], keys)
+def invalid_csv(records: DataFrame, headers: DataFrame, keys: list[str] = FILE) -> DataFrame:
+    """V7 of CSV: records (column `cells`) with more cells than their file's header, or too long to be taken apart (null)."""
+    wide = F.coalesce(F.size("cells") > F.size("header"), F.lit(False))
+    none = F.lit(None).cast("string")
+    checks = [F.when(F.col("cells").isNull(), issue(none, "INVALID_RECORD", "record is too long")), F.when(wide, issue(none, "INVALID_RECORD", "more cells than the header"))]
+    return gathered(records.join(headers, [k for k in keys if k in headers.columns], "left"), checks, keys)
 
 
 def empty_dataset(files: DataFrame, records: DataFrame, keys: list[str] = FILE) -> DataFrame:

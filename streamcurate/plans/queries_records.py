@@ -10,6 +10,7 @@ from ..operators import integrity as ig
 from ..operators import normalize as nz
 from ..operators import validate as va
 from ..sources import files as fs
+from ..sources.csv_splits import named, split_csv
 from ..specs import GPS, IMU
 from .registry import DIRTY_SQL, JSON_SQL, SENSORS_SQL, dirty, json_lines, query, sensor, table
 
@@ -24,14 +25,62 @@ def text_columns(df):
 
 def csv_folder(spark, d):
     path = fresh_path(spark, "csv")
-    text_columns(dirty(spark, d)).drop("session_id", "file").repartition(4, "record_number").sortWithinPartitions("record_number", "accel_x").write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    text_columns(dirty(spark, d)).drop("session_id", "file").withColumnRenamed("record_number", "number").repartition(4, "number").sortWithinPartitions("number", "accel_x").write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 
 @query("i1_read_csv", DIRTY_SQL + " SELECT record_number, timestamp, accel_x, gyro_x FROM dirty")
 def i1(spark, d):
-    df = fs.read_csv(spark, csv_folder(spark, d), ["number", "timestamp", "accel_x", "accel_y", "accel_z", "gyro_x"])
-    return df.select(F.col("number").cast("long").alias("record_number"), "timestamp", "accel_x", "gyro_x")
+    found = split_csv(spark, csv_folder(spark, d))
+    return named(found, ["number", "timestamp", "accel_x", "gyro_x"]).select(F.col("number").cast("long").alias("record_number"), "timestamp", "accel_x", "gyro_x")
+
+
+def csv_text(spark, lines, header):
+    """A folder of files that begin with the header, one for each partition of the lines."""
+    path = fresh_path(spark, "csv-text")
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    lines.select(F.when(first, F.concat(F.lit(header + "\n"), "value")).otherwise(F.col("value")).alias("value")).write.text(path)
+    return path
+
+
+def quoted(c: str):
+    return F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+@query("i1_quoted_texts", "SELECT doc_id, sha256(coalesce(text, '') || ' \"' || source || chr(10) || '\\') AS sha256, lang FROM documents")
+def i1_quoted(spark, d):
+    docs = table(spark, d, "documents").withColumn("text", F.concat(F.coalesce("text", F.lit("")), F.lit(' "'), "source", F.lit("\n\\")))
+    found = fs.read_csv(spark, csv_text(spark, docs.repartition(4).select(F.concat_ws(",", "doc_id", quoted("text"), "lang").alias("value")), "doc_id,text,lang"), ["lang", "doc_id", "text"])
+    return found.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2("text", 256).alias("sha256"), "lang")
+
+
+@query("i1_two_headers", "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS status, o_custkey FROM orders")
+def i1_headers(spark, d):
+    orders = table(spark, d, "orders")
+    one = csv_text(spark, orders.where("o_orderkey % 2 = 0").selectExpr("concat_ws(',', o_orderkey, o_orderstatus, o_custkey) AS value"), "key,status,customer")
+    other = csv_text(spark, orders.where("o_orderkey % 2 = 1").selectExpr("concat_ws(',', o_custkey, o_orderkey) AS value"), "customer,key")
+    found = fs.read_csv(spark, [one, other], ["key", "status", "customer"])
+    return found.select(F.col("key").cast("long").alias("o_orderkey"), "status", F.col("customer").cast("long").alias("o_custkey"))
+
+
+@query("i4_record_number_quoted", "SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderkey % 8 ORDER BY o_orderkey) AS record_number FROM orders")
+def i4_quoted(spark, d):
+    path = fresh_path(spark, "csv-numbers")
+    # newlines inside quotes, and blank lines between records
+    cell = """concat('"', repeat('\n', int(o_orderkey % 3)), o_orderkey, '"', repeat('\n', int(o_orderkey % 2)))"""
+    files = table(spark, d, "orders").groupBy((F.col("o_orderkey") % 8).alias("p")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", F.expr(cell).alias("cell")))).alias("a"))
+    files.select("p", F.concat(F.lit("key\n"), F.array_join(F.col("a.cell"), "\n")).alias("value")).write.partitionBy("p").text(path)
+    return fs.read_csv(spark, f"{path}/*", ["key"]).select(F.translate("key", "\n", "").cast("long").alias("o_orderkey"), "record_number")
+
+
+@query("v1_header_of_files", "SELECT o_orderkey % 4 AS part, unnest(['accel_z', 'temperature']) AS field, unnest(['MISSING_REQUIRED_FIELD', 'UNEXPECTED_FIELD']) AS code FROM orders WHERE o_orderkey % 4 IN (0, 2) GROUP BY 1 UNION ALL SELECT o_orderkey % 4, 'timestamp', 'MISSING_REQUIRED_FIELD' FROM orders WHERE o_orderkey % 4 IN (1, 3) GROUP BY 1")
+def v1_files(spark, d):
+    orders = table(spark, d, "orders")
+    heads = ["timestamp,accel_x,accel_y,temperature", "accel_z,accel_y,accel_x"]
+    paths = [csv_text(spark, orders.where(f"o_orderkey % 4 = {k}").coalesce(1).selectExpr("concat_ws(',', o_orderkey, 1, 2) AS value"), heads[k % 2]) for k in range(4)]
+    found = split_csv(spark, paths)
+    part = found.records.where("record_number = 1").select("file", (F.col("cells")[0].cast("long") % 4).alias("part"))
+    return va.header_issues(found.headers, IMU, ["file"]).join(part, "file").select("part", "field", "code")
 
 
 @query("i2_read_jsonl", JSON_SQL + " SELECT value FROM lines")
@@ -149,8 +198,11 @@ def v7(spark, d):
 
 @query("v7_invalid_record_csv", "SELECT o_orderkey AS record, 'INVALID_RECORD' AS code FROM orders WHERE o_orderkey % 13 = 0")
 def v7_csv(spark, d):
-    lines = table(spark, d, "orders").selectExpr("CAST(o_custkey AS STRING) AS session_id", "'x' AS file", "o_orderkey AS record_number", """concat(o_orderkey, ',"a,b",', CASE WHEN o_orderkey % 13 = 0 THEN '1,2' ELSE '1' END) AS value""")
-    return va.invalid_csv(lines, 3).select("record", "code")
+    lines = table(spark, d, "orders").selectExpr("""concat(o_orderkey, ',"a,\nb",', CASE WHEN o_orderkey % 13 = 0 THEN '1,2' ELSE '1' END) AS value""")
+    found = split_csv(spark, csv_text(spark, lines, "number,name,x"))
+    issues = va.invalid_csv(found.records, found.headers, ["file"])
+    numbers = found.records.select("file", F.col("record_number").alias("record"), F.col("cells")[0].cast("long").alias("number"))
+    return issues.join(numbers, ["file", "record"]).select(F.col("number").alias("record"), "code")
 
 
 @query("v8_empty_dataset", "SELECT c_custkey::VARCHAR AS session_id, 'EMPTY_DATASET' AS code FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")

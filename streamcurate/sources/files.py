@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.storage import materialize
 from ..specs import SensorSpec
+from .csv_splits import named, split_csv
 
 #: What may be ingested, and the largest file.
 EXTENSIONS = (".csv", ".json", ".jsonl", ".zip")
@@ -41,10 +41,11 @@ def read_lines(spark: SparkSession, paths) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, paths, columns: list[str]) -> DataFrame:
-    """All cells as text under the header's names; extra cells drop out, short rows are padded."""
-    shape = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = with_record_number(located(spark.read.schema(shape).option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", True).csv(paths)))
-    return rows.select(F.col("_file").alias("file"), "record_number", *columns)
+    """File, record_number and all cells as text, by the names in each file's own header.
+
+    Extra cells drop out, cells that a row or a header lacks are null; quoted newlines are part of a cell.
+    """
+    return named(split_csv(spark, paths), columns)
 
 
 def read_jsonl(spark: SparkSession, paths) -> DataFrame:
