@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranking import BLOCK, block_of, name_of, positions
@@ -21,9 +21,16 @@ def check_sample_identity(samples: DataFrame) -> DataFrame:
     return samples.groupBy("sample_id").agg(F.count("*").alias("n")).where("sample_id is null or n > 1")
 
 
-def overlap_groups(samples: DataFrame, sha: str = "", block: int = BLOCK) -> DataFrame:
+def group_name(*parts) -> Column:
+    return F.concat(F.lit("grp_"), F.substring(F.sha2(F.concat_ws(":", *(F.col(p).cast("string") if isinstance(p, str) else p for p in parts)), 256), 1, 16))
+
+
+def overlap_groups(samples: DataFrame, sha: str = "", block: int = BLOCK, content: str | None = None) -> DataFrame:
     """Adds group_id; chains of inclusive row ranges that touch rows of each other (gaps and islands).
 
+    content: the column with the checksum of the artifact that a sample comes from; a group is then named by
+    checksum, first and last row.  Without it `sha` stands for all samples, and the session is part of the name.
+
     Sessions are cut into blocks of first rows; ends and chains reach into later blocks by one summary
     row per block.  A sample without a range is an error when run.
     """
@@ -41,13 +48,13 @@ def overlap_groups(samples: DataFrame, sha: str = "", block: int = BLOCK) -> Dat
     bases = marked.groupBy(*keys).agg(F.sum("_new").alias("_n")).select(*keys, F.coalesce(F.sum("_n").over(blocks), F.lit(0)).alias("_base"))
     chained = marked.join(bases, keys).withColumn("_island", F.col("_base") + F.col("_chain"))
     ends = chained.groupBy("_name", "_island").agg(F.min("source_row_start").alias("_a"), F.max("source_row_end").alias("_b"))
-    name = F.concat(F.lit("grp_"), F.substring(F.sha2(F.concat_ws(":", F.lit(sha), F.col("session_id").cast("string"), F.col("_a").cast("string"), F.col("_b").cast("string")), 256), 1, 16))
+    name = group_name(content, "_a", "_b") if content else group_name(F.lit(sha), "session_id", "_a", "_b")
     return chained.join(ends, ["_name", "_island"]).select(*samples.columns, name.alias("group_id"))
 
 
-def session_groups(samples: DataFrame) -> DataFrame:
-    """One group per session."""
-    return samples.withColumn("group_id", F.concat(F.lit("grp_"), F.substring(F.sha2(F.col("session_id").cast("string"), 256), 1, 16)))
+def session_groups(samples: DataFrame, content: str | None = None) -> DataFrame:
+    """One group per session; with `content`, the column of the artifact's checksum, per artifact and session."""
+    return samples.withColumn("group_id", group_name(content, F.lit("session"), "session_id") if content else group_name("session_id"))
 
 
 def check_ratios(train: float, validation: float, test: float) -> None:
@@ -144,6 +151,22 @@ def qc_gate(samples_meta: DataFrame, reports: DataFrame) -> DataFrame:
     return samples_meta.join(ok, ["transformation_id", "sha256"], "left_semi")
 
 
+def report_refusal(requests: DataFrame, reports: DataFrame) -> DataFrame:
+    """Adds `refused`, why the QC report that a request names may not be used, or null.
+
+    requests: qc_id, transformation_id, sha256 (of the artifact as it is now); reports: qc_id,
+    transformation_id, sha256 (of the artifact then), status, and, if they are to be checked,
+    report_json and report_sha256.  A report has to be of the same transformation and content, unchanged, and accepted.
+    """
+    checked = {"report_json", "report_sha256"} <= set(reports.columns)
+    intact = F.sha2(F.col("report_json").cast("string"), 256).eqNullSafe(F.col("report_sha256")) if checked else F.lit(True)
+    own = reports.select("qc_id", F.struct("transformation_id", "sha256", "status", intact.alias("intact")).alias("_r"))
+    out = requests.join(own, "qc_id", "left")
+    same = lambda c: F.col(f"_r.{c}").eqNullSafe(F.col(c))
+    why = F.when(F.col("_r").isNull(), "QC_NOT_FOUND").when(~same("transformation_id"), "QC_TRANSFORMATION_MISMATCH").when(~same("sha256"), "ARTIFACT_CHECKSUM_MISMATCH").when(~F.col("_r.intact"), "QC_REPORT_CHECKSUM_MISMATCH").when(~F.coalesce(F.col("_r.status").isin(*ACCEPTED), F.lit(False)), "QC_NOT_ACCEPTED")
+    return out.withColumn("refused", why).drop("_r").select(*requests.columns, "refused")
+
+
 @dataclass
 class Package:
     """Samples with group_id and split; one-row audit and status; statistics of the splits."""
@@ -154,18 +177,25 @@ class Package:
     status: DataFrame
 
 
-def package(samples: DataFrame, ratios: tuple[float, float, float] = (0.8, 0.1, 0.1), grouping: str = "overlap", strategy: str = "hash", seed: int = 42, reports: DataFrame | None = None) -> Package:
+def package(samples: DataFrame, ratios: tuple[float, float, float] = (0.8, 0.1, 0.1), grouping: str = "overlap", strategy: str = "hash", seed: int = 42, reports: DataFrame | None = None, request: dict | None = None, content: str | None = None) -> Package:
     """Groups, splits, audit and status of the samples.
 
-    reports: QC reports of these samples (column status); without an accepted one among them packaging
-    is refused (P10).
+    With `reports` (see `report_refusal`), the request (qc_id, transformation_id, sha256) has to name an accepted
+    one of this transformation and content, or packaging is refused.  content: as in `overlap_groups`.
     """
     check_ratios(*ratios)
     if grouping not in ("overlap", "session") or strategy not in ("hash", "sequential"):
         raise ValueError("unknown grouping or strategy")
-    if reports is not None and not reports.where(F.col("status").isin(*ACCEPTED)).take(1):
-        raise ValueError("QC_NOT_ACCEPTED")
-    grouped = overlap_groups(samples) if grouping == "overlap" else session_groups(samples)
+    if reports is not None:
+        if not {"qc_id", "transformation_id", "sha256", "status"} <= set(reports.columns):
+            raise ValueError("QC_NOT_ACCEPTED: reports have to name qc_id, transformation_id and sha256")
+        asked = [(request or {}).get(c) for c in ("qc_id", "transformation_id", "sha256")]
+        one = samples.sparkSession.createDataFrame([tuple(None if x is None else str(x) for x in asked)], "qc_id string, transformation_id string, sha256 string")
+        same = reports.withColumns({c: F.col(c).cast("string") for c in one.columns}).where(F.col("qc_id") == F.lit(one.first().qc_id))
+        for found in report_refusal(one, same).take(2):
+            if found.refused:
+                raise ValueError(found.refused)
+    grouped = overlap_groups(samples, content=content) if grouping == "overlap" else session_groups(samples, content)
     if strategy == "hash":
         out = grouped.withColumn("split", hash_split(F.col("group_id"), *ratios, seed=seed))
     else:
@@ -178,9 +208,28 @@ def package(samples: DataFrame, ratios: tuple[float, float, float] = (0.8, 0.1,
 
 
 def commit(made: Package, path: str, parquet: bool = False) -> None:
-    """Audited first (P6), then written: split index (P9), JSON lines by split (I8) and, if asked for, Parquet."""
+    """Audited first (P6), then written: JSON lines by split (I8), Parquet if asked for (I9), split index (P9), and the status last.
+
+    A package without its status isn't one: a run that broke off leaves files which `committed` refuses.
+    """
     require_audit(made.audit)
-    split_index(made.samples).write.parquet(f"{path}/index")
     write_splits_jsonl(made.samples, f"{path}/jsonl")
     if parquet:
         write_splits_parquet(made.samples, f"{path}/parquet")
+    split_index(made.samples).write.parquet(f"{path}/index")
+    stats = made.stats.agg(F.array_sort(F.collect_list(F.struct("split", "samples", "groups", "sample_ratio"))).alias("splits"))
+    made.status.crossJoin(stats).crossJoin(made.audit.select(F.struct("*").alias("audit"))).coalesce(1).write.option("ignoreNullFields", False).json(f"{path}/status")
+
+
+STATUS = "status string, reasons array<string>, splits array<struct<split:string,samples:long,groups:long,sample_ratio:double>>, audit struct<duplicate_sample_ids:long,groups_in_several_splits:long,chains_in_several_splits:long,samples:long,source_samples:long,passed:boolean>"
+
+
+def committed(spark: SparkSession, path: str, accept: tuple[str, ...] = ("completed",)) -> tuple[DataFrame, DataFrame]:
+    """The status row and the split index of a package; refused without a status, or with another than accepted."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/status/_SUCCESS")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        raise ValueError("PACKAGE_NOT_COMMITTED")
+    status = spark.read.schema(STATUS).json(f"{path}/status")
+    if (found := status.first()).status not in accept:
+        raise ValueError(f"PACKAGE_{found.status.upper()}: {', '.join(found.reasons)}")
+    return status, spark.read.parquet(f"{path}/index")

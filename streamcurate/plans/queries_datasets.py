@@ -254,12 +254,59 @@ def p11(spark, d):
     """What `commit` writes, after QC gate and audit, read back."""
     rows = materialize(samples(spark, d), "samples")
     path = fresh_path(spark, "package")
-    reports = spark.createDataFrame([("passed",)], "status string")
-    pk.commit(pk.package(rows, (0.8, 0.1, 0.1), "session", reports=reports), path, parquet=True)
+    reports = spark.createDataFrame([("q", "t", "a", "passed"), ("q2", "other", "b", "failed")], "qc_id string, transformation_id string, sha256 string, status string")
+    pk.commit(pk.package(rows, (0.8, 0.1, 0.1), "session", reports=reports, request={"qc_id": "q", "transformation_id": "t", "sha256": "a"}), path, parquet=True)
     lines = spark.read.schema("session_id string, k long, sample_id string, group_id string, split string").json(f"{path}/jsonl")
     return lines.join(spark.read.parquet(f"{path}/index").select("sample_id"), "sample_id", "left_semi").join(spark.read.parquet(f"{path}/parquet").select("sample_id"), "sample_id", "left_semi")
 
 
+@query("p11_report_refusal", "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'QC_NOT_FOUND' WHEN o_orderkey % 7 = 0 THEN 'QC_TRANSFORMATION_MISMATCH' WHEN o_orderkey % 11 = 0 THEN 'ARTIFACT_CHECKSUM_MISMATCH' WHEN o_orderkey % 13 = 0 THEN 'QC_REPORT_CHECKSUM_MISMATCH' WHEN o_orderstatus = 'F' THEN 'QC_NOT_ACCEPTED' END AS refused FROM orders")
+def p11_refusal(spark, d):
+    orders = table(spark, d, "orders")
+    requests = orders.selectExpr("o_orderkey", "concat('qc', o_orderkey) AS qc_id", "o_custkey AS transformation_id", "sha2(o_orderpriority, 256) AS sha256")
+    reports = orders.where("o_orderkey % 5 <> 0").selectExpr(
+        "concat('qc', o_orderkey) AS qc_id",
+        "o_custkey + int(o_orderkey % 7 = 0) AS transformation_id",
+        "sha2(concat(o_orderpriority, CASE WHEN o_orderkey % 11 = 0 THEN '!' ELSE '' END), 256) AS sha256",
+        "CASE o_orderstatus WHEN 'F' THEN 'failed' WHEN 'O' THEN 'passed' ELSE 'passed_with_warnings' END AS status",
+        "o_orderstatus AS report_json",
+        "sha2(concat(o_orderstatus, CASE WHEN o_orderkey % 13 = 0 THEN '!' ELSE '' END), 256) AS report_sha256",
+    )
+    return pk.report_refusal(requests, reports).select("o_orderkey", "refused")
+
+
+def written_status(spark, made, accept):
+    path = fresh_path(spark, "package")
+    pk.commit(made, path)
+    status, index = pk.committed(spark, path, accept)
+    per = status.select("status", F.array_join("reasons", ",").alias("reasons"), F.explode("splits").alias("s")).select("status", "reasons", "s.split", "s.samples")
+    found = index.groupBy("split").agg(F.count("*").alias("in_index"))
+    return per.join(found, "split", "left").select("status", "reasons", "split", "samples", F.coalesce("in_index", F.lit(0)).cast("long").alias("in_index"))
+
+
+@query("p8_committed_completed", _RANGES + f", x AS (SELECT *, CASE WHEN {_share('group_id')} < 0.8 THEN 'train' WHEN {_share('group_id')} < 0.9 THEN 'validation' ELSE 'test' END AS split FROM named) SELECT 'completed' AS status, '' AS reasons, split, count(*) AS samples, count(*) AS in_index FROM x GROUP BY split")
+def p8_completed(spark, d):
+    return written_status(spark, pk.package(ranges(spark, d)), ("completed",))
+
+
+@query("p8_committed_rejected", "SELECT 'rejected' AS status, 'INSUFFICIENT_GROUPS_FOR_SPLIT,EMPTY_REQUESTED_SPLIT' AS reasons, s.split, CASE WHEN s.split = t.split THEN n ELSE 0 END AS samples, CASE WHEN s.split = t.split THEN n ELSE 0 END AS in_index FROM (SELECT unnest(['train', 'validation', 'test']) AS split) s, (SELECT count(*) AS n FROM orders) o, " + f"(SELECT CASE WHEN {_share('g')} < 0.8 THEN 'train' WHEN {_share('g')} < 0.9 THEN 'validation' ELSE 'test' END AS split FROM (SELECT 'grp_' || left(sha256('one'), 16) AS g)) t")
+def p8_rejected(spark, d):
+    """All samples of one session are one group, which can't fill three splits; the package is written and says so."""
+    made = pk.package(ranges(spark, d).withColumn("session_id", F.lit("one")), grouping="session")
+    return written_status(spark, made, ("completed", "rejected"))
+
+
+_BY_CONTENT = _RANGES + ", c AS (SELECT *, sha256((session_id // 10)::VARCHAR || session_id) AS content, min(a) OVER (PARTITION BY session_id, island) AS lo, max(b) OVER (PARTITION BY session_id, island) AS hi FROM g)"
+
+
+@query("p2_content_groups", _BY_CONTENT + " SELECT sample_id, 'grp_' || left(sha256(content || ':' || lo || ':' || hi), 16) AS group_id, 'grp_' || left(sha256(content || ':session:' || session_id), 16) AS session_group FROM c")
+def p2_content(spark, d):
+    rows = ranges(spark, d).withColumn("content", F.sha2(F.concat(F.floor(F.col("session_id") / 10).cast("string"), F.col("session_id").cast("string")), 256))
+    grouped = pk.overlap_groups(rows, content="content")
+    sessions = pk.session_groups(grouped.select("sample_id", "session_id", "content"), "content").select("sample_id", F.col("group_id").alias("session_group"))
+    return grouped.select("sample_id", "group_id").join(sessions, "sample_id")
+
+
 @query("p11_package_sequential", """WITH r AS (SELECT session_id, sample_id, a, b, group_id FROM (NAMED)), f AS (SELECT group_id, min((session_id, a, sample_id)) AS f, count(*) AS n FROM r GROUP BY 1),
 o AS (SELECT group_id, n, coalesce(sum(n) OVER (ORDER BY f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, (SELECT sum(n) FROM f) AS total FROM f), c AS (SELECT min(before) FILTER (before >= 0.8 * total) AS cut FROM o)
 SELECT sample_id, CASE WHEN before < coalesce(cut, total) THEN 'train' ELSE 'test' END AS split FROM r JOIN o USING (group_id), c""".replace("NAMED", _RANGES + " SELECT * FROM named"))

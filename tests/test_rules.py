@@ -124,3 +124,23 @@ def test_normalization_refuses(spark):
     bad = spark.createDataFrame([(1, "2024-01-01T00:00:00Z", "1", "x", "1")], "record_number long, timestamp string, accel_x string, accel_y string, accel_z string")
     with pytest.raises(Exception, match="bad accel_y"):
         nz.normalize(bad, IMU, {"acceleration": "g", "angular_velocity": "rad/s"}).collect()
+
+
+def test_package_gate_and_commit(spark, tmp_path):
+    samples = spark.range(200).selectExpr("'s' AS session_id", "cast(id AS string) AS sample_id", "id * 10 AS source_row_start", "id * 10 + 5 AS source_row_end", "id AS k")
+    reports = spark.createDataFrame([("q1", "t", "a", "passed"), ("q2", "other", "a", "passed"), ("q3", "t", "b", "passed"), ("q4", "t", "a", "failed")], "qc_id string, transformation_id string, sha256 string, status string")
+    ask = lambda qc: {"qc_id": qc, "transformation_id": "t", "sha256": "a"}
+    for qc, code in (("q2", "QC_TRANSFORMATION_MISMATCH"), ("q3", "ARTIFACT_CHECKSUM_MISMATCH"), ("q4", "QC_NOT_ACCEPTED"), ("q9", "QC_NOT_FOUND"), (None, "QC_NOT_FOUND")):
+        with pytest.raises(ValueError, match=code):
+            pk.package(samples, reports=reports, request=ask(qc))
+    made = pk.package(samples, reports=reports, request=ask("q1"))
+    path = str(tmp_path / "package")
+    with pytest.raises(ValueError, match="PACKAGE_NOT_COMMITTED"):
+        pk.committed(spark, path)
+    pk.commit(made, path)
+    status, index = pk.committed(spark, path)
+    assert status.first().status == "completed" and index.count() == 200 and status.first().audit.passed
+    one = pk.package(samples, grouping="session")
+    pk.commit(one, path + "2")
+    with pytest.raises(ValueError, match="PACKAGE_REJECTED: INSUFFICIENT_GROUPS_FOR_SPLIT, EMPTY_REQUESTED_SPLIT"):
+        pk.committed(spark, path + "2")
