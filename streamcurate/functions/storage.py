@@ -27,4 +27,13 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     """Written once and read back, so that several reports share one computation."""
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what `materialize` wrote for these frames, once nothing reads it any more."""
+    for df in frames:
+        folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.storage import materialize
+from .graph import inherited, levels, strongly_connected
 
 #: Artifact types in stage order.
 STAGES = ("ingestion", "validation", "integrity", "normalization", "synchronization", "cleaning", "transformation", "qc", "package")
@@ -158,22 +159,21 @@ def not_rising(edges: DataFrame) -> DataFrame:
     return edges.where((parent >= child) | parent.isNull() | child.isNull())
 
 
-def peeled(steps: DataFrame) -> DataFrame:
-    """The arrows left when nodes without arrows in or out are taken away until nothing changes."""
-    left = materialize(steps, "arrows")
-    count, before = left.count(), None
-    while count and count != before:
-        heads, tails = left.select(F.col("to").alias("from")).distinct(), left.select(F.col("from").alias("to")).distinct()
-        left = materialize(left.join(heads, "from", "left_semi").join(tails, "to", "left_semi").select("from", "to"), "arrows")
-        count, before = left.count(), count
-    return left
+def cycle_components(edges: DataFrame) -> DataFrame:
+    """(node, component) of the nodes that reach themselves; nodes of one component reach each other."""
+    return strongly_connected(arrows(edges, "down"))
 
 
 def detect_cycles(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Nodes that reach themselves, however long the way; by at most max_depth + 1 edges if that is given."""
     if not not_rising(edges).take(1):
         return edges.select(node("parent_type", "parent_id").alias("node")).where("false")
-    steps = peeled(arrows(edges, "down"))
+    on_cycles = cycle_components(edges)
+    if max_depth is None:
+        return on_cycles.select("node")
+    # only ways inside a component return
+    part = materialize(on_cycles, "components")
+    steps = arrows(edges, "down").join(part.toDF("from", "_a"), "from").join(part.toDF("to", "_b"), "to").where("_a = _b").select("from", "to")
     starts = steps.select(F.col("to").alias("root"), F.col("from").alias("goal"))
     return starts.join(walk(starts, steps, max_depth), "root").where("goal = node").select("node").distinct()
 
@@ -210,28 +210,51 @@ def governance_state(events: DataFrame) -> DataFrame:
     return good.groupBy("artifact_type", "artifact_id").agg(F.max_by("new_state", "event_id").alias("state"))
 
 
+def states(events: DataFrame) -> DataFrame:
+    return governance_state(events).select(node("artifact_type", "artifact_id").alias("node"), "state")
+
+
 def governance_chain(roots: DataFrame, edges: DataFrame, events: DataFrame) -> DataFrame:
-    """(root, node, depth, state) of the root and of each ancestor that is invalid or deprecated."""
-    state = governance_state(events).select(node("artifact_type", "artifact_id").alias("node"), "state")
-    above = traverse(roots, edges, "up").join(state, "node", "left").withColumn("state", F.coalesce("state", F.lit("active")))
-    return above.where((F.col("depth") == 0) | (F.col("state") != "active")).select("root", "node", "depth", "state")
+    """(root, node, depth, state) of the root and of each ancestor that is invalid or deprecated.
+
+    Walks down from the few nodes in such a state, not up from every root.
+    """
+    state = materialize(states(events), "states")
+    own = roots.select("root").distinct()
+    first = own.join(state.toDF("root", "state"), "root", "left").select("root", F.col("root").alias("node"), F.lit(0).alias("depth"), F.coalesce("state", F.lit("active")).alias("state"))
+    bad = state.where("state <> 'active'")
+    below = walk(bad.select(F.col("node").alias("root")), arrows(edges, "down")).where("depth > 0").select(F.col("root").alias("bad"), F.col("node").alias("root"), "depth")
+    above = below.join(own, "root", "left_semi").join(bad.toDF("bad", "state"), "bad").select("root", F.col("bad").alias("node"), "depth", "state")
+    return first.unionByName(above)
+
+
+#: Bits of the states that pass on to what lies below.
+BITS = {"invalid": 1, "deprecated": 2}
+
+
+def upstream_states(roots: DataFrame, edges: DataFrame, events: DataFrame) -> DataFrame:
+    """(root, state, above): each root's own state, and the bits of the states above it, by propagation along the edges."""
+    state = materialize(states(events), "states")
+    bits = reduce(lambda c, s: c.when(F.col("state") == s, BITS[s]), list(BITS)[1:], F.when(F.col("state") == "invalid", BITS["invalid"])).otherwise(0)
+    above = inherited(arrows(edges, "down"), state.select("node", bits.alias("bits")))
+    own = roots.select("root").distinct().join(state.toDF("root", "state"), "root", "left")
+    return own.join(above.toDF("root", "above"), "root", "left").select("root", F.coalesce("state", F.lit("active")).alias("state"), F.coalesce("above", F.lit(0)).alias("above"))
 
 
 def upstream_gate(roots: DataFrame, edges: DataFrame, events: DataFrame, allow_deprecated: bool = False) -> DataFrame:
     """(root, open, reason); invalid blocks always, deprecated unless allowed."""
-    chain = governance_chain(roots, edges, events)
-    flag = lambda own, state: F.max(((F.col("depth") == 0 if own else F.col("depth") > 0) & (F.col("state") == state)).cast("int")) == 1
+    has = lambda s: F.col("above").bitwiseAND(F.lit(BITS[s])) > 0
     deprecated = F.lit(not allow_deprecated)
-    reason = F.when(F.col("a"), "INVALID").when(F.col("b"), "INVALID_ANCESTOR").when(F.col("c") & deprecated, "DEPRECATED").when(F.col("d") & deprecated, "DEPRECATED_ANCESTOR")
-    out = chain.groupBy("root").agg(flag(True, "invalid").alias("a"), flag(False, "invalid").alias("b"), flag(True, "deprecated").alias("c"), flag(False, "deprecated").alias("d"))
-    return out.select("root", reason.isNull().alias("open"), reason.alias("reason"))
+    reason = F.when(F.col("state") == "invalid", "INVALID").when(has("invalid"), "INVALID_ANCESTOR").when((F.col("state") == "deprecated") & deprecated, "DEPRECATED").when(has("deprecated") & deprecated, "DEPRECATED_ANCESTOR")
+    return upstream_states(roots, edges, events).select("root", reason.isNull().alias("open"), reason.alias("reason"))
 
 
 def effective_version_status(versions: DataFrame, edges: DataFrame, events: DataFrame, version_events: DataFrame) -> DataFrame:
     """An explicit state wins; else `affected` below something invalid, else `healthy`."""
     explicit = version_events.groupBy("dataset_name", "version").agg(F.max_by("new_state", "event_id").alias("explicit"))
-    roots = versions.select(F.concat(F.lit("package/"), "package_id").alias("root")).distinct()
-    bad = governance_chain(roots, edges, events).where("state = 'invalid'").select("root").distinct().withColumn("bad", F.lit(True))
+    named = versions.withColumn("root", F.concat(F.lit("package/"), "package_id"))
+    invalid = (F.col("state") == "invalid") | (F.col("above").bitwiseAND(F.lit(BITS["invalid"])) > 0)
+    bad = upstream_states(named, edges, events).where(invalid).select("root", F.lit(True).alias("bad"))
     out = versions.join(explicit, ["dataset_name", "version"], "left").withColumn("root", F.concat(F.lit("package/"), "package_id")).join(bad, "root", "left")
     status = F.coalesce("explicit", F.when(F.col("bad"), F.lit("affected")), F.lit("healthy"))
     return out.select("dataset_name", "version", "package_id", status.alias("effective_status"))
@@ -310,25 +333,26 @@ def catalog_health(artifacts: DataFrame, edges: DataFrame, events: DataFrame, ve
 def affected_closure(replaced: DataFrame, edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     """(root, node, level, parent, parent_replaced): what has to be rebuilt, in topological order.
 
-    level is the longest path from the replaced artifact; parents inside the closure are replaced.
-    A cycle below a replaced artifact has no such order and is an error, unless max_depth is given.
+    level is the longest path from the replaced artifact; parents inside the closure are replaced.  Each node is
+    expanded once, after all its parents.  A cycle below a replaced artifact leaves nodes without a level,
+    which is an error; with max_depth, ways of so many edges at most count, and cycles don't matter.
     """
     steps = arrows(edges, "down")
-    if max_depth is None and not_rising(edges).take(1):
-        below = traverse(replaced, edges).select(F.col("node").alias("below")).distinct()
-        if detect_cycles(edges.join(below, node("parent_type", "parent_id") == F.col("below"), "left_semi")).take(1):
-            raise ValueError("a cycle lies below a replaced artifact")
-    frontier = replaced.select("root", F.col("root").alias("node")).distinct()
-    found, depth = frontier.withColumn("level", F.lit(0)), 0
-    while max_depth is None or depth < max_depth:
-        depth += 1
-        frontier = materialize(frontier.join(steps, F.col("node") == F.col("from")).select("root", F.col("to").alias("node")).distinct(), "frontier")
-        if not frontier.take(1):
-            break
-        found = found.unionByName(frontier.withColumn("level", F.lit(depth)))
-        if depth % MERGE_LEVELS == 0:
-            found = materialize(found, "levels")
-    closure = found.groupBy("root", "node").agg(F.max("level").alias("level"))
+    if max_depth is None:
+        below = materialize(walk(replaced, steps).select("root", "node"), "closure")
+        closure = levels(below.join(steps, F.col("node") == F.col("from")).select("root", "from", "to"), below)
+        closure = materialize(closure, "closure")
+        if some := below.join(closure, ["root", "node"], "left_anti").take(1):
+            raise ValueError(f"a cycle lies below a replaced artifact, at or above {some[0].node}")
+    else:
+        frontier = replaced.select("root", F.col("root").alias("node")).distinct()
+        found = frontier.withColumn("level", F.lit(0))
+        for depth in range(1, max_depth + 1):
+            frontier = materialize(frontier.join(steps, F.col("node") == F.col("from")).select("root", F.col("to").alias("node")).distinct(), "frontier")
+            if not frontier.take(1):
+                break
+            found = found.unionByName(frontier.withColumn("level", F.lit(depth)))
+        closure = found.groupBy("root", "node").agg(F.max("level").alias("level"))
     parents = closure.join(steps.select(F.col("to").alias("node"), F.col("from").alias("parent")), "node")
     inside = closure.select("root", F.col("node").alias("parent"), F.lit(True).alias("_in"))
     return parents.join(inside, ["root", "parent"], "left").where("level > 0").select("root", "node", "level", "parent", F.coalesce("_in", F.lit(False)).alias("parent_replaced"))

@@ -1,5 +1,7 @@
 """Lineage deeper than the nine stages: cycles, traversals and closures have no bound on depth."""
 
+import random
+
 import pytest
 
 from streamcurate.operators import lineage as ln
@@ -32,3 +34,54 @@ def test_long_chain(spark):
     assert {(r.node, r.level) for r in ln.affected_closure(roots, chain).collect()} == {(f"x/{i}", i) for i in range(1, 19)}
     with pytest.raises(ValueError, match="cycle"):
         ln.affected_closure(roots, edges(spark, [(0, 1), (1, 2), (2, 1)]))
+
+
+def components(pairs):
+    """Nodes on cycles and the smallest node of their component, by closures."""
+    after = {}
+    for a, b in pairs:
+        after.setdefault(a, set()).add(b)
+    reach = {}
+    for a in {x for p in pairs for x in p}:
+        seen, todo = set(), [a]
+        while todo:
+            for b in after.get(todo.pop(), ()):
+                if b not in seen:
+                    seen.add(b)
+                    todo.append(b)
+        reach[a] = seen
+    return {a: min(f"x/{b}" for b in reach[a] if a in reach[b]) for a in reach if a in reach[a]}
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    pairs = [(rng.randrange(40), rng.randrange(40)) for _ in range(45)]
+    # two rings that share a node, a way between rings, tails in and out, loops, a repeated edge
+    pairs += [(100, 101), (101, 102), (102, 100), (102, 103), (103, 104), (104, 102), (104, 110), (110, 111), (111, 112), (112, 113), (113, 112), (90, 91), (91, 100), (113, 95), (95, 96), (97, 97), (97, 98), (100, 101)]
+    got = {r.node: r.component for r in ln.cycle_components(edges(spark, pairs)).collect()}
+    assert got == {f"x/{a}": low for a, low in components(pairs).items()}
+
+
+def test_ring_of_ten_thousand(spark):
+    n = 10_000
+    ring = spark.range(n).selectExpr("'x' AS parent_type", "cast(id AS string) AS parent_id", "'x' AS child_type", f"cast((id + 1) % {n} AS string) AS child_id")
+    found = ln.cycle_components(ring.union(edges(spark, [(77, "out"), ("out", "end"), ("in", 5), (9, 4000)])))
+    assert found.groupBy("component").count().collect() == [("x/0", n)]
+
+
+def test_states_pass_on(spark):
+    pairs = [(1, 2), (2, 3), (3, 4), (4, 2), (5, 4), (6, 7), (3, 8)]
+    events = spark.createDataFrame([(1, "x", "1", "deprecated", "r"), (2, "x", "5", "invalid", "r"), (3, "x", "6", "invalid", "r"), (4, "x", "6", "active", "r"), (5, "x", "8", "deprecated", "r")], "event_id long, artifact_type string, artifact_id string, new_state string, reason string")
+    roots = spark.createDataFrame([(f"x/{i}",) for i in range(1, 10)], "root string")
+    got = {r.root: r.reason for r in ln.upstream_gate(roots, edges(spark, pairs), events).collect()}
+    assert got == {"x/1": "DEPRECATED", "x/2": "INVALID_ANCESTOR", "x/3": "INVALID_ANCESTOR", "x/4": "INVALID_ANCESTOR", "x/5": "INVALID", "x/6": None, "x/7": None, "x/8": "INVALID_ANCESTOR", "x/9": None}
+    chain = {(r.root, r.node, r.depth) for r in ln.governance_chain(roots, edges(spark, pairs), events).where("depth > 0").collect()}
+    assert chain == {("x/2", "x/1", 1), ("x/3", "x/1", 2), ("x/4", "x/1", 3), ("x/8", "x/1", 3), ("x/4", "x/5", 1), ("x/2", "x/5", 2), ("x/3", "x/5", 3), ("x/8", "x/5", 4)}
+
+
+def test_levels_are_longest_ways(spark):
+    pairs = [(0, 1), (1, 2), (2, 3), (0, 3), (3, 4), (0, 4), (9, 3), (4, 5), (1, 5)]
+    got = ln.affected_closure(spark.createDataFrame([("x/0",), ("x/1",)], "root string"), edges(spark, pairs)).collect()
+    assert {(r.root, r.node, r.level) for r in got} == {("x/0", f"x/{i}", i) for i in range(1, 6)} | {("x/1", f"x/{i}", i - 1) for i in range(2, 6)}
+    assert {(r.node, r.parent) for r in got if r.root == "x/0" and not r.parent_replaced} == {("x/3", "x/9")}
