@@ -90,10 +90,10 @@ def i2(spark, d):
     return fs.read_jsonl(spark, path).select("value")
 
 
-@query("i3_read_json", "SELECT event_id, value FROM events WHERE event_type = 'view'")
+@query("i3_read_json", "SELECT event_id, value FROM events")
 def i3(spark, d):
     path = fresh_path(spark, "json")
-    events = table(spark, d, "events").where("event_type = 'view'").withColumn("part", F.col("event_id") % 16)
+    events = table(spark, d, "events").withColumn("part", F.col("event_id") % 16)
     arrays = events.groupBy("part").agg(F.collect_list(F.struct("event_id", "value")).alias("a")).select(F.to_json("a").alias("value"))
     arrays.repartition(16).write.option("maxRecordsPerFile", 1).text(path)
     return fs.read_json(spark, path).select(F.get_json_object("value", "$.event_id").cast("long").alias("event_id"), F.get_json_object("value", "$.value").cast("double").alias("value"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.storage import materialize
 from ..specs import SensorSpec
 from .csv_splits import named, split_csv
+from .json_splits import split_json
 
 #: What may be ingested, and the largest file.
 EXTENSIONS = (".csv", ".json", ".jsonl", ".zip")
@@ -54,13 +55,8 @@ def read_jsonl(spark: SparkSession, paths) -> DataFrame:
 
 
 def read_json(spark: SparkSession, paths) -> DataFrame:
-    """One object, or the items of an array, per whole file; anything else is one invalid record.
-
-    Such a file is one row, so it has to pass `ingest_filter` first, which bounds its size.
-    """
-    whole = spark.read.option("wholetext", True).text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
-    items = F.when(F.trim("value").startswith("["), F.from_json("value", "array<string>")).otherwise(F.array("value"))
-    return whole.select("file", F.posexplode(F.coalesce(items, F.array("value"))).alias("i", "value")).select("file", (F.col("i") + 1).cast("long").alias("record_number"), "value")
+    """File, record_number, value: the items of each file's array, or its one value; a file that isn't JSON is one invalid record."""
+    return split_json(spark, paths)
 
 
 def ingest_manifest(spark: SparkSession, paths, customer_id: str | None = None, session_id: str | None = None, device_id: str | None = None, source_type: str | None = None) -> DataFrame:
