@@ -680,6 +680,23 @@ def t5(spark, d):
     return rounded(spark.read.parquet(out).select("path", "present", "mean", "score"))
 
 
+@query("t5_running_profile", "SELECT 'value' AS path, count(*) AS total, count(*) AS present, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, min(value) AS min, max(value) AS max, TRUE AS near FROM events")
+def t5_running(spark, d):
+    """The profile after the last of several batches; near: each percentile's rank is within a hundredth."""
+    events = table(spark, d, "events").select(F.col("value").cast("double").alias("value"))
+    source, out = fresh_path(spark, "feed"), fresh_path(spark, "profiles")
+    events.repartition(6).write.parquet(source)
+    feed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    drained(spark, live.running_profile(feed, ["value"], fresh_path(spark, "state"), lambda df, n: df.withColumn("batch", F.lit(n)).write.mode("append").parquet(out)))
+    found = spark.read.parquet(out)
+    last = found.join(found.agg(F.max("batch").alias("batch")), "batch")
+    at = last.select("path", F.posexplode("percentiles").alias("i", "v"))
+    ranks = events.crossJoin(F.broadcast(at)).groupBy("path", "i").agg(F.avg((F.col("value") <= F.col("v")).cast("double")).alias("r"))
+    wanted = F.array(*map(F.lit, qc.PERCENTILES))
+    near = ranks.groupBy("path").agg(F.min(F.abs(F.col("r") - wanted[F.col("i")]) <= 0.01).alias("near"))
+    return rounded(last.join(near, "path").select("path", "total", "present", "mean", "std", "min", "max", "near"))
+
+
 def piped(spark, d):
     return run_pipeline(streams(spark, d), PipelineConfig(tolerance_ms=HOURS_6_US / 1000, window=5, stride=3, features=FEATURES, grouping="session"))
 

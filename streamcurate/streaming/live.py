@@ -98,4 +98,30 @@ def qc_profile(stream: DataFrame, columns: list[str], baseline: DataFrame, sink:
     return stream.writeStream.foreachBatch(batch)
 
 
-__all__ = ["OrderCheck", "dedup", "order_check", "plausible", "qc_profile", "time_windows", "validate_normalize"]
+def running_profile(stream: DataFrame, columns: list[str], folder: str, sink: Callable[[DataFrame, int], None], baseline: DataFrame | None = None):
+    """T5: a writer that sends `sink` the profile of all rows so far after each micro-batch, with drift against a baseline if there is one.
+
+    A batch adds its counts, moments and quantile sketches to those of the batches before it, which lie in `folder`
+    under the last batch's number.  A batch that runs again starts from the same state, so nothing counts
+    twice; only the last two states are kept.  The folder belongs to the query as its checkpoint does.
+    """
+
+    def batch(df: DataFrame, number: int) -> None:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+        done = sorted(int(n.removeprefix("batch-")) for n in names if n.startswith("batch-") and int(n.removeprefix("batch-")) < number)
+        state = qc.mergeable_profile(qc.long_form(df, columns))
+        if done:
+            state = qc.merged_profiles(spark.read.parquet(f"{folder}/batch-{done[-1]}"), state)
+        state.coalesce(1).write.mode("overwrite").parquet(f"{folder}/batch-{number}")
+        for old in done[:-1]:
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/batch-{old}"), True)
+        profile = qc.profile_of(spark.read.parquet(f"{folder}/batch-{number}"))
+        sink(profile if baseline is None else profile.join(qc.drift(profile, baseline), "path"), number)
+
+    return stream.writeStream.foreachBatch(batch)
+
+
+__all__ = ["OrderCheck", "dedup", "order_check", "plausible", "qc_profile", "running_profile", "time_windows", "validate_normalize"]
