@@ -12,7 +12,7 @@ broadcast on its own.  Texts are read and split once, whatever the number of blo
 as many automata as `HELD_BYTES` allow and loads the others as it needs them.
 
 Defined cases: null texts and texts without words have no hits; items without words have no
-windows; items of equal text count each; repeated rows are judged each; an empty benchmark or table
+windows; an item without an id hits words and counts in n_items, but has no name to list; items of equal text count each; repeated rows are judged each; an empty benchmark or table
 gives no hits or no rows; other columns are ignored.
 """
 
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binaries, chunked, materialize, table, whole_row
+from .common import binaries, chunked, materialize, scrap, table, whole_row
 
 WINDOW = 13
 #: A document is contaminated if hit words are at least one part in so many.
@@ -45,7 +45,7 @@ def words_of(text: bytes | None) -> list[bytes]:
 class Automaton:
     """Suffix automaton of several word sequences; `owners` has the items of each (state, window size)."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int):
         self.vocabulary: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
@@ -173,12 +173,15 @@ def automata(benchmark: DataFrame, window: int, block_words: int) -> list:
     count = max(1, -(-(parts.agg(F.sum("n")).first()[0] or 0) // block_words))
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
-        machine = Automaton(sorted(zip(rows["item_id"].where(rows["item_id"].notna(), ""), rows["words"], strict=True)), window)
+        items = [(None if pd.isna(name) else name, words) for name, words in zip(rows["item_id"], rows["words"], strict=True)]
+        machine = Automaton(sorted(items, key=lambda x: (x[0] is None, x[0] or "", x[1])), window)
         return pd.DataFrame({"block": rows["block"][:1], "blob": [pickle.dumps(vars(machine))]})
 
     dealt = parts.withColumn("block", F.pmod(F.xxhash64("item_id", "words"), F.lit(count)).cast("int"))
     built = materialize(dealt.groupBy("block").applyInPandas(build, "block int, blob binary"), "automata")
-    return [spark.sparkContext.broadcast(bytes(built.where(F.col("block") == r.block).first().blob)) for r in built.select("block").orderBy("block").collect()]
+    sent = [spark.sparkContext.broadcast(bytes(built.where(F.col("block") == r.block).first().blob)) for r in built.select("block").orderBy("block").collect()]
+    scrap(parts, built)
+    return sent
 
 
 def scan(docs: DataFrame, blobs: list, ids: tuple[str, ...]) -> DataFrame:
@@ -228,7 +231,7 @@ def scan(docs: DataFrame, blobs: list, ids: tuple[str, ...]) -> DataFrame:
                         else:
                             own.append({"lo": lo, "hi": hi})
                     spans.append(own)
-                    items.append(sorted(names))
+                    items.append(sorted(names, key=lambda x: (x is None, x or "")))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ids), *(pa.array(v, k) for v, k in zip((counts, spans, items), kinds, strict=True))], [*ids, "n_words", "spans", "items"])
 
     return docs.select(*ids, "text").mapInArrow(run, schema)

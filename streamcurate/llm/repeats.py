@@ -279,28 +279,6 @@ def intervals_from(flags: np.ndarray, start: int, window: int):
     return [(start + int(a), start + int(b) - 1 + window) for a, b in zip(edge[0::2], edge[1::2], strict=True)]
 
 
-def hot_windows(hot: DataFrame, spec: Spec) -> DataFrame:
-    """Repeated windows of minimisers with very many distinct runs, by 128-bit fingerprints and partial counts."""
-    schema = "w1 long, w2 long, key long, lo long, n long"
-
-    def run(batches):
-        for batch in batches:
-            for key, place, n, body in zip(*(batch.column(c).to_pylist() for c in ("key", "place", "n", "body")), strict=True):
-                start, count = place >> 24, (place >> 12) & 4095
-                values, _ = tokens_of([body], spec)
-                at = np.arange(count)
-                plain = spans_hash(prefix(values), at, at + spec.window)
-                other = spans_hash(prefix(mix(values + np.uint64(BASE))), at, at + spec.window)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(mix(plain).view(np.int64)), pa.array(mix(other).view(np.int64)), pa.array(np.full(count, key, np.int64)), pa.array(start + at), pa.array(np.full(count, n, np.int64))],
-                    ["w1", "w2", "key", "lo", "n"],
-                )
-
-    windows = hot.select("key", "place", "n", "body").mapInArrow(run, schema)
-    many = windows.groupBy("w1", "w2").agg(F.sum("n").alias("total")).where("total > 1").select("w1", "w2")
-    return windows.join(many, ["w1", "w2"], "left_semi").select("key", "lo", (F.col("lo") + spec.window).alias("hi"))
-
-
 def members(candidates: DataFrame, docs: DataFrame, classes: DataFrame, spec: Spec) -> DataFrame:
     """The rows of `candidates` whose string occurs more than once.
 

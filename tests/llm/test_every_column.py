@@ -1,11 +1,12 @@
 """Every column of op3's and op6's results against brute force, on rows that link with nothing by rule; op10's edges."""
 
+import hashlib
 import random
 
 import numpy as np
 import pytest
 
-from streamcurate.llm import embedding_dedup, language_id, ngram_join
+from streamcurate.llm import decontamination, embedding_dedup, language_id, ngram_join
 
 
 def classes(size, linked):
@@ -69,3 +70,15 @@ def test_sample_bound_with_repeated_ids(spark):
         got = language_id.training(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 3000, 50)
         if got:
             assert 40 <= len(got["en"]) <= 50 and sum(map(len, got["en"])) <= 3000 and got["fr"] == ["the same text"]
+
+
+def test_items_without_ids(spark):
+    docs = spark.createDataFrame([(1, "one two three four"), (2, "five six"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([("b", "two three"), (None, "three four"), (None, "five"), ("a", "two three")], "item_id string, text string")
+    for block_words in (250_000, 1):
+        got = decontamination.decontaminate(docs, items, block_words=block_words).collect()
+        assert sorted((r.doc_id, r.n_hit, r.n_items, r.items_sha256) for r in got) == [(1, 3, 3, sha("a,b")), (2, 1, 1, sha("")), (3, 0, 0, sha(""))]
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
