@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.storage import materialize
+from ..sources.files import hashed_files
 from .graph import inherited, levels, strongly_connected
 
 #: Artifact types in stage order.
@@ -315,7 +316,7 @@ def verify_ancestors(roots: DataFrame, edges: DataFrame, results: DataFrame) ->
 
 
 def file_hashes(spark, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("found_sha256"))
+    return hashed_files(spark, path).select("path", F.col("sha256").alias("found_sha256"))
 
 
 def catalog_health(artifacts: DataFrame, edges: DataFrame, events: DataFrame, versions: DataFrame) -> DataFrame:

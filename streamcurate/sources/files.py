@@ -59,11 +59,56 @@ def read_json(spark: SparkSession, paths) -> DataFrame:
     return split_json(spark, paths)
 
 
+#: Bytes of a file that are held at once while it is hashed.
+HASH_CHUNK = 8 << 20
+#: Schemes of addresses that workers open themselves, in pieces; files elsewhere are read whole by Spark (2 GB at most).
+STREAMED = ("file", "hdfs", "s3", "s3a", "gs", "gcs", "abfs", "abfss")
+
+
+def streamed_hashes(files: DataFrame, chunk: int = HASH_CHUNK) -> DataFrame:
+    """path, length, modified and sha256 of files (path, length, modified), each read in pieces of `chunk` bytes."""
+
+    def run(batches):
+        import hashlib
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            found = []
+            for path in batch.column("path").to_pylist():
+                address = path.replace("s3a://", "s3://", 1)
+                store, name = (fs.LocalFileSystem(), address.removeprefix("file://").removeprefix("file:")) if address.startswith("file:") else fs.FileSystem.from_uri(address)
+                own = hashlib.sha256()
+                with store.open_input_file(name) as source:
+                    while piece := source.read(chunk):
+                        own.update(piece)
+                found.append(own.hexdigest())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("path", "length", "modified")), pa.array(found, pa.string())], ["path", "length", "modified", "sha256"])
+
+    # one file after the other in a task, and the largest ones spread
+    dealt = files.select("path", "length", "modified").repartition("path")
+    return dealt.mapInArrow(run, "path string, length long, modified timestamp, sha256 string")
+
+
+def hashed_files(spark: SparkSession, paths, most: int | None = None) -> DataFrame:
+    """path, length, modified, sha256 of the files, of up to `most` bytes if given; no file is held in memory where its store can be streamed.
+
+    Spark lists no empty files, which `ingest_filter` refuses in any case.
+    """
+    found = spark.read.format("binaryFile").load(paths)
+    found = found if most is None else found.where(F.col("length") <= most)
+    listed = found.select("path", "length", F.col("modificationTime").alias("modified"))
+    streamed = F.substring_index("path", ":", 1).isin(*STREAMED)
+    rest = found.where(~streamed).select("path", "length", F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"))
+    return streamed_hashes(listed.where(streamed)).unionByName(rest)
+
+
 def ingest_manifest(spark: SparkSession, paths, customer_id: str | None = None, session_id: str | None = None, device_id: str | None = None, source_type: str | None = None) -> DataFrame:
     """One row per file: path, sha256, size_bytes and the ids.  Files that I6 finds too large aren't read."""
-    files = spark.read.format("binaryFile").load(paths).where(F.col("length") <= MAX_BYTES)
+    files = hashed_files(spark, paths, MAX_BYTES)
     customer = customer_id.strip() if customer_id and customer_id.strip() else "anonymous"
-    sha = F.sha2("content", 256)
+    sha = F.col("sha256")
     session = F.lit(session_id) if session_id else F.concat(F.lit("sess_"), F.substring(sha, 1, 16))
     return files.select("path", sha.alias("sha256"), F.col("length").alias("size_bytes"), F.lit(customer).alias("customer_id"), session.alias("session_id"), F.lit(device_id).alias("device_id"), F.lit(source_type).alias("source_type"), F.current_timestamp().alias("ingested_at"))
 
