@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -646,15 +647,23 @@ def t1_integrity(spark, d):
     return fine.unionByName(spark.read.parquet(bad).select("record_number", "bad_field"))
 
 
+@contextmanager
+def column_families(spark):
+    """The state store that operators with state of their own need."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @query("t2_stream_order_check", "SELECT session_id, event_id AS record, CASE WHEN t < p THEN 'TIMESTAMP_OUT_OF_ORDER' ELSE 'DUPLICATE_TIMESTAMP' END AS code FROM (SELECT *, lag(t) OVER (PARTITION BY session_id ORDER BY event_id) AS p FROM (SELECT user_id::VARCHAR AS session_id, event_id, CASE WHEN event_id % 9 = 0 THEN 7 ELSE event_id END AS t FROM events)) WHERE t <= p")
 def t2(spark, d):
     feed = live_events(spark, d).selectExpr("CAST(user_id AS STRING) AS session_id", "'all' AS stream", "event_id AS record_number", "CASE WHEN event_id % 9 = 0 THEN 7L ELSE event_id END AS epoch_us")
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
+    with column_families(spark):
         return collected(spark, live.order_check(feed)).select("session_id", "record", "code")
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
 
 
 @query("t3_stream_dedup", "SELECT user_id, value, count(DISTINCT event_type) AS kinds FROM events GROUP BY ALL")
@@ -671,6 +680,25 @@ def t4(spark, d):
     return rounded(out.select("session_id", "row_count", "value_mean"))
 
 
+@query("t4_anchored_windows", "WITH e AS (SELECT user_id::VARCHAR AS session_id, epoch_us(ts) AS us, value, min(epoch_us(ts)) OVER (PARTITION BY user_id) AS first, max(epoch_us(ts)) OVER (PARTITION BY user_id) AS last FROM events) SELECT session_id, (us - first) // 3600000000 AS k, count(*) AS row_count, round(avg(value), 6) AS value_mean, max(value)::DOUBLE AS value_max FROM e GROUP BY session_id, first, last, k HAVING last >= first + (k + 1) * 3600000000")
+def t4_anchored(spark, d):
+    """Files in the order of time, and two late rows of another session that move the watermark past all others."""
+    events = table(spark, d, "events").select(F.col("user_id").cast("string").alias("session_id"), F.col("ts").cast("timestamp").alias("t"), F.col("value").cast("double").alias("value"))
+    low, high = events.agg(F.min(F.unix_micros("t")), F.max(F.unix_micros("t"))).first()
+    source = fresh_path(spark, "feed")
+    third = F.floor((F.unix_micros("t") - F.lit(low)) * 3 / F.lit(high - low + 1))
+    for part in range(3):
+        events.where(third == part).coalesce(1).write.mode("append").parquet(source)
+    for hours in (48, 72):
+        events.limit(1).select(F.lit("end").alias("session_id"), F.timestamp_micros(F.lit(high + hours * 3_600_000_000)).alias("t"), "value").coalesce(1).write.mode("append").parquet(source)
+    feed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    out = fresh_path(spark, "windows")
+    found = live.anchored_windows(feed, "t", ["value"], 3_600_000, 3_600_000, "1 minute")
+    with column_families(spark):
+        drained(spark, found.writeStream.format("parquet").option("path", out))
+    return rounded(spark.read.parquet(out).where("session_id <> 'end'").select("session_id", "k", "row_count", "value_mean", "value_max"))
+
+
 @query("t5_stream_qc_profile", "WITH b AS (SELECT avg(value) AS m, stddev_pop(value) AS s FROM events WHERE event_id % 2 = 0) SELECT 'value' AS path, count(*) AS present, round(avg(value), 6) AS mean, round((avg(value) - any_value(m)) / any_value(s), 6) AS score FROM events, b")
 def t5(spark, d):
     base = qc.feature_profile(qc.long_form(table(spark, d, "events").where("event_id % 2 = 0"), ["value"]))

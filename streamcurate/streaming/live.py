@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,6 +89,94 @@ def time_windows(stream: DataFrame, time: str, fields: list[str], duration: str,
     return out.select("session_id", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "row_count", *(c for c in out.columns if c not in ("session_id", "window", "row_count")))
 
 
+class AnchoredWindows(StatefulProcessor):
+    """State of a session: its first and last time, and counts and moments of each window that is open."""
+
+    def __init__(self, time: str, fields: list[str], duration: int, stride: int):
+        self.time, self.fields, self.duration, self.stride = time, fields, duration, stride
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.span = handle.getValueState("span", "first long, last long")
+        moments = ", ".join(f"n{i} long, mean{i} double, m2{i} double, low{i} double, high{i} double" for i in range(len(self.fields)))
+        self.open = handle.getMapState("open", "k long", f"row_count long, {moments}")
+
+    def handleInputRows(self, key, rows, timerValues):
+        rows = pd.concat(list(rows), ignore_index=True)
+        at = rows[self.time].astype("datetime64[us]").astype("int64").to_numpy()
+        known = self.span.get() if self.span.exists() else None
+        first, last = (int(at.min()), int(at.max())) if known is None else (known[0], max(known[1], int(at.max())))
+        self.span.update((first, last))
+        closed_to = timerValues.getCurrentWatermarkInMs() * 1000
+        values = [pd.to_numeric(rows[f]).to_numpy(float) for f in self.fields]
+        since = at - first
+        low = np.maximum(0, (since - self.duration) // self.stride + 1)
+        high = since // self.stride
+        # each row's windows are few, however far apart rows are
+        reach = low[:, None] + np.arange(max(0, int((high - low).max())) + 1)
+        for k in np.unique(reach[reach <= high[:, None]]).tolist():
+            # rows before the first one are in no window; windows that the watermark has closed take no more
+            mine = (since >= 0) & (low <= k) & (k <= high)
+            if not mine.any() or (known is not None and first + k * self.stride + self.duration <= closed_to and not self.open.containsKey((k,))):
+                continue
+            held = self.open.getValue((k,)) if self.open.containsKey((k,)) else None
+            if held is None:
+                self.handle.registerTimer((first + k * self.stride + self.duration) // 1000 + 1)
+            self.open.updateValue((k,), self.added(held, int(mine.sum()), [v[mine] for v in values]))
+        yield from self.emit(key, first, last, closed_to)
+
+    def added(self, held, count, values):
+        out = [count + (held[0] if held else 0)]
+        for i, v in enumerate(values):
+            v = v[~np.isnan(v)]
+            n, mean, m2, low, high = held[1 + 5 * i : 6 + 5 * i] if held else (0, 0.0, 0.0, None, None)
+            if len(v):
+                step, m = float(v.mean()) - mean, len(v)
+                m2 += float(((v - v.mean()) ** 2).sum()) + step * step * n * m / (n + m)
+                mean += step * m / (n + m)
+                low, high = min(float(v.min()), float("inf") if low is None else low), max(float(v.max()), float("-inf") if high is None else high)
+                n += m
+            out += [n, mean, m2, low, high]
+        return tuple(out)
+
+    def emit(self, key, first, last, closed_to):
+        """The windows that the watermark has passed and a row of the session has closed."""
+        done = []
+        for (k,), held in list(self.open.iterator()):
+            end = first + k * self.stride + self.duration
+            if end <= closed_to and end <= last:
+                self.open.removeKey((k,))
+                row = {"session_id": key[0], "k": k, "start_us": end - self.duration, "end_us": end, "row_count": held[0]}
+                for i, f in enumerate(self.fields):
+                    n, mean, m2, low, high = held[1 + 5 * i : 6 + 5 * i]
+                    row |= {f"{f}_mean": mean if n else None, f"{f}_std": float(np.sqrt(m2 / n)) if n else None, f"{f}_min": low, f"{f}_max": high}
+                done.append(row)
+        if done:
+            yield pd.DataFrame(done)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.span.exists():
+            first, last = self.span.get()
+            yield from self.emit(key, first, last, timerValues.getCurrentWatermarkInMs() * 1000)
+
+    def close(self) -> None:
+        pass
+
+
+def anchored_windows(stream: DataFrame, time: str, fields: list[str], duration_ms: float, stride_ms: float, delay: str) -> DataFrame:
+    """T4 with the windows of W2: half-open windows from each session's first row on, by state and event-time timers.
+
+    A window comes once the watermark has passed its end and a row of the session lies at or after it, so for
+    rows in order the windows are those that W2 keeps when it drops incomplete ones.  Defined otherwise: rows before the
+    session's first row are in no window, rows later than the watermark allows are dropped, and the first row is the
+    earliest of the session's first micro-batch.  A session's rows of one micro-batch are held at once.
+    """
+    stats = "".join(f", `{f}_{s}` double" for f in fields for s in ("mean", "std", "min", "max"))
+    work = AnchoredWindows(time, fields, int(duration_ms * 1000), int(stride_ms * 1000))
+    rows = stream.withWatermark(time, delay).select("session_id", time, *fields)
+    return rows.groupBy("session_id").transformWithStateInPandas(work, f"session_id string, k long, start_us long, end_us long, row_count long{stats}", "append", "eventTime")
+
+
 def qc_profile(stream: DataFrame, columns: list[str], baseline: DataFrame, sink: Callable[[DataFrame, int], None]):
     """T5: a writer that sends each micro-batch's profile and drift against a fixed baseline to `sink`."""
 
@@ -124,4 +213,4 @@ def running_profile(stream: DataFrame, columns: list[str], folder: str, sink: Ca
     return stream.writeStream.foreachBatch(batch)
 
 
-__all__ = ["OrderCheck", "dedup", "order_check", "plausible", "qc_profile", "running_profile", "time_windows", "validate_normalize"]
+__all__ = ["AnchoredWindows", "OrderCheck", "anchored_windows", "dedup", "order_check", "plausible", "qc_profile", "running_profile", "time_windows", "validate_normalize"]
