@@ -92,12 +92,15 @@ class Summary:
 
     def __init__(self, block: int):
         self.first, self.state, self.count = block == 0, [False, True], [0, 0]
+        #: A file's first line where it is its header for sure, having no quotes.
+        self.header: str | None = None
 
     def take(self, values: pa.Array) -> None:
         values, _ = split_returns(values)
         blank, quoted = blanks(values), quotes(values)
         if self.first:
             blank[0], self.first = False, False  # a header, even if it is blank
+            self.header = None if quoted[0] else values[0].as_py().removesuffix("\r")
         at_quotes = [(i, values[i].as_py()) for i in np.flatnonzero(quoted).tolist()]
         full = np.concatenate(([0], np.cumsum(~blank)))
         for k in (0, 1):
@@ -128,11 +131,13 @@ def by_blocks(batches):
 
 
 def summaries(lines: DataFrame) -> DataFrame:
-    """One row per block: file, block, out0, out1 (whether it ends inside quotes), n0, n1 (records that begin in it)."""
+    """One row per block: file, block, out0, out1 (whether it ends inside quotes), n0, n1 (records that begin in it), header."""
 
     def run(batches):
         def row(key, x):
-            return pa.RecordBatch.from_pylist([{"file": key[0], "block": key[1], "out0": x.state[0], "out1": x.state[1], "n0": x.count[0], "n1": x.count[1]}])
+            return pa.RecordBatch.from_pylist([{"file": key[0], "block": key[1], "out0": x.state[0], "out1": x.state[1], "n0": x.count[0], "n1": x.count[1], "header": x.header}], schema)
+
+        schema = pa.schema([("file", pa.string()), ("block", pa.int64()), ("out0", pa.bool_()), ("out1", pa.bool_()), ("n0", pa.int64()), ("n1", pa.int64()), ("header", pa.string())])
 
         key, found = None, None
         for file, block, part in by_blocks(batches):
@@ -144,11 +149,11 @@ def summaries(lines: DataFrame) -> DataFrame:
         if found:
             yield row(key, found)
 
-    return lines.mapInArrow(run, "file string, block long, out0 boolean, out1 boolean, n0 long, n1 long")
+    return lines.mapInArrow(run, "file string, block long, out0 boolean, out1 boolean, n0 long, n1 long, header string")
 
 
 def entries(ends: DataFrame) -> DataFrame:
-    """file, block, inside (whether the block begins inside quotes), leaves (whether it ends so), base (records begun before)."""
+    """file, block, inside (whether the block begins inside quotes), leaves (whether it ends so), base (records begun before), header."""
     by_block = Window.partitionBy("file").orderBy("block")
     before = by_block.rowsBetween(Window.unboundedPreceding, -1)
     # a block sets the state whatever it was, swaps it, or leaves it
@@ -158,7 +163,7 @@ def entries(ends: DataFrame) -> DataFrame:
     odd = (F.col("past") - F.coalesce("set.turns", F.lit(0))) % 2 == 1
     pick = lambda a, b: F.when(F.col("inside"), F.col(b)).otherwise(F.col(a))
     known = last.withColumn("inside", F.coalesce("set.out0", F.lit(False)) != odd)
-    return known.select("file", "block", "inside", pick("out0", "out1").alias("leaves"), F.coalesce(F.sum(pick("n0", "n1")).over(before), F.lit(0)).alias("base"))
+    return known.select("file", "block", "inside", pick("out0", "out1").alias("leaves"), F.coalesce(F.sum(pick("n0", "n1")).over(before), F.lit(0)).alias("base"), "header")
 
 
 def parsed(text: str):
@@ -278,7 +283,11 @@ def split_csv(spark: SparkSession, paths) -> CsvFiles:
     """All records of the files, and their headers."""
     lines = scan(spark, paths)
     known = materialize(entries(summaries(lines)), "csv-blocks")
-    few = known.count() <= BROADCAST_ROWS
+    found = known.agg(F.count("*").alias("blocks"), F.max(F.col("inside") | F.col("leaves")).alias("edges"), F.max((F.col("block") == 0) & F.col("header").isNull()).alias("quoted")).first()
+    few = found.blocks <= BROADCAST_ROWS
+
+    def bare(text):
+        return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ",", -1))
 
     def with_entry(blocks: DataFrame) -> DataFrame:
         if few:
@@ -289,15 +298,16 @@ def split_csv(spark: SparkSession, paths) -> CsvFiles:
     def records(blocks: DataFrame) -> DataFrame:
         whole = cut(with_entry(blocks), parts=False)
         text = F.col("text")
-        cells = F.when(text.isNull(), F.col("cells")).when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ",", -1))
+        cells = F.when(text.isNull(), F.col("cells")).otherwise(bare(text))
         return whole.select("file", "number", cells.alias("cells"))
 
-    edges = known.where("inside OR leaves")
-    over = materialize(stitched(cut(with_entry(edges), parts=True)), "csv-edges") if edges.take(1) else None
-    every, heads = records(known), records(known.where("block = 0")).where("number = 0")
-    if over is not None:
-        every, heads = every.unionByName(over), heads.unionByName(over.where("number = 0"))
-    headers = materialize(heads.select("file", F.col("cells").alias("header")), "csv-headers")
+    every, headers = records(known), known.where("block = 0 AND header IS NOT NULL").select("file", bare(F.col("header")).alias("header"))
+    if found.quoted:
+        heads = records(known.where("block = 0 AND header IS NULL")).where("number = 0").select("file", F.col("cells").alias("header"))
+        headers = headers.unionByName(materialize(heads, "csv-headers"))
+    if found.edges:
+        over = materialize(stitched(cut(with_entry(known.where("inside OR leaves")), parts=True)), "csv-edges")
+        every, headers = every.unionByName(over), headers.unionByName(over.where("number = 0").select("file", F.col("cells").alias("header")))
     return CsvFiles(every.where("number > 0").withColumnRenamed("number", "record_number"), headers)
 
 
