@@ -114,12 +114,17 @@ def feature_percentiles(long: DataFrame, at: tuple[float, ...] = PERCENTILES) ->
     return found.groupBy("path").agg(F.transform(F.array_sort(F.collect_list(value)), lambda x: x["v"]).alias("percentiles"))
 
 
-def modality_summary(samples: DataFrame) -> DataFrame:
-    """Q5: per stream the samples present and the coverage over windows (few distinct values, so their median is exact)."""
+def modality_summary(samples: DataFrame, median: bool = True) -> DataFrame:
+    """Q5: per stream the samples present and the coverage over windows; the median, exact, comes from ranks as in Q4."""
     names = samples.schema["modality_coverage"].dataType.names
     masked = "modality_mask" in samples.columns
     long = samples.select(F.explode(F.array(*(F.struct(F.lit(n).alias("stream"), F.col(f"modality_coverage.{n}").alias("c"), (F.col(f"modality_mask.{n}") if masked else F.col(f"modality_coverage.{n}") > 0).alias("p")) for n in names))).alias("x")).select("x.*")
-    return long.groupBy("stream").agg(F.sum(F.col("p").cast("long")).alias("samples_present"), F.avg(F.col("p").cast("double")).alias("present_ratio"), F.avg("c").alias("mean_coverage"), F.percentile("c", F.lit(0.5)).alias("median_coverage"), F.min("c").alias("min_coverage"), F.max("c").alias("max_coverage"))
+    long = materialize(long, "coverage") if median else long
+    out = long.groupBy("stream").agg(F.sum(F.col("p").cast("long")).alias("samples_present"), F.avg(F.col("p").cast("double")).alias("present_ratio"), F.avg("c").alias("mean_coverage"), F.min("c").alias("min_coverage"), F.max("c").alias("max_coverage"))
+    if not median:
+        return out
+    middle = feature_percentiles(long.select(F.col("stream").alias("path"), F.col("c").cast("double").alias("value")), (0.5,)).select(F.col("path").alias("stream"), F.col("percentiles")[0].alias("median_coverage"))
+    return out.join(middle, "stream", "left").select("stream", "samples_present", "present_ratio", "mean_coverage", "median_coverage", "min_coverage", "max_coverage")
 
 
 def temporal_extent(samples: DataFrame) -> DataFrame:
@@ -240,7 +245,7 @@ def qc_report(
     repeated, late, uneven = duplicate_sample_ids(samples), sample_time_order(samples), group_imbalance(samples, "session_id", maximum_group)
     parts = [
         check_dataset_size(samples, minimum_samples),
-        check_modality_coverage(modality_summary(samples), coverage or {}),
+        check_modality_coverage(modality_summary(samples, median=False), coverage or {}),
         check_completeness(profile, missing),
         check_variance(profile),
         check_range(profile, ranges or {}),
