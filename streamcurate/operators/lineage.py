@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.storage import materialize
+from ..functions.storage import fresh_path, materialize
 from ..sources.files import hashed_files
 from .graph import inherited, levels, strongly_connected
 
@@ -32,9 +32,6 @@ RELATIONSHIPS = {
     ("qc", "package"): "approved_by_qc",
 }
 
-#: Levels of a traversal after which what it has found is written into one table, so that plans stay small.
-MERGE_LEVELS = 16
-
 
 def rank(kind: Column) -> Column:
     return F.array_position(F.array(*map(F.lit, STAGES)), kind).cast("int")
@@ -106,19 +103,31 @@ def arrows(edges: DataFrame, direction: str) -> DataFrame:
 
 
 def walk(roots: DataFrame, steps: DataFrame, max_depth: int | None = None) -> DataFrame:
-    """(root, node, depth) along arrows until nothing new is reached, or for max_depth steps if given."""
-    frontier = roots.select("root", F.col("root").alias("node"), F.lit(0).alias("depth")).distinct()
-    seen, depth = frontier, 0
-    while max_depth is None or depth < max_depth:
-        depth += 1
-        nxt = frontier.join(steps, F.col("node") == F.col("from")).select("root", F.col("to").alias("node")).distinct()
-        frontier = materialize(nxt.join(seen, ["root", "node"], "left_anti").withColumn("depth", F.lit(depth)), "frontier")
-        if not frontier.take(1):
+    """(root, node, depth) along arrows until nothing new is reached, or for max_depth steps if given.
+
+    Each node is expanded once per root, so it's met as often as arrows lead to it from nodes found.  A
+    node met by all its arrows can't come again; only those with arrows still to come (`left`) are held
+    against what a level meets.  A level thus reads and writes its frontier and these, not all found so far.
+    """
+    base = fresh_path(roots.sparkSession, "walk")
+    into = steps.groupBy(F.col("to").alias("_to")).agg(F.count("*").alias("arrows"))
+    steps = materialize(steps.join(into, F.col("to") == F.col("_to")).select("from", "to", "arrows"), "arrows")
+    first = roots.select("root", F.col("root").alias("node")).distinct()
+    arrows_in = steps.select(F.col("to").alias("node"), "arrows").distinct()
+    level = first.join(arrows_in, "node", "left").select("root", "node", F.coalesce("arrows", F.lit(0)).alias("left"), F.lit(True).alias("fresh"))
+    schema, depth = level.schema, 0
+    while True:
+        path = f"{base}/depth={depth}"
+        level.write.parquet(path)
+        level = roots.sparkSession.read.schema(schema).parquet(path)
+        if depth == max_depth or not level.where("fresh").take(1):
             break
-        seen = seen.unionByName(frontier)
-        if depth % MERGE_LEVELS == 0:
-            seen = materialize(seen, "seen")
-    return seen
+        depth += 1
+        met = level.where("fresh").join(steps, F.col("node") == F.col("from")).groupBy("root", F.col("to").alias("node")).agg(F.count("*").alias("met"), F.first("arrows").alias("arrows"))
+        known = level.where("left > 0").select("root", "node", F.col("left").alias("due"))
+        left = F.coalesce("due", "arrows") - F.coalesce("met", F.lit(0))
+        level = met.join(known, ["root", "node"], "full").select("root", "node", left.alias("left"), F.col("due").isNull().alias("fresh")).where("fresh OR left > 0")
+    return roots.sparkSession.read.schema(schema.add("depth", "integer")).parquet(base).where("fresh").select("root", "node", "depth")
 
 
 def traverse(roots: DataFrame, edges: DataFrame, direction: str = "down", max_depth: int | None = None) -> DataFrame:

@@ -36,6 +36,42 @@ def test_long_chain(spark):
         ln.affected_closure(roots, edges(spark, [(0, 1), (1, 2), (2, 1)]))
 
 
+def reached(pairs, root, most=None):
+    """Depths by breadth-first search."""
+    depth, todo = {root: 0}, [root]
+    while todo:
+        a = todo.pop(0)
+        for b in (y for x, y in pairs if x == a and (most is None or depth[a] < most)):
+            if b not in depth:
+                depth[b] = depth[a] + 1
+                todo.append(b)
+    return {(f"x/{root}", f"x/{b}", d) for b, d in depth.items()}
+
+
+@pytest.mark.parametrize("most", [None, 0, 1, 4])
+def test_walks(spark, most):
+    # cycles, loops, diamonds of unequal sides, repeated edges, arrows from nodes no root reaches
+    rng = random.Random(3)
+    pairs = [(rng.randrange(30), rng.randrange(30)) for _ in range(40)]
+    pairs += [(50, 51), (51, 52), (52, 50), (50, 53), (53, 54), (54, 55), (50, 55), (55, 55), (99, 55), (50, 51)]
+    starts = [0, 1, 2, 3, 50, 52, 99, 1000]
+    roots = spark.createDataFrame([(f"x/{i}",) for i in [*starts, 0]], "root string")
+    for direction, way in (("down", pairs), ("up", [(b, a) for a, b in pairs])):
+        got = [tuple(r) for r in ln.traverse(roots, edges(spark, pairs), direction, most).select("root", "node", "depth").collect()]
+        assert sorted(got) == sorted(set().union(*(reached(way, i, most) for i in starts)))
+    assert ln.traverse(roots.where("false"), edges(spark, pairs)).count() == 0
+
+
+def test_a_level_holds_its_frontier(spark, monkeypatch, tmp_path):
+    # a long chain of diamonds: each level has one or two nodes, and none that is done
+    chain = [e for i in range(0, 30, 3) for e in ((i, i + 1), (i, i + 2), (i + 1, i + 3), (i + 2, i + 3))]
+    monkeypatch.setattr(ln, "fresh_path", lambda spark, label: str(tmp_path / label))
+    roots = spark.createDataFrame([("x/0",)], "root string")
+    assert {tuple(r) for r in ln.traverse(roots, edges(spark, chain)).collect()} == reached(chain, 0)
+    rows = [spark.read.parquet(str(p)).count() for p in (tmp_path / "walk").glob("depth=*")]
+    assert len(rows) > 20 and max(rows) <= 2
+
+
 def components(pairs):
     """Nodes on cycles and the smallest node of their component, by closures."""
     after = {}
