@@ -8,10 +8,10 @@ depends on nothing but the window, so equal windows meet wherever minimisers are
 2. Minimisers that occur once hold no repeated window and go.  This only takes away what can't
    repeat; from here on strings decide, never fingerprints.
 3. The strings of all other runs are cut from their texts and grouped as strings, with map-side
-   combining, so of copies one string travels on, with their number.  Of a string that occurs more
-   than once all windows repeat.
-4. The operators compare the distinct strings, each in its own way.  Groups too large for one task go
-   window by window through `exact_windows`, which compares the windows as strings too.
+   combining, so of copies one string travels on, with their number.
+4. The operators sort the windows of the distinct strings, each in its own way, and count them with
+   these numbers; what they find in a string holds for all its copies.  Groups too large for one task
+   go window by window through `exact_windows`, which compares the windows as strings too.
 
 Places come back as token intervals by document.  A document is named by its doc_id (`doc`, 0 for
 null) and a hash of doc_id and text (`key`) together, so repeated doc_ids stay apart.
@@ -35,6 +35,8 @@ MIX = 0xD6E8FEB86659FD93
 POSITION_BITS = 27
 #: A run is heavy if it holds more than one in HEAVY of the rows joined.
 HEAVY = 1000
+#: What is found in a distinct string: tokens [lo, hi) of it; key, doc and place are those of one copy.
+FOUND = "fp long, seg long, n long, key long, doc long, place long, lo long, hi long"
 
 
 @dataclass(frozen=True)
@@ -237,12 +239,18 @@ def string_classes(strings: DataFrame) -> DataFrame:
     return shaped.groupBy("fp", "seg", "shape", "body").agg(F.count("*").alias("n"), F.min("key").alias("key"), F.min("doc").alias("doc"), F.min("place").alias("place"))
 
 
+def found_rows(rows: list[tuple]) -> pa.RecordBatch:
+    names = [c.split()[0] for c in FOUND.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(len(names))], names)
+
+
 def exact_windows(classes: DataFrame, spec: Spec) -> DataFrame:
-    """(key, doc, lo, hi) of the repeated windows in classes with n = 1, window by window, for groups of any size.
+    """FOUND of the repeated windows in `classes`, window by window, for groups of any size.
 
     Fingerprints only keep back windows that can't repeat; the others are grouped as strings.
     """
-    rows = classes.select("fp", "key", "doc", "place", "n", "body", F.xxhash64("fp", "seg", "shape", "body").alias("cid"))
+    own = ["fp", "seg", "n", "key", "doc", "place"]
+    rows = classes.select(*own, "body", F.xxhash64("fp", "seg", "shape", "body").alias("cid"))
 
     def prints(batches):
         for batch in batches:
@@ -254,21 +262,24 @@ def exact_windows(classes: DataFrame, spec: Spec) -> DataFrame:
 
     def strings(batches):
         for batch in batches:
-            for key, doc, place, n, body, chosen in zip(*(batch.column(c).to_pylist() for c in ("key", "doc", "place", "n", "body", "js")), strict=True):
-                chosen = sorted(j for j in chosen if j < ((place >> 12) & 4095))
+            for *named, body, chosen in zip(*(batch.column(c).to_pylist() for c in (*own, "body", "js")), strict=True):
+                chosen = sorted(j for j in chosen if j < ((named[-1] >> 12) & 4095))
                 start, end = word_table(body) if spec.tokens == "words" else (range(len(body)), range(1, len(body) + 1))
                 cut = [body[start[j] : end[j + spec.window - 1]] for j in chosen]
                 for at in range(0, len(cut), 4096):
                     part = cut[at : at + 4096]
-                    first = np.array(chosen[at : at + 4096], np.int64) + (place >> 24)
-                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array(np.full(len(part), key, np.int64)), pa.array(np.full(len(part), doc, np.int64)), pa.array(first), pa.array(np.full(len(part), n, np.int64))], ["w", "key", "doc", "lo", "n"])
+                    first = np.array(chosen[at : at + 4096], np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), *(pa.array(np.full(len(part), x, np.int64)) for x in named), pa.array(first)], ["w", *own, "lo"])
 
     printed = materialize(rows.select("cid", "place", "n", "body").mapInArrow(prints, "h long, cid long, j long, n long"), "window-prints")
     many = materialize(printed.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), "window-many")
     alive = printed.join(many, "h", "left_semi").groupBy("cid").agg(F.collect_set("j").alias("js"))
-    windows = materialize(rows.join(alive, "cid").select("key", "doc", "place", "n", "body", "js").mapInArrow(strings, "w binary, key long, doc long, lo long, n long"), "windows")
+    windows = materialize(rows.join(alive, "cid").select(*own, "body", "js").mapInArrow(strings, "w binary, " + FOUND.rsplit(", ", 1)[0]), "windows")
     twice = materialize(windows.groupBy("w").agg(F.sum("n").alias("n")).where("n > 1").select("w"), "windows-twice")
-    found = materialize(windows.where("n = 1").join(twice, "w", "left_semi").select("key", "doc", "lo", (F.col("lo") + spec.window).alias("hi")), "window-spans")
+    flagged = windows.join(twice, "w", "left_semi").select(*own, "lo", (F.col("lo") + spec.window).alias("hi"))
+    # of a string with copies every window is counted more than once, so they make one interval
+    copied = flagged.where("n > 1").groupBy(*own).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    found = materialize(flagged.where("n = 1").unionByName(copied), "window-spans")
     scrap(printed, many, windows, twice)
     return found
 
@@ -279,36 +290,39 @@ def intervals_from(flags: np.ndarray, start: int, window: int):
     return [(start + int(a), start + int(b) - 1 + window) for a, b in zip(edge[0::2], edge[1::2], strict=True)]
 
 
-def members(candidates: DataFrame, docs: DataFrame, classes: DataFrame, spec: Spec) -> DataFrame:
-    """The rows of `candidates` whose string occurs more than once.
+def members(candidates: DataFrame, docs: DataFrame, classes: DataFrame, found: DataFrame, spec: Spec) -> tuple[DataFrame, list[DataFrame]]:
+    """(key, doc, lo, hi) of what was found in strings with copies, for each of the copies in `candidates`, and tables it reads.
 
     (fp, seg) names a class wherever only one class has that name, which is known from the strings;
     should two ever share it, their members are told apart by their strings.  Classes that hold over
-    a `HEAVY`th of all rows are at most HEAVY kinds: these are broadcast, and their rows stay where
-    they are; the rest is joined by shuffle.
+    a `HEAVY`th of all rows are at most HEAVY kinds, with one interval each: these are broadcast, and
+    their rows stay where they are; the rest is joined by shuffle.
     """
     on = ["fp", "seg"]
     total = classes.agg(F.sum("n")).first()[0] or 0
     twins = materialize(classes.groupBy(*on).agg(F.count("*").alias("kinds")).where("kinds > 1").select(*on), "twins")
-    repeated = classes.where("n > 1").select(*on, "n")
+    repeated = found.where("n > 1").select(*on, "n", "lo", "hi").distinct()
     some = bool(twins.take(1))
     if some:
         repeated = repeated.join(twins, on, "left_anti")
-    heavy = F.broadcast(repeated.where(F.col("n") * HEAVY > total).select(*on))
-    light = repeated.where(F.col("n") * HEAVY <= total).select(*on)
-    out = candidates.join(heavy, on, "left_semi").unionByName(candidates.join(heavy, on, "left_anti").join(light, on, "left_semi"))
+    # written, so that the join by shuffle can split a hot name
+    repeated = materialize(repeated, "repeated")
+    heavy = F.broadcast(repeated.where(F.col("n") * HEAVY > total).drop("n"))
+    light = repeated.where(F.col("n") * HEAVY <= total).drop("n")
+    joined = candidates.join(heavy, on).unionByName(candidates.join(heavy, on, "left_anti").join(light, on))
+    out = joined.select("key", "doc", (start_of() + F.col("lo")).alias("lo"), (start_of() + F.col("hi")).alias("hi"))
     if some:
         named = [*on, "shape", "body"]
         told = run_strings(docs, candidates.join(twins, on, "left_semi"), spec).withColumn("shape", F.col("place").bitwiseAND(F.lit((1 << 24) - 1)))
-        out = out.unionByName(told.join(classes.where("n > 1").select(*named), named, "left_semi").select(*candidates.columns))
-    return out
+        out = out.unionByName(spread(told.join(classes.where("n > 1").select(*named), named, "left_semi"), spec))
+    return out, [twins, repeated]
 
 
 def repeated_intervals(docs: DataFrame, spec: Spec, compared) -> DataFrame:
     """(key, doc, lo, hi): token intervals covered by windows that also start elsewhere.
 
-    docs: key, doc (long), text.  compared(classes, spec) takes the distinct strings and returns
-    (key, doc, lo, hi) for the repeated windows of those with n = 1.
+    docs: key, doc (long), text.  compared(classes, spec) takes the distinct strings with their
+    numbers and returns a written table of FOUND: the repeated windows of each.
     """
     runs = materialize(emit_runs(docs, spec), "runs")
     # written first: only a side that is no aggregate of the join's own stage lets a hot minimiser be split
@@ -316,9 +330,11 @@ def repeated_intervals(docs: DataFrame, spec: Spec, compared) -> DataFrame:
     candidates = materialize(runs.join(known, "fp", "left_semi"), "candidates")
     scrap(runs, known)
     classes = materialize(string_classes(run_strings(docs, candidates, spec)), "classes")
-    spans = compared(classes, spec).unionByName(spread(members(candidates, docs, classes, spec), spec))
-    out = materialize(spans, "spans")
-    scrap(candidates, classes)
+    found = compared(classes, spec)
+    alone = found.where("n = 1").select("key", "doc", (start_of() + F.col("lo")).alias("lo"), (start_of() + F.col("hi")).alias("hi"))
+    copied, used = members(candidates, docs, classes, found, spec)
+    out = materialize(alone.unionByName(copied), "spans")
+    scrap(candidates, classes, found, *used)
     return out
 
 

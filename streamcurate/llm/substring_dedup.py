@@ -3,7 +3,7 @@
 Consecutive windows that share a minimiser travel as one packed string to the bucket of that
 minimiser, where sorting the windows counts them exactly.  Before that, minimisers seen once are
 dropped and equal strings merged with their number, so what is shuffled follows the repeated part of
-the corpus.  A minimiser with more than `hot` distinct strings isn't given to one task: its windows
+the corpus; the sort counts a window as often as its strings occur.  A minimiser with more than `hot` distinct strings isn't given to one task: its windows
 are grouped one by one.  Strings decide in every case.
 
 Defined cases: a null or empty text has no words; texts of fewer words than a window keep all of
@@ -14,53 +14,57 @@ of the input are ignored.
 from __future__ import annotations
 
 import hashlib
-from itertools import compress
+from itertools import compress, groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, whole_groups
-from .repeats import Spec, exact_windows, intervals_from, keyed, merged, repeated_intervals, with_intervals, word_table
+from .common import materialize, scrap, whole_groups
+from .repeats import FOUND, Spec, exact_windows, found_rows, intervals_from, keyed, merged, repeated_intervals, with_intervals, word_table
 
 WINDOW = 35
 GRAM = 8
 
 
 def word_buckets(classes: DataFrame, spec: Spec) -> DataFrame:
-    """Repeated windows of packed strings, bucket by bucket: sort the windows, compare neighbours."""
+    """FOUND of packed strings, bucket by bucket: sort the windows, add up the numbers of equal ones."""
 
     def run(batches):
         for part in whole_groups(batches, "fp"):
-            n, keys, docs, places, fp = (part.column(c).to_numpy() for c in ("n", "key", "doc", "place", "fp"))
-            # a bucket of one string has nothing to compare: it was merged with its copies
-            first = np.flatnonzero(np.diff(np.concatenate(([fp[0] - 1], fp))))
-            alone = np.repeat(np.diff(np.concatenate((first, [len(fp)]))) == 1, np.diff(np.concatenate((first, [len(fp)]))))
-            windows, owner = [], []
+            columns = [part.column(c).to_numpy() for c in ("fp", "seg", "n", "key", "doc", "place")]
+            fp, _, n, _, _, places = columns
             bodies = part.column("body")
-            for i in np.flatnonzero(~alone).tolist():
-                body = bodies[i].as_py()
-                start, end = word_table(body)
-                count = (int(places[i]) >> 12) & 4095
-                windows += [body[a:b] for a, b in zip(start[:count].tolist(), end[spec.window - 1 :].tolist(), strict=True)]
-                owner += [(i, j) for j in range(count)]
-            order = sorted(range(len(windows)), key=windows.__getitem__)
-            flags: dict[int, np.ndarray] = {}
-            for a, b in zip(order, order[1:], strict=False):
-                if windows[a] == windows[b]:
-                    for x in (a, b):
-                        i, j = owner[x]
-                        if n[i] == 1:
-                            flags.setdefault(i, np.zeros((int(places[i]) >> 12) & 4095, bool))[j] = True
-            rows = [(int(keys[i]), int(docs[i]), lo, hi) for i, f in flags.items() for lo, hi in intervals_from(f, int(places[i]) >> 24, spec.window)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(4)], ["key", "doc", "lo", "hi"])
+            edges = np.flatnonzero(np.diff(np.concatenate(([fp[0] - 1], fp, [fp[-1] - 1]))))
+            rows = []
+            for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                if high - low == 1 and n[low] == 1:
+                    continue  # nothing to count its windows against
+                windows, owner = [], []
+                for i in range(low, high):
+                    body = bodies[i].as_py()
+                    start, end = word_table(body)
+                    count = (int(places[i]) >> 12) & 4095
+                    windows += [body[a:b] for a, b in zip(start[:count].tolist(), end[spec.window - 1 :].tolist(), strict=True)]
+                    owner += [(i, j) for j in range(count)]
+                flags = {i: np.zeros((int(places[i]) >> 12) & 4095, bool) for i in range(low, high)}
+                for _, equal in groupby(sorted(range(len(windows)), key=windows.__getitem__), key=windows.__getitem__):
+                    held = [owner[a] for a in equal]
+                    if sum(int(n[i]) for i, _ in held) > 1:
+                        for i, j in held:
+                            flags[i][j] = True
+                rows += [(*(int(c[i]) for c in columns), lo, hi) for i, f in flags.items() for lo, hi in intervals_from(f, 0, spec.window)]
+            yield found_rows(rows)
 
     large = materialize(classes.groupBy("fp").agg(F.count("*").alias("m")).where(F.col("m") > spec.hot).select("fp"), "large")
     some = bool(large.take(1))
     few = classes.join(large, "fp", "left_anti") if some else classes
-    found = few.select("fp", "n", "key", "doc", "place", "body").repartition("fp").sortWithinPartitions("fp").mapInArrow(run, "key long, doc long, lo long, hi long")
-    return found.unionByName(exact_windows(classes.join(large, "fp", "left_semi"), spec)) if some else found
+    found = few.select("fp", "seg", "n", "key", "doc", "place", "body").repartition("fp").sortWithinPartitions("fp").mapInArrow(run, FOUND)
+    hot = exact_windows(classes.join(large, "fp", "left_semi"), spec) if some else None
+    out = materialize(found.unionByName(hot) if some else found, "bucket-spans")
+    scrap(large, *([hot] if some else []))
+    return out
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = 20_000) -> DataFrame:

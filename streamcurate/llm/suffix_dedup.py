@@ -3,7 +3,7 @@
 A suffix for every byte would move the text hundreds of times, so suffixes begin at content-sampled
 places (window minimisers): every repeated string of 400 bytes holds such a place at the same offset
 in both copies.  Each suffix carries the bytes before its place that its windows need.  Copies are
-merged first, with their number (see repeats).
+merged first; the sort counts each with its number (see repeats).
 
 Sampled splitters range-partition the suffixes by their leading bytes; a lead with more suffixes than
 a bucket takes is cut further, by the bytes that follow.  Each bucket sorts its suffixes, and the
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, scrap, whole_groups
-from .repeats import Spec, exact_windows, intervals_from, keyed, merged, repeated_intervals, with_intervals
+from .repeats import FOUND, Spec, exact_windows, found_rows, intervals_from, keyed, merged, repeated_intervals, with_intervals
 
 WINDOW = 400
 GRAM = 64
@@ -79,8 +79,8 @@ def neighbours(rows: np.ndarray, lengths: np.ndarray, group: np.ndarray, order:
     return np.concatenate(([-1], common))
 
 
-def repeated_windows(bodies: list[bytes], offset: np.ndarray, count: np.ndarray, group: np.ndarray, spec: Spec) -> np.ndarray:
-    """Flags (suffix, bytes before its place at a window's start) of windows equal to one of another suffix of the group."""
+def repeated_windows(bodies: list[bytes], offset: np.ndarray, count: np.ndarray, group: np.ndarray, copies: np.ndarray, spec: Spec) -> np.ndarray:
+    """Flags (suffix, bytes before its place at a window's start) of windows that the group's suffixes hold more than once, copies counted."""
     W, reach, size = spec.window, spec.window - spec.gram, len(bodies)
     sides = []
     for texts, width in (([b[o : o + W] for b, o in zip(bodies, offset, strict=True)], W), ([b[:o][::-1] for b, o in zip(bodies, offset, strict=True)], reach)):
@@ -91,62 +91,64 @@ def repeated_windows(bodies: list[bytes], offset: np.ndarray, count: np.ndarray,
     low, high = offset - count + 1, offset
     for d in range(reach + 1):
         who = np.flatnonzero((low <= d) & (d <= high))
-        if len(who) < 2:
+        if not len(who):
             continue
         name = np.zeros(size, np.int64)
         for (order, common), need in ((sides[0], W - d), (sides[1], d)):
             label = np.empty(size, np.int64)
             label[order] = np.cumsum(common < need)
             name = name * (size + 1) + label
-        mine = name[who]
-        by = np.argsort(mine, kind="stable")
-        same = mine[by][1:] == mine[by][:-1]
-        flags[who[by[1:][same]], d] = True
-        flags[who[by[:-1][same]], d] = True
+        by = who[np.argsort(name[who], kind="stable")]
+        first = np.flatnonzero(np.concatenate(([True], name[by][1:] != name[by][:-1])))
+        total = np.add.reduceat(copies[by], first)
+        flags[by, d] = np.repeat(total > 1, np.diff(np.concatenate((first, [len(by)]))))
     return flags
 
 
 def suffix_buckets(classes: DataFrame, spec: Spec, bucket: int = BUCKET) -> DataFrame:
-    """(key, doc, lo, hi) of repeated windows: buckets of the sampled suffix array, then leads that cross a boundary."""
+    """FOUND: repeated windows from buckets of the sampled suffix array, then leads that cross a boundary."""
 
     def run(batches):
         ends: list[int] = []
         for part in whole_groups(batches, "fp"):
-            n, keys, docs, places, fp = (part.column(c).to_numpy() for c in ("n", "key", "doc", "place", "fp"))
+            columns = [part.column(c).to_numpy() for c in ("fp", "seg", "n", "key", "doc", "place")]
+            fp, _, n, _, _, places = columns
             ends = [*ends[:1], int(fp[0]), int(fp[-1])]
             group, size = np.unique(fp, return_inverse=True, return_counts=True)[1:]
-            # of a lead with one suffix here all windows are alone or, being copies, known to repeat
-            use = np.flatnonzero(size[group] > 1)
+            # a lead with one suffix, without copies, has nothing to be compared with here
+            use = np.flatnonzero((size[group] > 1) | (n > 1))
             rows = []
             if len(use):
                 bodies = part.column("body").take(pa.array(use)).to_pylist()
                 count, offset = (places[use] >> 12) & 4095, places[use] & 4095
-                flags = repeated_windows(bodies, offset, count, group[use], spec)
-                for i in np.flatnonzero((n[use] == 1) & flags.any(axis=1)):
+                flags = repeated_windows(bodies, offset, count, group[use], n[use], spec)
+                for i in np.flatnonzero(flags.any(axis=1)):
                     own = flags[i, offset[i] - count[i] + 1 : offset[i] + 1][::-1]
-                    rows += [(int(keys[use[i]]), int(docs[use[i]]), lo, hi, None) for lo, hi in intervals_from(own, int(places[use[i]]) >> 24, spec.window)]
+                    rows += [(*(int(c[use[i]]) for c in columns), lo, hi, None) for lo, hi in intervals_from(own, 0, spec.window)]
             yield table(rows)
-        yield table([(None, None, None, None, x) for x in set(ends)])
+        yield table([(*[None] * 8, x) for x in set(ends)])
 
     def table(rows):
-        return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(5)], ["key", "doc", "lo", "hi", "end"])
+        end = pa.array([r[-1] for r in rows], pa.int64())
+        return pa.RecordBatch.from_arrays([*found_rows(rows).columns, end], [*found_rows([]).schema.names, "end"])
 
     spark = classes.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-classes.count() // bucket))
     split = F.col("place").bitwiseAND(F.lit(4095)).cast("int")
-    rows = classes.select("fp", "n", "key", "doc", "place", "body", split.alias("at"))
+    rows = classes.select("fp", "seg", "n", "key", "doc", "place", "body", split.alias("at"))
     lead, rest = F.expr(f"substring(body, at + 1, {spec.gram})"), F.expr(f"substring(body, at + 1 + {spec.gram}, {spec.gram})")
     keys = [lead]
     large = materialize(classes.groupBy("fp").agg(F.count("*").alias("m")).where(F.col("m") > bucket).select("fp", F.lit(True).alias("large")), "large")
     if large.take(1):
         rows = rows.join(large, "fp", "left")
         keys += [F.when(F.col("large"), rest), F.when(F.col("large"), F.xxhash64("body", "at"))]
-    dealt = rows.repartitionByRange(parts, *keys).sortWithinPartitions(lead, "fp").select("fp", "n", "key", "doc", "place", "body")
-    local = materialize(dealt.mapInArrow(run, "key long, doc long, lo long, hi long, end long"), "buckets")
+    dealt = rows.repartitionByRange(parts, *keys).sortWithinPartitions(lead, "fp").select("fp", "seg", "n", "key", "doc", "place", "body")
+    local = materialize(dealt.mapInArrow(run, FOUND + ", end long"), "buckets")
     crossing = local.where("end is not null").groupBy("end").agg(F.count("*").alias("buckets")).where("buckets > 1").select(F.col("end").alias("fp"))
     across = materialize(classes.join(F.broadcast(crossing), "fp", "left_semi"), "boundaries")  # at most one lead a bucket
-    found = materialize(local.where("end is null").select("key", "doc", "lo", "hi").unionByName(exact_windows(across, spec)), "bucket-spans")
-    scrap(local, across)
+    beyond = exact_windows(across, spec)
+    found = materialize(local.where("end is null").drop("end").unionByName(beyond), "bucket-spans")
+    scrap(local, across, beyond, large)
     return found
 
 
