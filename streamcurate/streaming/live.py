@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators import integrity as ig
 from ..operators import normalize as nz
@@ -44,36 +45,28 @@ def validate_normalize(stream: DataFrame, spec: SensorSpec, units: dict[str, str
     return stream.writeStream.foreachBatch(batch)
 
 
-class OrderCheck(StatefulProcessor):
-    """State: the last time of a (session, stream) in order of arrival."""
-
-    def init(self, handle) -> None:
-        self.last = handle.getValueState("last", "epoch_us long")
-
-    def handleInputRows(self, key, rows, timerValues):
-        previous = self.last.get()[0] if self.last.exists() else None
-        for pdf in rows:
-            numbers, codes = [], []
-            for number, t in zip(pdf["record_number"], pdf["epoch_us"], strict=True):
-                if previous is not None and t < previous:
-                    numbers.append(number)
-                    codes.append("TIMESTAMP_OUT_OF_ORDER")
-                elif previous is not None and t == previous:
-                    numbers.append(number)
-                    codes.append("DUPLICATE_TIMESTAMP")
-                previous = int(t)
-            if numbers:
-                yield pd.DataFrame({"session_id": key[0], "stream": key[1], "record": numbers, "code": codes})
-        if previous is not None:
-            self.last.update((previous,))
+def order_check(stream: DataFrame) -> DataFrame:
+    """Issues of records that go back or stand still in time, in order of arrival.
 
-    def close(self) -> None:
-        pass
+    State: the last time of a (session, stream).  Spark brings a group's rows of one micro-batch in any order, so they
+    are put in that of their record numbers first; they are held at once, as two columns.
+    """
 
+    def run(key, parts, state):
+        rows = pd.concat([p[["record_number", "epoch_us"]] for p in parts], ignore_index=True).sort_values("record_number", kind="stable")
+        at = rows["epoch_us"].to_numpy()
+        if not state.exists:
+            before = np.concatenate((at[:1] - 1, at[:-1]))  # the first record has none before it
+        else:
+            before = np.concatenate((np.array(state.get, at.dtype), at[:-1]))
+        state.update((int(at[-1]),))
+        found = at <= before
+        if found.any():
+            codes = np.where(at < before, "TIMESTAMP_OUT_OF_ORDER", "DUPLICATE_TIMESTAMP")
+            yield pd.DataFrame({"session_id": key[0], "stream": key[1], "record": rows["record_number"].to_numpy()[found], "code": codes[found]})
 
-def order_check(stream: DataFrame) -> DataFrame:
-    """Issues of records that go back or stand still in time, in order of arrival."""
-    return stream.groupBy("session_id", "stream").transformWithStateInPandas(OrderCheck(), "session_id string, stream string, record long, code string", "append", "none")
+    groups = stream.select("session_id", "stream", "record_number", "epoch_us").groupBy("session_id", "stream")
+    return groups.applyInPandasWithState(run, "session_id string, stream string, record long, code string", "epoch_us long", "append", GroupStateTimeout.NoTimeout)
 
 
 def dedup(stream: DataFrame, time: str, keys: list[str], delay: str = "1 hour") -> DataFrame:
@@ -213,4 +206,4 @@ def running_profile(stream: DataFrame, columns: list[str], folder: str, sink: Ca
     return stream.writeStream.foreachBatch(batch)
 
 
-__all__ = ["AnchoredWindows", "OrderCheck", "anchored_windows", "dedup", "order_check", "plausible", "qc_profile", "running_profile", "time_windows", "validate_normalize"]
+__all__ = ["AnchoredWindows", "anchored_windows", "dedup", "order_check", "plausible", "qc_profile", "running_profile", "time_windows", "validate_normalize"]
