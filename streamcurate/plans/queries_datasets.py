@@ -603,9 +603,9 @@ def live_events(spark, d):
     return spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parque[t]")
 
 
-def drained(spark, writer):
-    """Runs a query over what there is and waits for it."""
-    writer.option("checkpointLocation", fresh_path(spark, "stream")).trigger(availableNow=True).start().awaitTermination()
+def drained(spark, writer, checkpoint=None):
+    """Runs a query over what there is and waits for it; with a checkpoint, from where that ends."""
+    writer.option("checkpointLocation", checkpoint or fresh_path(spark, "stream")).trigger(availableNow=True).start().awaitTermination()
 
 
 def collected(spark, df):
@@ -648,11 +648,11 @@ def t1_integrity(spark, d):
 
 
 @contextmanager
-def column_families(spark):
-    """The state store that operators with state of their own need."""
-    name = "spark.sql.streaming.stateStore.providerClass"
+def without_empty_batches(spark):
+    """The rows that come next do what a micro-batch without rows would."""
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
     before = spark.conf.get(name)
-    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set(name, "false")
     try:
         yield
     finally:
@@ -681,20 +681,21 @@ def t4(spark, d):
 
 @query("t4_anchored_windows", "WITH e AS (SELECT user_id::VARCHAR AS session_id, epoch_us(ts) AS us, value, min(epoch_us(ts)) OVER (PARTITION BY user_id) AS first, max(epoch_us(ts)) OVER (PARTITION BY user_id) AS last FROM events) SELECT session_id, (us - first) // 3600000000 AS k, count(*) AS row_count, round(avg(value), 6) AS value_mean, max(value)::DOUBLE AS value_max FROM e GROUP BY session_id, first, last, k HAVING last >= first + (k + 1) * 3600000000")
 def t4_anchored(spark, d):
-    """Files in the order of time, and two late rows of another session that move the watermark past all others."""
+    """A feed of thirds in the order of time, and two late rows of another session that move the watermark past all others.
+
+    Each part comes as many files, which are one micro-batch: the query is run to its end and goes on from its checkpoint.
+    """
     events = table(spark, d, "events").select(F.col("user_id").cast("string").alias("session_id"), F.col("ts").cast("timestamp").alias("t"), F.col("value").cast("double").alias("value"))
     low, high = events.agg(F.min(F.unix_micros("t")), F.max(F.unix_micros("t"))).first()
-    source = fresh_path(spark, "feed")
     third = F.floor((F.unix_micros("t") - F.lit(low)) * 3 / F.lit(high - low + 1))
-    for part in range(3):
-        events.where(third == part).coalesce(1).write.mode("append").parquet(source)
-    for hours in (48, 72):
-        events.limit(1).select(F.lit("end").alias("session_id"), F.timestamp_micros(F.lit(high + hours * 3_600_000_000)).alias("t"), "value").coalesce(1).write.mode("append").parquet(source)
-    feed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    out = fresh_path(spark, "windows")
-    found = live.anchored_windows(feed, "t", ["value"], 3_600_000, 3_600_000, "1 minute")
-    with column_families(spark):
-        drained(spark, found.writeStream.format("parquet").option("path", out))
+    late = [spark.range(1).select(F.lit("end").alias("session_id"), F.timestamp_micros(F.lit(high + hours * 3_600_000_000)).alias("t"), F.lit(0.0).alias("value")) for hours in (48, 72)]
+    source, out, checkpoint = fresh_path(spark, "feed"), fresh_path(spark, "windows"), fresh_path(spark, "stream")
+    for part in [*(events.where(third == i) for i in range(3)), *late]:
+        part.write.mode("append").parquet(source)
+        feed = spark.readStream.schema(events.schema).parquet(source)
+        found = live.anchored_windows(feed, "t", ["value"], 3_600_000, 3_600_000, "1 minute")
+        with without_empty_batches(spark):
+            drained(spark, found.writeStream.format("parquet").option("path", out), checkpoint)
     return rounded(spark.read.parquet(out).where("session_id <> 'end'").select("session_id", "k", "row_count", "value_mean", "value_max"))
 
 

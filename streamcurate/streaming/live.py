@@ -8,7 +8,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators import integrity as ig
@@ -82,92 +81,105 @@ def time_windows(stream: DataFrame, time: str, fields: list[str], duration: str,
     return out.select("session_id", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "row_count", *(c for c in out.columns if c not in ("session_id", "window", "row_count")))
 
 
-class AnchoredWindows(StatefulProcessor):
-    """State of a session: its first and last time, and counts and moments of each window that is open."""
+class AnchoredWindows:
+    """State of a bucket of sessions: each one's first and last time, and counts and moments of its open windows, as arrays.
+
+    A window is a partial result (session, k, row_count, and n, mean, m2, low, high of each field); so is a row for each
+    of its windows, and partial results of one window add up.
+    """
 
     def __init__(self, time: str, fields: list[str], duration: int, stride: int):
         self.time, self.fields, self.duration, self.stride = time, fields, duration, stride
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.span = handle.getValueState("span", "first long, last long")
-        moments = ", ".join(f"n{i} long, mean{i} double, m2{i} double, low{i} double, high{i} double" for i in range(len(self.fields)))
-        self.open = handle.getMapState("open", "k long", f"row_count long, {moments}")
-
-    def handleInputRows(self, key, rows, timerValues):
-        rows = pd.concat(list(rows), ignore_index=True)
-        at = rows[self.time].astype("datetime64[us]").astype("int64").to_numpy()
-        known = self.span.get() if self.span.exists() else None
-        first, last = (int(at.min()), int(at.max())) if known is None else (known[0], max(known[1], int(at.max())))
-        self.span.update((first, last))
-        closed_to = timerValues.getCurrentWatermarkInMs() * 1000
-        values = [pd.to_numeric(rows[f]).to_numpy(float) for f in self.fields]
-        since = at - first
+        self.kinds = [np.int64] * 3 + [np.int64, float, float, float, float] * len(fields)
+        moments = "".join(f", n{i} array<long>, mean{i} array<double>, m2{i} array<double>, low{i} array<double>, high{i} array<double>" for i in range(len(fields)))
+        self.state = f"names array<string>, first array<long>, last array<long>, session array<long>, k array<long>, row_count array<long>{moments}"
+
+    def __call__(self, key, parts, state):
+        names, first, last, *windows = state.get if state.exists else [[]] * (3 + len(self.kinds))
+        names, first, last = list(names), np.array(first, np.int64), np.array(last, np.int64)
+        windows = [np.array(x, kind) for x, kind in zip(windows, self.kinds, strict=True)]
+        closed_to, known = state.getCurrentWatermarkMs() * 1000, len(names)
+        if not state.hasTimedOut:
+            rows = pd.concat(list(parts), ignore_index=True)
+            at = rows[self.time].astype("datetime64[us]").astype("int64").to_numpy()
+            code, found = pd.factorize(rows["session_id"], use_na_sentinel=False)
+            place = {name: i for i, name in enumerate(names)}
+            session = np.array([place.setdefault(None if pd.isna(x) else x, len(place)) for x in found])[code]
+            names = list(place)
+            low, high = np.full(len(names), np.iinfo(np.int64).max), np.full(len(names), np.iinfo(np.int64).min)
+            np.minimum.at(low, session, at)
+            np.maximum.at(high, session, at)
+            first, last = np.concatenate((first, low[known:])), np.maximum(np.concatenate((last, high[known:])), high)
+            windows, held = self.added(windows, self.of_rows(rows, session, at - first[session]))
+            # windows that the watermark has closed take no more
+            ends = self.ends(first, windows)
+            windows = [x[held | (windows[0] >= known) | (ends > closed_to)] for x in windows]
+        # the windows that the watermark has passed and a row of the session has closed
+        ends = self.ends(first, windows)
+        ripe = ends <= last[windows[0]]
+        done = ripe & (ends <= closed_to)
+        if done.any():
+            yield self.result(names, ends[done], [x[done] for x in windows])
+        if (ripe & ~done).any():
+            state.setTimeoutTimestamp(int(ends[ripe & ~done].min()) // 1000 + 1)
+        state.update((names, first.tolist(), last.tolist(), *(x[~done].tolist() for x in windows)))
+
+    def ends(self, first, windows):
+        return first[windows[0]] + windows[1] * self.stride + self.duration
+
+    def of_rows(self, rows, session, since):
         low = np.maximum(0, (since - self.duration) // self.stride + 1)
         high = since // self.stride
-        # each row's windows are few, however far apart rows are
+        # each row's windows are few, however far apart rows are; rows before the first one are in none
         reach = low[:, None] + np.arange(max(0, int((high - low).max())) + 1)
-        for k in np.unique(reach[reach <= high[:, None]]).tolist():
-            # rows before the first one are in no window; windows that the watermark has closed take no more
-            mine = (since >= 0) & (low <= k) & (k <= high)
-            if not mine.any() or (known is not None and first + k * self.stride + self.duration <= closed_to and not self.open.containsKey((k,))):
-                continue
-            held = self.open.getValue((k,)) if self.open.containsKey((k,)) else None
-            if held is None:
-                self.handle.registerTimer((first + k * self.stride + self.duration) // 1000 + 1)
-            self.open.updateValue((k,), self.added(held, int(mine.sum()), [v[mine] for v in values]))
-        yield from self.emit(key, first, last, closed_to)
-
-    def added(self, held, count, values):
-        out = [count + (held[0] if held else 0)]
-        for i, v in enumerate(values):
-            v = v[~np.isnan(v)]
-            n, mean, m2, low, high = held[1 + 5 * i : 6 + 5 * i] if held else (0, 0.0, 0.0, None, None)
-            if len(v):
-                step, m = float(v.mean()) - mean, len(v)
-                m2 += float(((v - v.mean()) ** 2).sum()) + step * step * n * m / (n + m)
-                mean += step * m / (n + m)
-                low, high = min(float(v.min()), float("inf") if low is None else low), max(float(v.max()), float("-inf") if high is None else high)
-                n += m
-            out += [n, mean, m2, low, high]
-        return tuple(out)
-
-    def emit(self, key, first, last, closed_to):
-        """The windows that the watermark has passed and a row of the session has closed."""
-        done = []
-        for (k,), held in list(self.open.iterator()):
-            end = first + k * self.stride + self.duration
-            if end <= closed_to and end <= last:
-                self.open.removeKey((k,))
-                row = {"session_id": key[0], "k": k, "start_us": end - self.duration, "end_us": end, "row_count": held[0]}
-                for i, f in enumerate(self.fields):
-                    n, mean, m2, low, high = held[1 + 5 * i : 6 + 5 * i]
-                    row |= {f"{f}_mean": mean if n else None, f"{f}_std": float(np.sqrt(m2 / n)) if n else None, f"{f}_min": low, f"{f}_max": high}
-                done.append(row)
-        if done:
-            yield pd.DataFrame(done)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.span.exists():
-            first, last = self.span.get()
-            yield from self.emit(key, first, last, timerValues.getCurrentWatermarkInMs() * 1000)
-
-    def close(self) -> None:
-        pass
-
-
-def anchored_windows(stream: DataFrame, time: str, fields: list[str], duration_ms: float, stride_ms: float, delay: str) -> DataFrame:
-    """T4 with the windows of W2: half-open windows from each session's first row on, by state and event-time timers.
+        row, column = np.nonzero(reach <= high[:, None])
+        out = [session[row], reach[row, column], np.ones(len(row), np.int64)]
+        for f in self.fields:
+            v = pd.to_numeric(rows[f]).to_numpy(float)[row]
+            there = ~np.isnan(v)
+            out += [there.astype(np.int64), np.where(there, v, 0.0), np.zeros(len(v)), np.where(there, v, np.inf), np.where(there, v, -np.inf)]
+        return out
+
+    def added(self, held, new):
+        """Both as one partial result for each window, and which windows were among the held ones."""
+        every = [np.concatenate(x) for x in zip(held, new, strict=True)]
+        if not len(every[0]):
+            return every, np.zeros(0, bool)
+        order = np.lexsort((every[1], every[0]))
+        session, k, count, *moments = (x[order] for x in every)
+        at = np.concatenate(([0], np.flatnonzero((np.diff(session) != 0) | (np.diff(k) != 0)) + 1))
+        sizes = np.diff(np.concatenate((at, [len(k)])))
+        out = [session[at], k[at], np.add.reduceat(count, at)]
+        for i in range(0, len(moments), 5):
+            n, mean, m2, low, high = moments[i : i + 5]
+            total = np.add.reduceat(n, at)
+            centre = np.add.reduceat(n * mean, at) / np.maximum(total, 1)
+            out += [total, centre, np.add.reduceat(m2 + n * (mean - np.repeat(centre, sizes)) ** 2, at), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)]
+        return out, np.logical_or.reduceat(order < len(held[0]), at)
+
+    def result(self, names, ends, windows):
+        out = {"session_id": np.array(names, object)[windows[0]], "k": windows[1], "start_us": ends - self.duration, "end_us": ends, "row_count": windows[2]}
+        for i, f in enumerate(self.fields):
+            n, mean, m2, low, high = windows[3 + 5 * i : 8 + 5 * i]
+            for s, v in {"mean": mean, "std": np.sqrt(m2 / np.maximum(n, 1)), "min": low, "max": high}.items():
+                out[f"{f}_{s}"] = pd.Series(v).astype(object).where(n > 0, None) if (n == 0).any() else v
+        return pd.DataFrame(out)
+
+
+def anchored_windows(stream: DataFrame, time: str, fields: list[str], duration_ms: float, stride_ms: float, delay: str, buckets: int = 256) -> DataFrame:
+    """T4 with the windows of W2: half-open windows from each session's first row on, by state and an event-time timer.
 
     A window comes once the watermark has passed its end and a row of the session lies at or after it, so for
     rows in order the windows are those that W2 keeps when it drops incomplete ones.  Defined otherwise: rows before the
     session's first row are in no window, rows later than the watermark allows are dropped, and the first row is the
-    earliest of the session's first micro-batch.  A session's rows of one micro-batch are held at once.
+    earliest of the session's first micro-batch.  Sessions share `buckets` states, so that a micro-batch calls
+    Python once per bucket and not once per session; a bucket's rows of one micro-batch are held at once.
     """
     stats = "".join(f", `{f}_{s}` double" for f in fields for s in ("mean", "std", "min", "max"))
     work = AnchoredWindows(time, fields, int(duration_ms * 1000), int(stride_ms * 1000))
-    rows = stream.withWatermark(time, delay).select("session_id", time, *fields)
-    return rows.groupBy("session_id").transformWithStateInPandas(work, f"session_id string, k long, start_us long, end_us long, row_count long{stats}", "append", "eventTime")
+    rows = stream.withWatermark(time, delay).select("session_id", time, *fields, F.pmod(F.xxhash64("session_id"), F.lit(buckets)).alias("_bucket"))
+    shape = f"session_id string, k long, start_us long, end_us long, row_count long{stats}"
+    return rows.groupBy("_bucket").applyInPandasWithState(work, shape, work.state, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def qc_profile(stream: DataFrame, columns: list[str], baseline: DataFrame, sink: Callable[[DataFrame, int], None]):
