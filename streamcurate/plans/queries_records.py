@@ -25,7 +25,7 @@ def text_columns(df):
 
 def csv_folder(spark, d):
     path = fresh_path(spark, "csv")
-    text_columns(dirty(spark, d)).drop("session_id", "file").withColumnRenamed("record_number", "number").repartition(4, "number").sortWithinPartitions("number", "accel_x").write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    text_columns(dirty(spark, d)).drop("session_id", "file").withColumnRenamed("record_number", "number").repartition("number").sortWithinPartitions("number", "accel_x").write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 
@@ -35,6 +35,11 @@ def i1(spark, d):
     return named(found, ["number", "timestamp", "accel_x", "gyro_x"]).select(F.col("number").cast("long").alias("record_number"), "timestamp", "accel_x", "gyro_x")
 
 
+def in_files(df, least=4):
+    """As many parts as a scan has, so that none grows with the table; small tables are dealt out to `least`."""
+    return df if df.rdd.getNumPartitions() >= least else df.repartition(least)
+
+
 def csv_text(spark, lines, header):
     """A folder of files that begin with the header, one for each partition of the lines."""
     path = fresh_path(spark, "csv-text")
@@ -50,7 +55,7 @@ def quoted(c: str):
 @query("i1_quoted_texts", "SELECT doc_id, sha256(coalesce(text, '') || ' \"' || source || chr(10) || '\\') AS sha256, lang FROM documents")
 def i1_quoted(spark, d):
     docs = table(spark, d, "documents").withColumn("text", F.concat(F.coalesce("text", F.lit("")), F.lit(' "'), "source", F.lit("\n\\")))
-    found = fs.read_csv(spark, csv_text(spark, docs.repartition(4).select(F.concat_ws(",", "doc_id", quoted("text"), "lang").alias("value")), "doc_id,text,lang"), ["lang", "doc_id", "text"])
+    found = fs.read_csv(spark, csv_text(spark, in_files(docs.select(F.concat_ws(",", "doc_id", quoted("text"), "lang").alias("value"))), "doc_id,text,lang"), ["lang", "doc_id", "text"])
     return found.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2("text", 256).alias("sha256"), "lang")
 
 
