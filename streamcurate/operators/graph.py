@@ -17,6 +17,11 @@ from ..functions.storage import discard, materialize
 MERGE_STEPS = 16
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """To be joined by shuffle, however small Spark takes it to be: a broadcast goes through the driver, in each step of a loop."""
+    return df.hint("merge")
+
+
 def followed(chain: DataFrame) -> DataFrame:
     """Of nodes with one arrow in and one out (node, prev, next) the ends of their path, by doubling: node, prev, next, low.
 
@@ -26,7 +31,7 @@ def followed(chain: DataFrame) -> DataFrame:
     for _ in range(max(1, rows.count()).bit_length()):
         after = rows.select(F.col("node").alias("next"), F.col("next").alias("_next"), F.col("low").alias("_low"))
         before = rows.select(F.col("node").alias("prev"), F.col("prev").alias("_prev"))
-        step = rows.join(after, "next", "left").join(before, "prev", "left")
+        step = rows.join(dealt(after), "next", "left").join(dealt(before), "prev", "left")
         step = step.select("node", F.coalesce("_prev", "prev").alias("prev"), F.coalesce("_next", "next").alias("next"), F.least("low", F.coalesce("_low", "low")).alias("low"), (F.col("_next").isNotNull() | F.col("_prev").isNotNull()).alias("moved"))
         older, rows = rows, materialize(step, "chain")
         discard(older)
@@ -44,21 +49,21 @@ def settled(arrows: DataFrame) -> DataFrame:
     nodes = arrows.select(F.col("from").alias("node")).union(arrows.select("to")).distinct()
     colour = materialize(nodes.select("node", F.col("node").alias("colour"), F.lit(True).alias("fresh")), "colours")
     while True:
-        sent = colour.where("fresh").join(arrows, F.col("node") == F.col("from")).groupBy(F.col("to").alias("node")).agg(F.max("colour").alias("_sent"))
+        sent = colour.where("fresh").join(dealt(arrows), F.col("node") == F.col("from")).groupBy(F.col("to").alias("node")).agg(F.max("colour").alias("_sent"))
         larger = F.coalesce(F.col("_sent") > F.col("colour"), F.lit(False))
-        older, colour = colour, materialize(colour.join(sent, "node", "left").select("node", F.when(larger, F.col("_sent")).otherwise(F.col("colour")).alias("colour"), larger.alias("fresh")), "colours")
+        older, colour = colour, materialize(colour.join(dealt(sent), "node", "left").select("node", F.when(larger, F.col("_sent")).otherwise(F.col("colour")).alias("colour"), larger.alias("fresh")), "colours")
         discard(older)
         if not colour.where("fresh").take(1):
             break
     own = colour.select("node", "colour")
-    inside = arrows.join(own.toDF("from", "_a"), "from").join(own.toDF("to", "_b"), "to").where("_a = _b").select("from", "to", F.col("_a").alias("colour"))
+    inside = arrows.join(dealt(own.toDF("from", "_a")), "from").join(dealt(own.toDF("to", "_b")), "to").where("_a = _b").select("from", "to", F.col("_a").alias("colour"))
     inside = materialize(inside, "inside")
     frontier = materialize(own.where("node = colour"), "reached")
     reached, steps = frontier, 0
     while True:
         steps += 1
-        back = inside.join(frontier.select(F.col("node").alias("to"), "colour"), ["to", "colour"]).select(F.col("from").alias("node"), "colour").distinct()
-        frontier = materialize(back.join(reached.select("node"), "node", "left_anti"), "reached")
+        back = inside.join(dealt(frontier.select(F.col("node").alias("to"), "colour")), ["to", "colour"]).select(F.col("from").alias("node"), "colour").distinct()
+        frontier = materialize(back.join(dealt(reached.select("node")), "node", "left_anti"), "reached")
         if not frontier.take(1):
             break
         reached = reached.unionByName(frontier)
@@ -66,7 +71,7 @@ def settled(arrows: DataFrame) -> DataFrame:
             reached = materialize(reached, "reached")
     sizes = reached.groupBy("colour").agg(F.count("*").alias("_size"))
     loops = inside.where("`from` = `to`").select(F.col("from").alias("node"), F.lit(True).alias("_loop")).distinct()
-    out = reached.join(sizes, "colour").join(loops, "node", "left")
+    out = reached.join(dealt(sizes), "colour").join(dealt(loops), "node", "left")
     return materialize(out.select("node", F.col("colour").alias("component"), ((F.col("_size") > 1) | F.coalesce("_loop", F.lit(False))).alias("cyclic")), "settled")
 
 
@@ -83,22 +88,22 @@ def strongly_connected(arrows: DataFrame) -> DataFrame:
     while left.take(1):
         outs = left.groupBy(F.col("from").alias("node")).agg(F.count("*").alias("o"), F.min("to").alias("next"))
         ins = left.groupBy(F.col("to").alias("node")).agg(F.count("*").alias("i"), F.min("from").alias("prev"))
-        inner = materialize(outs.join(ins, "node"), "inner")
+        inner = materialize(outs.join(dealt(ins), "node"), "inner")
         single = inner.where("o = 1 AND i = 1").select("node", "prev", "next")
-        without = lambda df, names: df.join(names.toDF("from"), "from", "left_anti").join(names.toDF("to"), "to", "left_anti")
+        without = lambda df, names: df.join(dealt(names.toDF("from")), "from", "left_anti").join(dealt(names.toDF("to")), "to", "left_anti")
         older = left
         if single.take(1):
             ends = followed(single)
             names = ends.select("node")
-            ring = ends.join(names.toDF("next"), "next", "left_semi")
-            path = ends.join(names.toDF("next"), "next", "left_anti")
+            ring = ends.join(dealt(names.toDF("next")), "next", "left_semi")
+            path = ends.join(dealt(names.toDF("next")), "next", "left_anti")
             found.append(ring.select("node", F.col("low").alias("component")))
             paths.append(path.select("node", "prev", "next"))
             short = path.select(F.col("prev").alias("from"), F.col("next").alias("to"))
             left = materialize(without(left, names).select("from", "to").unionByName(short).distinct(), "arrows")
         else:
             names = inner.select("node")
-            trimmed = materialize(left.join(names.toDF("from"), "from", "left_semi").join(names.toDF("to"), "to", "left_semi").select("from", "to"), "arrows")
+            trimmed = materialize(left.join(dealt(names.toDF("from")), "from", "left_semi").join(dealt(names.toDF("to")), "to", "left_semi").select("from", "to"), "arrows")
             if trimmed.count() == left.count():
                 done = settled(left)
                 found.append(done.where("cyclic").select("node", "component"))
@@ -112,11 +117,11 @@ def strongly_connected(arrows: DataFrame) -> DataFrame:
     known = materialize(reduce(lambda a, b: a.unionByName(b), found), "cycles")
     for path in reversed(paths):
         a, b = known.toDF("prev", "_a"), known.toDF("next", "_b")
-        between = path.join(a, "prev").join(b, "next").where("_a = _b").select("node", F.col("_a").alias("component"))
+        between = path.join(dealt(a), "prev").join(dealt(b), "next").where("_a = _b").select("node", F.col("_a").alias("component"))
         older, known = known, materialize(known.unionByName(between), "cycles")
         discard(older)
     lows = known.groupBy("component").agg(F.min("node").alias("low"))
-    return known.join(lows, "component").select("node", F.col("low").alias("component"))
+    return known.join(dealt(lows), "component").select("node", F.col("low").alias("component"))
 
 
 def inherited(arrows: DataFrame, own: DataFrame) -> DataFrame:
