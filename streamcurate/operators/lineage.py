@@ -330,14 +330,21 @@ def file_hashes(spark, path: str) -> DataFrame:
 
 def catalog_health(artifacts: DataFrame, edges: DataFrame, events: DataFrame, versions: DataFrame) -> DataFrame:
     """(problem, name) of orphans, dangling references and missing parents."""
-    known = artifacts.select(node("artifact_type", "artifact_id").alias("name"))
-    children = edges.select(node("child_type", "child_id").alias("name")).distinct()
-    orphans = artifacts.where("artifact_type <> 'ingestion'").select(node("artifact_type", "artifact_id").alias("name")).join(children, "name", "left_anti")
-    dangling = versions.select(F.concat(F.lit("package/"), "package_id").alias("name")).distinct().join(known, "name", "left_anti")
-    ghosts = events.select(node("artifact_type", "artifact_id").alias("name")).distinct().join(known, "name", "left_anti")
-    parents = missing_parents(edges, artifacts).select(node("parent_type", "parent_id").alias("name")).distinct()
-    parts = {"orphan": orphans, "dangling_version": dangling, "dangling_governance": ghosts, "missing_parent": parents}
-    return reduce(lambda a, b: a.unionByName(b), [df.select(F.lit(p).alias("problem"), "name") for p, df in parts.items()])
+    named = lambda df, name, bit: df.select(name.alias("name"), F.lit(bit).alias("bits"))
+    own = node("artifact_type", "artifact_id")
+    # what a name is, as bits: known, known and no ingestion, a child, of a version, governed, a parent
+    kinds = [
+        artifacts.select(own.alias("name"), F.when(F.col("artifact_type") != "ingestion", 3).otherwise(1).alias("bits")),
+        named(edges, node("child_type", "child_id"), 4),
+        named(versions, F.concat(F.lit("package/"), "package_id"), 8),
+        named(events, own, 16),
+        named(edges, node("parent_type", "parent_id"), 32),
+    ]
+    names = reduce(lambda a, b: a.unionByName(b), kinds).groupBy("name").agg(F.bit_or("bits").alias("bits"))
+    has = lambda bits: F.col("bits").bitwiseAND(F.lit(bits)) == bits
+    problems = {"orphan": has(2) & ~has(4), "dangling_version": ~has(1) & has(8), "dangling_governance": ~has(1) & has(16), "missing_parent": ~has(1) & has(32)}
+    found = F.filter(F.array(*(F.when(c, p) for p, c in problems.items())), lambda x: x.isNotNull())
+    return names.select(F.explode(found).alias("problem"), "name")
 
 
 def affected_closure(replaced: DataFrame, edges: DataFrame, max_depth: int | None = None) -> DataFrame:
