@@ -305,8 +305,18 @@ def lineage_fingerprint(roots: DataFrame, edges: DataFrame, artifacts: DataFrame
     """
     values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
     content = artifacts.select(node("artifact_type", "artifact_id").alias("node"), F.concat_ws(":", "artifact_type", *values).alias("part"))
-    above = traverse(roots, edges, "up").join(content, "node")
-    return above.groupBy("root").agg(F.sha2(F.concat_ws("\n", F.array_sort(F.collect_set("part"))), 256).alias("fingerprint"))
+    steps = arrows(edges, "up")
+    # all that lies above a root with one arrow up lies at that arrow's end (`via`), which is walked once for all such roots
+    first = steps.groupBy(F.col("from").alias("root")).agg(F.count("*").alias("_n"), F.min("to").alias("_to"))
+    starts = materialize(roots.select("root").distinct().join(first, "root", "left").select("root", F.when(F.col("_n") == 1, F.col("_to")).otherwise(F.col("root")).alias("via")), "starts")
+    tops = starts.select(F.col("via").alias("root")).distinct()
+    met = tops.select(F.col("root").alias("from")).union(steps.select("to")).distinct()
+    above = walk(tops, steps.join(met, "from", "left_semi").select("from", "to")).join(content, "node")
+    sets = above.groupBy(F.col("root").alias("via")).agg(F.collect_set("part").alias("_above"))
+    own = content.groupBy(F.col("node").alias("root")).agg(F.collect_set("part").alias("_own"))
+    none = F.array().cast("array<string>")
+    parts = starts.join(own, "root", "left").join(sets, "via", "left").select("root", F.array_union(F.coalesce("_own", none), F.coalesce("_above", none)).alias("parts"))
+    return parts.where(F.size("parts") > 0).select("root", F.sha2(F.concat_ws("\n", F.array_sort("parts")), 256).alias("fingerprint"))
 
 
 def verify_checksums(recorded: DataFrame, actual: DataFrame) -> DataFrame:
